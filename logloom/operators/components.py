@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 from logloom.functions import fixed, numbers
 from logloom.operators.guards import require_columns, require_values
 
-WHOLE_TABLE = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+def whole_table():
+    return Window.partitionBy()
 
 
 def with_share_and_rank(volume: DataFrame) -> DataFrame:
     """Name the unlabelled row, add the share of all lines in percent and the dense rank by volume."""
     require_columns(volume, "Component", "Total_Logs")
     nameless = F.coalesce(F.col("Component"), F.lit("")) == ""
-    total = F.sum("Total_Logs").over(WHOLE_TABLE)
+    total = F.sum("Total_Logs").over(whole_table())
     return volume.select(
         F.when(nameless, fixed.UNLABELED).otherwise(F.col("Component")).alias("Component"),
         "Total_Logs",
@@ -40,7 +42,7 @@ def compare_to_benchmark(ranked: DataFrame, selected: Sequence[str], benchmark:
         raise ValueError(f"benchmark {benchmark!r} is not among the selected components")
     chosen = ranked.filter(F.col("Component").isin(list(selected)))
     is_benchmark = F.col("Component") == benchmark
-    reference = F.max(F.when(is_benchmark, F.col("Total_Logs"))).over(WHOLE_TABLE)
+    reference = F.max(F.when(is_benchmark, F.col("Total_Logs"))).over(whole_table())
     gap = F.try_divide(F.col("Total_Logs") - reference, reference) * 100
     return chosen.select(
         "Component",
@@ -85,7 +87,7 @@ def cards(comparison: DataFrame, benchmark: str) -> DataFrame:
 def selected_share(ranked: DataFrame, selected: Sequence[str]) -> DataFrame:
     """Share of each selected component among the selected ones, in percent."""
     require_values(selected, "component")
-    total = F.sum("Total_Logs").over(WHOLE_TABLE)
+    total = F.sum("Total_Logs").over(whole_table())
     return (
         ranked.filter(F.col("Component").isin(list(selected)))
         .select("Component", "Total_Logs", (F.try_divide(F.col("Total_Logs"), total) * 100).alias("SelectedSharePct"))

@@ -6,6 +6,7 @@ executor costs a re-read and never a recomputation from raw text.
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,14 +16,17 @@ def shared_folder(spark: SparkSession) -> str:
 
     Where it is unset a local session gets a temporary folder; on a cluster no machine-local folder would do.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="logloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="logloom-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
