@@ -30,22 +30,21 @@ def word_after_comma(line: Column, words: Sequence[str]) -> Column:
 def first_word(line: Column, words: Sequence[str]) -> Column:
     """First of ``words`` to appear anywhere in the line.
 
-    A line that holds just one of them needs no regular expression at all.
+    Only a line that holds several of them needs the regular expression to tell which comes first.
     """
     found = {word: line.contains(word) for word in words}
-    branches = F
-    for word in words:
-        others = [found[other] for other in words if other != word]
-        alone = reduce(lambda left, right: left & ~right, others, found[word])
-        branches = branches.when(alone, F.lit(word))
+    how_many = reduce(lambda total, one: total + one, [one.cast("int") for one in found.values()])
+    only = F
+    for word, present in found.items():
+        only = only.when(present, F.lit(word))
     several = F.regexp_extract(line, f"{_starts(words)}({'|'.join(words)})", 1)
-    return branches.when(_any(list(found.values())), several).otherwise(F.lit(""))
+    return F.when(how_many == 0, F.lit("")).when(how_many == 1, only).otherwise(several)
 
 
 def text_after_word(line: Column, words: Sequence[str]) -> Column:
     """Rest of the line behind the first of ``words`` that is followed by blanks."""
     rest = F.regexp_extract(line, rf"{_starts(words)}(?:{'|'.join(words)})\s+(.*)", 1)
-    return F.when(_any([line.contains(word) for word in words]), rest).otherwise(F.lit(""))
+    return F.when(_holds_any(line, words), rest).otherwise(F.lit(""))
 
 
 def first_number(field: Column) -> Column:
@@ -59,8 +58,8 @@ def shorten(text: Column, width: int = fixed.TEMPLATE_WIDTH) -> Column:
     return F.when(F.length(text) <= width, text).otherwise(cut)
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda left, right: left | right, conditions)
+def _holds_any(line: Column, words: Sequence[str]) -> Column:
+    return reduce(lambda left, right: left | right, [line.contains(word) for word in words])
 
 
 def _starts(words: Sequence[str]) -> str:

@@ -202,7 +202,9 @@ def component_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def selected_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components.selected_share(component_share_rank(spark, sf_dir), SELECTED)
+    # Stored first, as in the report: else the selection would be pushed down into the parsing of every line.
+    stored = durable(component_share_rank(spark, sf_dir), "ranked")
+    return components.selected_share(stored, SELECTED)
 
 
 def indexed_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
