@@ -12,6 +12,8 @@ from logloom.operators.isolation_forest import fit_forest
 from logloom.sources.durable import durable
 
 EXACT_QUANTILE_ROWS = 1_000_000
+FENCE_ACCURACY = 100_000
+FENCE_MARGIN = 4 / FENCE_ACCURACY
 
 
 def complete_rows(hours: DataFrame, features: Sequence[str] = fixed.FEATURES) -> DataFrame:
@@ -75,26 +77,24 @@ def quantile(
 ) -> float:
     """Exact quantile with linear interpolation.
 
-    Spark's exact percentile gathers all distinct values in one task. Beyond ``exact_rows`` rows, approximate
-    quantiles first fence off a narrow range that holds the wanted ranks; only values in it are gathered and the
-    others are counted.
+    Spark's exact percentile gathers all distinct values in one task. While there are more than ``exact_rows``
+    rows, approximate quantiles fence off a narrow range around the wanted rank and only the rows in it stay.
     """
     value = F.col(column)
     count = rows.count() if count is None else count
-    if count <= exact_rows:
-        return rows.agg(F.percentile(value, share)).first()[0]
     position = (count - 1) * share
-    margin = 8.0 / exact_rows
-    fence = rows.agg(
-        F.percentile_approx(value, [max(share - margin, 0.0), min(share + margin, 1.0)], exact_rows)
-    ).first()[0]
-    low, high = fence
-    inside = value.between(low, high)
-    below, kept = rows.agg(F.count_if(value < low), F.count_if(inside)).first()
-    if not below <= position <= below + kept - 1:
-        raise ArithmeticError(f"quantile fence [{low}, {high}] misses rank {position}")
-    within = (position - below) / max(kept - 1, 1)
-    return rows.filter(inside).agg(F.percentile(value, within)).first()[0]
+    while count > exact_rows:
+        rank = position / (count - 1)
+        ends = [max(rank - FENCE_MARGIN, 0.0), min(rank + FENCE_MARGIN, 1.0)]
+        low, high = rows.agg(F.percentile_approx(value, ends, FENCE_ACCURACY)).first()[0]
+        inside = value.between(low, high)
+        below, kept = rows.agg(F.count_if(value < low), F.count_if(inside)).first()
+        if not below <= position <= below + kept - 1:
+            raise ArithmeticError(f"values between {low} and {high} do not hold rank {position}")
+        if kept == count:  # a few values repeated over and over, which the percentile keeps as value and count
+            break
+        rows, position, count = rows.filter(inside), position - below, kept
+    return rows.agg(F.percentile(value, position / max(count - 1, 1))).first()[0]
 
 
 def flag_lowest(

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,14 +23,15 @@ from logloom.functions import fixed
 # The helpers below travel with the tasks that call them: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-TREE_SCHEMA = T.StructType(
+NODE_SCHEMA = T.StructType(
     [
-        T.StructField("tree_id", T.IntegerType()),
-        T.StructField("rows", T.IntegerType()),
-        T.StructField("feature", T.ArrayType(T.IntegerType())),
-        T.StructField("threshold", T.ArrayType(T.DoubleType())),
-        T.StructField("left", T.ArrayType(T.IntegerType())),
-        T.StructField("path_length", T.ArrayType(T.DoubleType())),
+        T.StructField("tree_id", T.LongType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("node", T.LongType()),
+        T.StructField("feature", T.LongType()),
+        T.StructField("threshold", T.DoubleType()),
+        T.StructField("left", T.LongType()),
+        T.StructField("path_length", T.DoubleType()),
     ]
 )
 
@@ -163,24 +165,30 @@ def fit_forest(
     depth_limit = math.ceil(math.log2(max(sample, 2)))
     width = len(features)
 
-    def grow(tree: pd.DataFrame) -> pd.DataFrame:
-        tree = tree.sort_values("place")
-        tree_id = int(tree["tree_id"].iloc[0])
-        points = tree[[f"x{i}" for i in range(width)]].to_numpy(dtype=float)
-        nodes = grow_tree(points, depth_limit, np.random.default_rng([seed, tree_id]))
-        return pd.DataFrame([{"tree_id": tree_id, "rows": len(tree), **{k: v.tolist() for k, v in nodes.items()}}])
+    def grow(drawn: pa.Table) -> pa.Table:
+        drawn = drawn.sort_by("place")
+        points = np.column_stack([drawn[f"x{i}"].to_numpy() for i in range(width)])
+        tree_id = drawn["tree_id"][0].as_py()
+        tree = grow_tree(points, depth_limit, np.random.default_rng([seed, tree_id]))
+        nodes = len(tree["left"])
+        fixed_part = {"tree_id": [tree_id] * nodes, "rows": [len(points)] * nodes, "node": np.arange(nodes)}
+        return pa.table({name: pa.array(values) for name, values in {**fixed_part, **tree}.items()})
 
-    def fitted(spare: bool):
+    def fitted(spare: bool) -> pa.Table:
         samples = draw_samples(rows, features, key, count, trees, sample, seed, spare)
-        # One row per tree, at most 2 * sample - 1 nodes each.
-        return sorted(samples.groupBy("tree_id").applyInPandas(grow, TREE_SCHEMA).collect(), key=lambda r: r.tree_id)
+        # The samples are small enough for Spark to put them all into one task; trees should grow side by side.
+        tasks = min(trees, rows.sparkSession.sparkContext.defaultParallelism)
+        nodes = samples.repartition(tasks, "tree_id").groupBy("tree_id").applyInArrow(grow, NODE_SCHEMA)
+        # At most trees * (2 * sample - 1) rows, whatever the size of the table.
+        return nodes.toArrow().sort_by([("tree_id", "ascending"), ("node", "ascending")])
 
     forest = fitted(spare=True)
-    if len(forest) < trees or any(tree.rows < sample for tree in forest):
+    roots = np.flatnonzero(forest["node"].to_numpy() == 0)
+    if len(roots) < trees or forest["rows"].to_numpy().min() < sample:
         forest = fitted(spare=False)
-    sizes = np.array([len(tree.feature) for tree in forest])
-    roots = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    nodes = {name: np.concatenate([tree[name] for tree in forest]) for name in ("feature", "threshold", "path_length")}
-    nodes["left"] = np.concatenate([np.asarray(tree.left) + root for tree, root in zip(forest, roots)])
+        roots = np.flatnonzero(forest["node"].to_numpy() == 0)
+    nodes = {name: forest[name].to_numpy() for name in ("feature", "threshold", "left", "path_length")}
+    # Children are numbered within their tree; in the joined arrays they move with its root.
+    nodes["left"] = nodes["left"] + roots[forest["tree_id"].to_numpy()]
     nodes["roots"] = roots
     return ForestModel(tuple(features), sample, depth_limit, nodes)

@@ -34,7 +34,8 @@ def cap_rows(lines: DataFrame, max_rows: int, single_task_rows: int = SINGLE_TAS
     numbered = lines.withColumn("row_id", F.monotonically_increasing_id())
     split, place = F.shiftright("row_id", 33), F.col("row_id").bitwiseAND(F.lit(2**33 - 1))
     before = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per input split, so the window over all of them is small.
+    # One row of two numbers per input split up to the cap: a window over all of them is small, and so is a
+    # broadcast (some 10 MB for the splits of 100 TB). A shuffle join would move the text itself.
     quotas = (
         numbered.groupBy(split.alias("split"))
         .agg(F.count(F.lit(1)).alias("size"))
@@ -42,7 +43,7 @@ def cap_rows(lines: DataFrame, max_rows: int, single_task_rows: int = SINGLE_TAS
         .filter(F.col("left") > 0)
         .select("split", "left")
     )
-    kept = numbered.withColumn("split", split).withColumn("place", place).join(quotas, "split")
+    kept = numbered.withColumn("split", split).withColumn("place", place).join(F.broadcast(quotas), "split")
     return kept.filter(F.col("place") < F.col("left")).select(*lines.columns)
 
 
