@@ -11,7 +11,7 @@ from logloom.functions import render
 from logloom.operators import server_metrics, system_log
 
 # A wider component list than the default, so that the report queries have something to compare.
-WIDE_COMPONENTS = ("CBS", "CSI", "SQM", "DPX", "WUA")
+WIDE_COMPONENTS = ("CBS", "CSI", "SQM", "DPX", "WUA", "TRI", "NET", "GPO")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,15 +37,11 @@ def system_lines(source: DataFrame) -> DataFrame:
         .when(_every(107), "Notice")
         .otherwise("Info")
     )
-    bucket = F.col("user_id") % 9
-    component = (
-        F.when(bucket < 3, "CBS")
-        .when(bucket < 5, "CSI")
-        .when(bucket == 5, "SQM")
-        .when(bucket == 6, "DPX")
-        .when(bucket == 7, "WUA")
-        .otherwise("-")
-    )
+    bucket = F.col("user_id") % 12
+    component = F.when(bucket < 3, "CBS").when(bucket < 5, "CSI")
+    for position, name in enumerate(WIDE_COMPONENTS[2:], start=5):
+        component = component.when(bucket == position, name)
+    component = component.otherwise("-")
     message = F.concat(
         F.lit("Session: "),
         F.col("event_id").cast("string"),

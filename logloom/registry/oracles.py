@@ -16,8 +16,9 @@ system_lines AS (
                  WHEN event_type = 'purchase' AND user_id % 10 = 0 THEN 'Critical'
                  WHEN event_id % 107 = 0 THEN 'Notice'
                  ELSE 'Info' END, 22, ' ')
-    || rpad(CASE WHEN user_id % 9 < 3 THEN 'CBS' WHEN user_id % 9 < 5 THEN 'CSI' WHEN user_id % 9 = 5 THEN 'SQM'
-                 WHEN user_id % 9 = 6 THEN 'DPX' WHEN user_id % 9 = 7 THEN 'WUA' ELSE '-' END, 7, ' ')
+    || rpad(CASE WHEN user_id % 12 < 3 THEN 'CBS' WHEN user_id % 12 < 5 THEN 'CSI' WHEN user_id % 12 = 5 THEN 'SQM'
+                 WHEN user_id % 12 = 6 THEN 'DPX' WHEN user_id % 12 = 7 THEN 'WUA' WHEN user_id % 12 = 8 THEN 'TRI'
+                 WHEN user_id % 12 = 9 THEN 'NET' WHEN user_id % 12 = 10 THEN 'GPO' ELSE '-' END, 7, ' ')
     || 'Session: ' || event_id || ' ' || event_type || ' package_' || (user_id % 50)
     || ' hr 0x' || hex(event_id + 2147483648)
     || ' ref @' || lpad(lower(hex(event_id * 7919)), 8, '0')
@@ -40,7 +41,7 @@ PARSED_COLUMNS = r"""
   ) WHERE Date <> ''
 """
 PARSED = "parsed AS (" + PARSED_COLUMNS.format(names="CBS|CSI") + ")"
-WIDE_PARSED = "wide_parsed AS (" + PARSED_COLUMNS.format(names="CBS|CSI|SQM|DPX|WUA") + ")"
+WIDE_PARSED = "wide_parsed AS (" + PARSED_COLUMNS.format(names="CBS|CSI|SQM|DPX|WUA|TRI|NET|GPO") + ")"
 
 TIMED = """
 timed AS (
@@ -205,7 +206,7 @@ ORACLES: dict[str, str] = {
     ),
     "component_share_rank": _with(*WIDE, select="SELECT * FROM ranked"),
     "default_components": _with(
-        *WIDE, select="SELECT Component, Total_Logs FROM ranked ORDER BY Total_Logs DESC, Component LIMIT 4"
+        *WIDE, select="SELECT Component, Total_Logs FROM ranked ORDER BY Total_Logs DESC, Component LIMIT 6"
     ),
     "benchmark_compare": _with(*WIDE, COMPARED, select="SELECT * FROM compared"),
     "component_table": _with(
@@ -215,7 +216,13 @@ ORACLES: dict[str, str] = {
         SELECT Component, Total_Logs, SharePct AS "Share (%)", Rank, Vs_Benchmark AS "Multiple vs Benchmark",
                RelativeGapPct AS "Gap vs Benchmark (%)" FROM compared""",
     ),
-    "component_metric_view": _with(*WIDE, COMPARED, select="SELECT Component, SharePct AS Value FROM compared"),
+    "component_metric_view": _with(
+        *WIDE,
+        COMPARED,
+        select="""
+        SELECT 'Absolute' AS View, Component, Total_Logs::DOUBLE AS Value FROM compared
+        UNION ALL SELECT 'Relative', Component, SharePct FROM compared""",
+    ),
     "component_cards": _with(
         *WIDE,
         COMPARED,

@@ -182,7 +182,7 @@ def component_share_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def default_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components.default_selection(component_share_rank(spark, sf_dir), k=4)
+    return components.default_selection(component_share_rank(spark, sf_dir))
 
 
 def benchmark_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +194,14 @@ def component_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def component_metric_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components.metric_view(benchmark_compare(spark, sf_dir), relative=True)
+    compared = durable(benchmark_compare(spark, sf_dir), "compared")
+    views = [
+        components.metric_view(compared, relative).select(
+            F.lit(name).alias("View"), "Component", F.col("Value").cast("double").alias("Value")
+        )
+        for name, relative in (("Absolute", False), ("Relative", True))
+    ]
+    return views[0].unionByName(views[1])
 
 
 def component_cards(spark: SparkSession, sf_dir: str) -> DataFrame:

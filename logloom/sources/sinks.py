@@ -1,6 +1,7 @@
 """Writing result tables, text and run timings."""
 
 import time
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +38,10 @@ def export(
     return time.monotonic() - started
 
 
-def append_timing(spark: SparkSession, path: str, process: str, setup: str, seconds: float) -> None:
-    """Add one stage run to the timings table."""
-    run = spark.createDataFrame([(process, setup, float(seconds))], schemas.STAGE_TIMINGS)
-    run.coalesce(1).write.mode("append").parquet(path)
+def append_timings(spark: SparkSession, path: str, setup: str, seconds: Mapping[str, float]) -> None:
+    """Add the stage times of one run to the timings table, as one small file."""
+    runs = [(process, setup, float(taken)) for process, taken in seconds.items()]
+    spark.createDataFrame(runs, schemas.STAGE_TIMINGS).coalesce(1).write.mode("append").parquet(path)
 
 
 def write_lines(lines: DataFrame, path: str, files: int | None = None, value: str = "value") -> None:

@@ -80,8 +80,8 @@ def test_export_refuses_a_table_without_columns(spark, tmp_path, volume):
 
 def test_timings_are_appended(spark, tmp_path):
     path = str(tmp_path / "timings")
-    sinks.append_timing(spark, path, "Severity Levels", "1 Worker Node", 2)
-    sinks.append_timing(spark, path, "Severity Levels", "2 Worker Nodes", 1.5)
+    sinks.append_timings(spark, path, "1 Worker Node", {"Severity Levels": 2})
+    sinks.append_timings(spark, path, "2 Worker Nodes", {"Severity Levels": 1.5})
     assert rows(spark.read.parquet(path)) == [
         ("Severity Levels", "1 Worker Node", 2.0),
         ("Severity Levels", "2 Worker Nodes", 1.5),
