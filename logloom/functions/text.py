@@ -34,9 +34,7 @@ def first_word(line: Column, words: Sequence[str]) -> Column:
     """
     found = {word: line.contains(word) for word in words}
     how_many = reduce(lambda total, one: total + one, [one.cast("int") for one in found.values()])
-    only = F
-    for word, present in found.items():
-        only = only.when(present, F.lit(word))
+    only = F.coalesce(*[F.when(present, F.lit(word)) for word, present in found.items()])
     several = F.regexp_extract(line, f"{_starts(words)}({'|'.join(words)})", 1)
     return F.when(how_many == 0, F.lit("")).when(how_many == 1, only).otherwise(several)
 

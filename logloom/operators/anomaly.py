@@ -54,10 +54,8 @@ class Scaler:
 
 def contamination(rows: Column) -> Column:
     """Share of rows to flag, by number of rows."""
-    tiers = F
-    for below, share in fixed.CONTAMINATION_TIERS:
-        tiers = tiers.when(rows < below, F.lit(share))
-    return tiers.otherwise(F.lit(fixed.CONTAMINATION_DEFAULT))
+    tiers = [F.when(rows < below, F.lit(share)) for below, share in fixed.CONTAMINATION_TIERS]
+    return F.coalesce(*tiers, F.lit(fixed.CONTAMINATION_DEFAULT))
 
 
 def contamination_of(rows: int) -> float:

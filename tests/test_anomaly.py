@@ -1,9 +1,12 @@
 """The anomaly model: exact parts against numpy, the forest against its definition and by its properties."""
 
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from logloom.functions import fixed
@@ -181,3 +184,13 @@ def test_early_cut_of_draws_changes_no_sample(spark):
     ]
     assert drawn[0].count() == drawn[1].count() == 5 * 64
     assert drawn[0].exceptAll(drawn[1]).count() == 0
+
+
+def test_task_code_needs_no_copy_of_the_package(tmp_path):
+    task = tmp_path / "task"
+    task.write_bytes(cloudpickle.dumps(forest.grow_tree))
+    check = (
+        "import pickle, sys, numpy as np; grow = pickle.load(open(sys.argv[1], 'rb')); "
+        "assert len(grow(np.arange(8.0).reshape(4, 2), 2, np.random.default_rng(0))['left']) >= 3"
+    )
+    subprocess.run([sys.executable, "-c", check, str(task)], cwd=tmp_path, check=True)
