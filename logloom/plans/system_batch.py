@@ -12,6 +12,7 @@ from logloom.sources.options import BatchOptions
 
 LINE_COUNT = "Line_Count"
 SUMMARY_STAGE = "Text Summary"
+VIEW = "windows_logs"
 
 
 def results_of(summary: DataFrame) -> dict[str, tuple[str, DataFrame]]:
@@ -34,12 +35,13 @@ def run(
     """Write the four result tables and return the seconds per stage.
 
     The text is scanned and parsed once, which is a stage of its own: the summary goes to the shared folder and
-    every result is an aggregate of that. With ``timings_path`` the stage times are also added to the timings
-    table under ``setup``.
+    every result is an aggregate of that. The parsed lines are also there for SQL, as view ``windows_logs``. With
+    ``timings_path`` the stage times are added to the timings table under ``setup``.
     """
     started = time.monotonic()
     lines = readers.read_lines(spark, options.source, options.max_input_rows)
-    summary = durable(system_log.summarise(system_log.parse_system_log(lines)), "summary")
+    parsed = sinks.register_view(system_log.parse_system_log(lines), VIEW)
+    summary = durable(system_log.summarise(parsed), "summary")
     seconds = {SUMMARY_STAGE: time.monotonic() - started}
     for name, (stage, table) in results_of(summary).items():
         seconds[stage] = sinks.export(spark, table, name, options.results, options.mirror_base)

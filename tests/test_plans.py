@@ -54,6 +54,8 @@ def test_row_cap_applies_before_parsing(spark, batch, tmp_path):
     system_batch.run(spark, options)
     capped = readers.read_result(spark, options.results, fixed.RESULT_COMPONENTS, schemas.COMPONENT_VOLUME)
     assert 190 <= sum(row.Total_Logs for row in capped.collect()) <= 200
+    total = spark.sql("SELECT count(*) AS n FROM windows_logs WHERE Date <> ''").first().n
+    assert 190 <= total <= 200
 
 
 def test_report(spark, batch):
