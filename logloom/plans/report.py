@@ -9,7 +9,6 @@ from logloom.functions import fixed
 from logloom.operators import anomaly, components, hourly, severity, templates
 from logloom.operators.guards import has_rows
 from logloom.sources import readers
-from logloom.sources.durable import durable
 
 
 def build(
@@ -43,7 +42,7 @@ def build(
     if charted and has_rows(hours):
         tables["indexed_trend"] = hourly.indexed_trend(hours, charted)
     if has_rows(anomaly.complete_rows(hours), 2):
-        scores = durable(anomaly.with_status(anomaly.anomaly_scores(hours)), "scored-hours")
+        scores = anomaly.with_status(anomaly.anomaly_scores(hours))
         tables["anomaly_windows"] = anomaly.flagged(scores) if simplified else scores
         tables["anomaly_kpis"] = anomaly.anomaly_kpis(scores)
         tables["anomaly_triage"] = anomaly.anomaly_triage(scores, simplified)

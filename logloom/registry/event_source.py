@@ -2,6 +2,7 @@
 
 The lines cover what the parsers must cope with: lines without a date, impossible dates, missing times, level words
 the parser does not know or finds only in the message, lines without a known component, short and empty fields.
+Every event becomes one line; remainders of the event number only decide what its line looks like.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession

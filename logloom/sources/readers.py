@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from logloom import schemas
 
 SINGLE_TASK_ROWS = 1_000_000
+BROADCAST_SPLITS = 4_000_000
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], max_rows: int = 0) -> DataFrame:
@@ -34,8 +35,8 @@ def cap_rows(lines: DataFrame, max_rows: int, single_task_rows: int = SINGLE_TAS
     numbered = lines.withColumn("row_id", F.monotonically_increasing_id())
     split, place = F.shiftright("row_id", 33), F.col("row_id").bitwiseAND(F.lit(2**33 - 1))
     before = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    # One row of two numbers per input split up to the cap: a window over all of them is small, and so is a
-    # broadcast (some 10 MB for the splits of 100 TB). A shuffle join would move the text itself.
+    # One row of two numbers per input split: the splits of 100 TB make some 10 MB. With more splits than the
+    # broadcast bound Spark chooses the join, which may then move the text.
     quotas = (
         numbered.groupBy(split.alias("split"))
         .agg(F.count(F.lit(1)).alias("size"))
@@ -43,7 +44,9 @@ def cap_rows(lines: DataFrame, max_rows: int, single_task_rows: int = SINGLE_TAS
         .filter(F.col("left") > 0)
         .select("split", "left")
     )
-    kept = numbered.withColumn("split", split).withColumn("place", place).join(F.broadcast(quotas), "split")
+    if lines.rdd.getNumPartitions() <= BROADCAST_SPLITS:
+        quotas = F.broadcast(quotas)
+    kept = numbered.withColumn("split", split).withColumn("place", place).join(quotas, "split")
     return kept.filter(F.col("place") < F.col("left")).select(*lines.columns)
 
 
