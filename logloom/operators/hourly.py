@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions import fixed
@@ -12,28 +12,29 @@ from logloom.operators.system_log import with_hour
 def hourly_features(
     lines: DataFrame,
     components: Sequence[str] = fixed.COMPONENTS,
-    ratio_of: str = fixed.COMPONENTS[-1],
+    ratio_of: str | None = None,
     weight: str | None = None,
     closed: bool = True,
     exact: bool = True,
 ) -> DataFrame:
-    """One row per hour that has lines: totals, counts per component, distinct templates and components, ratio.
+    """One row per hour that has lines: totals, counts per component, distinct templates and components, and
+    the share of the component ``ratio_of``, by default the last listed.
 
     ``closed`` says that ``Component`` holds nothing but ``components`` and ``''``, which is what the parser
     produces. Distinct components are then a sum of presence flags and the template count is the only distinct
-    aggregate, so Spark need not copy every row per distinct aggregate. ``closed=False`` counts any values.
+    aggregate, so Spark need not copy every row per distinct aggregate. Other values are refused at run time;
+    ``closed=False`` counts any.
     ``exact=False`` estimates the number of templates and saves shuffling them.
     """
     hours = lines if "Hour_Window" in lines.columns else with_hour(lines)
-    component = F.col("Component")
+    component, ratio_of = F.col("Component"), ratio_of or components[-1]
     # Lines without a valid time form a group that counts nothing and is dropped afterwards: a row filter on the
     # hour would be pushed into the scan and work out the time of every line a second time.
     each = F.col("Hour_Window").isNotNull().cast("bigint") if weight is None else F.col(weight)
     total = F.count("Hour_Window") if weight is None else F.sum(F.when(F.col("Hour_Window").isNotNull(), each))
     counts = {name: F.sum(F.when(component == name, each).otherwise(0)) for name in components}
     if closed:
-        flags = [F.max(F.when(component == name, 1).otherwise(0)) for name in ("", *components)]
-        active = sum(flags[1:], flags[0]).cast("bigint")
+        active = _listed_components(component, ("", *components))
     else:
         active = F.count_distinct(component)
     templates = F.count_distinct if exact else F.approx_count_distinct
@@ -51,6 +52,14 @@ def hourly_features(
     )
 
 
+def _listed_components(component: Column, listed: Sequence[str]) -> Column:
+    """How many of the listed names occur in a group; an error if any other does."""
+    present = [F.max(F.when(component == name, 1).otherwise(0)) for name in listed]
+    unlisted = F.max(F.when(component.isin(*listed), 0).when(component.isNotNull(), 1).otherwise(0))
+    refusal = F.raise_error(F.lit(f"components other than {list(listed)}: list them or pass closed=False"))
+    return F.when(unlisted == 1, refusal.cast("bigint")).otherwise(sum(present[1:], present[0]).cast("bigint"))
+
+
 def component_series(hours: DataFrame, components: Sequence[str] = fixed.COMPONENTS) -> DataFrame:
     """Hourly counts as one row per hour and component, for those components that have a count column."""
     present = {f"{name}_Count": name for name in components if f"{name}_Count" in hours.columns}

@@ -1,6 +1,7 @@
 """Volume and hourly aggregates: small cases, and equalities that must hold on any input."""
 
 import pytest
+from pyspark.errors import PySparkException
 
 from logloom.operators import hourly, system_log, volume
 from logloom.registry import event_source
@@ -41,6 +42,9 @@ def test_unlisted_components_are_counted_on_request(spark):
         "Date string, Time string, Component string, EventTemplate string",
     )
     assert hourly.hourly_features(lines, closed=False).first().Active_Components == 4
+    assert hourly.hourly_features(lines, components=("DISM", "DPX", "CBS")).first().Active_Components == 4
+    with pytest.raises(PySparkException, match="closed=False"):
+        hourly.hourly_features(lines).collect()
 
 
 def test_totals(parsed):
