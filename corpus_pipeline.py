@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import linededup, mixing, perplexity, sentencepiece, simhash
+from logloom.llm import linededup, mixing, perplexity, pieces, simhash
 from logloom.llm.text import only_one, without
 from logloom.sources.durable import scratch_path
 
@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, number of tokens, token ids, and whether decoding gives the text back."""
-    return sentencepiece.encode(docs)
+    return pieces.encode(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import linededup, mixing, perplexity, sentencepiece, simhash
+from logloom.llm import capfilters, langid, linededup, mixing, perplexity, pieces, secretscan, simhash, substrings, webpages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,28 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece.encode(table(spark, sf_dir, "documents"))
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilters.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents")).drop("text")
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webpages.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +60,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_secret_scan": op2_secret_scan,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_language_id": op7_language_id,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
