@@ -46,7 +46,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def spelled(word: str, length: int) -> list[str]:
-    framed = f"^{word}$"
+    framed = f"^{word}$" if length > 1 else word
     return [framed[i : i + length] for i in range(len(framed) - length + 1)]
 
 
@@ -92,9 +92,9 @@ def fit(labelled: DataFrame, order: int = ORDER, budget: int = BUDGET) -> Model:
     """The model of all rows of ``labelled`` (``text``, ``lang``) whose language is known."""
     words = durable(word_counts(labelled.filter("lang is not null"), letter_words), "words")
     levels = [words.select("lang", F.lit(0).alias("k"), F.col("word").alias("item"), "n")]
-    framed = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
+    framed = F.when(F.col("k") == 1, F.col("word")).otherwise(F.concat(F.lit("^"), F.col("word"), F.lit("$")))
     places = F.expr("sequence(1, length(framed) - k + 1)")
-    spelt = words.select("lang", "n", framed.alias("framed")).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(order))))
+    spelt = words.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(order)))).select("lang", "n", "k", framed.alias("framed"))
     spelt = spelt.filter("length(framed) >= k").withColumn("at", F.explode(places))
     grams = spelt.groupBy("lang", "k", F.expr("substring(framed, at, k)").alias("item")).agg(F.sum("n").alias("n"))
     table = durable(levels[0].unionByName(grams), "items")

@@ -57,7 +57,7 @@ def targets(rows: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: flo
     left = total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     source = source.withColumn("full", F.col("cap") / F.col("weight") <= left / F.sum("weight").over(onward)).withColumn("total", total)
     rest = F.col("total") - F.sum(F.when(F.col("full"), F.col("cap")).otherwise(0.0)).over(everything)
-    level = rest / F.sum(F.when(F.col("full"), 0.0).otherwise(F.col("weight"))).over(everything)
+    level = F.try_divide(rest, F.sum(F.when(F.col("full"), 0.0).otherwise(F.col("weight"))).over(everything))
     return source.select("source", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(level * F.col("weight")).alias("target"))
 
 

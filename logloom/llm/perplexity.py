@@ -31,7 +31,7 @@ from logloom.llm.words import partial_counts
 from logloom.sources.durable import durable
 
 ORDER, BUDGET = 5, 1 << 18
-SPREAD, SLACK = 4.0, 4.0
+SPREAD, SLACK = 6.0, 4.0
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -344,7 +344,7 @@ def judge(scores: DataFrame, limits: dict[str | None, tuple[float, float]], slac
     spark = scores.sparkSession
     # One row per language.
     table = spark.createDataFrame([(lang, *b) for lang, b in limits.items()], "band_lang string, low double, high double")
-    wide = F.lit(slack) / F.sqrt(F.col("n_words"))
+    wide = F.lit(slack) / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     inside = F.col("log_perplexity").between(F.col("low") - wide, F.col("high") + wide)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return (

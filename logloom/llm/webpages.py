@@ -32,7 +32,8 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|title|xmp|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)",
+    r"|<[!?][^>]*(?:>|\Z)"
+    r"|</?[a-zA-Z][^>]*\Z",  # cut off inside a quoted value
     re.S | re.I,
 )
 _ATTR = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -125,7 +126,7 @@ def parse(source: str) -> Page:
                 del stack[1:]
             if tag in _CLOSES_P or tag == "li":
                 _close_implied(stack, tag)
-        elif tag in ("td", "th"):
+        elif tag == "th":
             parts.append(" ")
         if tag in _VOID:
             continue
