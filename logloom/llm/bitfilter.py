@@ -4,10 +4,15 @@ It is the only thing broadcast about a set that grows with the corpus. Its size
 sets more strangers pass, which costs time in the exact step behind the filter and never changes its result.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logloom.llm.text import slices
+
 BITS = 27
 
 
@@ -30,3 +35,15 @@ def holds(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of the hashes (uint64) may be members."""
     at = (hashes >> np.uint64(6)) & np.uint64(len(words) - 1)
     return (words[at.astype(np.int64)] >> (hashes & np.uint64(63))) & np.uint64(1) == 1
+
+
+def members(rows: DataFrame, words: np.ndarray, column: str, wanted: bool = True) -> DataFrame:
+    """Rows whose hash in ``column`` passes (or does not pass) the filter."""
+    shared = rows.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            hashes = batch[column].to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(holds(shared.value, hashes) == wanted))
+
+    return rows.mapInArrow(run, rows.schema)

@@ -86,18 +86,6 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text", F.lit(1)).alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"), "text")
 
 
-def members(rows: DataFrame, words: np.ndarray, column: str, wanted: bool = True) -> DataFrame:
-    """Rows whose hash in ``column`` passes (or does not pass) the filter."""
-    shared = rows.sparkSession.sparkContext.broadcast(words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            hashes = batch[column].to_numpy(zero_copy_only=False).view(np.uint64)
-            yield batch.filter(pa.array(bitfilter.holds(shared.value, hashes) == wanted))
-
-    return rows.mapInArrow(run, rows.schema)
-
-
 def _per_document(rows: DataFrame, schema: str, make) -> DataFrame:
     """``make(doc_id, text hashes)`` gives columns of equal length for each document with at least one window."""
     names = [part.split()[0] for part in schema.split(", ")]
@@ -212,16 +200,16 @@ def removals(docs: DataFrame) -> DataFrame:
     copies = durable(names.join(classes, ["h1", "h2"]).filter("doc_id > first").select("doc_id", "h1", "h2").distinct(), "copies")
     twice = bitfilter.build(classes, "h1")
     # Texts that may have copies are few; of those only the first stays.
-    doubtful = members(rows, twice, "h1")
+    doubtful = bitfilter.members(rows, twice, "h1")
     firsts = durable(doubtful.join(copies, ["doc_id", "h1", "h2"], "left_anti"), "firsts")
-    texts = members(rows, twice, "h1", wanted=False).unionByName(firsts)
+    texts = bitfilter.members(rows, twice, "h1", wanted=False).unionByName(firsts)
 
     counted = document_anchors(texts).groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
     recurring = bitfilter.build(counted.filter("a < b"), "anchor")
     found = durable(suspects(texts, recurring), "suspects")
     pairs = durable(repeats(found), "pairs")
     part = pairs.select(F.explode(F.array("reader", "source")).alias("doc_id")).distinct().select(F.xxhash64("doc_id").alias("h"))
-    concerned = members(texts.withColumn("h", F.xxhash64("doc_id")), bitfilter.build(part, "h"), "h").drop("h")
+    concerned = bitfilter.members(texts.withColumn("h", F.xxhash64("doc_id")), bitfilter.build(part, "h"), "h").drop("h")
     masks = durable(locate(durable(concerned, "concerned"), pairs, recurring), "masks")
     marks = masks.groupBy("doc_id", "h1", "h2").agg(F.collect_list("mask").alias("masks")).withColumn("copy", F.lit(False))
     empty = F.array().cast("array<binary>")
@@ -244,8 +232,8 @@ def apply(docs: DataFrame, removal: DataFrame) -> DataFrame:
     """
     rows = keyed(docs).withColumn("h", F.coalesce(F.xxhash64("doc_id"), F.lit(0).cast("bigint")))
     touched = bitfilter.build(removal.select(F.xxhash64("doc_id").alias("h")).distinct(), "h")
-    free = members(rows, touched, "h", wanted=False).select("doc_id", "text", F.lit(None).cast("array<binary>").alias("masks"), F.lit(False).alias("copy"))
-    held = members(rows, touched, "h").join(removal, ["doc_id", "h1", "h2"], "left").select("doc_id", "text", "masks", F.coalesce("copy", F.lit(False)).alias("copy"))
+    free = bitfilter.members(rows, touched, "h", wanted=False).select("doc_id", "text", F.lit(None).cast("array<binary>").alias("masks"), F.lit(False).alias("copy"))
+    held = bitfilter.members(rows, touched, "h").join(removal, ["doc_id", "h1", "h2"], "left").select("doc_id", "text", "masks", F.coalesce("copy", F.lit(False)).alias("copy"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
