@@ -31,9 +31,16 @@ ERROR_CPU_ABOVE, ERROR_RESPONSE_ABOVE, WARNING_CPU_ABOVE = 85, 700, 65
 UNLABELED = "Unlabeled"
 TOP_TEMPLATES, REPORT_TEMPLATES, DEFAULT_SELECTION = 10, 8, 6
 TEMPLATE_WIDTH = 80
-STAGES = ("Component Volume", "Severity Levels", "Top Event Templates", "Anomaly Features")
+SUMMARY_STAGE = "Text Summary"
+RESULT_STAGES = ("Component Volume", "Severity Levels", "Top Event Templates", "Anomaly Features")
+STAGES = (SUMMARY_STAGE, *RESULT_STAGES)
+ALL_STAGES = "All Stages"
 WORKER_SETUPS = ("1 Worker Node", "2 Worker Nodes")
 
+TITLE_SLOW, TITLE_FAST, TITLE_SPEEDUP = "1 Worker Time (s)", "2 Worker Time (s)", "Speedup (1W / 2W)"
+TITLE_SHARE, TITLE_MULTIPLE, TITLE_GAP = "Share (%)", "Multiple vs Benchmark", "Gap vs Benchmark (%)"
+CARD_BADGE, CARD_DELTA, CARD_RANK, CARD_SHARE = " (Benchmark)", "% vs ", "Rank #", " • Share "
+
 # The anomaly model.
 FEATURES = ("Total_Logs", "CBS_Count", "CSI_Count", "Unique_Templates", "Active_Components", "CSI_Ratio")
 FOREST_TREES, FOREST_SAMPLE, FOREST_SEED = 200, 256, 42
@@ -48,3 +55,6 @@ RESULT_COMPONENTS = "1_component_volume"
 RESULT_LEVELS = "2_severity_levels"
 RESULT_TEMPLATES = "3_most_frequent_actions"
 RESULT_HOURS = "4_anomaly_features"
+RESULT_SERVER_ERRORS = "errors_by_server"
+RESULT_SERVER_MEMORY = "memory_over_average"
+REPORT_PREFIX = "report_"

@@ -14,6 +14,18 @@ from pyspark.sql import functions as F
 from logloom.functions import fixed
 
 
+def quoted(word: str) -> str:
+    """A pattern that matches just this word; a backslash before anything but a letter or digit makes it literal."""
+    return "".join(char if char.isalnum() else f"\\{char}" for char in word)
+
+
+def any_of(words: Sequence[str]) -> str:
+    """A pattern for one of the words, the first listed that fits."""
+    if not words or not all(words):
+        raise ValueError("the list of words is empty or has an empty word")
+    return "|".join(map(quoted, words))
+
+
 def leading_date(line: Column) -> Column:
     return F.regexp_extract(F.substring(line, 1, fixed.STAMP_WIDTH), fixed.DATE_PATTERN, 1)
 
@@ -24,7 +36,7 @@ def leading_time(line: Column) -> Column:
 
 def word_after_comma(line: Column, words: Sequence[str]) -> Column:
     """First of ``words`` that directly follows a comma and optional blanks, anywhere in the line."""
-    return F.regexp_extract(line, rf",\s*({'|'.join(words)})", 1)
+    return F.regexp_extract(line, rf",\s*({any_of(words)})", 1)
 
 
 def first_word(line: Column, words: Sequence[str]) -> Column:
@@ -32,16 +44,19 @@ def first_word(line: Column, words: Sequence[str]) -> Column:
 
     Only a line that holds several of them needs the regular expression to tell which comes first.
     """
+    pattern = any_of(words)
+    pattern = f"{_starts(words)}({pattern})"
     found = {word: line.contains(word) for word in words}
     how_many = reduce(lambda total, one: total + one, [one.cast("int") for one in found.values()])
     only = F.coalesce(*[F.when(present, F.lit(word)) for word, present in found.items()])
-    several = F.regexp_extract(line, f"{_starts(words)}({'|'.join(words)})", 1)
+    several = F.regexp_extract(line, pattern, 1)
     return F.when(how_many == 0, F.lit("")).when(how_many == 1, only).otherwise(several)
 
 
 def text_after_word(line: Column, words: Sequence[str]) -> Column:
     """Rest of the line behind the first of ``words`` that is followed by blanks."""
-    rest = F.regexp_extract(line, rf"{_starts(words)}(?:{'|'.join(words)})\s+(.*)", 1)
+    pattern = any_of(words)
+    rest = F.regexp_extract(line, rf"{_starts(words)}(?:{pattern})\s+(.*)", 1)
     return F.when(_holds_any(line, words), rest).otherwise(F.lit(""))
 
 
@@ -62,4 +77,4 @@ def _holds_any(line: Column, words: Sequence[str]) -> Column:
 
 def _starts(words: Sequence[str]) -> str:
     """Look-ahead for the possible first characters: skips most positions without trying each word."""
-    return f"(?=[{''.join(sorted({word[0] for word in words}))}])"
+    return f"(?=[{''.join(map(quoted, sorted({word[0] for word in words})))}])"

@@ -24,9 +24,10 @@ def complete_rows(hours: DataFrame, features: Sequence[str] = fixed.FEATURES) ->
 
 @dataclass(frozen=True)
 class Scaler:
-    """Row count, means and population deviations of a table's features; fitting is one aggregate over it."""
+    """Row count, share to flag, means and population deviations of a table's features; fitting is one aggregate over it."""
 
     rows: int
+    share: float
     mean: dict[str, float]
     deviation: dict[str, float]
 
@@ -34,10 +35,11 @@ class Scaler:
     def fit(cls, hours: DataFrame, features: Sequence[str] = fixed.FEATURES) -> "Scaler":
         totals = hours.agg(
             F.count(F.lit(1)).alias("rows"),
+            contamination(F.count(F.lit(1))).alias("share"),
             F.struct(*[F.avg(name).alias(name) for name in features]).alias("mean"),
             F.struct(*[F.stddev_pop(name).alias(name) for name in features]).alias("deviation"),
         ).first()
-        return cls(totals["rows"], totals["mean"].asDict(), totals["deviation"].asDict())
+        return cls(totals["rows"], totals["share"], totals["mean"].asDict(), totals["deviation"].asDict())
 
     def transform(self, hours: DataFrame) -> DataFrame:
         """Add each feature as distance from its mean in deviations, named ``<feature>_Z``.
@@ -58,11 +60,6 @@ def contamination(rows: Column) -> Column:
     return F.coalesce(*tiers, F.lit(fixed.CONTAMINATION_DEFAULT))
 
 
-def contamination_of(rows: int) -> float:
-    tiers = (share for below, share in fixed.CONTAMINATION_TIERS if rows < below)
-    return next(tiers, fixed.CONTAMINATION_DEFAULT)
-
-
 def contamination_tier(hours: DataFrame) -> DataFrame:
     """One row: how many complete rows there are and which share of them will be flagged."""
     return complete_rows(hours).agg(F.count(F.lit(1)).alias("Windows")).withColumn(
@@ -103,21 +100,23 @@ def flag_lowest(
     return rows.withColumn(score, F.col(raw) - F.lit(offset)).withColumn(flag, F.col(score) < 0)
 
 
-def anomaly_scores(hours: DataFrame, features: Sequence[str] = fixed.FEATURES, **forest) -> DataFrame:
+def anomaly_scores(
+    hours: DataFrame, features: Sequence[str] = fixed.FEATURES, scaler: Scaler | None = None, **forest
+) -> DataFrame:
     """Add ``Anomaly_Score`` (negative = anomalous, lower = worse) and ``Is_Anomaly`` to the complete rows.
 
-    ``hours`` is read several times: pass a stored table. Raises ``ValueError`` if it lacks a feature or has
-    fewer than two complete rows.
+    ``hours`` is read several times: pass a stored table, and the ``scaler`` of its complete rows if there is one. Raises
+    ``ValueError`` if it lacks a feature or has fewer than two complete rows.
     """
     rows = complete_rows(hours, features)
-    scaler = Scaler.fit(rows, features)
+    scaler = scaler or Scaler.fit(rows, features)
     if scaler.rows < 2:
         raise ValueError("anomaly scoring needs two complete rows or more")
     scaled = scaler.transform(rows)
     model = fit_forest(scaled, [f"{name}_Z" for name in features], count=scaler.rows, **forest)
     scored = durable(model.score(scaled).select(*hours.columns, "Raw_Score"), "scores")
     return flag_lowest(
-        scored, "Raw_Score", contamination_of(scaler.rows), "Anomaly_Score", "Is_Anomaly", scaler.rows
+        scored, "Raw_Score", scaler.share, "Anomaly_Score", "Is_Anomaly", scaler.rows
     ).drop("Raw_Score")
 
 
@@ -146,9 +145,8 @@ def anomaly_kpis(scores: DataFrame) -> DataFrame:
     )
 
 
-def anomaly_triage(scores: DataFrame, simplified: bool = False) -> DataFrame:
-    """The worst flagged windows, worst first."""
-    k = fixed.TRIAGE_ROWS_SIMPLIFIED if simplified else fixed.TRIAGE_ROWS
+def anomaly_triage(scores: DataFrame, k: int = fixed.TRIAGE_ROWS) -> DataFrame:
+    """The ``k`` worst flagged windows, worst first."""
     return (
         flagged(scores)
         .select("Hour_Window", "Total_Logs", "CBS_Count", "CSI_Count", "CSI_Ratio", "Anomaly_Score")

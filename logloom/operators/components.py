@@ -58,9 +58,9 @@ def comparison_table(comparison: DataFrame) -> DataFrame:
     """The comparison under the column titles of the report."""
     return comparison.withColumnsRenamed(
         {
-            "SharePct": "Share (%)",
-            "Vs_Benchmark": "Multiple vs Benchmark",
-            "RelativeGapPct": "Gap vs Benchmark (%)",
+            "SharePct": fixed.TITLE_SHARE,
+            "Vs_Benchmark": fixed.TITLE_MULTIPLE,
+            "RelativeGapPct": fixed.TITLE_GAP,
         }
     )
 
@@ -73,14 +73,14 @@ def metric_view(comparison: DataFrame, relative: bool = False) -> DataFrame:
 
 def cards(comparison: DataFrame, benchmark: str) -> DataFrame:
     """The texts of each component's summary card, largest component first."""
-    badge = F.when(F.col("Component") == benchmark, " (Benchmark)").otherwise("")
+    badge = F.when(F.col("Component") == benchmark, fixed.CARD_BADGE).otherwise("")
     change = numbers.signed_decimals(F.col("RelativeGapPct"), 1)
     share = numbers.decimals(F.col("SharePct"), 2)
     return comparison.orderBy(F.desc("Total_Logs"), F.asc("Component")).select(
         F.concat(F.col("Component"), badge).alias("Title"),
         numbers.grouped(F.col("Total_Logs")).alias("Value"),
-        F.concat(change, F.lit(f"% vs {benchmark}")).alias("Delta"),
-        F.concat(F.lit("Rank #"), F.col("Rank").cast("string"), F.lit(" • Share "), share, F.lit("%")).alias("Note"),
+        F.concat(change, F.lit(fixed.CARD_DELTA + benchmark)).alias("Delta"),
+        F.concat(F.lit(fixed.CARD_RANK), F.col("Rank").cast("string"), F.lit(fixed.CARD_SHARE), share, F.lit("%")).alias("Note"),
     )
 
 

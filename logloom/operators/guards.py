@@ -14,8 +14,3 @@ def require_columns(table: DataFrame, *names: str) -> None:
 def require_values(values: Sequence[str], what: str) -> None:
     if not values:
         raise ValueError(f"pick at least one {what}")
-
-
-def has_rows(table: DataFrame, at_least: int = 1) -> bool:
-    """Whether the table has that many rows; reads no more of it than needed."""
-    return table.limit(at_least).count() == at_least

@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 from logloom.functions import fixed, render, text
 
-ESCAPED_SEPARATOR = r" \| "
+LINE_COUNT = "Line_Count"
 
 
 def parse_server_metrics(lines: DataFrame) -> DataFrame:
     """One row per line; fields a line does not have, or that hold no number, are null."""
-    fields = lines.select(F.split("value", ESCAPED_SEPARATOR).alias("fields"))
+    fields = lines.select(F.split("value", text.quoted(fixed.FIELD_SEPARATOR)).alias("fields"))
 
     def field(position: int):
         return F.get("fields", F.lit(position))
@@ -41,25 +41,38 @@ def classify_severity(metrics: DataFrame, target: str = "Level") -> DataFrame:
     return metrics.withColumn(target, render.severity(F.col("CPU (%)"), F.col("Response Time (ms)")))
 
 
-def errors_by_server(metrics: DataFrame, level: str = "ERROR") -> DataFrame:
+def summarise(metrics: DataFrame) -> DataFrame:
+    """Line counts per server, level and memory value; both reports are aggregates of this table.
+
+    Counts are combined before the shuffle. With memory values that never repeat the table has a row per line, of three columns
+    instead of seven.
+    """
+    return metrics.groupBy("Server", "Level", "Memory (GB)").agg(F.count(F.lit(1)).alias(LINE_COUNT))
+
+
+def errors_by_server(metrics: DataFrame, level: str = "ERROR", weight: str | None = None) -> DataFrame:
+    """Lines at ``level`` per server; ``weight`` names a column of line counts."""
+    lines = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return (
         metrics.filter(F.col("Level") == level)
         .groupBy("Server")
-        .agg(F.count(F.lit(1)).alias("Total_errors"))
+        .agg(lines.alias("Total_errors"))
         .orderBy(F.desc("Total_errors"), F.asc("Server"))
     )
 
 
-def memory_over_average(metrics: DataFrame) -> DataFrame:
-    """Per server: rows above the average memory of all rows, and the highest value.
+def memory_over_average(metrics: DataFrame, weight: str | None = None) -> DataFrame:
+    """Per server: lines above the average memory of all lines, and the highest value; ``weight`` names a column of line counts.
 
     The average is a scalar subquery, so the table is read twice; give a stored table, not lines to be parsed.
     """
     memory = F.col("Memory (GB)")
-    fleet_average = metrics.agg(F.avg(memory)).scalar()
+    each = F.lit(1) if weight is None else F.col(weight)
+    known = F.sum(F.when(memory.isNotNull(), each))
+    average = metrics.agg(F.try_divide(F.sum(memory * each), known)).scalar()
     return (
-        metrics.filter(memory > fleet_average)
+        metrics.filter(memory > average)
         .groupBy("Server")
-        .agg(F.count(F.lit(1)).alias("times_over_avg"), F.max(memory).alias("peak_memory_gb"))
+        .agg(F.sum(each).cast("bigint").alias("times_over_avg"), F.max(memory).alias("peak_memory_gb"))
         .orderBy(F.desc("times_over_avg"), F.asc("Server"))
     )

@@ -11,13 +11,12 @@ from logloom.sources.durable import durable
 from logloom.sources.options import BatchOptions
 
 LINE_COUNT = "Line_Count"
-SUMMARY_STAGE = "Text Summary"
 VIEW = "windows_logs"
 
 
 def results_of(summary: DataFrame) -> dict[str, tuple[str, DataFrame]]:
     """Result name to stage label and table, all from the stored summary."""
-    components, levels, templates, features = fixed.STAGES
+    components, levels, templates, features = fixed.RESULT_STAGES
     return {
         fixed.RESULT_COMPONENTS: (components, volume.component_volume(summary, weight=LINE_COUNT)),
         fixed.RESULT_LEVELS: (levels, volume.severity_levels(summary, weight=LINE_COUNT)),
@@ -36,15 +35,17 @@ def run(
 
     The text is scanned and parsed once, which is a stage of its own: the summary goes to the shared folder and
     every result is an aggregate of that. The parsed lines are also there for SQL, as view ``windows_logs``. With
-    ``timings_path`` the stage times are added to the timings table under ``setup``.
+    ``timings_path`` the stage times are added to the timings table under ``setup``, which must then be named.
     """
+    if timings_path is not None and not setup:
+        raise ValueError("stage times need the name of the worker setup they were taken under")
     started = time.monotonic()
     lines = readers.read_lines(spark, options.source, options.max_input_rows)
     parsed = sinks.register_view(system_log.parse_system_log(lines), VIEW)
     summary = durable(system_log.summarise(parsed), "summary")
-    seconds = {SUMMARY_STAGE: time.monotonic() - started}
+    seconds = {fixed.SUMMARY_STAGE: time.monotonic() - started}
     for name, (stage, table) in results_of(summary).items():
         seconds[stage] = sinks.export(spark, table, name, options.results, options.mirror_base)
     if timings_path is not None:
-        sinks.append_timings(spark, timings_path, setup or "", seconds)
+        sinks.append_timings(spark, timings_path, setup, seconds)
     return seconds

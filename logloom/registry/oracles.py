@@ -23,12 +23,13 @@ system_lines AS (
     || ' hr 0x' || hex(event_id + 2147483648)
     || ' ref @' || lpad(lower(hex(event_id * 7919)), 8, '0')
     || ' props ' || props
-    || CASE WHEN event_id % 109 = 0 THEN ', Warning in CSI  again' ELSE '' END AS value
+    || CASE WHEN event_id % 109 = 0 THEN ', Warning in CSI  again' ELSE '' END AS value,
+    event_id
   FROM stamped
 )"""
 
 PARSED_COLUMNS = r"""
-  SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(Content,
+  SELECT * EXCLUDE (value, event_id), trim(regexp_replace(regexp_replace(regexp_replace(Content,
       '0x[0-9A-Fa-f]+', '<HEX>', 'g'), '\b\d+\b', '<NUM>', 'g'), '@[0-9A-Fa-f]{{6,}}', '@<ID>', 'g')) AS EventTemplate
   FROM (
     SELECT
@@ -36,11 +37,24 @@ PARSED_COLUMNS = r"""
       regexp_extract(value, '^\d{{4}}-\d{{2}}-\d{{2}} (\d{{2}}:\d{{2}}:\d{{2}})', 1) AS Time,
       regexp_extract(value, ',\s*(Info|Warning|Error|Debug|Critical|Verbose)', 1) AS Level,
       regexp_extract(value, '({names})', 1) AS Component,
-      regexp_extract(value, '(?:{names})\s+(.*)', 1) AS Content
+      regexp_extract(value, '(?:{names})\s+(.*)', 1) AS Content, value, event_id
     FROM system_lines
   ) WHERE Date <> ''
 """
 PARSED = "parsed AS (" + PARSED_COLUMNS.format(names="CBS|CSI") + ")"
+ODD_NAMES = {"CBS": "C++", "CSI": "^SI", "SQM": "S.M", "DPX": "[DPX]", "WUA": "W|A", "TRI": "C+", "NET": "N\\T", "GPO": "(GPO"}
+
+
+def _odd_lines() -> str:
+    value = "value"
+    for name, odd in ODD_NAMES.items():
+        value = f"replace({value}, ' {name} ', ' {odd} ')"
+    return f"odd_lines AS (SELECT {value} AS value, event_id FROM system_lines)"
+
+
+ODD_PARSED = "odd_parsed AS (" + PARSED_COLUMNS.replace("system_lines", "odd_lines").format(
+    names=r"C\+\+|\^SI|S\.M|\[DPX\]|W\|A|C\+|N\\T|\(GPO"
+) + ")"
 WIDE_PARSED = "wide_parsed AS (" + PARSED_COLUMNS.format(names="CBS|CSI|SQM|DPX|WUA|TRI|NET|GPO") + ")"
 
 TIMED = """
@@ -127,12 +141,21 @@ metrics AS (
 STAGES = """
 stages AS (
   SELECT CASE event_type WHEN 'click' THEN 'Component Volume' WHEN 'view' THEN 'Severity Levels'
-                         WHEN 'purchase' THEN 'Top Event Templates' WHEN 'error' THEN 'Anomaly Features' END AS Process,
-         CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 WHEN 'error' THEN 4 END
+                         WHEN 'purchase' THEN 'Top Event Templates' WHEN 'error' THEN 'Text Summary'
+                         ELSE 'Unknown Stage' END AS Process,
+         CASE event_type WHEN 'click' THEN 2 WHEN 'view' THEN 3 WHEN 'purchase' THEN 4 WHEN 'error' THEN 1 ELSE 6 END
            AS Stage_Order,
          CASE WHEN user_id % 3 = 0 THEN '2 Worker Nodes' ELSE '1 Worker Node' END AS "Worker Setup",
          sum(value::DECIMAL(18, 2))::DOUBLE AS Seconds
-  FROM events WHERE event_type <> 'signup' GROUP BY ALL
+  FROM events GROUP BY ALL
+)"""
+
+
+RULE_SCORES = """
+rule_scores AS (
+  SELECT *, round(Total_Logs - (SELECT quantile_cont(Total_Logs::DOUBLE, 0.03) FROM hours), 6) AS Anomaly_Score,
+         Total_Logs < (SELECT quantile_cont(Total_Logs::DOUBLE, 0.03) FROM hours) AS Is_Anomaly
+  FROM hours
 )"""
 
 
@@ -162,9 +185,7 @@ HOURLY_FEATURES = _with(*HOURLY, select="SELECT * FROM hours")
 ORACLES: dict[str, str] = {
     "scan_text": _with(SYSTEM_LINES, select="SELECT value FROM system_lines"),
     "scan_text_dir": _with(METRIC_ROWS, METRIC_LINES, select="SELECT value FROM metric_lines"),
-    "scan_limit": """
-        SELECT Way, least(2500, n) AS Lines_Read
-        FROM (SELECT count(*) AS n FROM events), (VALUES ('limit'), ('quota')) ways(Way)""",
+    "scan_limit": _with(SYSTEM_LINES, select="SELECT value FROM system_lines ORDER BY event_id LIMIT 2500"),
     "scan_parquet": COMPONENT_VOLUME,
     "scan_or_empty": SEVERITY_LEVELS,
     "sink_parquet_roundtrip": HOURLY_FEATURES,
@@ -181,6 +202,75 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT '3_most_frequent_actions', EventTemplate, Actions FROM top_templates
         UNION ALL SELECT '4_anomaly_features', Hour_Window::VARCHAR, Unique_Templates FROM hours""",
     ),
+    "metrics_batch_results": _with(
+        *METRIC,
+        select="""
+        SELECT 'errors' AS Result, "Server", count(*) AS Lines, NULL::DOUBLE AS Peak FROM metrics WHERE "Level" = 'ERROR' GROUP BY 2
+        UNION ALL
+        SELECT 'memory', "Server", count(*), max("Memory (GB)") FROM metrics
+        WHERE "Memory (GB)" > (SELECT avg("Memory (GB)") FROM metrics) GROUP BY 2""",
+    ),
+    "report_results": _with(
+        *HOURLY,
+        COMPONENTS,
+        LEVELS,
+        TEMPLATES,
+        select="""
+        SELECT Report, Key, round(Value, 6) AS Value FROM (
+          SELECT 'component_comparison' AS Report, Name AS Key, Total_Logs / (SELECT sum(Total_Logs) FROM component_volume)::DOUBLE * 100 AS Value
+            FROM (SELECT CASE WHEN Component = '' THEN 'Unlabeled' ELSE Component END AS Name, Total_Logs FROM component_volume)
+          UNION ALL SELECT 'component_metric', CASE WHEN Component = '' THEN 'Unlabeled' ELSE Component END, Total_Logs FROM component_volume
+          UNION ALL SELECT 'component_share', CASE WHEN Component = '' THEN 'Unlabeled' ELSE Component END,
+                           Total_Logs / (SELECT sum(Total_Logs) FROM component_volume)::DOUBLE * 100 FROM component_volume
+          UNION ALL SELECT 'severity_mix', Level, Total_Logs FROM severity_levels
+          UNION ALL SELECT 'severity_summary', format('{:.3f}% ({:,} of {:,})', e / n * 100, e, n), e / n * 100
+            FROM (SELECT sum(Total_Logs)::BIGINT AS n, (sum(Total_Logs) FILTER (lower(Level) = 'error'))::BIGINT AS e FROM severity_levels)
+          UNION ALL SELECT 'template_concentration', CASE WHEN length(EventTemplate) <= 80 THEN EventTemplate ELSE EventTemplate[1:77] || '...' END,
+                           Actions FROM (SELECT * FROM top_templates ORDER BY Actions DESC, EventTemplate LIMIT 8)
+          UNION ALL SELECT 'indexed_trend', Component || ' ' || Hour_Window::VARCHAR, Line_Count / Base * 100
+            FROM (SELECT *, first_value(Line_Count) OVER (PARTITION BY Component ORDER BY Hour_Window
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS Base
+                  FROM (SELECT Hour_Window, 'CBS' AS Component, CBS_Count AS Line_Count FROM hours
+                        UNION ALL SELECT Hour_Window, 'CSI', CSI_Count FROM hours)) WHERE Base <> 0
+          UNION ALL SELECT 'anomaly_kpis', 'windows', count(*) FROM hours)""",
+    ),
+    "parse_odd_names": _with(
+        SYSTEM_LINES, _odd_lines(), ODD_PARSED, select="SELECT Date, Time, Level, Component, Content, EventTemplate FROM odd_parsed"
+    ),
+    "timings_appended": _with(STAGES, select='SELECT Process, "Worker Setup", Seconds, Stage_Order FROM stages'),
+    "quantile_fenced": """
+        SELECT s AS Share, round((SELECT quantile_cont(value, list_value(0.01, 0.03, 0.5, 0.97)) FROM events)[i], 6) AS Quantile
+        FROM (VALUES (0.01::DOUBLE, 1), (0.03, 2), (0.5, 3), (0.97, 4)) shares(s, i)""",
+    "status_by_rule": _with(
+        *HOURLY,
+        RULE_SCORES,
+        select="""
+        SELECT *, CASE WHEN Is_Anomaly THEN 'Anomaly 🔴' ELSE 'Normal 🟢' END AS Status, greatest(CSI_Count, 500) AS dot_size
+        FROM rule_scores""",
+    ),
+    "flags_by_rule": _with(*HOURLY, RULE_SCORES, select="SELECT * FROM rule_scores WHERE Is_Anomaly"),
+    "kpis_by_rule": _with(
+        *HOURLY,
+        RULE_SCORES,
+        select="""
+        SELECT *, format('{:.1f}%', Anomaly_Rate) AS Anomaly_Rate_Text
+        FROM (SELECT count(*) AS Total_Windows, count(*) FILTER (Is_Anomaly) AS Flagged_Windows,
+                     count(*) FILTER (Is_Anomaly) / count(*) * 100 AS Anomaly_Rate FROM rule_scores)""",
+    ),
+    "triage_by_rule": _with(
+        *HOURLY,
+        RULE_SCORES,
+        select="""
+        SELECT Hour_Window, Total_Logs, CBS_Count, CSI_Count, CSI_Ratio, Anomaly_Score FROM rule_scores
+        WHERE Is_Anomaly ORDER BY Anomaly_Score, Hour_Window LIMIT 20""",
+    ),
+    "forest_by_hand": _with(
+        *HOURLY,
+        select="""
+        SELECT Hour_Window, round(-pow(2, -(one + two) / 2 / (2 * (ln(7) + 0.5772156649015329) - 2 * 7 / 8.0::DOUBLE)), 9) AS Raw_Score
+        FROM (SELECT Hour_Window, CASE WHEN Total_Logs > 14 THEN 2.25::DOUBLE ELSE 1.5 END AS one,
+                     CASE WHEN CSI_Count <= 2 THEN 1.0::DOUBLE WHEN Total_Logs <= 20 THEN 2.0 ELSE 3.0 END AS two FROM hours)""",
+    ),
     "parse_system_log": _with(
         *SYSTEM, select="SELECT Date, Time, Level, Component, Content, EventTemplate FROM parsed"
     ),
@@ -273,10 +363,12 @@ ORACLES: dict[str, str] = {
     "stage_speedup": _with(
         STAGES,
         select="""
+        , wide AS (SELECT Process, max(Seconds) FILTER ("Worker Setup" = '1 Worker Node') AS one,
+                          max(Seconds) FILTER ("Worker Setup" = '2 Worker Nodes') AS two FROM stages GROUP BY 1)
         SELECT Process, one AS "1 Worker Time (s)", two AS "2 Worker Time (s)",
                round_even(one / two * 100, 0) / 100 AS "Speedup (1W / 2W)"
-        FROM (SELECT Process, max(Seconds) FILTER ("Worker Setup" = '1 Worker Node') AS one,
-                     max(Seconds) FILTER ("Worker Setup" = '2 Worker Nodes') AS two FROM stages GROUP BY 1)""",
+        FROM (SELECT * FROM wide UNION ALL
+              SELECT 'All Stages', sum(one::DECIMAL(18, 6))::DOUBLE, sum(two::DECIMAL(18, 6))::DOUBLE FROM wide WHERE one IS NOT NULL AND two IS NOT NULL)""",
     ),
     "standardize_features": _with(*HOURLY, select=_standardized()),
     "contamination_tier": _with(

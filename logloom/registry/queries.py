@@ -1,7 +1,9 @@
 """Queries by name; each takes a session and the folder of the given tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ from logloom.operators import (
     templates,
     volume,
 )
-from logloom.plans import system_batch
+from logloom.operators.isolation_forest import ForestModel
+from logloom.plans import metrics_batch, report, system_batch
 from logloom.registry import event_source as source
 from logloom.sources import readers, sinks
 from logloom.sources.durable import durable, scratch_path
@@ -49,16 +52,10 @@ def scan_text_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = stored_lines(spark, sf_dir, files=5)
-    lines = readers.read_lines(spark, path)
-    capped = {
-        "limit": readers.read_lines(spark, path, max_rows=ROW_CAP),
-        "quota": readers.cap_rows(lines, ROW_CAP, single_task_rows=0),
-    }
-    counts = [
-        rows.agg(F.lit(way).alias("Way"), F.count(F.lit(1)).alias("Lines_Read")) for way, rows in capped.items()
-    ]
-    return counts[0].unionByName(counts[1])
+    path = scratch_path(spark, "ordered-lines")
+    ordered = source.events(spark, sf_dir).repartitionByRange(7, "event_id").sortWithinPartitions("event_id")
+    sinks.write_lines(source.system_lines(ordered), path)
+    return readers.read_lines(spark, path, max_rows=ROW_CAP)
 
 
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,6 +116,46 @@ def system_batch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def metrics_batch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The server-metric job over stored text; both stored tables in one."""
+    path = scratch_path(spark, "metric-lines")
+    sinks.write_lines(source.metric_lines(source.events(spark, sf_dir)), path, files=5)
+    options = BatchOptions(namenode="", input_path=path, output_base=scratch_path(spark, "results"))
+    metrics_batch.run(spark, options)
+    errors = spark.read.parquet(readers.result_path(options.results, fixed.RESULT_SERVER_ERRORS))
+    memory = spark.read.parquet(readers.result_path(options.results, fixed.RESULT_SERVER_MEMORY))
+    none = F.lit(None).cast("double").alias("Peak")
+    return errors.select(F.lit("errors").alias("Result"), "Server", F.col("Total_errors").alias("Lines"), none).unionByName(
+        memory.select(F.lit("memory").alias("Result"), "Server", F.col("times_over_avg").alias("Lines"), F.col("peak_memory_gb").alias("Peak"))
+    )
+
+
+def report_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job and the report job over stored text; stored report tables in one."""
+    base = scratch_path(spark, "results")
+    system_batch.run(spark, BatchOptions(namenode="", input_path=stored_lines(spark, sf_dir, files=5), output_base=base))
+    report.run(spark, base, base)
+
+    def table(name: str, key: str, value: str) -> DataFrame:
+        stored = spark.read.parquet(readers.result_path(base, fixed.REPORT_PREFIX + name))
+        rounded = F.round(F.col(f"`{value}`").cast("double"), 6)
+        return stored.select(F.lit(name).alias("Report"), F.expr(key).cast("string").alias("Key"), rounded.alias("Value"))
+
+    return reduce(
+        DataFrame.unionByName,
+        [
+            table("component_comparison", "Component", fixed.TITLE_SHARE),
+            table("component_metric", "Component", "Value"),
+            table("component_share", "Component", "SelectedSharePct"),
+            table("severity_mix", "Level", "Total_Logs"),
+            table("severity_summary", "Error_Text", "Error_Pct"),
+            table("template_concentration", "Short_Name", "Actions"),
+            table("indexed_trend", "concat_ws(' ', Component, Hour_Window)", "Indexed"),
+            table("anomaly_kpis", "'windows'", "Total_Windows"),
+        ],
+    )
+
+
 # Parsing
 
 
@@ -126,6 +163,11 @@ def parse_system_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.parsed_system(spark, sf_dir)
 
 
+def parse_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = source.odd_lines(source.events(spark, sf_dir))
+    return system_log.parse_system_log(lines, tuple(source.ODD_NAMES.values()))
+
+
 def event_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.parsed_system(spark, sf_dir).select("Content", "EventTemplate")
 
@@ -167,7 +209,8 @@ def errors_by_server(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def memory_over_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return server_metrics.memory_over_average(durable(source.parsed_metrics(spark, sf_dir), "metrics"))
+    summary = durable(server_metrics.summarise(source.parsed_metrics(spark, sf_dir)), "metric-summary")
+    return server_metrics.memory_over_average(summary, weight=server_metrics.LINE_COUNT)
 
 
 # Report
@@ -230,6 +273,17 @@ def stage_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.ordered_timings(source.stage_runs(source.events(spark, sf_dir)))
 
 
+def timings_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A timings table that several runs have added to, read back."""
+    path = scratch_path(spark, "timings")
+    runs: dict[str, dict[str, float]] = {}
+    for row in source.stage_runs(source.events(spark, sf_dir)).collect():  # one row per stage and setup
+        runs.setdefault(row["Worker Setup"], {})[row["Process"]] = row["Seconds"]
+    for setup, seconds in runs.items():
+        sinks.append_timings(spark, path, setup, seconds)
+    return stages.ordered_timings(spark.read.schema(schemas.STAGE_TIMINGS).parquet(path))
+
+
 def stage_speedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.stage_speedup(source.stage_runs(source.events(spark, sf_dir)))
 
@@ -258,6 +312,58 @@ def quantile_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quantile_fenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles of a whole column by narrowing the range, never by gathering its values."""
+    values = source.events(spark, sf_dir).select("value")
+    shares = (0.01, 0.03, 0.5, 0.97)
+    found = [(share, round(anomaly.quantile(values, "value", share, exact_rows=100), 6)) for share in shares]
+    return spark.createDataFrame(found, "Share double, Quantile double")
+
+
+def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours scored by their number of lines: what follows a score does not depend on where it comes from."""
+    raw = stored_hours(spark, sf_dir).withColumn("Raw", F.col("Total_Logs").cast("double"))
+    share = fixed.CONTAMINATION_DEFAULT
+    flagged = anomaly.flag_lowest(raw, "Raw", share, "Anomaly_Score", "Is_Anomaly").drop("Raw")
+    return flagged.withColumn("Anomaly_Score", F.round("Anomaly_Score", 6))
+
+
+def status_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anomaly.with_status(rule_scores(spark, sf_dir))
+
+
+def flags_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anomaly.flagged(rule_scores(spark, sf_dir))
+
+
+def kpis_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anomaly.anomaly_kpis(rule_scores(spark, sf_dir))
+
+
+def triage_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anomaly.anomaly_triage(rule_scores(spark, sf_dir))
+
+
+#: Two trees written by hand. Inner nodes: feature, threshold, left child (the right one follows); leaves: path length.
+HAND_FOREST = ForestModel(
+    features=("Total_Logs", "CSI_Count"),
+    sample=8,
+    depth_limit=2,
+    nodes={
+        "roots": np.array([0, 3]),
+        "feature": np.array([0, 0, 0, 1, 0, 0, 0, 0]),
+        "threshold": np.array([14.0, np.inf, np.inf, 2.0, np.inf, 20.0, np.inf, np.inf]),
+        "left": np.array([1, 1, 2, 4, 4, 6, 6, 7]),
+        "path_length": np.array([0.0, 1.5, 2.25, 0.0, 1.0, 0.0, 2.0, 3.0]),
+    },
+)
+
+
+def forest_by_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = HAND_FOREST.score(stored_hours(spark, sf_dir))
+    return scored.select("Hour_Window", F.round("Raw_Score", 9).alias("Raw_Score"))
+
+
 def anomaly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly.anomaly_scores(stored_hours(spark, sf_dir))
 
@@ -283,12 +389,14 @@ QUERIES: dict[str, Query] = {
     for query in (
         scan_text, scan_text_dir, scan_limit, scan_parquet, scan_or_empty,
         sink_parquet_roundtrip, sink_mirror, sink_text_roundtrip, system_batch_results,
+        metrics_batch_results, report_results, parse_odd_names, timings_appended,
         parse_system_log, event_template, assemble_timestamp, parse_server_metrics, classify_severity,
         component_volume, severity_levels, top_templates, hourly_features, errors_by_server, memory_over_average,
         component_share_rank, default_components, benchmark_compare, component_table, component_metric_view,
         component_cards, selected_share, indexed_trend, severity_summary, template_concentration,
         stage_timings, stage_speedup,
         standardize_features, contamination_tier, quantile_threshold,
+        quantile_fenced, status_by_rule, flags_by_rule, kpis_by_rule, triage_by_rule, forest_by_hand,
         anomaly_scores, anomaly_flags, anomaly_status, anomaly_kpis, anomaly_triage,
     )
 }

@@ -4,16 +4,12 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom import schemas
 
-SINGLE_TASK_ROWS = 1_000_000
-BROADCAST_SPLITS = 4_000_000
-
-
 def read_lines(spark: SparkSession, path: str | Sequence[str], max_rows: int = 0) -> DataFrame:
     """Lines of a text file, or of all text files in a folder, as ``value``; ``max_rows`` 0 means all.
 
@@ -21,33 +17,55 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], max_rows: int = 0
     split are one task each.
     """
     lines = spark.read.schema(schemas.RAW_LINES).text(path)
-    return cap_rows(lines, max_rows) if max_rows > 0 else lines
+    return first_rows(spark, lines.inputFiles(), max_rows) if max_rows > 0 else lines
 
 
-def cap_rows(lines: DataFrame, max_rows: int, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """Exactly ``max_rows`` of the lines of a file scan, or all if there are fewer.
+def first_rows(spark: SparkSession, files: Sequence[str], max_rows: int) -> DataFrame:
+    """The first ``max_rows`` lines of text files, in the order of their names and of the lines in them.
 
-    A limit moves its rows through a single task. A large one is dealt out instead: every input split gets the
-    number of rows it may keep, from a count per split, and keeps its first ones where they are.
+    Rows are counted in batches of files that grow until the cap is reached; files behind it are never opened. The file with the cut is
+    counted by input split: splits before the cut are read whole, only lines of the split with the cut pass through one task.
     """
-    if max_rows <= single_task_rows:
-        return lines.limit(max_rows)
-    numbered = lines.withColumn("row_id", F.monotonically_increasing_id())
-    split, place = F.shiftright("row_id", 33), F.col("row_id").bitwiseAND(F.lit(2**33 - 1))
-    before = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    # One row of two numbers per input split: the splits of 100 TB make some 10 MB. With more splits than the
-    # broadcast bound Spark chooses the join, which may then move the text.
-    quotas = (
-        numbered.groupBy(split.alias("split"))
-        .agg(F.count(F.lit(1)).alias("size"))
-        .withColumn("left", F.lit(max_rows) - F.coalesce(F.sum("size").over(before), F.lit(0)))
-        .filter(F.col("left") > 0)
-        .select("split", "left")
-    )
-    if lines.rdd.getNumPartitions() <= BROADCAST_SPLITS:
-        quotas = F.broadcast(quotas)
-    kept = numbered.withColumn("split", split).withColumn("place", place).join(quotas, "split")
-    return kept.filter(F.col("place") < F.col("left")).select(*lines.columns)
+    files, start, size, left, whole = sorted(files), 0, 1, max_rows, []
+    while start < len(files) and left > 0:
+        batch = files[start : start + size]
+        counted = _lines(spark, batch).groupBy("file").count().collect()  # one row per file of the batch
+        rows = {row["file"]: row["count"] for row in counted}
+        names = {row["file"]: row["file"] for row in counted}
+        for file in batch:
+            if left == 0:
+                break
+            count = next((rows[name] for name in names if _same_file(name, file)), 0)
+            if count > left:
+                kept = _lines(spark, whole).select("value") if whole else None
+                cut = _first_of_file(spark, file, left)
+                return cut if kept is None else kept.unionByName(cut)
+            left -= count
+            whole.append(file)
+        start, size = start + size, size * 2
+    return _lines(spark, whole).select("value") if whole else spark.createDataFrame([], schemas.RAW_LINES)
+
+
+def _lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    text = spark.read.schema(schemas.RAW_LINES).text(list(files))
+    return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+
+def _same_file(one: str, other: str) -> bool:
+    """Whether two addresses name one file; Spark writes local ones with one slash or three."""
+    return one.replace(":///", ":/") == other.replace(":///", ":/")
+
+
+def _first_of_file(spark: SparkSession, file: str, rows: int) -> DataFrame:
+    lines = _lines(spark, [file])
+    before = 0
+    for split in sorted(lines.groupBy("start").count().collect()):  # one row per split of one file
+        if before + split["count"] >= rows:
+            head = lines.filter(F.col("start") < split["start"])
+            cut = lines.filter(F.col("start") == split["start"]).limit(rows - before)
+            return head.unionByName(cut).select("value")
+        before += split["count"]
+    return lines.select("value")
 
 
 def read_result(spark: SparkSession, base: str, name: str, schema: T.StructType) -> DataFrame:
@@ -77,6 +95,11 @@ def has_results(spark: SparkSession, base: str) -> bool:
     return exists(spark, f"{base.rstrip('/')}/*.parquet/part-*")
 
 
+def has_result(spark: SparkSession, base: str, name: str) -> bool:
+    """Whether the named result holds data files; a look at the folder, no job."""
+    return exists(spark, f"{result_path(base, name)}/part-*")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path, or anything that matches a pattern, exists on whatever file system it names."""
     try:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from logloom import schemas
 from logloom.sources.readers import result_path
 
+PREVIEW_ROWS = 20
+
 
 def write_result(table: DataFrame, base: str, name: str) -> str:
     """Replace the named result table under ``base``."""
@@ -61,5 +63,6 @@ def register_view(table: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def show(table: DataFrame, rows: int = 20) -> None:
+def show(table: DataFrame, rows: int = PREVIEW_ROWS) -> None:
+    """A preview on the console; use :func:`export` to keep the table."""
     table.show(rows, truncate=False)

@@ -1,7 +1,8 @@
 """Runs one of the jobs in the session ``spark-submit`` sets up: ``spark-submit run.py system|metrics|report``.
 
 Locations come from the environment: ``HDFS_NAMENODE``, ``LOG_INPUT_PATH``, ``MAX_INPUT_ROWS``, ``HDFS_OUTPUT_BASE``,
-``LOCAL_OUTPUT_BASE`` (second copy of the results), ``TIMINGS_PATH`` and ``WORKER_SETUP`` (record of stage times).
+``LOCAL_OUTPUT_BASE`` (second copy of the results), ``TIMINGS_PATH`` and ``WORKER_SETUP`` (record of stage times). Every job
+stores its tables under the output base; what it prints is a preview.
 """
 
 import os
@@ -9,8 +10,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from logloom import schemas
-from logloom.operators import stages
+from logloom.functions import fixed
 from logloom.plans import metrics_batch, report, system_batch
 from logloom.sources import readers, sinks
 from logloom.sources.options import BatchOptions
@@ -23,26 +23,28 @@ def system(spark: SparkSession) -> None:
         print(f"{stage}: {seconds:.2f}s")
 
 
+def preview(spark: SparkSession, results: str, name: str) -> None:
+    """The first rows on the console; the whole table is stored."""
+    path = readers.result_path(results, name)
+    print(f"{path} (first {sinks.PREVIEW_ROWS} rows)")
+    sinks.show(spark.read.parquet(path))
+
+
 def metrics(spark: SparkSession) -> None:
     options = BatchOptions.from_mapping(os.environ, metrics_batch.DEFAULT_INPUT)
-    for title, table in metrics_batch.run(spark, options).items():
-        print(title)
-        sinks.show(table)
+    for name in metrics_batch.run(spark, options):
+        preview(spark, options.results, name)
 
 
-def print_report(spark: SparkSession) -> None:
+def write_report(spark: SparkSession) -> None:
     options = BatchOptions.from_mapping(os.environ)
     candidates = [base for base in (options.mirror_base, options.results) if base]
-    for title, table in report.build(spark, readers.resolve_base(spark, candidates)).items():
-        print(title)
-        sinks.show(table)
-    timings = os.environ.get("TIMINGS_PATH")
-    if timings is not None and readers.exists(spark, timings):
-        print("stage_speedup")
-        sinks.show(stages.stage_speedup(spark.read.schema(schemas.STAGE_TIMINGS).parquet(timings)))
+    base = readers.resolve_base(spark, candidates)
+    for name in report.run(spark, base, options.results, os.environ.get("TIMINGS_PATH")):
+        preview(spark, options.results, fixed.REPORT_PREFIX + name)
 
 
-JOBS = {"system": system, "metrics": metrics, "report": print_report}
+JOBS = {"system": system, "metrics": metrics, "report": write_report}
 
 if __name__ == "__main__":
     if len(sys.argv) != 2 or sys.argv[1] not in JOBS:

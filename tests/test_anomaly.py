@@ -48,7 +48,7 @@ def test_planted_hour_is_worst(hours, scores):
     triage = anomaly.anomaly_triage(scores).collect()
     assert triage[0].Hour_Window == planted
     assert [row.Anomaly_Score for row in triage] == sorted(row.Anomaly_Score for row in triage)
-    assert len(triage) == 20 and len(anomaly.anomaly_triage(scores, simplified=True).collect()) == 5
+    assert len(triage) == 20 and len(anomaly.anomaly_triage(scores, 5).collect()) == 5
 
 
 def test_share_of_flagged_hours(scores):
@@ -94,7 +94,7 @@ def test_input_is_checked(spark):
 @pytest.mark.parametrize("count, share", [(9, 0.1), (10, 0.05), (99, 0.05), (100, 0.03)])
 def test_contamination_tiers(spark, count, share):
     assert tuple(anomaly.contamination_tier(hours_table(spark, count)).first()) == (count, share)
-    assert anomaly.contamination_of(count) == share
+    assert anomaly.Scaler.fit(hours_table(spark, count)).share == share
 
 
 def test_standardised_features(hours):

@@ -43,9 +43,11 @@ def test_batch_results_equal_direct_aggregates(spark, batch):
 
 def test_batch_reports_its_stage_times(spark, batch):
     folder, _, seconds = batch
-    assert list(seconds[0]) == [system_batch.SUMMARY_STAGE, *fixed.STAGES] and all(value > 0 for value in seconds[0].values())
+    assert list(seconds[0]) == list(fixed.STAGES) and all(value > 0 for value in seconds[0].values())
     speedup = stages.stage_speedup(spark.read.schema(schemas.STAGE_TIMINGS).parquet(str(folder / "timings")))
-    assert [row.Process for row in speedup.collect()] == list(fixed.STAGES)
+    assert [row.Process for row in speedup.collect()] == [*fixed.STAGES, fixed.ALL_STAGES]
+    with pytest.raises(ValueError):
+        system_batch.run(spark, batch[1], str(folder / "timings"), None)
 
 
 def test_row_cap_applies_before_parsing(spark, batch, tmp_path):
@@ -63,7 +65,7 @@ def test_report(spark, batch):
     tables = report.build(spark, options.results)
     assert set(tables) == {
         "component_cards", "component_comparison", "component_metric", "component_share", "indexed_trend",
-        "anomaly_windows", "anomaly_kpis", "anomaly_triage", "severity_summary", "template_concentration",
+        "anomaly_windows", "anomaly_kpis", "anomaly_triage", "severity_mix", "severity_summary", "template_concentration",
     }
     assert rows(tables["component_comparison"])[0][4:] == (1.0, 0.0)
     assert tables["anomaly_windows"].count() == tables["anomaly_kpis"].first().Total_Windows
@@ -87,8 +89,24 @@ def test_metrics_job(spark, tmp_path):
     events = event_source.events(spark, SF_DIR)
     sinks.write_lines(event_source.metric_lines(events), str(tmp_path / "lines"), files=5)
     options = BatchOptions.from_mapping({"HDFS_NAMENODE": ""}, str(tmp_path / "lines"))
-    reports = metrics_batch.run(spark, options)
-    errors, memory = reports["Error count by Server"], reports["Memory Leak"]
+    options = BatchOptions("", options.input_path, 0, str(tmp_path / "out"))
+    assert list(metrics_batch.run(spark, options)) == [fixed.RESULT_SERVER_ERRORS, fixed.RESULT_SERVER_MEMORY]
+    errors, memory = (spark.read.parquet(readers.result_path(options.results, name)) for name in (fixed.RESULT_SERVER_ERRORS, fixed.RESULT_SERVER_MEMORY))
     assert errors.count() == memory.count() == 3
     direct = spark.sql("SELECT count(*) AS n FROM server_logs WHERE Level = 'ERROR'").first().n
     assert sum(row.Total_errors for row in errors.collect()) == direct
+
+
+def test_metrics_job_stores_every_server(spark, tmp_path):
+    lines = [f"t | SERVER_{i} | ERROR | Response Time = 1ms | CPU=1% | Memory={i % 4}GB | Requests=1" for i in range(50)]
+    sinks.write_lines(spark.createDataFrame([(line,) for line in lines], "value string"), str(tmp_path / "in"))
+    metrics_batch.run(spark, BatchOptions("", str(tmp_path / "in"), 0, str(tmp_path / "out")))
+    assert spark.read.parquet(readers.result_path(str(tmp_path / "out"), fixed.RESULT_SERVER_ERRORS)).count() == 50
+
+
+def test_report_job_stores_every_table(spark, batch, tmp_path):
+    folder, options, _ = batch
+    stored = report.run(spark, options.results, str(tmp_path), str(folder / "timings"))
+    assert {"stage_timings", "stage_speedup", "severity_mix", "anomaly_windows"} <= set(stored)
+    for name in stored:
+        assert spark.read.parquet(readers.result_path(str(tmp_path), fixed.REPORT_PREFIX + name)).count() > 0

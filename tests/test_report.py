@@ -112,5 +112,8 @@ def test_speedup_in_stage_order(spark):
         ("Component Volume", 147.87, 71.59, 2.07),
         ("Severity Levels", 98.76, None, None),
         ("Top Event Templates", 736.07, 300.09, 2.45),
+        ("Something Else", 1.0, None, None),
+        ("All Stages", 883.94, 371.68, 2.38),
     ]
     assert [row.Process for row in stages.ordered_timings(timings).collect()][-2:] == ["Component Volume", "Top Event Templates"]
+    assert stages.ordered_timings(timings).count() == len(runs)

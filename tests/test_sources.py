@@ -24,17 +24,26 @@ def test_text_file_and_folder(spark, tmp_path):
     assert rows(readers.read_lines(spark, str(tmp_path))) == [("one",), ("three",), ("two",)]
 
 
-@pytest.mark.parametrize("cap, expected", [(1, 1), (150, 150), (399, 399), (400, 400), (9999, 400)])
-def test_row_cap_by_either_way(spark, tmp_path, cap, expected):
+@pytest.mark.parametrize("cap, files", [(1, 1), (100, 1), (150, 2), (399, 4), (400, 4), (9999, 4)])
+def test_row_cap_takes_the_first_lines(spark, tmp_path, cap, files):
     for number in range(4):
         (tmp_path / f"{number}.log").write_text("".join(f"{number}-{line}\n" for line in range(100)))
-    lines = readers.read_lines(spark, str(tmp_path)).cache()
-    for capped in (
-        readers.read_lines(spark, str(tmp_path), max_rows=cap),
-        readers.cap_rows(readers.read_lines(spark, str(tmp_path)), cap, single_task_rows=0),
-    ):
-        assert capped.count() == capped.distinct().count() == expected
-        assert capped.exceptAll(lines).count() == 0
+    expected = [f"{number}-{line}" for number in range(4) for line in range(100)][:cap]
+    capped = readers.read_lines(spark, str(tmp_path), max_rows=cap)
+    assert sorted(row.value for row in capped.collect()) == sorted(expected)
+    # Files behind the cap are not part of the plan.
+    assert len({file for file in capped.inputFiles()}) == files
+
+
+def test_row_cap_inside_a_file_of_many_splits(spark, tmp_path):
+    (tmp_path / "a.log").write_text("".join(f"{line:05d}\n" for line in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        for cap in (1, 1364, 1365, 1366, 7_777, 19_999):
+            capped = readers.read_lines(spark, str(tmp_path), max_rows=cap)
+            assert sorted(row.value for row in capped.collect()) == [f"{line:05d}" for line in range(cap)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_no_cap_by_default(spark, tmp_path):
@@ -101,9 +110,6 @@ def test_durable_table_is_read_back(spark, volume):
     assert durable.shared_folder(spark) in stored.inputFiles()[0]
 
 
-def test_cached(volume):
-    assert readers.cached(volume).storageLevel.useMemory
-    volume.unpersist()
 
 
 def test_options():

@@ -154,3 +154,24 @@ def test_random_lines_against_a_parser_by_hand(lines_of):
     expected = [row for row in map(parsed_by_hand, lines) if row is not None]
     found = [tuple(row) for row in system_log.parse_system_log(lines_of(*lines)).collect()]
     assert len(expected) > 2000 and sorted(found) == sorted(expected)
+
+
+ODD_WORDS = [["C++", "CSI"], ["C", "C++"], ["C++", "C"], ["]x", "^X", "a-c"], ["a.b", "(z", "[q]", "\\d", "$", "{2}", "*", "?"], ["é|ü", "A"]]
+
+
+@pytest.mark.parametrize("words", ODD_WORDS)
+def test_words_are_literal(spark, words):
+    heads = [f"2020-01-01 00:00:00, Info {w} hello {v}  tail" for w in [*words, "C+", "x", "d", "aXb", ""] for v in [*words, "-"]]
+    parsed = system_log.parse_system_log(spark.createDataFrame([(h,) for h in heads], "value string").coalesce(1), words)
+    for line, row in zip(heads, parsed.collect()):
+        found = [(line.find(w, at), n, w) for n, w in enumerate(words) for at in range(len(line)) if line.startswith(w, at)]
+        assert row.Component == (min(found)[2] if found else ""), line
+        ends = sorted((at, n, w) for n, w in enumerate(words) for at in range(len(line)) if line.startswith(w, at) and line[at + len(w) :][:1] == " ")
+        content = line[ends[0][0] + len(ends[0][2]) :].lstrip(" ") if ends else ""
+        assert row.Content == content, line
+
+
+@pytest.mark.parametrize("words", [[], [""], ["a", ""]])
+def test_empty_words_are_refused(lines_of, words):
+    with pytest.raises(ValueError):
+        system_log.parse_system_log(lines_of("2020-01-01 00:00:00, Info x"), words)
