@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logloom.functions import fixed
 from logloom.operators import server_metrics
 from logloom.sources import readers, sinks
-from logloom.sources.durable import durable
+from logloom.sources.durable import durable, job_tables
 from logloom.sources.options import BatchOptions
 
 DEFAULT_INPUT = "/raw_logs/generated_logs"
@@ -29,7 +29,8 @@ def build(spark: SparkSession, options: BatchOptions) -> dict[str, DataFrame]:
 
 def run(spark: SparkSession, options: BatchOptions) -> dict[str, float]:
     """Write both reports whole under the results base and return the seconds per table."""
-    return {
-        name: sinks.export(spark, table, name, options.results, options.mirror_base)
-        for name, table in build(spark, options).items()
-    }
+    with job_tables(spark):
+        return {
+            name: sinks.export(spark, table, name, options.results, options.mirror_base)
+            for name, table in build(spark, options).items()
+        }

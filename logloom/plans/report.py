@@ -9,6 +9,7 @@ from logloom import schemas
 from logloom.functions import fixed
 from logloom.operators import anomaly, components, hourly, severity, stages, templates
 from logloom.sources import readers, sinks
+from logloom.sources.durable import job_tables
 
 
 def build(
@@ -72,5 +73,6 @@ def run(spark: SparkSession, base: str, results: str, timings_path: str | None =
     timings = None
     if timings_path is not None and readers.exists(spark, timings_path):
         timings = spark.read.schema(schemas.STAGE_TIMINGS).parquet(timings_path)
-    tables = build(spark, base, timings=timings, **options)
-    return {name: sinks.export(spark, table, fixed.REPORT_PREFIX + name, results) for name, table in tables.items()}
+    with job_tables(spark):
+        tables = build(spark, base, timings=timings, **options)
+        return {name: sinks.export(spark, table, fixed.REPORT_PREFIX + name, results) for name, table in tables.items()}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logloom.functions import fixed
 from logloom.operators import hourly, system_log, volume
 from logloom.sources import readers, sinks
-from logloom.sources.durable import durable
+from logloom.sources.durable import durable, job_tables
 from logloom.sources.options import BatchOptions
 
 LINE_COUNT = "Line_Count"
@@ -42,10 +42,11 @@ def run(
     started = time.monotonic()
     lines = readers.read_lines(spark, options.source, options.max_input_rows)
     parsed = sinks.register_view(system_log.parse_system_log(lines), VIEW)
-    summary = durable(system_log.summarise(parsed), "summary")
-    seconds = {fixed.SUMMARY_STAGE: time.monotonic() - started}
-    for name, (stage, table) in results_of(summary).items():
-        seconds[stage] = sinks.export(spark, table, name, options.results, options.mirror_base)
+    with job_tables(spark):
+        summary = durable(system_log.summarise(parsed), "summary")
+        seconds = {fixed.SUMMARY_STAGE: time.monotonic() - started}
+        for name, (stage, table) in results_of(summary).items():
+            seconds[stage] = sinks.export(spark, table, name, options.results, options.mirror_base)
     if timings_path is not None:
         sinks.append_timings(spark, timings_path, setup, seconds)
     return seconds

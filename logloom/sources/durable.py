@@ -6,10 +6,32 @@ executor costs a re-read and never a recomputation from raw text.
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_tables_of_job: ContextVar[list[str] | None] = ContextVar("tables_of_job", default=None)
+
+
+@contextmanager
+def job_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that :func:`durable` stores inside the block when the block ends well.
+
+    For jobs that write their results before they end. After an error the tables stay, for a look at them.
+    """
+    paths: list[str] = []
+    token = _tables_of_job.set(paths)
+    try:
+        yield
+    finally:
+        _tables_of_job.reset(token)
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
@@ -39,4 +61,6 @@ def durable(table: DataFrame, name: str = "table") -> DataFrame:
     spark = table.sparkSession
     path = scratch_path(spark, name)
     table.write.parquet(path)
+    if (paths := _tables_of_job.get()) is not None:
+        paths.append(path)
     return spark.read.schema(table.schema).parquet(path)

@@ -1,5 +1,7 @@
 """The batch jobs and the report, from text files to tables."""
 
+from pathlib import Path
+
 import pytest
 
 from logloom import schemas
@@ -7,7 +9,7 @@ from logloom.functions import fixed
 from logloom.operators import hourly, stages, volume
 from logloom.plans import metrics_batch, report, system_batch
 from logloom.registry import event_source
-from logloom.sources import readers, sinks
+from logloom.sources import durable, readers, sinks
 from logloom.sources.options import BatchOptions
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -97,6 +99,18 @@ def test_metrics_job(spark, tmp_path):
     assert sum(row.Total_errors for row in errors.collect()) == direct
 
 
+def test_jobs_remove_their_intermediate_tables(spark, batch, tmp_path):
+    _, options, _ = batch
+    kinds = ("summary", "metric-summary", "scores")
+    stored = lambda: {p for k in kinds for p in Path(durable.shared_folder(spark).removeprefix("file:")).glob(f"{k}-*")}
+    before = stored()
+    system_batch.run(spark, BatchOptions("", options.input_path, 0, str(tmp_path / "results")))
+    report.run(spark, str(tmp_path / "results"), str(tmp_path / "report"))
+    sinks.write_lines(event_source.metric_lines(event_source.events(spark, SF_DIR)), str(tmp_path / "metrics"))
+    metrics_batch.run(spark, BatchOptions("", str(tmp_path / "metrics"), 0, str(tmp_path / "out")))
+    assert stored() == before
+
+
 def test_metrics_job_stores_every_server(spark, tmp_path):
     lines = [f"t | SERVER_{i} | ERROR | Response Time = 1ms | CPU=1% | Memory={i % 4}GB | Requests=1" for i in range(50)]
     sinks.write_lines(spark.createDataFrame([(line,) for line in lines], "value string"), str(tmp_path / "in"))
