@@ -128,20 +128,25 @@ class ForestModel:
 
 def draw_samples(
     rows: DataFrame, features: Sequence[str], key: Sequence[str], count: int, trees: int, sample: int, seed: int,
-    spare: bool = True,
+    spare: bool = True, once: bool = False,
 ) -> DataFrame:
     """The rows each tree is fitted on: ``sample`` rows per tree without repetition.
 
+    With ``once`` every row is dealt to one tree, by hash, and drawn for that tree only: a row is looked at once, not once per tree. It needs a
+    table of many times ``trees * sample`` rows.
+
     A row's draw for a tree is a hash of seed, tree and row, so a sample depends on neither order nor
     partitioning, and the ``sample`` lowest draws win. With ``spare`` only draws below a limit that leaves far
     more candidates than needed are kept; nearly all drop out in the task that makes them, before any shuffle.
     """
     candidates = sample + 12 * math.sqrt(sample) + 40
-    share = candidates / count if spare and count > candidates else 1.0
+    each = count / trees if once else count
+    share = candidates / each if spare and each > candidates else 1.0
+    tree = F.pmod(F.xxhash64(F.lit(seed), F.lit("tree"), *key), F.lit(trees)).cast("int") if once else F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
     highest = min(int(-(2**63) + share * 2**64), 2**63 - 1)
     drawn = (
         rows.select(*key, *[F.col(name).cast("double").alias(f"x{i}") for i, name in enumerate(features)])
-        .withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .withColumn("tree_id", tree)
         .withColumn("draw", F.xxhash64(F.lit(seed), "tree_id", *key))
         .filter(F.col("draw") <= F.lit(highest))
     )
@@ -157,8 +162,12 @@ def fit_forest(
     sample: int = fixed.FOREST_SAMPLE,
     seed: int = fixed.FOREST_SEED,
     count: int | None = None,
+    once: bool = False,
 ) -> ForestModel:
-    """Fit on ``rows``; ``key`` identifies a row. Needs two rows or more; ``count`` is their number if known."""
+    """Fit on ``rows``; ``key`` identifies a row, rows that share one share their draws. Needs two rows or more; ``count`` is their number if known.
+
+    ``once`` lets trees draw from disjoint parts of the table, for tables of many times ``trees * sample`` rows; see :func:`draw_samples`.
+    """
     count = rows.count() if count is None else count
     if count < 2:
         raise ValueError("an isolation forest needs two rows or more")
@@ -176,7 +185,7 @@ def fit_forest(
         return pa.table({name: pa.array(values) for name, values in {**fixed_part, **tree}.items()})
 
     def fitted(spare: bool) -> pa.Table:
-        samples = draw_samples(rows, features, key, count, trees, sample, seed, spare)
+        samples = draw_samples(rows, features, key, count, trees, sample, seed, spare, once)
         # The samples are small enough for Spark to put them all into one task; trees should grow side by side.
         tasks = min(trees, rows.sparkSession.sparkContext.defaultParallelism)
         nodes = samples.repartition(tasks, "tree_id").groupBy("tree_id").applyInArrow(grow, NODE_SCHEMA)

@@ -1,4 +1,7 @@
-"""Independent SQL for the registered queries, runnable by DuckDB on the given tables."""
+"""Independent SQL for the registered queries, runnable by DuckDB on the given tables.
+
+Patterns, words, names and thresholds below are fixed values: they restate the rules of the data formats and of the report.
+"""
 
 SYSTEM_LINES = r"""
 stamped AS (

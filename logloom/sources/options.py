@@ -8,6 +8,7 @@ from dataclasses import dataclass
 class BatchOptions:
     """Locations of a batch job; ``from_mapping`` takes them from environment-style keys."""
 
+    # Where the jobs look unless told otherwise.
     namenode: str = "hdfs://master:9000"
     input_path: str = "/logs/windows/Windows.log"
     max_input_rows: int = 0

@@ -194,3 +194,20 @@ def test_task_code_needs_no_copy_of_the_package(tmp_path):
         "assert len(grow(np.arange(8.0).reshape(4, 2), 2, np.random.default_rng(0))['left']) >= 3"
     )
     subprocess.run([sys.executable, "-c", check, str(task)], cwd=tmp_path, check=True)
+
+
+def test_trees_may_draw_from_disjoint_parts(spark):
+    table = spark.range(40_000).select("id", (F.col("id") % 101).alias("a"), (F.col("id") % 13).alias("b"))
+    for spare in (True, False):
+        drawn = forest.draw_samples(table, ["a", "b"], ["id"], 40_000, 20, 64, 3, spare, once=True).toPandas()
+        assert len(drawn) == drawn["id"].nunique() == 20 * 64 and set(drawn.groupby("tree_id").size()) == {64}
+    model = forest.fit_forest(table, ["a", "b"], ["id"], trees=20, sample=64, count=40_000, once=True)
+    odd = spark.createDataFrame([(50.0, 6.0), (5000.0, 900.0)], "a double, b double")
+    normal, far = (row.Raw_Score for row in model.score(odd).collect())
+    assert far < normal
+
+
+def test_draws_without_spare_equal_those_with(spark):
+    table = spark.range(5_000).selectExpr("id", "id % 7 AS a")
+    one, two = (forest.draw_samples(table, ["a"], ["id"], 5_000, 5, 32, 1, spare).collect() for spare in (True, False))
+    assert sorted(one) == sorted(two)
