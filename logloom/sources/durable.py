@@ -29,8 +29,18 @@ def job_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _tables_of_job.reset(token)
     for name in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, name)
+
+
+def discard(table: DataFrame) -> None:
+    """Removes the files of a table that :func:`durable` returned, once nothing that is still to be computed reads it."""
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        _delete(table.sparkSession, folder)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,5 +1,7 @@
 """Readers, sinks and their guards."""
 
+from pathlib import Path
+
 import pytest
 
 from logloom import schemas
@@ -108,6 +110,9 @@ def test_durable_table_is_read_back(spark, volume):
     stored = durable.durable(volume)
     assert rows(stored) == rows(volume) and stored.schema == volume.schema
     assert durable.shared_folder(spark) in stored.inputFiles()[0]
+    folder = Path(stored.inputFiles()[0].removeprefix("file:")).parent
+    durable.discard(stored)
+    assert not folder.exists()
 
 
 
