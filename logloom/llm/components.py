@@ -15,7 +15,8 @@ def components(edges: DataFrame) -> DataFrame:
     node and its smaller neighbours are tied to the smallest of them. The number of edges never grows and rounds grow as
     the logarithm of the longest chain. Each round is a stored table, so a lost executor costs one round at most.
     """
-    now = durable(_smaller(edges.select("a", "b").filter("a != b")), "edges")
+    given = durable(edges.select("a", "b").filter("a != b"), "links")  # read more than once below
+    now = durable(_smaller(given), "edges")
     before = _mark(now)
     for _ in range(MAX_ROUNDS):
         if before[0] == 0:
