@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,15 +17,15 @@ from logloom.llm.text import slices
 BITS = 27
 
 
-def build(members: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
-    """Words of 64 bits for the hashes in ``column``; Spark sets the bits, the driver gets at most ``2 ** (bits - 6)`` words."""
+def build(members: DataFrame, column: str, bits: int = BITS) -> Broadcast:
+    """The filter of the hashes in ``column``, broadcast once; Spark sets the bits, the driver gets at most ``2 ** (bits - 6)`` words of 64."""
     words = members.groupBy(_word(F.col(column), bits).alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(column).bitwiseAND(63).cast("int"))).alias("bits")
     )
     found = words.toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return out
+    return members.sparkSession.sparkContext.broadcast(out)
 
 
 def _word(hashed: Column, bits: int) -> Column:
@@ -37,9 +38,8 @@ def holds(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (words[at.astype(np.int64)] >> (hashes & np.uint64(63))) & np.uint64(1) == 1
 
 
-def members(rows: DataFrame, words: np.ndarray, column: str, wanted: bool = True) -> DataFrame:
+def members(rows: DataFrame, shared: Broadcast, column: str, wanted: bool = True) -> DataFrame:
     """Rows whose hash in ``column`` passes (or does not pass) the filter."""
-    shared = rows.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ from logloom.sources.durable import durable
 DEPTH, MIN_DOCS, MIN_WORDS = 3, 3, 3
 MIN_CONSTANT, SIMILARITY = 5, 0.8
 VARIABLE = b"<*>"
+#: Lines that a task remembers to have handed on.
+HELD_LINES = 200_000
 _DIGITS = b"0123456789"
 
 
@@ -86,49 +89,55 @@ def _longs(values: list[int]) -> pa.Array:
     return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
-def crowded_lines(docs: DataFrame, leaves: np.ndarray, depth: int, min_words: int) -> DataFrame:
-    """``doc_id, line, leaf, words`` of the longer lines whose leaf passes the filter; ``words`` holds hashes, 0 for a variable."""
-    shared = docs.sparkSession.sparkContext.broadcast(leaves)
+def crowded_lines(docs: DataFrame, leaves: Broadcast, depth: int, min_words: int) -> DataFrame:
+    """``leaf, line, words`` of the longer lines whose leaf passes the filter, once each; ``words`` holds hashes, 0 for a variable."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[tuple[int, int]] = set()  # lines that this task has handed on
         for batch in slices(batches):
-            found = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), raw_texts(batch["text"])):
+            if len(told) > HELD_LINES:
+                told.clear()
+            new = {}
+            for text in raw_texts(batch["text"]):
                 for line in set(text.split(b"\n")):
                     words = line_words(line)
                     if len(words) > MIN_CONSTANT and eligible(words, min_words):
-                        found.append((doc_id, words, *hashes(words, depth)))
-            if not found:
+                        key = hashes(words, depth)
+                        if key not in told:
+                            new[key] = words
+            if not new:
                 continue
-            passed = bitfilter.holds(shared.value, np.array([f[3] for f in found], np.uint64))
-            found = [f for f, ok in zip(found, passed) if ok]
-            code = [[0 if w == VARIABLE else xxhash.xxh64_intdigest(w) - (1 << 63) for w in f[1]] for f in found]
+            keys = list(new)
+            passed = bitfilter.holds(leaves.value, np.array([leaf for _, leaf in keys], np.uint64))
+            keys = [key for key, ok in zip(keys, passed) if ok]
+            told.update(keys)
+            code = [[0 if w == VARIABLE else xxhash.xxh64_intdigest(w) - (1 << 63) for w in new[key]] for key in keys]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([f[0] for f in found], pa.int64()),
-                    _longs([f[2] for f in found]),
-                    _longs([f[3] for f in found]),
-                    pa.array(code, pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "line", "leaf", "words"],
+                [_longs([leaf for _, leaf in keys]), _longs([line for line, _ in keys]), pa.array(code, pa.list_(pa.int64()))],
+                names=["leaf", "line", "words"],
             )
 
-    known = docs.select("doc_id", "text").filter("doc_id is not null")
-    return known.mapInArrow(run, "doc_id bigint, line bigint, leaf bigint, words array<bigint>").distinct()
+    known = docs.filter("doc_id is not null").select("text")
+    found = known.mapInArrow(run, "leaf bigint, line bigint, words array<bigint>")
+    return found.groupBy("leaf", "line").agg(F.first("words").alias("words"))
+
 
+def generalised(crowded: DataFrame, lines: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+    """``leaf, line, template`` for the lines that take a generalised form.
 
-def generalised(crowded: DataFrame, min_docs: int, similarity: float) -> DataFrame:
-    """``doc_id, line, leaf, template`` for lines that take a generalised form."""
-    placed = crowded.select("doc_id", "line", "leaf", F.size("words").alias("n"), F.posexplode("words").alias("place", "word"))
-    placed = placed.filter("word != 0")
-    frequent = placed.groupBy("leaf", "place", "word").count().filter(F.col("count") >= min_docs).drop("count")
+    Words are counted over distinct lines, each with the number of its documents: a line in many documents is one row.
+    """
+    docs_of = lines.select("doc_id", "leaf", "line").distinct().groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"))
+    counted = durable(crowded.join(docs_of, ["leaf", "line"]), "counted")
+    placed = counted.select("leaf", "line", "docs", F.size("words").alias("n"), F.posexplode("words").alias("place", "word")).filter("word != 0")
+    frequent = placed.groupBy("leaf", "place", "word").agg(F.sum("docs").alias("all")).filter(F.col("all") >= min_docs).drop("all")
     forms = (
         placed.join(frequent, ["leaf", "place", "word"])
-        .groupBy("doc_id", "leaf", "line", "n")
+        .groupBy("leaf", "line", "n")
         .agg(F.count(F.lit(1)).alias("constant"), F.bit_xor(F.xxhash64("place", "word")).alias("form"))
     )
     enough = (F.col("constant") >= MIN_CONSTANT) & (F.col("constant") >= F.col("n") * similarity)
-    return forms.filter(enough).select("doc_id", "line", "leaf", F.xxhash64("leaf", "form").alias("template"))
+    return forms.filter(enough).select("leaf", "line", F.xxhash64("leaf", "form").alias("template"))
 
 
 def _later(rows: DataFrame, key: list[str], min_docs: int) -> DataFrame:
@@ -142,11 +151,13 @@ def _later(rows: DataFrame, key: list[str], min_docs: int) -> DataFrame:
 def surplus_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, lines``: sorted hashes of the lines to drop from a document."""
     lines = durable(scan(docs, depth, min_words), "lines")
-    crowd = lines.filter("wide").groupBy("leaf").count().filter(F.col("count") >= min_docs)
-    crowded = durable(crowded_lines(docs, bitfilter.build(crowd, "leaf"), depth, min_words), "crowded")
-    templates = durable(generalised(crowded, min_docs, similarity), "templates")
+    long = lines.filter("wide")
+    crowd = long.groupBy("leaf").count().filter(F.col("count") >= min_docs)
+    crowded = crowded_lines(docs, bitfilter.build(crowd, "leaf"), depth, min_words)
+    templates = durable(generalised(crowded, long, min_docs, similarity), "templates")
     drop = _later(lines.select("doc_id", "line", "leaf"), ["leaf", "line"], min_docs).select("doc_id", "line")
-    drop = drop.unionByName(_later(templates, ["template"], min_docs).select("doc_id", "line"))
+    formed = long.select("doc_id", "leaf", "line").join(templates, ["leaf", "line"])
+    drop = drop.unionByName(_later(formed, ["template"], min_docs).select("doc_id", "line"))
     return drop.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
@@ -172,7 +183,12 @@ def drop_lines(docs: DataFrame, surplus: DataFrame) -> DataFrame:
 
     carried = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*[docs[c] for c in carried]).alias("row"), docs["doc_id"].alias("id"), docs["text"].alias("text"))
-    joined = rows.join(surplus.select(F.col("doc_id").alias("id"), "lines"), "id", "left").select("row", "text", "lines")
+    rows = rows.withColumn("h", F.coalesce(F.xxhash64("id"), F.lit(0).cast("bigint")))
+    # Only rows that may lose a line are moved to be joined; the others stay in the task that reads them.
+    touched = bitfilter.build(surplus.select(F.xxhash64("doc_id").alias("h")).distinct(), "h")
+    free = bitfilter.members(rows, touched, "h", wanted=False).select("row", "text", F.lit(None).cast("array<bigint>").alias("lines"))
+    held = bitfilter.members(rows, touched, "h").join(surplus.select(F.col("doc_id").alias("id"), "lines"), "id", "left").select("row", "text", "lines")
+    joined = free.unionByName(held)
     row_type = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(run, f"row {row_type}, text string, n_lines bigint, n_removed bigint")
 
@@ -183,4 +199,4 @@ def _dropped(line: bytes, gone: set[int]) -> bool:
 
 def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``row`` (the other columns of ``docs``), cleaned ``text``, ``n_lines``, ``n_removed``."""
-    return drop_lines(docs, surplus_lines(docs, depth, min_docs, min_words, similarity))
+    return drop_lines(docs, durable(surplus_lines(docs, depth, min_docs, min_words, similarity), "surplus"))
