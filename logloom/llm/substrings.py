@@ -5,8 +5,9 @@
    the documents of each anchor. Those in two or more go into a filter of fixed size (see :mod:`bitfilter`).
 3. Recurring passages. Windows whose anchor passes the filter are confirmed by their own hash over all documents. This gives, for each document, the
    earliest documents that it repeats.
-4. Automata. The windows of the repeated documents are compiled into Aho-Corasick automata over words, one per shard of documents.
-   Each document streams through the automata of the shards it repeats from, which locate every occurrence, word by word.
+4. Automata. The anchors of the repeated documents' recurring windows are compiled into Aho-Corasick automata over words, one per shard of
+   documents. Each document streams through the automata of the shards it repeats from, which locate every occurrence; around it
+   the windows are compared word by word.
 
 A shard's documents are dealt out again in chunks, so the followers of one popular document never meet in one task. A window found in
 a shard counts if its smallest document there is smaller than the reader; that is right whichever document led to the shard.
@@ -22,13 +23,15 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm import bitfilter
 from logloom.llm.text import raw_texts, slices
-from logloom.sources.durable import durable
+from logloom.sources.durable import discard, durable
 
 WINDOW, ANCHOR = 13, 7
 #: Repeated documents per shard, and followers of a shard handled at once, on average.
@@ -65,20 +68,18 @@ def run_hashes(words: np.ndarray, length: int, family: int = 0) -> np.ndarray:
         return total ^ (total >> np.uint64(29))
 
 
-def anchors(words: np.ndarray) -> np.ndarray:
-    """The anchor of each window."""
+def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The anchor of each window, and the word at which it begins; of equal runs the first."""
     runs = run_hashes(words, ANCHOR)
     n = len(words) - WINDOW + 1
     if n <= 0:
-        return np.zeros(0, np.uint64)
-    least = runs[:n].copy()
-    for offset in range(1, WINDOW - ANCHOR + 1):
-        np.minimum(least, runs[offset : offset + n], out=least)
-    return least
-
-
-def _longs(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64))
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    least, offset = runs[:n].copy(), np.zeros(n, np.int64)
+    for ahead in range(1, WINDOW - ANCHOR + 1):
+        smaller = runs[ahead : ahead + n] < least
+        offset[smaller] = ahead
+        np.minimum(least, runs[ahead : ahead + n], out=least)
+    return least, np.arange(n) + offset
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -107,15 +108,14 @@ def _per_document(rows: DataFrame, schema: str, make) -> DataFrame:
 
 
 def document_anchors(rows: DataFrame) -> DataFrame:
-    return _per_document(rows, "doc_id bigint, anchor bigint", lambda words: (np.unique(anchors(words)).view(np.int64),))
+    return _per_document(rows, "doc_id bigint, anchor bigint", lambda words: (np.unique(anchors(words)[0]).view(np.int64),))
 
 
-def suspects(rows: DataFrame, recurring: np.ndarray) -> DataFrame:
+def suspects(rows: DataFrame, recurring: Broadcast) -> DataFrame:
     """``doc_id, w1, w2``: each window once whose anchor may recur."""
-    shared = rows.sparkSession.sparkContext.broadcast(recurring)
 
     def make(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        passed = bitfilter.holds(shared.value, anchors(words))
+        passed = bitfilter.holds(recurring.value, anchors(words)[0])
         first = run_hashes(words, WINDOW, 1)[passed]
         second = run_hashes(words, WINDOW, 2)[passed] >> np.uint64(32)
         _, at = np.unique(first, return_index=True)
@@ -131,37 +131,63 @@ def repeats(found: DataFrame) -> DataFrame:
     return pairs.select(F.col("doc_id").alias("reader"), "source").distinct()
 
 
+#: A word is spelled with three characters, one from each of three alphabets, so that no node of an automaton has many branches.
+BASE, ALPHABETS = 48, (0x100, 0x200, 0x10000)
+
+
+def spelling(number: int) -> str:
+    """Three characters for a word's number; matches begin and end between words because the alphabets are disjoint."""
+    high, low = divmod(number, BASE)
+    high, middle = divmod(high, BASE)
+    return chr(ALPHABETS[0] + low) + chr(ALPHABETS[1] + middle) + chr(ALPHABETS[2] + high)
+
+
 def covered(readers: list[tuple[int, list[bytes]]], sources: list[tuple[int, list[bytes]]], useful) -> list[np.ndarray]:
     """Per reader, which of its words are in a window of a source with a smaller id.
 
-    ``useful(words)`` marks the windows of a source that are worth compiling.
+    ``useful(words)`` gives the windows of a source that are worth looking for and where their anchors begin. The anchors, a
+    fraction of all runs, are the phrases of the automaton; around each of their occurrences in a reader the windows are compared in full.
     """
-    names: dict[bytes, int] = {}
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    names: dict[bytes, str] = {}
+    windows: dict[str, int] = {}
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
     for doc_id, words in sorted(sources, key=lambda s: s[0], reverse=True):  # the smallest id stays as the value
-        ids = [names.setdefault(word, len(names) + 1) for word in words]
-        for at in np.flatnonzero(useful(words)).tolist():
-            automaton.add_word(tuple(ids[at : at + WINDOW]), doc_id)
+        starts, places = useful(words)
+        if not len(starts):
+            continue
+        for word in words:
+            if word not in names:
+                names[word] = spelling(len(names) + 1)
+        spelled = "".join(map(names.__getitem__, words))
+        for place in np.unique(places).tolist():
+            automaton.add_word(spelled[3 * place : 3 * (place + ANCHOR)])
+        for start in starts.tolist():
+            windows[spelled[3 * start : 3 * (start + WINDOW)]] = doc_id
     automaton.make_automaton()
+    unknown = spelling(0)
     marks = []
     for doc_id, words in readers:
         change = np.zeros(len(words) + 1, np.int64)
         if len(automaton):
-            ids = tuple([names.get(word, 0) for word in words])
-            for end, source in automaton.iter(ids):
-                if source < doc_id:
-                    change[end - WINDOW + 1] += 1
-                    change[end + 1] -= 1
+            spelled = "".join([names.get(word, unknown) for word in words])
+            looked = 0  # windows before this one have been compared
+            for end, _ in automaton.iter(spelled):
+                place = end // 3 - ANCHOR + 1
+                for start in range(max(looked, place + ANCHOR - WINDOW), min(place, len(words) - WINDOW) + 1):
+                    source = windows.get(spelled[3 * start : 3 * (start + WINDOW)])
+                    if source is not None and source < doc_id:
+                        change[start] += 1
+                        change[start + WINDOW] -= 1
+                looked = max(looked, place + 1)
         marks.append(np.cumsum(change)[:-1] > 0)
     return marks
 
 
-def locate(texts: DataFrame, pairs: DataFrame, recurring: np.ndarray) -> DataFrame:
+def locate(texts: DataFrame, pairs: DataFrame, recurring: Broadcast) -> DataFrame:
     """``doc_id, h1, h2, mask``: one bit per word of a reader, for every shard that it repeats from.
 
     ``texts`` (``doc_id, h1, h2, text``) has every reader and source of ``pairs``.
     """
-    spark = texts.sparkSession
     sources = pairs.select(F.col("source").alias("doc_id")).distinct()
     shards = max(1, -(-sources.count() // SHARD_SOURCES))
     shard = lambda column: F.pmod(F.xxhash64(column), F.lit(shards))
@@ -171,24 +197,27 @@ def locate(texts: DataFrame, pairs: DataFrame, recurring: np.ndarray) -> DataFra
     routes = routes.join(chunks, "shard").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(7)), "chunks")).select("doc_id", "shard", "chunk")
     homes = sources.withColumn("shard", shard("doc_id")).join(chunks, "shard")
     homes = homes.select("doc_id", "shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"))
-    readers = texts.join(routes, "doc_id")
-    origins = texts.select(F.col("doc_id").alias("source_id"), F.col("text").alias("source_text"))
-    homes = homes.select(F.col("doc_id").alias("source_id"), F.col("shard").alias("home"), F.col("chunk").alias("part"))
-    origins = origins.join(homes, "source_id")
-    shared = spark.sparkContext.broadcast(recurring)
+    # One join moves the texts for both roles.
+    roles = routes.withColumn("reads", F.lit(True)).unionByName(homes.withColumn("reads", F.lit(False)))
+    dealt = texts.join(roles, "doc_id")
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(group: pa.Table) -> pa.Table:
+        left, right = group.filter(group["reads"]), group.filter(pc.invert(group["reads"]))
         hashes = WordHashes()
-        useful = lambda words: bitfilter.holds(shared.value, anchors(hashes.of(words)))
+
+        def useful(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            least, places = anchors(hashes.of(words))
+            starts = np.flatnonzero(bitfilter.holds(recurring.value, least))
+            return starts, places[starts]
+
         words = [text.split() for text in raw_texts(left["text"].combine_chunks())]
-        from_words = [(i, text.split()) for i, text in zip(right["source_id"].to_pylist(), raw_texts(right["source_text"].combine_chunks()))]
+        from_words = [(i, text.split()) for i, text in zip(right["doc_id"].to_pylist(), raw_texts(right["text"].combine_chunks()))]
         marks = covered(list(zip(left["doc_id"].to_pylist(), words)), from_words, useful)
         hit = pa.array([bool(mark.any()) for mark in marks], pa.bool_())
         bits = pa.array([np.packbits(mark).tobytes() for mark in marks], pa.binary())
         return left.select(["doc_id", "h1", "h2"]).append_column("mask", bits).filter(hit)
 
-    grouped = readers.groupBy("shard", "chunk").cogroup(origins.groupBy("home", "part"))
-    return grouped.applyInArrow(run, "doc_id bigint, h1 bigint, h2 bigint, mask binary")
+    return dealt.groupBy("shard", "chunk").applyInArrow(run, "doc_id bigint, h1 bigint, h2 bigint, mask binary")
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -208,9 +237,12 @@ def removals(docs: DataFrame) -> DataFrame:
     recurring = bitfilter.build(counted.filter("a < b"), "anchor")
     found = durable(suspects(texts, recurring), "suspects")
     pairs = durable(repeats(found), "pairs")
+    discard(found)
     part = pairs.select(F.explode(F.array("reader", "source")).alias("doc_id")).distinct().select(F.xxhash64("doc_id").alias("h"))
     concerned = bitfilter.members(texts.withColumn("h", F.xxhash64("doc_id")), bitfilter.build(part, "h"), "h").drop("h")
-    masks = durable(locate(durable(concerned, "concerned"), pairs, recurring), "masks")
+    concerned = durable(concerned, "concerned")
+    masks = durable(locate(concerned, pairs, recurring), "masks")
+    discard(concerned)
     marks = masks.groupBy("doc_id", "h1", "h2").agg(F.collect_list("mask").alias("masks")).withColumn("copy", F.lit(False))
     empty = F.array().cast("array<binary>")
     return marks.unionByName(copies.withColumn("masks", empty).withColumn("copy", F.lit(True)))
