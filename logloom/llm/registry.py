@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import capfilters, langid, linededup, mixing, perplexity, pieces, secretscan, simhash, substrings, webpages
+from logloom.llm import capfilters, langid, linededup, mixing, oracles, perplexity, pieces, secretscan, simhash, substrings, webpages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,4 +71,4 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
