@@ -28,7 +28,7 @@ from logloom.sources.durable import durable
 
 ORDER, BUDGET = 4, 1 << 18
 UNKNOWN = "und"
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 

@@ -17,7 +17,7 @@ null. Columns other than ``doc_id``, ``text`` and ``lang`` are not looked at. An
 """
 
 import math
-from collections import Counter, OrderedDict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,7 +37,8 @@ BLANKS = " \t\n\v\f\r"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: Log-perplexities are counted in bins of this width to find quartiles.
 BIN = 0.01
-CACHED_WORDS = 200_000
+#: Words of all languages that a task remembers the scores of.
+CACHED_WORDS = 100_000
 
 SCORES = (
     "doc_id bigint, h1 bigint, h2 bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
@@ -290,17 +291,16 @@ def score(docs: DataFrame, models: dict[str | None, LanguageModel]) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = {lang: LanguageModel([Grams(*g) for g in orders], unseen) for lang, (unseen, orders) in shared.value.items()}
-        known: OrderedDict = OrderedDict()
+        known: dict[str | None, dict[bytes, float]] = {}
         for batch in slices(batches):
             rows = [
                 (*statistics(text or ""), lang) for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist())
             ]
+            if sum(map(len, known.values())) > CACHED_WORDS:
+                known.clear()
             for lang in {row[-1] for row in rows}:
                 cache = known.setdefault(lang, {})
                 new = list({w for row in rows if row[-1] == lang for w in row[0]}.difference(cache))
-                if len(cache) > CACHED_WORDS:
-                    cache.clear()
-                    new = list({w for row in rows if row[-1] == lang for w in row[0]})
                 if new and lang in models:
                     cache.update(zip(new, models[lang].score([w.decode() for w in new]).tolist()))
             figures = []

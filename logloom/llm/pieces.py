@@ -27,7 +27,7 @@ from logloom.llm.text import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHED_WORDS, ROWS = 300_000, 1024
+CACHED_WORDS, ROWS = 100_000, 512
 UNIGRAM, BPE = 1, 2
 NORMAL, BYTE = 1, 6
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")

@@ -36,7 +36,7 @@ from logloom.sources.durable import discard, durable
 WINDOW, ANCHOR = 13, 7
 #: Repeated documents per shard, and followers of a shard handled at once, on average.
 SHARD_SOURCES, CHUNK_READERS = 64, 256
-HELD_WORDS = 300_000
+HELD_WORDS = 150_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
 
 

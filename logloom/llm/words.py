@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from logloom.llm.text import slices
 
 #: Distinct words a task holds before it hands its counts on.
-HELD = 150_000
+HELD = 100_000
 COUNTS = "lang string, word string, n bigint"
 
 
