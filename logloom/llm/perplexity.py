@@ -8,8 +8,11 @@ Size of what is broadcast: an n-gram stays if it makes up at least ``languages /
 characters, so no order keeps more than ``budget`` n-grams over all languages together. Mass of dropped n-grams goes
 to the shorter ones, so every distribution still sums to one.
 
+Models and bands are learned from trusted texts only: those that pass the base rules and have at most one symbol in ten words.
+A model that has seen the noise finds it likely. A language without a trusted text learns from all its texts.
+
 Perplexity bands are per language: a text is rejected beyond ``spread`` interquartile ranges outside the quartiles of the
-natural logarithm of perplexity, widened by ``slack / sqrt(words)`` since short texts scatter more.
+natural logarithm of perplexity of trusted texts, widened by ``slack / sqrt(words)`` since short texts scatter more.
 
 Defined cases: a null or blank text has no words, no perplexity and fails the word-count rule. A null language is a
 language of its own. A language with a single text accepts it. Rows are judged one by one, repeated rows alike; null ids stay
@@ -35,6 +38,8 @@ SPREAD, SLACK = 6.0, 4.0
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
+#: Symbols per hundred words that a trusted text may have.
+TRUSTED_SYMBOLS = 10
 #: Log-perplexities are counted in bins of this width to find quartiles.
 BIN = 0.01
 #: Words of all languages that a task remembers the scores of.
@@ -129,6 +134,29 @@ def gram_hash(gram: str) -> np.uint64:
     return _hashes(codes, len(gram))[len(gram) - 1][-1]
 
 
+def trusted(n_words: int, n_symbols: int, n_repeat_words: int) -> bool:
+    """Whether models learn from a text of these figures."""
+    return n_words >= MIN_WORDS and 100 * n_repeat_words <= MAX_REPEAT_PERCENT * n_words and 100 * n_symbols <= TRUSTED_SYMBOLS * n_words
+
+
+def learned_from(docs: DataFrame) -> DataFrame:
+    """The trusted rows of ``docs``; all rows of a language that has none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            figures = [statistics(text or "") for text in batch["text"].to_pylist()]
+            yield batch.append_column("trusted", pa.array([trusted(len(words), symbols, again) for words, _, symbols, _, again in figures], pa.bool_()))
+
+    rows = docs.select("text", "lang")
+    rows = rows.mapInArrow(run, "text string, lang string, trusted boolean")
+    # One row per language.
+    without = [r["lang"] for r in rows.groupBy("lang").agg(F.max("trusted").alias("any")).filter("not any").collect()]
+    untaught = F.lit(False)
+    for lang in without:
+        untaught = untaught | F.col("lang").eqNullSafe(F.lit(lang))
+    return rows.filter(F.col("trusted") | untaught).select("text", "lang")
+
+
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """``lang, gram, n`` for the longest n-gram that ends at each character of each word."""
     padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
@@ -339,6 +367,16 @@ def bands(scores: DataFrame, spread: float = SPREAD) -> dict[str | None, tuple[f
     return out
 
 
+def trusted_scores(scores: DataFrame) -> DataFrame:
+    """Scores of trusted texts; all scores of a language that has none."""
+    fine = (F.col("n_words") >= MIN_WORDS) & (100 * F.col("n_repeat_words") <= MAX_REPEAT_PERCENT * F.col("n_words"))
+    fine = fine & (100 * F.col("n_symbols") <= TRUSTED_SYMBOLS * F.col("n_words"))
+    marked = scores.withColumn("fine", fine)
+    langs = marked.groupBy(F.col("lang").alias("of")).agg(F.max("fine").alias("any"))
+    # One row per language.
+    return marked.join(F.broadcast(langs), F.col("lang").eqNullSafe(F.col("of"))).filter("fine or not any").select("lang", "log_perplexity")
+
+
 def judge(scores: DataFrame, limits: dict[str | None, tuple[float, float]], slack: float = SLACK) -> DataFrame:
     """Scores with ``perplexity``, ``base_failed`` and ``kept``."""
     spark = scores.sparkSession
@@ -357,7 +395,7 @@ def judge(scores: DataFrame, limits: dict[str | None, tuple[float, float]], slac
 
 
 def quality(docs: DataFrame, order: int = ORDER, budget: int = BUDGET) -> DataFrame:
-    """Verdict per document, from models and bands fitted on all of ``docs``."""
+    """Verdict per document, from models and bands fitted on the trusted texts of ``docs``."""
     docs = docs.select("doc_id", "text", "lang")
-    scores = durable(score(docs, fit(docs, order, budget)), "scores")
-    return judge(scores, bands(scores))
+    scores = durable(score(docs, fit(learned_from(docs), order, budget)), "scores")
+    return judge(scores, bands(trusted_scores(scores)))

@@ -128,3 +128,11 @@ def test_messy_rows(spark):
     assert sorted(r.n_words for r in found.collect())[:4] == [0, 0, 0, 1]
     assert perplexity.quality(messy(spark, [])).count() == 0
     assert rows(perplexity.quality(messy(spark)).select("doc_id", "kept")) == rows(found.select("doc_id", "kept"))
+
+
+def test_labelled_noise_is_rejected_and_clean_text_stays(spark):
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    judged = [(label[r.doc_id], r.kept) for r in registry.QUERIES["op9_quality"](spark, SF).collect() if r.doc_id in label and not r.base_failed]
+    noise, clean = [kept for quality, kept in judged if quality == 0], [kept for quality, kept in judged if quality == 1]
+    assert len(noise) > 20 and noise.count(False) >= 0.9 * len(noise)
+    assert clean.count(True) >= 0.98 * len(clean)
