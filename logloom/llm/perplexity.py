@@ -1,12 +1,9 @@
 """Quality rules: word statistics of a text and its perplexity under a modified Kneser-Ney n-gram model of its language.
 
 The model is over the characters of a word, each word framed by one blank, so a word's probability does not depend
-on its neighbours and equal words are scored once. Spark counts the n-grams of all texts; what is kept of them lives in
-arrays sorted by a 64-bit hash.
-
-Size of what is broadcast: an n-gram stays if it makes up at least ``languages / budget`` of its language's
-characters, so no order keeps more than ``budget`` n-grams over all languages together. Mass of dropped n-grams goes
-to the shorter ones, so every distribution still sums to one.
+on its neighbours and equal words are scored once. Spark counts the n-grams of all trusted texts. Every counted n-gram stays, in
+a table that is never held in one place: it is joined to the distinct n-grams of all words, these to the words, and the words
+to the texts (see :mod:`logloom.llm.wordsums`).
 
 Models and bands are learned from trusted texts only: those that pass the base rules and have at most one symbol in ten words.
 A model that has seen the noise finds it likely. A language without a trusted text learns from all its texts.
@@ -26,11 +23,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.text import slices
-from logloom.llm.words import partial_counts
+from logloom.llm.words import HELD, partial_counts
+from logloom.llm.wordsums import HELD_WORDS, SCALE, sums, whole
 from logloom.sources.durable import durable
 
 ORDER, BUDGET = 5, 1 << 18
@@ -42,13 +40,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 TRUSTED_SYMBOLS = 10
 #: Log-perplexities are counted in bins of this width to find quartiles.
 BIN = 0.01
-#: Words of all languages that a task remembers the scores of.
-CACHED_WORDS = 100_000
 
-SCORES = (
-    "doc_id bigint, h1 bigint, h2 bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-    "n_repeat_words bigint, log_perplexity double"
-)
+FIGURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,32 +132,62 @@ def trusted(n_words: int, n_symbols: int, n_repeat_words: int) -> bool:
     return n_words >= MIN_WORDS and 100 * n_repeat_words <= MAX_REPEAT_PERCENT * n_words and 100 * n_symbols <= TRUSTED_SYMBOLS * n_words
 
 
-def learned_from(docs: DataFrame) -> DataFrame:
-    """The trusted rows of ``docs``; all rows of a language that has none."""
+def learned_words(docs: DataFrame) -> DataFrame:
+    """``lang, word, n, m``: how often a word is in all texts, and in those that models learn from.
+
+    These are the trusted texts, or all texts of a language that has none.
+    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str | None, tuple[Counter, Counter]] = {}
         for batch in slices(batches):
-            figures = [statistics(text or "") for text in batch["text"].to_pylist()]
-            yield batch.append_column("trusted", pa.array([trusted(len(words), symbols, again) for words, _, symbols, _, again in figures], pa.bool_()))
+            for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
+                if text:
+                    words, _, symbols, _, again = statistics(text)
+                    every, fine = held.setdefault(lang, (Counter(), Counter()))
+                    every.update(words)
+                    if trusted(len(words), symbols, again):
+                        fine.update(words)
+            if sum(len(every) for every, _ in held.values()) >= HELD:
+                yield from handed(held)
+                held.clear()
+        yield from handed(held)
+
+    def handed(held: dict[str | None, tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+        for lang, (every, fine) in held.items():
+            names = list(every)
+            for start in range(0, len(names), 50_000):
+                part = names[start : start + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * len(part), pa.string()),
+                        pa.array([w.decode() for w in part], pa.string()),
+                        pa.array([every[w] for w in part], pa.int64()),
+                        pa.array([fine[w] for w in part], pa.int64()),
+                    ],
+                    names=["lang", "word", "n", "m"],
+                )
 
-    rows = docs.select("text", "lang")
-    rows = rows.mapInArrow(run, "text string, lang string, trusted boolean")
+    counted = docs.select("text", "lang").mapInArrow(count, "lang string, word string, n bigint, m bigint")
+    words = durable(counted.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "words")
     # One row per language.
-    without = [r["lang"] for r in rows.groupBy("lang").agg(F.max("trusted").alias("any")).filter("not any").collect()]
     untaught = F.lit(False)
-    for lang in without:
-        untaught = untaught | F.col("lang").eqNullSafe(F.lit(lang))
-    return rows.filter(F.col("trusted") | untaught).select("text", "lang")
+    for row in words.groupBy("lang").agg(F.sum("m").alias("m")).filter("m = 0").collect():
+        untaught = untaught | F.col("lang").eqNullSafe(F.lit(row["lang"]))
+    return words.withColumn("m", F.when(untaught, F.col("n")).otherwise(F.col("m")))
 
 
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """``lang, gram, n`` for the longest n-gram that ends at each character of each word."""
-    padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
+    return word_grams(partial_counts(docs, split_words), order).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def word_grams(words: DataFrame, order: int = ORDER) -> DataFrame:
+    """The rows of ``words`` (``lang, word`` and more) with ``gram``, once for each character and the closing blank."""
     ends = F.sequence(F.lit(2), F.length("word") + 2)
-    grams = partial_counts(docs, split_words).select("lang", "n", padded.alias("word"), F.explode(ends).alias("end"))
+    framed = words.withColumn("framed", F.concat(F.lit(" "), F.col("word"), F.lit(" "))).withColumn("end", F.explode(ends))
     start = F.greatest(F.col("end") - order + 1, F.lit(1))
-    gram = F.col("word").substr(start, F.col("end") - start + 1)
-    return grams.groupBy("lang", gram.alias("gram")).agg(F.sum("n").alias("n"))
+    return framed.withColumn("gram", F.col("framed").substr(start, F.col("end") - start + 1)).drop("framed", "end")
 
 
 def adjusted_counts(grams: DataFrame, order: int = ORDER) -> list[DataFrame]:
@@ -194,8 +217,10 @@ def discounts(counts: dict[int, int]) -> tuple[float, float, float]:
 
 
 def fit(docs: DataFrame, order: int = ORDER, budget: int = BUDGET) -> dict[str | None, LanguageModel]:
-    """One model per language from all texts of ``docs`` (``text``, ``lang``).
+    """One model per language from all texts of ``docs`` (``text``, ``lang``), to be held in one place.
 
+    An n-gram stays if it makes up at least ``languages / budget`` of its language's characters. The mass of dropped n-grams goes
+    to the shorter ones, so every distribution still sums to one. No query uses it: they score by :func:`fit_table`.
     The driver receives the kept n-grams, at most ``order * budget`` of them, and per language and order a few numbers.
     """
     grams = durable(count_grams(docs, order), "grams")
@@ -311,41 +336,95 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(change)[:-1] > 0).sum())
 
 
-def score(docs: DataFrame, models: dict[str | None, LanguageModel]) -> DataFrame:
-    """One row per document: key, statistics and log perplexity per character (null without words)."""
-    # Plain arrays: a broadcast is read before any class of this package is known to the worker.
-    plain = {lang: (m.log_unseen, [(g.hashes, g.log_p, g.log_gamma) for g in m.orders]) for lang, m in models.items()}
-    shared = docs.sparkSession.sparkContext.broadcast(plain)
+def fit_table(grams: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
+    """``lang, gram, log_p, log_gamma`` of every n-gram of every length, and ``lang_of, log_unseen`` with one row per language.
+
+    The same model as :func:`fit` with nothing dropped; ``grams`` as :func:`count_grams` gives them. The driver gets a few
+    numbers per language and order.
+    """
+    spark = grams.sparkSession
+    levels = [level.select("lang", F.lit(k).alias("k"), "gram", "c") for k, level in enumerate(adjusted_counts(grams, order), 1)]
+    table = levels[0]
+    for level in levels[1:]:
+        table = table.unionByName(level)
+    table = durable(table, "levels")
+    ranks: dict[tuple, dict[int, int]] = {}
+    for r in table.filter("c <= 4").groupBy("lang", "k", "c").count().collect():
+        ranks.setdefault((r["lang"], r["k"]), {})[r["c"]] = r["count"]
+    kinds = {(r["lang"], r["k"]): r["count"] for r in table.groupBy("lang", "k").count().collect()}
+    small = spark.createDataFrame(
+        [(lang, k, *discounts(ranks.get((lang, k), {})), 1.0 / (kinds[lang, 1] + 1)) for lang, k in kinds],
+        "lang_of string, k_of int, d1 double, d2 double, d3 double, uniform double",
+    )
+    d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
+    # One row per language and order, built here: broadcast by its size.
+    owned = table.join(F.broadcast(small), F.col("lang").eqNullSafe(F.col("lang_of")) & (F.col("k") == F.col("k_of"))).select(
+        "lang", "k", "gram", "c", F.expr("substring(gram, 1, k - 1)").alias("context"), (F.col("c") - d).alias("own"), "uniform"
+    )
+    totals = owned.groupBy("lang", "k", "context", "uniform").agg(F.sum("c").alias("total"), F.sum("own").alias("held"))
+    totals = durable(totals.withColumn("gamma", 1 - F.col("held") / F.col("total")), "contexts")
+
+    def of(k: int) -> DataFrame:
+        x = totals.filter(F.col("k") == k).select(F.col("lang").alias("lang_x"), F.col("context").alias("context_x"), "total", "gamma")
+        return owned.filter(F.col("k") == k).join(x, F.col("lang").eqNullSafe(F.col("lang_x")) & (F.col("context") == F.col("context_x")))
+
+    shorter = durable(of(1).select("lang", "gram", (F.col("own") / F.col("total") + F.col("gamma") * F.col("uniform")).alias("p")), "grams")
+    table = shorter
+    for k in range(2, order + 1):
+        tails = shorter.select(F.col("lang").alias("lang_t"), F.col("gram").alias("tail"), F.col("p").alias("p_tail"))
+        met = of(k).join(tails, F.col("lang").eqNullSafe(F.col("lang_t")) & (F.expr("substring(gram, 2, k - 1)") == F.col("tail")))
+        shorter = durable(met.select("lang", "gram", (F.col("own") / F.col("total") + F.col("gamma") * F.col("p_tail")).alias("p")), "grams")
+        table = table.unionByName(shorter)
+    weights = totals.filter("k > 1").select(F.col("lang").alias("lang_x"), F.col("context").alias("context_x"), "gamma")
+    model = table.join(weights, F.col("lang").eqNullSafe(F.col("lang_x")) & (F.col("gram") == F.col("context_x")), "left").select(
+        "lang", "gram", _log("p").alias("log_p"), F.coalesce(_log("gamma"), F.lit(0.0)).alias("log_gamma")
+    )
+    unseen = totals.filter("k = 1").select(F.col("lang").alias("lang_of"), _log(F.col("gamma") * F.col("uniform")).alias("log_unseen"))
+    return durable(model, "model"), unseen
+
+
+def _log(value: Column | str) -> Column:
+    return F.log(F.greatest(F.col(value) if isinstance(value, str) else value, F.lit(1e-300)))
+
+
+def word_values(words: DataFrame, order: int = ORDER) -> DataFrame:
+    """``lang, word, n, s0``: the log probability of every word (see :func:`learned_words`) in whole units, from the model of the learned ones."""
+    spelt = word_grams(words, order)
+    grams = durable(spelt.groupBy("lang", "gram").agg(F.sum("m").alias("n")), "spelt")
+    model, unseen = fit_table(grams.filter("n > 0"), order)
+    # A learned n-gram is in the model itself; of the others each ending is sought, and its context.
+    direct = grams.filter("n > 0").join(model.withColumnsRenamed({"lang": "lang_m", "gram": "gram_m"}), F.col("lang").eqNullSafe(F.col("lang_m")) & (F.col("gram") == F.col("gram_m")))
+    direct = direct.select("lang", "gram", "log_p")
+    endings = grams.filter("n = 0").select("lang", "gram", F.explode(F.sequence(F.lit(1), F.length("gram"))).alias("at"))
+    ending = F.expr("substring(gram, at)")
+    sought = endings.withColumn("part", F.explode(F.array(F.struct(ending.alias("key"), F.lit(True).alias("own")), F.struct(F.expr("substring(gram, at, length(gram) - at)").alias("key"), F.lit(False).alias("own")))))
+    sought = sought.select(F.col("lang").alias("lang_s"), F.col("gram").alias("gram_s"), "at", "part.key", "part.own")
+    met = sought.join(model, F.col("lang_s").eqNullSafe(F.col("lang")) & (F.col("key") == F.col("gram")), "left")
+    steps = met.groupBy("lang_s", "gram_s").agg(
+        F.min(F.when(F.col("own") & F.col("log_p").isNotNull(), F.struct("at", "log_p"))).alias("hit"),
+        F.collect_list(F.when(~F.col("own") & F.col("log_gamma").isNotNull(), F.struct("at", "log_gamma"))).alias("contexts"),
+    )
+    passed = F.aggregate("contexts", F.lit(0.0), lambda sum, x: sum + F.when(F.col("hit").isNull() | (x["at"] < F.col("hit.at")), x["log_gamma"]).otherwise(0.0))
+    # One row per language.
+    backed = steps.join(F.broadcast(unseen), F.col("lang_s").eqNullSafe(F.col("lang_of")))
+    backed = backed.select(F.col("lang_s").alias("lang"), F.col("gram_s").alias("gram"), (passed + F.coalesce("hit.log_p", "log_unseen")).alias("log_p"))
+    valued = durable(direct.unionByName(backed).select(F.col("lang").alias("lang_v"), F.col("gram").alias("gram_v"), whole(F.col("log_p")).alias("s0")), "valued")
+    met = spelt.join(valued, F.col("lang").eqNullSafe(F.col("lang_v")) & (F.col("gram") == F.col("gram_v")))
+    return durable(met.groupBy("lang", "word").agg(F.first("n").alias("n"), F.sum("s0").alias("s0")), "values")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = {lang: LanguageModel([Grams(*g) for g in orders], unseen) for lang, (unseen, orders) in shared.value.items()}
-        known: dict[str | None, dict[bytes, float]] = {}
-        for batch in slices(batches):
-            rows = [
-                (*statistics(text or ""), lang) for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist())
-            ]
-            if sum(map(len, known.values())) > CACHED_WORDS:
-                known.clear()
-            for lang in {row[-1] for row in rows}:
-                cache = known.setdefault(lang, {})
-                new = list({w for row in rows if row[-1] == lang for w in row[0]}.difference(cache))
-                if new and lang in models:
-                    cache.update(zip(new, models[lang].score([w.decode() for w in new]).tolist()))
-            figures = []
-            for words, chars, symbols, repeated, again, lang in rows:
-                cache = known[lang]
-                total = math.fsum(cache.get(w, 0.0) * n for w, n in Counter(words).items())
-                figures.append((len(words), chars, symbols, repeated, again, -total / (chars + len(words)) if words else None))
-            columns = list(zip(*figures))
-            yield pa.RecordBatch.from_arrays(
-                [batch[c] for c in ("doc_id", "h1", "h2", "lang")]
-                + [pa.array(columns[i], pa.int64()) for i in range(5)]
-                + [pa.array(columns[5], pa.float64())],
-                names=[c.split()[0] for c in SCORES.split(", ")],
-            )
 
+def describe(text: str) -> tuple[Counter, tuple[int, ...]]:
+    """How often each word is in the text, and its :func:`statistics`."""
+    words, *figures = statistics(text)
+    return Counter({word.decode(): n for word, n in Counter(words).items()}), (len(words), *figures)
+
+
+def score(docs: DataFrame, values: DataFrame, most: int = HELD_WORDS) -> DataFrame:
+    """One row per document: key, statistics and log perplexity per character (null without words)."""
     keyed = docs.select("doc_id", "text", "lang", F.xxhash64("text", F.lit(1)).alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"))
-    return keyed.mapInArrow(run, SCORES)
+    found = sums(keyed, values, 1, describe, FIGURES, most)
+    per_character = -F.col("s0") / SCALE / (F.col("word_chars") + F.col("n_words"))
+    return found.withColumn("log_perplexity", F.when(F.col("n_words") > 0, per_character)).select("doc_id", "h1", "h2", "lang", *[f.split()[0] for f in FIGURES.split(", ")], "log_perplexity")
 
 
 def bands(scores: DataFrame, spread: float = SPREAD) -> dict[str | None, tuple[float, float]]:
@@ -394,8 +473,8 @@ def judge(scores: DataFrame, limits: dict[str | None, tuple[float, float]], slac
     )
 
 
-def quality(docs: DataFrame, order: int = ORDER, budget: int = BUDGET) -> DataFrame:
+def quality(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """Verdict per document, from models and bands fitted on the trusted texts of ``docs``."""
     docs = docs.select("doc_id", "text", "lang")
-    scores = durable(score(docs, fit(learned_from(docs), order, budget)), "scores")
+    scores = durable(score(docs, word_values(learned_words(docs), order)), "scores")
     return judge(scores, bands(trusted_scores(scores)))

@@ -136,3 +136,21 @@ def test_labelled_noise_is_rejected_and_clean_text_stays(spark):
     noise, clean = [kept for quality, kept in judged if quality == 0], [kept for quality, kept in judged if quality == 1]
     assert len(noise) > 20 and noise.count(False) >= 0.9 * len(noise)
     assert clean.count(True) >= 0.98 * len(clean)
+
+
+@pytest.mark.parametrize("most", [0, 3, 1 << 18])
+def test_no_counted_gram_is_dropped_from_the_scores(spark, most):
+    # The rare words of a long text: a share of the corpus, as in a pruned model, would leave none of their n-grams.
+    lines = [*TEXTS, "banana cab dab abba " * 50_000, "zyx xyz"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(lines)] + [(9, "naan zzyx ?", "x"), (9, "", None)], "doc_id bigint, text string, lang string")
+    words = perplexity.learned_words(docs.filter("doc_id < 9")).unionByName(spark.createDataFrame([("x", w, 1, 0) for w in ("naan", "zzyx", "?")], "lang string, word string, n bigint, m bigint"))
+    values = perplexity.word_values(words, 3)
+    p, _ = brute_model(lines, 3)
+    for r in values.collect():
+        framed = f" {r.word} "
+        expected = sum(math.log(p(framed[max(0, end - 3) : end])) for end in range(2, len(framed) + 1))
+        assert r.s0 / 1e9 == pytest.approx(expected, abs=1e-7), r.word
+    found = {r.doc_id: r for r in perplexity.score(docs.filter("lang is not null"), values, most).collect()}
+    by_word = {r.word: r.s0 for r in values.collect()}
+    assert len(found) == len(lines) + 1
+    assert found[9].log_perplexity == pytest.approx(-(by_word["naan"] + by_word["zzyx"] + by_word["?"]) / 1e9 / 12)
