@@ -4,8 +4,8 @@ A word of the model counts with the logarithm of its frequency in each language.
 n-grams of ``^word$`` that the model knows count with their mean log frequency, from ``ORDER`` characters down to one. The language with the highest sum
 wins, the first by code point among equals; the score is its share after exponentiation.
 
-A word or n-gram stays in the model of a language if it makes up at least ``languages / budget`` of its words or n-grams, so the model
-has at most ``budget`` words and ``budget`` n-grams per length over all languages: that bounds what is broadcast.
+Every counted word and n-gram of the labelled texts stays, in tables that are joined to the distinct words of all texts; the words'
+values are then summed by text (see :mod:`logloom.llm.wordsums`). What a language lacks counts half of the rarest item in any.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0. Without any labelled text everything is ``und``. Texts of
 unknown language are not learned from. Rows are independent; other columns are not looked at; an empty table gives an empty result.
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.text import slices
 from logloom.llm.words import word_counts
+from logloom.llm.wordsums import HELD_WORDS, SCALE, sums, whole
 from logloom.sources.durable import durable
 
 ORDER, BUDGET = 4, 1 << 18
@@ -88,15 +89,28 @@ class Model:
         return self.langs[best], float(1.0 / np.exp(total - total[best]).sum())
 
 
-def fit(labelled: DataFrame, order: int = ORDER, budget: int = BUDGET) -> Model:
-    """The model of all rows of ``labelled`` (``text``, ``lang``) whose language is known."""
-    words = durable(word_counts(labelled.filter("lang is not null"), letter_words), "words")
-    levels = [words.select("lang", F.lit(0).alias("k"), F.col("word").alias("item"), "n")]
+def spelled_words(words: DataFrame, order: int = ORDER) -> DataFrame:
+    """The rows of ``words`` with ``k`` and ``piece``, once for each n-gram of each length."""
     framed = F.when(F.col("k") == 1, F.col("word")).otherwise(F.concat(F.lit("^"), F.col("word"), F.lit("$")))
     places = F.expr("sequence(1, length(framed) - k + 1)")
-    spelt = words.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(order)))).select("lang", "n", "k", framed.alias("framed"))
+    spelt = words.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(order)))).withColumn("framed", framed)
     spelt = spelt.filter("length(framed) >= k").withColumn("at", F.explode(places))
-    grams = spelt.groupBy("lang", "k", F.expr("substring(framed, at, k)").alias("item")).agg(F.sum("n").alias("n"))
+    return spelt.withColumn("piece", F.expr("substring(framed, at, k)")).drop("framed", "at")
+
+
+def learned_grams(words: DataFrame, order: int = ORDER) -> DataFrame:
+    return spelled_words(words, order).groupBy("lang", "k", F.col("piece").alias("item")).agg(F.sum("n").alias("n"))
+
+
+def fit(labelled: DataFrame, order: int = ORDER, budget: int = BUDGET) -> Model:
+    """The model of all rows of ``labelled`` (``text``, ``lang``) whose language is known, to be held in one place.
+
+    A word or n-gram stays if it makes up at least ``languages / budget`` of its words or n-grams. No query uses it: they
+    take :func:`word_values`, which drops nothing.
+    """
+    words = durable(word_counts(labelled.filter("lang is not null"), letter_words), "words")
+    levels = [words.select("lang", F.lit(0).alias("k"), F.col("word").alias("item"), "n")]
+    grams = learned_grams(words, order)
     table = durable(levels[0].unionByName(grams), "items")
     totals = {(r["lang"], r["k"]): r["n"] for r in table.groupBy("lang", "k").agg(F.sum("n").alias("n")).collect()}
     langs = sorted({lang for lang, _ in totals})
@@ -144,6 +158,54 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def identify(docs: DataFrame, order: int = ORDER, budget: int = BUDGET) -> DataFrame:
-    """Predictions for all rows by a model of the rows that are not held out."""
-    return predict(docs, fit(docs.filter(~held_out()).select("text", "lang"), order, budget))
+def word_values(words: DataFrame, order: int = ORDER) -> tuple[list[str], DataFrame]:
+    """The languages, and ``lang, word, n, s0 ...`` with the log frequency of each word in each language in whole units.
+
+    ``words`` has ``lang, word, n``; those without a language are valued but not learned from. ``lang`` is empty in the
+    result. Unseen words of which no letter is known have no row. The driver gets one total per language and length.
+    """
+    learned = words.filter("lang is not null")
+    table = durable(learned.select("lang", F.lit(0).alias("k"), F.col("word").alias("item"), "n").unionByName(learned_grams(learned, order)), "items")
+    totals = {(r["lang"], r["k"]): r["n"] for r in table.groupBy("lang", "k").agg(F.sum("n").alias("n")).collect()}
+    langs = sorted({lang for lang, _ in totals})
+    if not langs:
+        return langs, words.select(F.lit("").alias("lang"), "word", "n").limit(0)
+    floors = [math.log(min(len(langs) / BUDGET, *(1 / totals[lang, k] for lang in langs if (lang, k) in totals))) - math.log(2) for k in range(order + 1)]
+    floor = F.get(F.array(*map(F.lit, floors)), F.col("k"))
+
+    def log_frequency(lang: str) -> Column:
+        total = F.get(F.array(*[F.lit(float(totals.get((lang, k), 1))) for k in range(order + 1)]), F.col("k"))
+        n = F.sum(F.when(F.col("lang") == lang, F.col("n")))
+        return F.coalesce(F.log(n / total), floor)
+
+    sums_of = [f"s{i}" for i in range(len(langs))]
+    vectors = durable(table.groupBy("k", "item").agg(*[log_frequency(lang).alias(s) for s, lang in zip(sums_of, langs)]), "vectors")
+    counts = durable(words.groupBy("word").agg(F.sum("n").alias("n"), F.max(F.col("lang").isNotNull()).alias("seen")), "counts")
+    seen = counts.filter("seen").join(vectors.filter("k = 0"), F.col("word") == F.col("item")).select("word", "n", *sums_of)
+    spelt = spelled_words(counts.filter("not seen").select("word", "n"), order).withColumnRenamed("k", "length")
+    met = spelt.join(vectors.filter("k > 0"), (F.col("length") == F.col("k")) & (F.col("piece") == F.col("item")))
+    means = met.groupBy("word", "k").agg(F.first("n").alias("n"), *[F.avg(s).alias(s) for s in sums_of])
+    unseen = means.groupBy("word").agg(F.first("n").alias("n"), F.max_by(F.struct(*sums_of), "k").alias("v")).select("word", "n", *[F.col(f"v.{s}") for s in sums_of])
+    valued = seen.unionByName(unseen).select(F.lit("").alias("lang"), "word", "n", *[whole(F.col(s)).alias(s) for s in sums_of])
+    return langs, durable(valued, "values")
+
+
+def describe(text: str) -> tuple[Counter, tuple[int]]:
+    words = letter_words(text)
+    return Counter(words), (len(words),)
+
+
+def identify(docs: DataFrame, order: int = ORDER, most: int = HELD_WORDS) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` for every row, by a model of the rows that are not held out."""
+    taught = docs.select("text", F.when(~held_out(), F.col("lang")).alias("lang"))
+    langs, values = word_values(durable(word_counts(taught, letter_words), "words"), order)
+    rows = docs.select("doc_id", held_out().alias("held_out"), "text", F.lit("").alias("lang"))
+    found = sums(rows, values, len(langs), describe, "n_words bigint", most)
+    if not langs:
+        return found.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    totals = F.array(*[F.col(f"s{i}") for i in range(len(langs))])
+    best = F.array_max(totals)
+    first = F.get(F.array(*map(F.lit, langs)), (F.array_position(totals, best) - 1).cast("int"))
+    share = 1 / F.aggregate(totals, F.lit(0.0), lambda sum, x: sum + F.exp((x - best) / SCALE))
+    some = F.col("n_words") > 0
+    return found.select("doc_id", "held_out", F.when(some, first).otherwise(UNKNOWN).alias("lang_pred"), F.when(some, share).otherwise(0.0).alias("score"))

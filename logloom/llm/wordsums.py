@@ -42,7 +42,7 @@ def frequent(values: DataFrame, width: int, most: int) -> Broadcast:
         found = values.filter(bucket >= least).select("lang", "word", *[f"s{i}" for i in range(width)]).toArrow()
         for row, (lang, word) in enumerate(zip(found["lang"].to_pylist(), found["word"].to_pylist())):
             rows.setdefault(lang, {})[word] = row
-        matrix = np.column_stack([found[f"s{i}"].to_numpy() for i in range(width)])
+        matrix = np.column_stack([np.zeros((found.num_rows, 0), np.int64), *[found[f"s{i}"].to_numpy() for i in range(width)]])
     return values.sparkSession.sparkContext.broadcast((rows, matrix))
 
 
@@ -87,13 +87,15 @@ def sums(docs: DataFrame, values: DataFrame, width: int, describe: Callable[[str
             row_id += len(told)
             rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(times, pa.int64())], ["word", "n"]))
             yield pa.RecordBatch.from_arrays(
-                [ids, *[batch[c] for c in carried], *[pa.array(column) for column in zip(*told)], *[pa.array(column) for column in np.array(totals).T], rest],
+                [ids, *[batch[c] for c in carried], *[pa.array(column) for column in zip(*told)], *[pa.array(column) for column in np.array(totals).T.copy()], rest],
                 names=["row_id", *carried, *[name for name, _ in made], *held, "rest"],
             )
 
     stored = durable(docs.mapInArrow(run, schema), "sums")
     rest = stored.select("row_id", F.col("lang").alias("lang_of"), F.explode("rest").alias("x")).select("row_id", "lang_of", F.col("x.word").alias("word_of"), F.col("x.n").alias("times"))
     met = rest.join(values, F.col("lang_of").eqNullSafe(F.col("lang")) & (F.col("word_of") == F.col("word")))
-    more = met.groupBy("row_id").agg(*[F.sum(F.col("times") * F.col(s)).alias(f"more_{s}") for s in held])
     names = [*carried, *[name for name, _ in made]]
+    if not width:
+        return stored.select(names)
+    more = met.groupBy("row_id").agg(*[F.sum(F.col("times") * F.col(s)).alias(f"more_{s}") for s in held])
     return stored.drop("rest").join(more, "row_id", "left").select(*names, *[(F.col(s) + F.coalesce(f"more_{s}", F.lit(0))).alias(s) for s in held])

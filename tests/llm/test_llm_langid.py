@@ -67,3 +67,25 @@ def test_messy_rows(spark):
     assert langid.identify(messy(spark, [])).count() == 0
     unknown = langid.identify(messy(spark, [(1, "some words", None, "a", 1)])).collect()
     assert [(r.lang_pred, r.score) for r in unknown] == [("und", 0.0)]
+
+
+@pytest.mark.parametrize("most", [0, 1 << 17])
+def test_a_rare_word_of_a_large_corpus_stays_known(spark, most):
+    # Seen once among 600,000 words: a threshold that grows with the corpus drops it and spells it by n-grams.
+    lines = [*TRAIN, (6, "the dog and the cat " * 120_000, "en"), (8, "hunder", "en")]
+    asked = [(i, "hunder", None) for i in range(100, 140)] + [(200, "cats", None)]
+    docs = spark.createDataFrame(lines + asked, "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r for r in langid.identify(docs, most=most).collect()}
+    assert len(found) == len(lines) + len(asked)
+    assert {found[i].lang_pred for i in range(100, 140)} == {"en"} and found[200].lang_pred == "en"
+
+
+def test_values_equal_the_model(spark):
+    train = spark.createDataFrame(TRAIN, "doc_id bigint, text string, lang string")
+    words = langid.word_counts(train, langid.letter_words).unionByName(spark.createDataFrame([(None, w, 1) for w in ("cats", "ß", "dogge")], "lang string, word string, n bigint"))
+    model, (langs, values) = langid.fit(train), langid.word_values(words)
+    found = {r.word: [r[f"s{i}"] / 1e9 for i in range(len(langs))] for r in values.collect()}
+    assert langs == model.langs and set(found) == set(model.tables[0]) | {"cats", "dogge"}
+    for word, value in found.items():
+        row = model.tables[0].get(word)
+        assert value == pytest.approx(model.unseen(word) if row is None else model.logs[0][row], abs=1e-8), word
