@@ -6,6 +6,8 @@ counted per host in Spark. Each page is then read again: the text of the host's
 page's own best container where no winning path occurs.
 
 Menus, headers, footers, sidebars, adverts, notices, forms, comments and the like are left out by tag, role or class, wherever they are.
+A class or id counts if one of its names begins or ends with a listed word ("with-sidebar" does not). What only a class, id or role
+names, and a form, stays if it holds most of the page's text and its heading, or nearly all text. If all text would be left out, it all stays.
 
 Defined cases: null or empty html gives an empty text. Pages without a host are a host of their own. A page without containers
 gives its body's text. Rows are independent but for the votes; other columns are not looked at; an empty table gives an empty result.
@@ -42,15 +44,23 @@ _CONTAINERS = frozenset("html body main article section div td center blockquote
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt table tr pre hr header footer nav aside form figure figcaption address details summary fieldset".split())
 _DROPPED = frozenset("nav header footer aside form button select option menu dialog head label fieldset figcaption".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+_LISTED = (
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice"
+    r"|pagination|popup|promo\w*|related|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)"
+)
 _WORDS = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice"
-    r"|pagination|popup|promo\w*|related|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[-_\s\d])",
+    rf"(?:^|\s)(?!(?:no|not|has|have|with|without|hide|show|is)[-_])(?:{_LISTED}(?:[-_\d]\S*)?|\S*[-_]{_LISTED}[-_]?\d*)(?:$|\s)",
     re.I,
 )
+#: A name that begins with a listed word and ends so is a frame around it.
+_AROUND = re.compile(r"(?:wrap|wrapper|layout|page)$", re.I)
 #: Whole-page frames say nothing about their content by their class.
 _FRAMES = frozenset("html body main".split())
 #: An article goes only by a class that says just this; "has-comments" is no reason.
 _NO_ARTICLE = frozenset("ad ads advert comment comments notice promo promoted related response sponsored".split())
+#: Never text, whatever else is left.
+_NEVER = frozenset("head button select option label".split())
+MOST, NEARLY_ALL = 0.5, 0.9
 _CLOSES_P = _BLOCKS - frozenset(("html", "body"))
 
 
@@ -71,20 +81,30 @@ def _step(tag: str, named: dict[str, str]) -> str:
     return ".".join([tag, *classes])
 
 
-def _boilerplate(tag: str, named: dict[str, str]) -> bool:
+def _listed(names: str) -> bool:
+    return any(_WORDS.search(name) and not _AROUND.search(name) for name in names.split())
+
+
+def _boilerplate(tag: str, named: dict[str, str]) -> str:
+    """How an element is left out: ``never`` text, ``tag``, or by its ``name``, which its text may outweigh; empty for content."""
+    if tag in _NEVER:
+        return "never"
     if tag in _DROPPED:
-        return True
+        return "name" if tag == "form" else "tag"
     if not named or tag in _FRAMES:
-        return False
+        return ""
     if tag == "article":
-        return not _NO_ARTICLE.isdisjoint(named.get("class", "").lower().split())
-    return named.get("role", "").lower() in _ROLES or bool(_WORDS.search(named.get("class", "")) or _WORDS.search(named.get("id", "")))
+        return "name" if not _NO_ARTICLE.isdisjoint(named.get("class", "").lower().split()) else ""
+    return "name" if named.get("role", "").lower() in _ROLES or _listed(named.get("class", "")) or _listed(named.get("id", "")) else ""
 
 
 def parse(source: str) -> Page:
     page = Page([("", -1)])
-    # Open elements: tag, container, dropped, inside a link.
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    # What may be left out: how, what is around it, characters outside links, whether it holds the heading.
+    drops: list[list] = [["", -1, 0, False]]
+    of_block: list[int] = []
+    # Open elements: tag, container, what it is left out with, inside a link.
+    stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
     parts: list[str] = []
     linked = 0
     at = 0
@@ -95,12 +115,14 @@ def parse(source: str) -> Page:
             raw = "".join(parts)
             if raw and not raw.isspace():
                 page.blocks.append((stack[-1][1], raw, len(raw), linked))
+                of_block.append(stack[-1][2])
+                drops[stack[-1][2]][2] += len(raw) - linked
             parts.clear()
             linked = 0
 
     for token in _TOKEN.finditer(source):
         start = token.start()
-        if start > at and not stack[-1][2]:
+        if start > at and drops[stack[-1][2]][0] != "never":
             parts.append(source[at:start])
             if stack[-1][3]:
                 linked += start - at
@@ -117,6 +139,8 @@ def parse(source: str) -> Page:
                     del stack[depth:]
                     break
             continue
+        if tag in ("h1", "main"):
+            drops[stack[-1][2]][3] = True
         if tag == "br":
             parts.append(" ")
             continue
@@ -135,13 +159,34 @@ def parse(source: str) -> Page:
         if tag in _CONTAINERS:
             page.containers.append((f"{page.containers[container][0]}/{_step(tag, named)}", container))
             container = len(page.containers) - 1
-        stack.append((tag, container, dropped or _boilerplate(tag, named), inside or tag == "a"))
-    if at < len(source) and not stack[-1][2]:
+        if (how := _boilerplate(tag, named)) and drops[dropped][0] != "never":
+            drops.append([how, dropped, 0, False])
+            dropped = len(drops) - 1
+        stack.append((tag, container, dropped, inside or tag == "a"))
+    if at < len(source) and drops[stack[-1][2]][0] != "never":
         parts.append(source[at:])
     flush()
+    left = _left_out(drops)
+    if not all(left[drop] for drop in of_block):
+        page.blocks = [block for block, drop in zip(page.blocks, of_block) if not left[drop]]
     return page
 
 
+def _left_out(drops: list[list]) -> list[bool]:
+    """Whether the text directly in each of ``drops`` is left out. Text that its tag leaves out has no weight."""
+    for at in range(len(drops) - 1, 0, -1):
+        how, around, chars, heading = drops[at]
+        if how == "name":
+            drops[around][2] += chars
+            drops[around][3] |= heading
+    whole = drops[0][2]
+    left = [False]
+    for how, around, chars, heading in drops[1:]:
+        stays = how == "name" and chars > (MOST if heading else NEARLY_ALL) * whole
+        left.append(left[around] or not stays)
+    return left
+
+
 def _close_implied(stack: list[tuple[str, int, bool, bool]], tag: str) -> None:
     """An open paragraph ends where a block begins, an open list item where the next one does."""
     closed = {"li": ("li", "p"), "tr": ("tr", "p"), "dd": ("dd", "dt", "p"), "dt": ("dd", "dt", "p")}.get(tag, ("p", "h1", "h2", "h3", "h4", "h5", "h6"))

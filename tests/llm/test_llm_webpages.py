@@ -82,3 +82,18 @@ def test_messy_rows(spark):
     found = sorted(map(tuple, webpages.extract(table).collect()), key=repr)
     assert [(r[0], r[2], r[3]) for r in found if r[0] != 4] == sorted([(1, "", 0), (2, "x", 1), (None, "y", 1), (3, "", 0), (3, "", 0)], key=repr)
     assert webpages.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "frame",
+    ["<div class='content with-sidebar'>", "<div class='content-sidebar-wrap'>", "<div class='no-sidebar main'>", "<div class='layout has-comments'>", "<div class='elementor-widget-text'>",
+     "<form action=/>", "<div class='widget'>", "<div id=page-header>"],
+)
+def test_a_frame_named_like_boilerplate_keeps_its_article(frame):
+    source = f"<body><nav><a href=/>Home</a></nav>{frame}<h1>Title</h1><p>The long text of the article.</p><div class=sidebar><p>Aside.</p></div>"
+    assert webpages.main_text(source, []) == "Title\nThe long text of the article."
+
+
+def test_text_is_never_lost_as_a_whole():
+    assert webpages.main_text("<body><div class=sidebar><p>one</p></div><div class=widget><p>two</p></div>", []) == "one\ntwo"
+    assert webpages.main_text("<body><aside><p>all there is</p></aside>", []) == "all there is"
