@@ -5,6 +5,8 @@ around. The page votes for the generalised path of its best container: tags with
 counted per host in Spark. Each page is then read again: the text of the host's winning path, in order of votes, or of the
 page's own best container where no winning path occurs.
 
+From its best container a page moves up to the container around as long as that adds text of which little is links, up to an article.
+
 Menus, headers, footers, sidebars, adverts, notices, forms, comments and the like are left out by tag, role or class, wherever they are.
 A class or id counts if one of its names begins or ends with a listed word ("with-sidebar" does not). What only a class, id or role
 names, and a form, stays if it holds most of the page's text and its heading, or nearly all text. If all text would be left out, it all stays.
@@ -60,7 +62,9 @@ _FRAMES = frozenset("html body main".split())
 _NO_ARTICLE = frozenset("ad ads advert comment comments notice promo promoted related response sponsored".split())
 #: Never text, whatever else is left.
 _NEVER = frozenset("head button select option label".split())
-MOST, NEARLY_ALL = 0.5, 0.9
+#: Where moving up ends.
+_UNITS = frozenset("article main body html".split())
+MAX_LINK_SHARE, MOST, NEARLY_ALL = 0.3, 0.5, 0.9
 _CLOSES_P = _BLOCKS - frozenset(("html", "body"))
 
 
@@ -200,7 +204,8 @@ def _close_implied(stack: list[tuple[str, int, bool, bool]], tag: str) -> None:
 
 
 def best_container(page: Page) -> int:
-    """The container with the most text of its own blocks and half of the text one level below; the first among equals."""
+    """The container with the most text of its own blocks and half of the text one level below, the first among equals, or a container
+    around it that adds text of which little is links."""
     scores = [0.0] * len(page.containers)
     for container, _, chars, linked in page.blocks:
         worth = chars - 2 * linked
@@ -208,7 +213,27 @@ def best_container(page: Page) -> int:
         parent = page.containers[container][1]
         if parent >= 0:
             scores[parent] += worth / 2
-    return max(range(len(scores)), key=lambda i: (scores[i], -i))
+    best = max(range(len(scores)), key=lambda i: (scores[i], -i))
+    chars_in, linked_in = [0] * len(scores), [0] * len(scores)
+    for container, _, chars, linked in page.blocks:
+        chars_in[container] += chars
+        linked_in[container] += linked
+    for i in range(len(scores) - 1, 0, -1):
+        parent = page.containers[i][1]
+        chars_in[parent] += chars_in[i]
+        linked_in[parent] += linked_in[i]
+
+    def tag(i: int) -> str:
+        return page.containers[i][0].rsplit("/", 1)[-1].split(".", 1)[0]
+
+    above = best
+    while tag(above) not in _UNITS and (above := page.containers[above][1]) > 0 and tag(above) not in ("body", "html"):
+        added, links = chars_in[above] - chars_in[best], linked_in[above] - linked_in[best]
+        if added and links > MAX_LINK_SHARE * added:
+            break
+        if added:
+            best = above
+    return best
 
 
 def text_of(page: Page, roots: set[int]) -> str:

@@ -97,3 +97,14 @@ def test_a_frame_named_like_boilerplate_keeps_its_article(frame):
 def test_text_is_never_lost_as_a_whole():
     assert webpages.main_text("<body><div class=sidebar><p>one</p></div><div class=widget><p>two</p></div>", []) == "one\ntwo"
     assert webpages.main_text("<body><aside><p>all there is</p></aside>", []) == "all there is"
+
+
+def test_title_lead_and_smaller_sections_stay_with_the_body(spark):
+    long = "A long sentence of the body of this article. " * 9
+    page = "<body><div class=menu-box><a href=/>Home and more</a></div><article><h1>Title</h1><p class=lead>Lead.</p><div class=body><p>{}</p></div></article></body>"
+    two = "<body><article><h1>T</h1><section class=a><p>Short part.</p></section><section class=b><p>{}</p></section></article></body>"
+    pages = [(i, f"http://{host}/{i}", html.format(long + str(i))) for host, html in (("one", page), ("two", two)) for i in range(3)]
+    found = {(r.url[7:10], r.page_id): r.text for r in webpages.extract(spark.createDataFrame(pages, SCHEMA)).collect()}
+    assert all(found["one", i] == f"Title\nLead.\n{long}{i}" and found["two", i] == f"T\nShort part.\n{long}{i}" for i in range(3))
+    linked = "<div><div class=x><p>Some words of the text.</p></div><p><a href=1>Another page of this site</a></p></div>"
+    assert webpages.main_text(linked, []) == "Some words of the text."
