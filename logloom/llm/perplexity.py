@@ -390,27 +390,34 @@ def _log(value: Column | str) -> Column:
 def word_values(words: DataFrame, order: int = ORDER) -> DataFrame:
     """``lang, word, n, s0``: the log probability of every word (see :func:`learned_words`) in whole units, from the model of the learned ones."""
     spelt = word_grams(words, order)
-    grams = durable(spelt.groupBy("lang", "gram").agg(F.sum("m").alias("n")), "spelt")
-    model, unseen = fit_table(grams.filter("n > 0"), order)
+    grams = durable(spelt.groupBy("lang", "gram").agg(F.sum("m").alias("m"), F.count(F.lit(1)).alias("n")), "spelt")
+    model, unseen = fit_table(grams.filter("m > 0").select("lang", "gram", F.col("m").alias("n")), order)
     # A learned n-gram is in the model itself; of the others each ending is sought, and its context.
-    direct = grams.filter("n > 0").join(model.withColumnsRenamed({"lang": "lang_m", "gram": "gram_m"}), F.col("lang").eqNullSafe(F.col("lang_m")) & (F.col("gram") == F.col("gram_m")))
-    direct = direct.select("lang", "gram", "log_p")
-    endings = grams.filter("n = 0").select("lang", "gram", F.explode(F.sequence(F.lit(1), F.length("gram"))).alias("at"))
+    direct = grams.filter("m > 0").join(model.withColumnsRenamed({"lang": "lang_m", "gram": "gram_m"}), F.col("lang").eqNullSafe(F.col("lang_m")) & (F.col("gram") == F.col("gram_m")))
+    direct = direct.select("lang", "gram", "n", "log_p")
+    endings = grams.filter("m = 0").select("lang", "gram", "n", F.explode(F.sequence(F.lit(1), F.length("gram"))).alias("at"))
     ending = F.expr("substring(gram, at)")
     sought = endings.withColumn("part", F.explode(F.array(F.struct(ending.alias("key"), F.lit(True).alias("own")), F.struct(F.expr("substring(gram, at, length(gram) - at)").alias("key"), F.lit(False).alias("own")))))
-    sought = sought.select(F.col("lang").alias("lang_s"), F.col("gram").alias("gram_s"), "at", "part.key", "part.own")
+    sought = sought.select(F.col("lang").alias("lang_s"), F.col("gram").alias("gram_s"), F.col("n").alias("n_s"), "at", "part.key", "part.own")
     met = sought.join(model, F.col("lang_s").eqNullSafe(F.col("lang")) & (F.col("key") == F.col("gram")), "left")
     steps = met.groupBy("lang_s", "gram_s").agg(
+        F.first("n_s").alias("n"),
         F.min(F.when(F.col("own") & F.col("log_p").isNotNull(), F.struct("at", "log_p"))).alias("hit"),
         F.collect_list(F.when(~F.col("own") & F.col("log_gamma").isNotNull(), F.struct("at", "log_gamma"))).alias("contexts"),
     )
     passed = F.aggregate("contexts", F.lit(0.0), lambda sum, x: sum + F.when(F.col("hit").isNull() | (x["at"] < F.col("hit.at")), x["log_gamma"]).otherwise(0.0))
     # One row per language.
     backed = steps.join(F.broadcast(unseen), F.col("lang_s").eqNullSafe(F.col("lang_of")))
-    backed = backed.select(F.col("lang_s").alias("lang"), F.col("gram_s").alias("gram"), (passed + F.coalesce("hit.log_p", "log_unseen")).alias("log_p"))
-    valued = durable(direct.unionByName(backed).select(F.col("lang").alias("lang_v"), F.col("gram").alias("gram_v"), whole(F.col("log_p")).alias("s0")), "valued")
-    met = spelt.join(valued, F.col("lang").eqNullSafe(F.col("lang_v")) & (F.col("gram") == F.col("gram_v")))
-    return durable(met.groupBy("lang", "word").agg(F.first("n").alias("n"), F.sum("s0").alias("s0")), "values")
+    backed = backed.select(F.col("lang_s").alias("lang"), F.col("gram_s").alias("gram"), "n", (passed + F.coalesce("hit.log_p", "log_unseen")).alias("log_p"))
+    valued = durable(direct.unionByName(backed).select("lang", F.col("gram").alias("word"), "n", whole(F.col("log_p")).alias("s0")), "valued")
+
+    def spell(word: str) -> tuple[Counter, tuple[int]]:
+        framed = f" {word} "
+        return Counter([framed[max(0, end - order) : end] for end in range(2, len(framed) + 1)]), (len(word),)
+
+    # Words are summed over n-grams as texts are over words: only rare n-grams are moved.
+    found = sums(words.select("lang", "word", "n", F.col("word").alias("text")), valued, 1, spell, "word_chars bigint")
+    return durable(found.select("lang", "word", "n", "s0"), "values")
 
 
 def describe(text: str) -> tuple[Counter, tuple[int, ...]]:
