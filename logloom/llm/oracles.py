@@ -69,4 +69,123 @@ SELECT d.doc_id, count(*) AS n_lines, count(*) - count(k.at) AS n_removed,
 FROM lines d LEFT JOIN kept k ON k.doc_id = d.doc_id AND k.at = d.at GROUP BY d.doc_id
 """
 
-ORACLES = {"op1_line_dedup": OP1, "op4_embedding_near_dedup": OP4, "op5_substring_dedup": OP5}
+# CRC-32 from its definition: the table by eight shifts of every byte, then one step per byte.
+CRC = r"""
+RECURSIVE steps(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END FROM steps WHERE k < 8
+),
+crc AS (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8)
+"""
+
+
+def _crc(column: str) -> str:
+    """CRC-32 of a text column, in a query that reads the table ``crc``."""
+    byte = f"list_transform(regexp_extract_all(hex(encode({column})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(4294967295, list_reduce({byte}, lambda s, x: xor(s >> 8, t[xor(s & 255, x) + 1]), 4294967295))"
+
+
+OP11 = f"""
+WITH {CRC},
+docs AS (
+  SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS name, strlen(coalesce(text, '')) + 1 AS size,
+         {_crc("coalesce(text, '')")} AS text_crc32 FROM documents, crc
+),
+bids AS (
+  SELECT name, s, -ln((('0x' || substr(md5(name || ':' || s), 1, 13))::BIGINT + 0.5) / 4503599627370496) AS bid
+  FROM (SELECT DISTINCT name FROM docs), range(17) r(s)
+),
+won AS (
+  SELECT name, arg_min(s, (bid, s)) FILTER (s < 16)::INT AS shard, arg_min(s, (bid, s))::INT AS grown_shard FROM bids GROUP BY name
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (
+    PARTITION BY shard ORDER BY ('0x' || substr(md5(name || ':' || text_crc32), 1, 13))::BIGINT, doc_id NULLS FIRST, text_crc32, size
+  ) - 1 AS slot, grown_shard
+FROM docs JOIN won USING (name)
+"""
+
+# The pieces, words and limits of the contract.
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+cut AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+words AS (SELECT lang, id, unnest(ws) AS w1, generate_subscripts(ws, 1) AS place FROM cut),
+runs AS (
+  SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4, lead(w1, 4) OVER p AS w5
+  FROM words WINDOW p AS (PARTITION BY id ORDER BY place)
+),
+grams AS (
+  SELECT lang, 1 AS k, w1 AS phrase FROM runs
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs WHERE w4 IS NOT NULL
+  UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM runs WHERE w5 IS NOT NULL
+),
+counts AS (SELECT lang, phrase, k, count(*) AS a FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, sum(a)::HUGEINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, k, a, string_split(phrase, ' ') AS ws FROM counts WHERE k > 1 AND a >= 100),
+inner_parts AS (
+  SELECT c.lang, array_to_string(c.ws[i:j], ' ') AS phrase, max(c.a) AS longer FROM candidates c, range(1, 6) r(i), range(1, 6) q(j)
+  WHERE j > i AND j <= c.k AND j - i + 1 < c.k GROUP BY ALL
+),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, h, array_to_string(c.ws[1:h], ' ') AS head, array_to_string(c.ws[h + 1:c.k], ' ') AS tail FROM candidates c, range(1, 5) r(h) WHERE h < c.k
+),
+valued AS (
+  SELECT x.lang, x.phrase, x.a, x.h, f.a AS l, g.a AS r, n, (1000::HUGEINT * x.a * n) // (f.a::HUGEINT * g.a) AS score
+  FROM cuts x JOIN counts f ON f.lang = x.lang AND f.phrase = x.head JOIN counts g ON g.lang = x.lang AND g.phrase = x.tail JOIN sizes s ON s.lang = x.lang
+),
+best AS (SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, h) = 1),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, encode(b.phrase)) AS rank
+  FROM best b LEFT JOIN inner_parts i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.longer IS NULL OR 100 * i.longer < 100 * b.a
+)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+OP13 = f"""
+WITH {CRC},
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT conv_id, {_crc("conv_id::VARCHAR")} % 9 AS h, conv_id - conv_id % 5 AS base FROM (SELECT DISTINCT conv_id FROM turns), crc),
+parts AS (
+  SELECT c.conv_id, 0 AS half, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.base WHERE place <= h
+  UNION ALL SELECT c.conv_id, 1, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id WHERE place > h
+),
+rebuilt AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY half, place) AS depth, md5(md5(role) || md5(text)) AS turn, strlen(text) AS size FROM parts),
+paths AS (
+  SELECT conv_id, depth, md5(string_agg(turn, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key, size FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 'root', 0 FROM convs
+),
+marked AS (
+  SELECT *, lag(key) OVER w AS parent, lead(depth) OVER w IS NULL AS last FROM paths WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+),
+nodes AS (
+  SELECT key, depth, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256 FROM marked GROUP BY key, depth
+),
+children AS (SELECT parent AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+around AS (SELECT DISTINCT n.key, n.depth, p.key AS top, n.n_convs, n.size FROM nodes n JOIN paths o ON o.key = n.key AND o.conv_id = n.conv_id JOIN paths p ON p.conv_id = o.conv_id AND p.depth <= o.depth),
+below AS (
+  SELECT top AS key, count(*) FILTER (c.key IS NULL) AS n_leaves, sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+  FROM around a LEFT JOIN children c ON c.key = a.key GROUP BY top
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN below USING (key) LEFT JOIN children USING (key) LEFT JOIN nodes p ON p.key = n.parent
+"""
+
+ORACLES = {
+    "op1_line_dedup": OP1,
+    "op4_embedding_near_dedup": OP4,
+    "op5_substring_dedup": OP5,
+    "op11_sharding": OP11,
+    "op12_phrase_mining": OP12,
+    "op13_prefix_trie": OP13,
+}

@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import capfilters, langid, linededup, mixing, oracles, perplexity, pieces, secretscan, simhash, substrings, webpages
+from logloom.llm import capfilters, langid, linededup, mixing, oracles, perplexity, phrases, pieces, prefixtrie, secretscan, sharding, simhash
+from logloom.llm import substrings, webpages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +59,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -69,6 +82,9 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
+    "op11_sharding": op11_sharding,
+    "op12_phrase_mining": op12_phrase_mining,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
