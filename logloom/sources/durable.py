@@ -43,6 +43,21 @@ def _delete(spark: SparkSession, name: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Spark's setting to remove the shuffle files of a query when it ends. A stored table needs none of them any more.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside the block leave no shuffle files on the executors' disks."""
+    before = spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(RELEASE, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -70,7 +85,8 @@ def durable(table: DataFrame, name: str = "table") -> DataFrame:
     """The same rows, computed once and read from a parquet table in the shared folder from then on."""
     spark = table.sparkSession
     path = scratch_path(spark, name)
-    table.write.parquet(path)
+    with shuffles_released(spark):
+        table.write.parquet(path)
     if (paths := _tables_of_job.get()) is not None:
         paths.append(path)
     return spark.read.schema(table.schema).parquet(path)
