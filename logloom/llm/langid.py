@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from logloom.llm.text import slices
 from logloom.llm.words import word_counts
 from logloom.llm.wordsums import HELD_WORDS, SCALE, sums, whole
-from logloom.sources.durable import durable
+from logloom.sources.durable import discard, durable
 
 ORDER, BUDGET = 4, 1 << 18
 UNKNOWN = "und"
@@ -179,6 +179,7 @@ def word_values(words: DataFrame, order: int = ORDER) -> tuple[list[str], DataFr
         return F.coalesce(F.log(n / total), floor)
 
     sums_of = [f"s{i}" for i in range(len(langs))]
+    # Stored tables go as soon as the values are there: at any time at most a few of them use disk.
     vectors = durable(table.groupBy("k", "item").agg(*[log_frequency(lang).alias(s) for s, lang in zip(sums_of, langs)]), "vectors")
     counts = durable(words.groupBy("word").agg(F.sum("n").alias("n"), F.max(F.col("lang").isNotNull()).alias("seen")), "counts")
     seen = counts.filter("seen").join(vectors.filter("k = 0"), F.col("word") == F.col("item")).select("word", "n", *sums_of)
@@ -187,7 +188,10 @@ def word_values(words: DataFrame, order: int = ORDER) -> tuple[list[str], DataFr
     means = met.groupBy("word", "k").agg(F.first("n").alias("n"), *[F.avg(s).alias(s) for s in sums_of])
     unseen = means.groupBy("word").agg(F.first("n").alias("n"), F.max_by(F.struct(*sums_of), "k").alias("v")).select("word", "n", *[F.col(f"v.{s}") for s in sums_of])
     valued = seen.unionByName(unseen).select(F.lit("").alias("lang"), "word", "n", *[whole(F.col(s)).alias(s) for s in sums_of])
-    return langs, durable(valued, "values")
+    valued = durable(valued, "values")
+    for read in (table, vectors, counts):
+        discard(read)
+    return langs, valued
 
 
 def describe(text: str) -> tuple[Counter, tuple[int]]:
@@ -198,7 +202,10 @@ def describe(text: str) -> tuple[Counter, tuple[int]]:
 def identify(docs: DataFrame, order: int = ORDER, most: int = HELD_WORDS) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row, by a model of the rows that are not held out."""
     taught = docs.select("text", F.when(~held_out(), F.col("lang")).alias("lang"))
-    langs, values = word_values(durable(word_counts(taught, letter_words), "words"), order)
+    words = durable(word_counts(taught, letter_words), "words")
+    langs, values = word_values(words, order)
+    if langs:
+        discard(words)
     rows = docs.select("doc_id", held_out().alias("held_out"), "text", F.lit("").alias("lang"))
     found = sums(rows, values, len(langs), describe, "n_words bigint", most)
     if not langs:
