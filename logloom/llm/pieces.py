@@ -23,11 +23,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from logloom.llm.text import slices
+from logloom.llm.text import sized_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHED_WORDS, ROWS = 100_000, 512
+CACHED_WORDS, BATCH_BYTES = 250_000, 8 << 20
 UNIGRAM, BPE = 1, 2
 NORMAL, BYTE = 1, 6
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -214,6 +214,32 @@ def marked_words(text: str) -> list[str]:
     return _WORDS.findall(MARK + text.replace(" ", MARK))
 
 
+class RecentWords:
+    """Remembers the last ``most`` to ``2 * most`` distinct words asked for.
+
+    Words move to the younger of two halves whenever they are asked for; when that is full the older half is forgotten. Frequent
+    words stay, rare ones pass through.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def unknown(self, words: set[str]) -> list[str]:
+        """The words not remembered; the others are now in the younger half."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        new = []
+        for word in words.difference(self.young):
+            found = self.old.get(word)
+            if found is None:
+                new.append(word)
+            else:
+                self.young[word] = found
+        return new
+
+
 def byte_table(pieces: Pieces) -> list[bytes]:
     """What each id stands for."""
     table = [name.encode() for name in pieces.names]
@@ -239,20 +265,22 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(*shared.value)
-        cache: dict[str, bytes] = {}
+        seen = RecentWords(CACHED_WORDS)
         apart: dict[tuple[str, str], bool] = {}
+        inexact: set[str] = set()
         root, table = trie(pieces), byte_table(pieces)
-        for batch in slices(batches, ROWS):
+        for batch in sized_slices(batches, "text", BATCH_BYTES):
             texts = [text or "" for text in batch["text"].to_pylist()]
             words = [marked_words(text) for text in texts]
-            if len(cache) > CACHED_WORDS:
-                cache.clear()
-            if len(apart) > CACHED_WORDS:
+            if len(apart) > 4 * CACHED_WORDS:
                 apart.clear()
-            new = set().union(*words).difference(cache)
-            cache.update((word, np.array(ids, np.int32).tobytes()) for word, ids in encode_words(new, pieces, root, apart))
-            ids = [np.frombuffer(b"".join(map(cache.__getitem__, own)), np.int32) for own in words]
-            same = [decode(own.tolist(), table) == text for own, text in zip(ids, texts)]
+            for word, ids in encode_words(seen.unknown(set().union(*words)), pieces, root, apart):
+                seen.young[word] = np.array(ids, np.int32).tobytes()
+                # Words in a row are the marked text, so a text comes back if all of its words do.
+                if b"".join([table[i] for i in ids]) != word.encode("utf-8", "surrogatepass"):
+                    inexact.add(word)
+            ids = [np.frombuffer(b"".join(map(seen.young.__getitem__, own)), np.int32) for own in words]
+            same = [MARK not in text and inexact.isdisjoint(own) for text, own in zip(texts, words)]
             lengths = np.array([len(own) for own in ids], np.int64)
             offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
             values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))

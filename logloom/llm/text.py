@@ -2,7 +2,9 @@
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,18 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
             yield batch.slice(start, rows)
 
 
+def sized_slices(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of one row or of up to ``size`` bytes in a text column."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 of every text; null counts as empty."""
     return [text or b"" for text in column.cast(pa.binary()).to_pylist()]
