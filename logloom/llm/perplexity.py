@@ -306,9 +306,10 @@ def _backed(gram: str, tables: list[dict[str, float]], own: dict[str, float], un
 
 def statistics(text: str) -> tuple[list[bytes], int, int, int, int]:
     """Words, code points in words, symbols, repeated lines, and words in windows of five that occur twice."""
-    words = text.encode().split()
-    word_chars = len(text) - sum(text.count(c) for c in BLANKS)
-    symbols = sum(text.count(c) for c in SYMBOLS)
+    data = text.encode()
+    words = data.split()
+    word_chars = len(text) - len(data) + len(data.translate(None, BLANKS.encode()))
+    symbols = len(data) - len(data.translate(None, SYMBOLS.encode()))
     seen: set[str] = set()
     repeated = 0
     if "\n" in text:
@@ -325,7 +326,17 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     if n < 2:
         return 0
     names = {word: i for i, word in enumerate(dict.fromkeys(words))}
+    if len(names) == len(words):
+        return 0
     ids = np.fromiter(map(names.__getitem__, words), np.int64, len(words))
+    # Equal windows have equal sums, so without equal sums there are none; most texts end here.
+    sums = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for offset in range(window):
+            sums = sums * _BASE + ids[offset : offset + n].astype(np.uint64)
+    sums.sort()
+    if not (sums[1:] == sums[:-1]).any():
+        return 0
     code = np.zeros(n, np.int64)
     for offset in range(window):  # ranks of ever longer runs, so that codes stay small and exact
         code = np.unique(code * len(names) + ids[offset : offset + n], return_inverse=True)[1]
