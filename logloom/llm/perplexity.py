@@ -1,9 +1,9 @@
 """Quality rules: word statistics of a text and its perplexity under a modified Kneser-Ney n-gram model of its language.
 
 The model is over the characters of a word, each word framed by one blank, so a word's probability does not depend
-on its neighbours and equal words are scored once. Spark counts the n-grams of all trusted texts. Every counted n-gram stays, in
-a table that is never held in one place: it is joined to the distinct n-grams of all words, these to the words, and the words
-to the texts (see :mod:`logloom.llm.wordsums`).
+on its neighbours and equal words are scored once. Spark counts the n-grams of all trusted texts. Every counted n-gram stays: the model
+is a table of sorted hash arrays, one row per shard, and the distinct n-grams of all words are sent to their shards and found by binary search. Values
+of n-grams are summed over the distinct words, values of words over the texts, block by block (see :mod:`logloom.llm.itemblocks`).
 
 Models and bands are learned from trusted texts only: those that pass the base rules and have at most one symbol in ten words.
 A model that has seen the noise finds it likely. A language without a trusted text learns from all its texts.
@@ -18,7 +18,6 @@ null. Columns other than ``doc_id``, ``text`` and ``lang`` are not looked at. An
 
 import math
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.text import slices
-from logloom.llm.words import HELD, partial_counts
-from logloom.llm.wordsums import HELD_WORDS, SCALE, sums, whole
-from logloom.sources.durable import durable
+from logloom.llm import itemblocks
+from logloom.llm.itemblocks import BLOCK_ITEMS, Counted
+from logloom.llm.words import partial_counts
+from logloom.llm.wordsums import SCALE, whole
+from logloom.sources.durable import discard, durable
 
 ORDER, BUDGET = 5, 1 << 18
 SPREAD, SLACK = 6.0, 4.0
@@ -38,6 +38,8 @@ BLANKS = " \t\n\v\f\r"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: Symbols per hundred words that a trusted text may have.
 TRUSTED_SYMBOLS = 10
+#: N-grams in a shard of the model.
+SHARD_GRAMS = 1 << 17
 #: Log-perplexities are counted in bins of this width to find quartiles.
 BIN = 0.01
 
@@ -132,44 +134,23 @@ def trusted(n_words: int, n_symbols: int, n_repeat_words: int) -> bool:
     return n_words >= MIN_WORDS and 100 * n_repeat_words <= MAX_REPEAT_PERCENT * n_words and 100 * n_symbols <= TRUSTED_SYMBOLS * n_words
 
 
+def text_blocks(docs: DataFrame, size: int = BLOCK_ITEMS) -> DataFrame:
+    """Texts as blocks of counted words (see :mod:`logloom.llm.itemblocks`); words of trusted texts weigh 1, others 0."""
+    keyed = docs.select("doc_id", "text", "lang", F.xxhash64("text", F.lit(1)).alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"))
+    return itemblocks.cut(keyed, describe, FIGURES, None, size)
+
+
 def learned_words(docs: DataFrame) -> DataFrame:
-    """``lang, word, n, m``: how often a word is in all texts, and in those that models learn from.
+    """``lang, word, n, m``: how often a word is in all texts, and in those that models learn from."""
+    return taught_words(text_blocks(docs))
 
-    These are the trusted texts, or all texts of a language that has none.
-    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str | None, tuple[Counter, Counter]] = {}
-        for batch in slices(batches):
-            for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
-                if text:
-                    words, _, symbols, _, again = statistics(text)
-                    every, fine = held.setdefault(lang, (Counter(), Counter()))
-                    every.update(words)
-                    if trusted(len(words), symbols, again):
-                        fine.update(words)
-            if sum(len(every) for every, _ in held.values()) >= HELD:
-                yield from handed(held)
-                held.clear()
-        yield from handed(held)
-
-    def handed(held: dict[str | None, tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
-        for lang, (every, fine) in held.items():
-            names = list(every)
-            for start in range(0, len(names), 50_000):
-                part = names[start : start + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(part), pa.string()),
-                        pa.array([w.decode() for w in part], pa.string()),
-                        pa.array([every[w] for w in part], pa.int64()),
-                        pa.array([fine[w] for w in part], pa.int64()),
-                    ],
-                    names=["lang", "word", "n", "m"],
-                )
+def taught_words(blocks: DataFrame) -> DataFrame:
+    """:func:`learned_words` from blocks of texts.
 
-    counted = docs.select("text", "lang").mapInArrow(count, "lang string, word string, n bigint, m bigint")
-    words = durable(counted.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "words")
+    Models learn from the trusted texts, or from all texts of a language that has none.
+    """
+    words = durable(itemblocks.counts_of(blocks).withColumnRenamed("item", "word"), "words")
     # One row per language.
     untaught = F.lit(False)
     for row in words.groupBy("lang").agg(F.sum("m").alias("m")).filter("m = 0").collect():
@@ -358,7 +339,7 @@ def fit_table(grams: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFram
     table = levels[0]
     for level in levels[1:]:
         table = table.unionByName(level)
-    table = durable(table, "levels")
+    table = counted = durable(table, "levels")
     ranks: dict[tuple, dict[int, int]] = {}
     for r in table.filter("c <= 4").groupBy("lang", "k", "c").count().collect():
         ranks.setdefault((r["lang"], r["k"]), {})[r["c"]] = r["count"]
@@ -380,67 +361,125 @@ def fit_table(grams: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFram
         return owned.filter(F.col("k") == k).join(x, F.col("lang").eqNullSafe(F.col("lang_x")) & (F.col("context") == F.col("context_x")))
 
     shorter = durable(of(1).select("lang", "gram", (F.col("own") / F.col("total") + F.col("gamma") * F.col("uniform")).alias("p")), "grams")
-    table = shorter
+    table, stored = shorter, [shorter]
     for k in range(2, order + 1):
         tails = shorter.select(F.col("lang").alias("lang_t"), F.col("gram").alias("tail"), F.col("p").alias("p_tail"))
         met = of(k).join(tails, F.col("lang").eqNullSafe(F.col("lang_t")) & (F.expr("substring(gram, 2, k - 1)") == F.col("tail")))
         shorter = durable(met.select("lang", "gram", (F.col("own") / F.col("total") + F.col("gamma") * F.col("p_tail")).alias("p")), "grams")
+        stored.append(shorter)
         table = table.unionByName(shorter)
     weights = totals.filter("k > 1").select(F.col("lang").alias("lang_x"), F.col("context").alias("context_x"), "gamma")
     model = table.join(weights, F.col("lang").eqNullSafe(F.col("lang_x")) & (F.col("gram") == F.col("context_x")), "left").select(
         "lang", "gram", _log("p").alias("log_p"), F.coalesce(_log("gamma"), F.lit(0.0)).alias("log_gamma")
     )
     unseen = totals.filter("k = 1").select(F.col("lang").alias("lang_of"), _log(F.col("gamma") * F.col("uniform")).alias("log_unseen"))
-    return durable(model, "model"), unseen
+    model, unseen = durable(model, "model"), durable(unseen, "unseen")
+    for read in (*stored, counted, totals):
+        discard(read)
+    return model, unseen
 
 
 def _log(value: Column | str) -> Column:
     return F.log(F.greatest(F.col(value) if isinstance(value, str) else value, F.lit(1e-300)))
 
 
-def word_values(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """``lang, word, n, s0``: the log probability of every word (see :func:`learned_words`) in whole units, from the model of the learned ones."""
-    spelt = word_grams(words, order)
-    grams = durable(spelt.groupBy("lang", "gram").agg(F.sum("m").alias("m"), F.count(F.lit(1)).alias("n")), "spelt")
-    model, unseen = fit_table(grams.filter("m > 0").select("lang", "gram", F.col("m").alias("n")), order)
-    # A learned n-gram is in the model itself; of the others each ending is sought, and its context.
-    direct = grams.filter("m > 0").join(model.withColumnsRenamed({"lang": "lang_m", "gram": "gram_m"}), F.col("lang").eqNullSafe(F.col("lang_m")) & (F.col("gram") == F.col("gram_m")))
-    direct = direct.select("lang", "gram", "n", "log_p")
-    endings = grams.filter("m = 0").select("lang", "gram", "n", F.explode(F.sequence(F.lit(1), F.length("gram"))).alias("at"))
-    ending = F.expr("substring(gram, at)")
-    sought = endings.withColumn("part", F.explode(F.array(F.struct(ending.alias("key"), F.lit(True).alias("own")), F.struct(F.expr("substring(gram, at, length(gram) - at)").alias("key"), F.lit(False).alias("own")))))
-    sought = sought.select(F.col("lang").alias("lang_s"), F.col("gram").alias("gram_s"), F.col("n").alias("n_s"), "at", "part.key", "part.own")
-    met = sought.join(model, F.col("lang_s").eqNullSafe(F.col("lang")) & (F.col("key") == F.col("gram")), "left")
-    steps = met.groupBy("lang_s", "gram_s").agg(
-        F.first("n_s").alias("n"),
+def hash_arrays(model: DataFrame) -> tuple[DataFrame, int]:
+    """The model as sorted hash arrays, one row per shard of at most about ``SHARD_GRAMS`` n-grams: ``shard, hashes, log_p, log_gamma``; and the number of shards.
+
+    A shard holds a class of hashes, in ascending order. N-grams are told apart by 64 bits of language and characters.
+    """
+    shards = max(1, -(-model.count() // SHARD_GRAMS))
+    hashed = model.select(_gram_hash("lang", "gram").alias("h"), "log_p", "log_gamma")
+    held = F.sort_array(F.collect_list(F.struct("h", "log_p", "log_gamma")))
+    grouped = hashed.groupBy(F.pmod("h", F.lit(shards)).alias("shard")).agg(held.alias("held"))
+    return durable(grouped.select("shard", F.col("held.h").alias("hashes"), F.col("held.log_p").alias("log_p"), F.col("held.log_gamma").alias("log_gamma")), "model"), shards
+
+
+def _gram_hash(lang: str, gram: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(lang), F.lit("\0")), F.col(gram))
+
+
+def found_in(arrays: DataFrame, shards: int, sought: DataFrame) -> DataFrame:
+    """``sought`` (``lang``, ``key`` and more) with ``log_p`` and ``log_gamma``, null where the model lacks the key: a binary search in the key's shard."""
+    asked = sought.withColumn("h", _gram_hash("lang", "key")).withColumn("shard_of", F.pmod("h", F.lit(shards)))
+    kept = sought.columns
+    types = {f.name: f.dataType.simpleString() for f in sought.schema}
+    schema = ", ".join([*[f"`{c}` {types[c]}" for c in kept], "log_p double", "log_gamma double"])
+
+    def search(queries: pa.Table, held: pa.Table) -> pa.Table:
+        hashes = held["hashes"].combine_chunks().flatten().to_numpy() if held.num_rows else np.zeros(0, np.int64)
+        wanted = queries["h"].to_numpy()
+        columns = [queries[c] for c in kept]
+        if not len(hashes):
+            return pa.table([*columns, pa.nulls(len(wanted), pa.float64()), pa.nulls(len(wanted), pa.float64())], names=[*kept, "log_p", "log_gamma"])
+        at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+        absent = hashes[at] != wanted
+        values = [pa.array(held[name].combine_chunks().flatten().to_numpy()[at], mask=absent) for name in ("log_p", "log_gamma")]
+        return pa.table([*columns, *values], names=[*kept, "log_p", "log_gamma"])
+
+    return asked.groupBy("shard_of").cogroup(arrays.groupBy("shard")).applyInArrow(search, schema)
+
+
+def spelled(word: str, order: int = ORDER) -> Counted:
+    """The longest n-gram that ends at each character of a word and at the blank after it."""
+    framed = f" {word} "
+    return Counter([framed[max(0, end - order) : end].encode() for end in range(2, len(framed) + 1)]), (len(word),), 0
+
+
+def gram_values(grams: DataFrame, order: int = ORDER) -> DataFrame:
+    """``lang, item, s0``: the log probability, in whole units, of the last character of every n-gram of ``grams`` (``lang, item, m``) after the others.
+
+    The model is that of the n-grams with ``m > 0``. Any other backs off: the longest ending the model has counts, and what is
+    passed on by the contexts of the longer ones.
+    """
+    model, unseen = fit_table(grams.filter("m > 0").select("lang", F.col("item").alias("gram"), F.col("m").alias("n")), order)
+    arrays, shards = hash_arrays(model)
+    discard(model)
+    at = F.explode(F.sequence(F.lit(1), F.when(F.col("m") > 0, 1).otherwise(F.length("item"))))
+    endings = grams.select("lang", "item", "m", at.alias("at"))
+    own, context = F.expr("substring(item, at)"), F.expr("substring(item, at, length(item) - at)")
+    parts = F.when(F.col("m") > 0, F.array(F.struct(own.alias("key"), F.lit(True).alias("own"))))
+    parts = parts.otherwise(F.array(F.struct(own.alias("key"), F.lit(True).alias("own")), F.struct(context.alias("key"), F.lit(False).alias("own"))))
+    sought = endings.withColumn("part", F.explode(parts)).select("lang", "item", "at", "part.key", "part.own")
+    steps = found_in(arrays, shards, sought).groupBy("lang", "item").agg(
         F.min(F.when(F.col("own") & F.col("log_p").isNotNull(), F.struct("at", "log_p"))).alias("hit"),
-        F.collect_list(F.when(~F.col("own") & F.col("log_gamma").isNotNull(), F.struct("at", "log_gamma"))).alias("contexts"),
+        F.sort_array(F.collect_list(F.when(~F.col("own") & F.col("log_gamma").isNotNull(), F.struct("at", "log_gamma")))).alias("contexts"),
     )
     passed = F.aggregate("contexts", F.lit(0.0), lambda sum, x: sum + F.when(F.col("hit").isNull() | (x["at"] < F.col("hit.at")), x["log_gamma"]).otherwise(0.0))
     # One row per language.
-    backed = steps.join(F.broadcast(unseen), F.col("lang_s").eqNullSafe(F.col("lang_of")))
-    backed = backed.select(F.col("lang_s").alias("lang"), F.col("gram_s").alias("gram"), "n", (passed + F.coalesce("hit.log_p", "log_unseen")).alias("log_p"))
-    valued = durable(direct.unionByName(backed).select("lang", F.col("gram").alias("word"), "n", whole(F.col("log_p")).alias("s0")), "valued")
+    backed = steps.join(F.broadcast(unseen), F.col("lang").eqNullSafe(F.col("lang_of")))
+    return backed.select("lang", "item", whole(passed + F.coalesce("hit.log_p", "log_unseen")).alias("s0"))
 
-    def spell(word: str) -> tuple[Counter, tuple[int]]:
-        framed = f" {word} "
-        return Counter([framed[max(0, end - order) : end] for end in range(2, len(framed) + 1)]), (len(word),)
 
-    # Words are summed over n-grams as texts are over words: only rare n-grams are moved.
-    found = sums(words.select("lang", "word", "n", F.col("word").alias("text")), valued, 1, spell, "word_chars bigint")
-    return durable(found.select("lang", "word", "n", "s0"), "values")
+def word_values(words: DataFrame, order: int = ORDER) -> DataFrame:
+    """``lang, word, n, s0``: the log probability of every word (see :func:`learned_words`) in whole units, from the model of the learned ones."""
+
+    def spell(word: str) -> Counted:
+        return spelled(word, order)
+
+    blocks = durable(itemblocks.cut(words.select("lang", "word", "n", "m", F.col("word").alias("text")), spell, "length bigint", "m"), "spelt")
+    grams = durable(itemblocks.counts_of(blocks), "grams")
+    found = durable(gram_values(grams, order), "valued")
+    values = durable(itemblocks.summed(blocks, found).select("lang", "word", "n", "s0"), "values")
+    for read in (blocks, grams, found):
+        discard(read)
+    return values
 
 
-def describe(text: str) -> tuple[Counter, tuple[int, ...]]:
-    """How often each word is in the text, and its :func:`statistics`."""
+def describe(text: str) -> Counted:
+    """How often each word is in the text, its :func:`statistics`, and whether models learn from it."""
     words, *figures = statistics(text)
-    return Counter({word.decode(): n for word, n in Counter(words).items()}), (len(words), *figures)
+    return Counter(words), (len(words), *figures), int(trusted(len(words), figures[1], figures[3]))
 
 
-def score(docs: DataFrame, values: DataFrame, most: int = HELD_WORDS) -> DataFrame:
+def score(docs: DataFrame, values: DataFrame, size: int = BLOCK_ITEMS) -> DataFrame:
     """One row per document: key, statistics and log perplexity per character (null without words)."""
-    keyed = docs.select("doc_id", "text", "lang", F.xxhash64("text", F.lit(1)).alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"))
-    found = sums(keyed, values, 1, describe, FIGURES, most)
+    return scored(text_blocks(docs, size), values)
+
+
+def scored(blocks: DataFrame, values: DataFrame) -> DataFrame:
+    """:func:`score` from blocks of texts."""
+    found = itemblocks.summed(blocks, values.select("lang", F.col("word").alias("item"), "s0"))
     per_character = -F.col("s0") / SCALE / (F.col("word_chars") + F.col("n_words"))
     return found.withColumn("log_perplexity", F.when(F.col("n_words") > 0, per_character)).select("doc_id", "h1", "h2", "lang", *[f.split()[0] for f in FIGURES.split(", ")], "log_perplexity")
 
@@ -493,6 +532,11 @@ def judge(scores: DataFrame, limits: dict[str | None, tuple[float, float]], slac
 
 def quality(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """Verdict per document, from models and bands fitted on the trusted texts of ``docs``."""
-    docs = docs.select("doc_id", "text", "lang")
-    scores = durable(score(docs, word_values(learned_words(docs), order)), "scores")
+    blocks = durable(text_blocks(docs.select("doc_id", "text", "lang")), "blocks")
+    words = taught_words(blocks)
+    values = word_values(words, order)
+    discard(words)
+    scores = durable(scored(blocks, values), "scores")
+    discard(blocks)
+    discard(values)
     return judge(scores, bands(trusted_scores(scores)))
