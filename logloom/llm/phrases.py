@@ -30,7 +30,7 @@ from logloom.llm.text import slices
 from logloom.sources.durable import discard, durable
 
 MIN_COUNT, MIN_WORDS, MAX_WORDS, TOP, COVER = 100, 2, 5, 2000, 100
-BLOCK_WORDS = 1 << 19
+BLOCK_WORDS = 1 << 17
 SALTS = 64
 UNKNOWN = "und"
 # Where pieces end, and what separates words.
