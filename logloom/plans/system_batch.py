@@ -30,14 +30,16 @@ def run(
     options: BatchOptions,
     timings_path: str | None = None,
     setup: str | None = None,
+    metrics_path: str | None = None,
 ) -> dict[str, float]:
     """Write the four result tables and return the seconds per stage.
 
     The text is scanned and parsed once, which is a stage of its own: the summary goes to the shared folder and
     every result is an aggregate of that. The parsed lines are also there for SQL, as view ``windows_logs``. With
-    ``timings_path`` the stage times are added to the timings table under ``setup``, which must then be named.
+    ``timings_path`` the stage times are added to the timings table under ``setup``, which must then be named; with ``metrics_path``
+    the times, rows and bytes of the four results to the metrics table.
     """
-    if timings_path is not None and not setup:
+    if (timings_path is not None or metrics_path is not None) and not setup:
         raise ValueError("stage times need the name of the worker setup they were taken under")
     started = time.monotonic()
     lines = readers.read_lines(spark, options.source, options.max_input_rows)
@@ -45,8 +47,13 @@ def run(
     with job_tables(spark):
         summary = durable(system_log.summarise(parsed), "summary")
         seconds = {fixed.SUMMARY_STAGE: time.monotonic() - started}
-        for name, (stage, table) in results_of(summary).items():
-            seconds[stage] = sinks.export(spark, table, name, options.results, options.mirror_base)
+        made = {
+            stage: sinks.measured_export(spark, table, name, options.results, options.mirror_base)
+            for name, (stage, table) in results_of(summary).items()
+        }
+    seconds |= {stage: export.seconds for stage, export in made.items()}
     if timings_path is not None:
         sinks.append_timings(spark, timings_path, setup, seconds)
+    if metrics_path is not None:
+        sinks.append_metrics(spark, metrics_path, setup, made)
     return seconds

@@ -54,3 +54,11 @@ STAGE_TIMINGS = T.StructType(
         T.StructField("Seconds", T.DoubleType()),
     ]
 )
+
+RUN_METRICS = T.StructType(
+    [
+        *STAGE_TIMINGS.fields,
+        T.StructField("Rows", T.LongType()),
+        T.StructField("Bytes", T.LongType()),
+    ]
+)

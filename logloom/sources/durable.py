@@ -13,6 +13,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logloom.sources.files import delete
+
 _tables_of_job: ContextVar[list[str] | None] = ContextVar("tables_of_job", default=None)
 
 
@@ -29,18 +31,13 @@ def job_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _tables_of_job.reset(token)
     for name in paths:
-        _delete(spark, name)
+        delete(spark, name)
 
 
 def discard(table: DataFrame) -> None:
     """Removes the files of a table that :func:`durable` returned, once nothing that is still to be computed reads it."""
     for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
-        _delete(table.sparkSession, folder)
-
-
-def _delete(spark: SparkSession, name: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(table.sparkSession, folder)
 
 
 #: Spark's setting to remove the shuffle files of a query when it ends. A stored table needs none of them any more.

@@ -2,20 +2,31 @@
 
 import time
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from logloom import schemas
+from logloom.sources import files
 from logloom.sources.readers import result_path
 
 PREVIEW_ROWS = 20
 
 
+@dataclass(frozen=True)
+class Export:
+    """What writing one result took and gave."""
+
+    seconds: float
+    rows: int
+    bytes: int
+
+
 def write_result(table: DataFrame, base: str, name: str) -> str:
-    """Replace the named result table under ``base``."""
+    """Replace the named result table under ``base``; the old one stays until the new one is whole."""
     path = result_path(base, name)
-    table.write.mode("overwrite").parquet(path)
+    files.replace(table, path)
     return path
 
 
@@ -26,7 +37,18 @@ def export(
     base: str,
     mirror: str | None = None,
 ) -> float:
-    """Write a query text or table as the named result and return the seconds it took.
+    """:func:`measured_export`, of which only the seconds count."""
+    return measured_export(spark, result, name, base, mirror).seconds
+
+
+def measured_export(
+    spark: SparkSession,
+    result: str | DataFrame,
+    name: str,
+    base: str,
+    mirror: str | None = None,
+) -> Export:
+    """Write a query text or table as the named result; rows are counted while they are written, bytes are those of the stored files.
 
     The copy under ``mirror`` is made from the stored result, which is not computed again for it.
     """
@@ -34,10 +56,17 @@ def export(
     table = spark.sql(result) if isinstance(result, str) else result
     if not table.columns:
         raise ValueError(f"{name} has no columns")
-    path = write_result(table, base, name)
+    seen = Observation()
+    path = write_result(table.observe(seen, F.count(F.lit(1)).alias("rows")), base, name)
     if mirror is not None:
         write_result(spark.read.schema(table.schema).parquet(path), mirror, name)
-    return time.monotonic() - started
+    return Export(time.monotonic() - started, seen.get["rows"], files.stored_bytes(spark, path))
+
+
+def append_metrics(spark: SparkSession, path: str, setup: str, exports: Mapping[str, Export]) -> None:
+    """Add seconds, rows and bytes of the exports of one run to the metrics table, as one small file."""
+    runs = [(process, setup, float(made.seconds), made.rows, made.bytes) for process, made in exports.items()]
+    spark.createDataFrame(runs, schemas.RUN_METRICS).coalesce(1).write.mode("append").parquet(path)
 
 
 def append_timings(spark: SparkSession, path: str, setup: str, seconds: Mapping[str, float]) -> None:

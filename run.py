@@ -1,7 +1,8 @@
 """Runs one of the jobs in the session ``spark-submit`` sets up: ``spark-submit run.py system|metrics|report``.
 
 Locations come from the environment: ``HDFS_NAMENODE``, ``LOG_INPUT_PATH``, ``MAX_INPUT_ROWS``, ``HDFS_OUTPUT_BASE``,
-``LOCAL_OUTPUT_BASE`` (second copy of the results), ``TIMINGS_PATH`` and ``WORKER_SETUP`` (record of stage times). Every job
+``LOCAL_OUTPUT_BASE`` (second copy of the results), ``TIMINGS_PATH``, ``METRICS_PATH`` and ``WORKER_SETUP`` (records of stage
+times, and of times, rows and bytes). Every job
 stores its tables under the output base; what it prints is a preview.
 """
 
@@ -18,8 +19,8 @@ from logloom.sources.options import BatchOptions
 
 def system(spark: SparkSession) -> None:
     options = BatchOptions.from_mapping(os.environ)
-    timings = os.environ.get("TIMINGS_PATH")
-    for stage, seconds in system_batch.run(spark, options, timings, os.environ.get("WORKER_SETUP")).items():
+    timings, metrics = os.environ.get("TIMINGS_PATH"), os.environ.get("METRICS_PATH")
+    for stage, seconds in system_batch.run(spark, options, timings, os.environ.get("WORKER_SETUP"), metrics).items():
         print(f"{stage}: {seconds:.2f}s")
 
 

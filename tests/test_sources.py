@@ -6,7 +6,7 @@ import pytest
 
 from logloom import schemas
 from logloom.functions import fixed
-from logloom.sources import durable, readers, sinks
+from logloom.sources import durable, files, readers, sinks
 from logloom.sources.options import BatchOptions
 
 
@@ -123,3 +123,108 @@ def test_options():
     options = BatchOptions.from_mapping({**given, "LOCAL_OUTPUT_BASE": "/m"})
     assert (options.source, options.results, options.mirror_base, options.max_input_rows) == ("s3a://b/in", "s3a://b/out", "/m", 5)
     assert BatchOptions.from_mapping({}, "/raw").input_path == "/raw"
+
+
+ODD_FILES = ["a b.log", "c#d.log", "e%20f.log", "g+h.log", "i[j].log", "k{l}.log", "m*n?.log", "ö.log"]
+
+
+@pytest.mark.parametrize("cap", [1, 50, 100, 150, 250, 399, 450, 555, 777, 800, 900])
+def test_row_cap_on_names_that_need_encoding(spark, tmp_path, cap):
+    for name in ODD_FILES:
+        (tmp_path / name).write_text("".join(f"{name} {line}\n" for line in range(100)))
+    expected = [(f"{name} {line}", f"file:{tmp_path}/{name}") for name in ODD_FILES for line in range(100)][:cap]
+    capped = readers.read_lines(spark, str(tmp_path), max_rows=cap, origin="Origin")
+    assert capped.columns == ["value", "Origin"] and rows(capped) == sorted(expected)
+    assert readers.read_lines(spark, str(tmp_path)).count() == 800
+
+
+def test_files_behind_the_cut_are_not_read(spark, tmp_path):
+    for number in range(10):
+        (tmp_path / f"{number} x.log").write_text("line\n" * 10)
+    capped = readers.read_lines(spark, str(tmp_path), max_rows=25, origin="Origin")
+    # The scan's own metadata names what was read.
+    assert {row.Origin[-7:] for row in capped.collect()} == {"0 x.log", "1 x.log", "2 x.log"}
+    assert len(set(capped.inputFiles())) == 3
+
+
+def test_row_cap_over_many_files(spark, tmp_path):
+    for number in range(10_000):
+        (tmp_path / f"{number:05d} %.log").write_text("x\n" * (number % 3))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        capped = readers.read_lines(spark, str(tmp_path), max_rows=9_001, origin="Origin")
+        last = capped.agg({"Origin": "max", "*": "count"}).first()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    # 0 + 1 + 2 lines for every three files.
+    assert last["count(1)"] == 9_001 and last["max(Origin)"].endswith("/09001 %.log")
+
+
+def test_empty_files_and_folders(spark, tmp_path):
+    assert readers.read_lines(spark, str(tmp_path), max_rows=5, origin="f").collect() == []
+    for name in ("a", "b", "c"):
+        (tmp_path / f"{name}.log").write_text("")
+    (tmp_path / "d.log").write_text("one\ntwo")
+    assert rows(readers.read_lines(spark, str(tmp_path), max_rows=1)) == [("one",)]
+
+
+def test_a_failed_write_leaves_the_old_result(spark, tmp_path, volume):
+    base = str(tmp_path)
+    sinks.export(spark, volume, "r", base)
+    broken = spark.range(0, 1000, 1, 4).selectExpr("cast(id AS string) AS Component", "if(id = 999, raise_error('stop'), id) AS Total_Logs")
+    with pytest.raises(Exception, match="stop"):
+        sinks.export(spark, broken, "r", base)
+    assert rows(readers.read_result(spark, base, "r", schemas.COMPONENT_VOLUME)) == rows(volume)
+    assert [p.name for p in tmp_path.iterdir()] == ["r.parquet"]
+
+
+def test_a_result_can_be_made_from_itself(spark, tmp_path, volume):
+    base = str(tmp_path / "with blank")
+    sinks.export(spark, volume, "r", base)
+    old = readers.read_result(spark, base, "r", schemas.COMPONENT_VOLUME)
+    sinks.export(spark, old.unionByName(old), "r", base)
+    assert rows(readers.read_result(spark, base, "r", schemas.COMPONENT_VOLUME)) == sorted(rows(volume) * 2)
+    assert [p.name for p in Path(base).iterdir()] == ["r.parquet"]
+
+
+def test_a_failed_swap_puts_the_old_result_back(spark, tmp_path, volume, monkeypatch):
+    base = str(tmp_path)
+    sinks.export(spark, volume, "r", base)
+    real = files.rename
+
+    def fails_once(spark, old, new):
+        if "/_new-" in old:
+            raise OSError("no swap")
+        real(spark, old, new)
+
+    monkeypatch.setattr(files, "rename", fails_once)
+    with pytest.raises(OSError):
+        sinks.export(spark, volume.limit(1), "r", base)
+    assert rows(readers.read_result(spark, base, "r", schemas.COMPONENT_VOLUME)) == rows(volume)
+    assert [p.name for p in tmp_path.iterdir()] == ["r.parquet"]
+
+
+def test_exports_are_measured(spark, tmp_path, volume):
+    made = sinks.measured_export(spark, volume, "r", str(tmp_path), str(tmp_path / "mirror"))
+    stored = sum(p.stat().st_size for p in (tmp_path / "r.parquet").glob("*") if not p.name.startswith("."))
+    assert (made.rows, made.bytes) == (2, stored) and made.seconds > 0
+    assert sinks.measured_export(spark, volume.limit(0), "r", str(tmp_path)).rows == 0
+    sinks.append_metrics(spark, str(tmp_path / "metrics"), "1 Worker Node", {"x": made})
+    assert rows(spark.read.schema(schemas.RUN_METRICS).parquet(str(tmp_path / "metrics"))) == [("x", "1 Worker Node", made.seconds, 2, stored)]
+
+
+def test_cached_tables_are_released(spark, volume):
+    with readers.cached_tables(volume, volume.limit(1)) as (whole, first):
+        assert whole.count() == 2 and first.count() == 1 and whole.is_cached and first.is_cached
+    assert not whole.is_cached and not first.is_cached
+    with pytest.raises(KeyError):
+        with readers.cached_tables(volume):
+            raise KeyError
+    assert not volume.is_cached
+
+
+def test_exists_takes_patterns(spark, tmp_path):
+    (tmp_path / "a b").mkdir()
+    (tmp_path / "a b" / "part-1").touch()
+    assert readers.exists(spark, str(tmp_path / "a b")) and readers.exists(spark, f"{tmp_path}/*/part-*")
+    assert not readers.exists(spark, f"{tmp_path}/*/no-*") and not readers.exists(spark, str(tmp_path / "none"))
