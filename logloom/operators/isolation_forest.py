@@ -13,12 +13,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom.functions import fixed
+from logloom.sources.durable import durable
 
 # The helpers below travel with the tasks that call them: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -112,6 +114,14 @@ class ForestModel:
     depth_limit: int
     nodes: dict[str, np.ndarray]
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``tree_id, node, feature, threshold, left, path_length``: one row per node, numbered through all trees."""
+        starts = np.sort(self.nodes["roots"])
+        node = np.arange(len(self.nodes["left"]))
+        tree = np.searchsorted(starts, node, side="right") - 1
+        columns = {"tree_id": tree, "node": node, **{name: self.nodes[name] for name in ("feature", "threshold", "left", "path_length")}}
+        return spark.createDataFrame(pa.table({name: pa.array(values) for name, values in columns.items()}))
+
     def score(self, rows: DataFrame, target: str = "Raw_Score") -> DataFrame:
         """Add the raw score of every row."""
         shared = rows.sparkSession.sparkContext.broadcast(self.nodes)
@@ -126,6 +136,38 @@ class ForestModel:
         return rows.withColumn(target, forest_score(values))
 
 
+class LeastDraws:
+    """The ``sample`` rows with the lowest draws of each tree. Those of two sets of rows give those of both, so it can be worked out in parts."""
+
+    def __init__(self, trees: int, sample: int):
+        self.sample = sample
+        self.limits = np.full(trees, np.iinfo(np.int64).max)
+        self.parts: list[tuple[np.ndarray, np.ndarray, pa.Table]] = []
+        self.held = 0
+
+    def add(self, rows: pa.Table, row: np.ndarray, tree: np.ndarray, draw: np.ndarray) -> None:
+        """Row number ``row[i]`` of ``rows`` has ``draw[i]`` for ``tree[i]``."""
+        low = draw <= self.limits[tree]
+        if low.any():
+            self.parts.append((tree[low], draw[low], rows.take(pa.array(row[low]))))
+            self.held += int(low.sum())
+        if self.held > 4 * self.sample * len(self.limits):
+            self.shrink()
+
+    def shrink(self) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+        tree, draw = (np.concatenate([part[i] for part in self.parts]) for i in range(2))
+        order = np.lexsort((draw, tree))
+        sizes = np.bincount(tree, minlength=len(self.limits))
+        place = np.arange(len(tree)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        order = order[place < self.sample]
+        kept = tree[order], draw[order], pa.concat_tables([part[2] for part in self.parts]).take(pa.array(order))
+        full = sizes >= self.sample
+        last = np.cumsum(np.minimum(sizes, self.sample)) - 1
+        self.limits[full] = kept[1][last[full]]
+        self.parts, self.held = [kept], len(order)
+        return kept
+
+
 def draw_samples(
     rows: DataFrame, features: Sequence[str], key: Sequence[str], count: int, trees: int, sample: int, seed: int,
     spare: bool = True, once: bool = False,
@@ -136,20 +178,37 @@ def draw_samples(
     table of many times ``trees * sample`` rows.
 
     A row's draw for a tree is a hash of seed, tree and row, so a sample depends on neither order nor
-    partitioning, and the ``sample`` lowest draws win. With ``spare`` only draws below a limit that leaves far
-    more candidates than needed are kept; nearly all drop out in the task that makes them, before any shuffle.
+    partitioning, and the ``sample`` lowest draws win. Every task keeps its own lowest draws; these are stored, so ``rows`` are read once. With ``spare``
+    only draws below a limit that leaves far more candidates than needed go on from there, unless a tree would get too few.
     """
-    candidates = sample + 12 * math.sqrt(sample) + 40
-    each = count / trees if once else count
-    share = candidates / each if spare and each > candidates else 1.0
-    tree = F.pmod(F.xxhash64(F.lit(seed), F.lit("tree"), *key), F.lit(trees)).cast("int") if once else F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
-    highest = min(int(-(2**63) + share * 2**64), 2**63 - 1)
-    drawn = (
-        rows.select(*key, *[F.col(name).cast("double").alias(f"x{i}") for i, name in enumerate(features)])
-        .withColumn("tree_id", tree)
-        .withColumn("draw", F.xxhash64(F.lit(seed), "tree_id", *key))
-        .filter(F.col("draw") <= F.lit(highest))
-    )
+    values = [F.col(name).cast("double").alias(f"x{i}") for i, name in enumerate(features)]
+    if once:
+        tree = F.array(F.pmod(F.xxhash64(F.lit(seed), F.lit("tree"), *key), F.lit(trees)).cast("int"))
+    else:
+        tree = F.sequence(F.lit(0), F.lit(trees - 1))
+    draws = F.transform("trees", lambda t: F.xxhash64(F.lit(seed), t, *key))
+    names = [*key, *[f"x{i}" for i in range(len(features))]]
+    asked = rows.select(*key, *values, tree.alias("trees")).withColumn("draws", draws)
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = LeastDraws(trees, sample)
+        for batch in batches:
+            per_row = pc.list_value_length(batch["trees"]).to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), per_row)
+            kept.add(pa.Table.from_batches([batch.select(names)]), row, batch["trees"].flatten().to_numpy(), batch["draws"].flatten().to_numpy())
+        if kept.parts:
+            tree, draw, table = kept.shrink()
+            yield from table.append_column("tree_id", pa.array(tree, pa.int32())).append_column("draw", pa.array(draw)).to_batches()
+
+    schema = T.StructType([*asked.select(*names).schema.fields, T.StructField("tree_id", T.IntegerType()), T.StructField("draw", T.LongType())])
+    drawn = durable(asked.mapInArrow(least, schema), "draws")
+    if spare:
+        candidates = sample + 12 * math.sqrt(sample) + 40
+        each = count / trees if once else count
+        highest = min(int(-(2**63) + min(candidates / max(each, 1), 1.0) * 2**64), 2**63 - 1)
+        near = drawn.filter(F.col("draw") <= F.lit(highest))
+        enough = near.groupBy("tree_id").count().filter(F.col("count") >= sample).count()  # one number
+        drawn = near if enough == trees else drawn
     per_tree = Window.partitionBy("tree_id").orderBy("draw", *key)
     return drawn.withColumn("place", F.row_number().over(per_tree)).filter(F.col("place") <= sample)
 
@@ -164,7 +223,7 @@ def fit_forest(
     count: int | None = None,
     once: bool = False,
 ) -> ForestModel:
-    """Fit on ``rows``; ``key`` identifies a row, rows that share one share their draws. Needs two rows or more; ``count`` is their number if known.
+    """Fit on ``rows``; ``key`` identifies a row, which is checked among the sampled ones. Needs two rows or more; ``count`` is their number if known.
 
     ``once`` lets trees draw from disjoint parts of the table, for tables of many times ``trees * sample`` rows; see :func:`draw_samples`.
     """
@@ -177,6 +236,8 @@ def fit_forest(
 
     def grow(drawn: pa.Table) -> pa.Table:
         drawn = drawn.sort_by("place")
+        if drawn.select(list(key)).group_by(list(key)).aggregate([]).num_rows < drawn.num_rows:
+            raise ValueError(f"{list(key)} does not tell rows apart")
         points = np.column_stack([drawn[f"x{i}"].to_numpy() for i in range(width)])
         tree_id = drawn["tree_id"][0].as_py()
         tree = grow_tree(points, depth_limit, np.random.default_rng([seed, tree_id]))
@@ -184,19 +245,13 @@ def fit_forest(
         fixed_part = {"tree_id": [tree_id] * nodes, "rows": [len(points)] * nodes, "node": np.arange(nodes)}
         return pa.table({name: pa.array(values) for name, values in {**fixed_part, **tree}.items()})
 
-    def fitted(spare: bool) -> pa.Table:
-        samples = draw_samples(rows, features, key, count, trees, sample, seed, spare, once)
-        # The samples are small enough for Spark to put them all into one task; trees should grow side by side.
-        tasks = min(trees, rows.sparkSession.sparkContext.defaultParallelism)
-        nodes = samples.repartition(tasks, "tree_id").groupBy("tree_id").applyInArrow(grow, NODE_SCHEMA)
-        # At most trees * (2 * sample - 1) rows, whatever the size of the table.
-        return nodes.toArrow().sort_by([("tree_id", "ascending"), ("node", "ascending")])
-
-    forest = fitted(spare=True)
+    samples = draw_samples(rows, features, key, count, trees, sample, seed, True, once)
+    # The samples are small enough for Spark to put them all into one task; trees should grow side by side.
+    tasks = min(trees, rows.sparkSession.sparkContext.defaultParallelism)
+    grown = samples.repartition(tasks, "tree_id").groupBy("tree_id").applyInArrow(grow, NODE_SCHEMA)
+    # At most trees * (2 * sample - 1) rows, whatever the size of the table.
+    forest = grown.toArrow().sort_by([("tree_id", "ascending"), ("node", "ascending")])
     roots = np.flatnonzero(forest["node"].to_numpy() == 0)
-    if len(roots) < trees or forest["rows"].to_numpy().min() < sample:
-        forest = fitted(spare=False)
-        roots = np.flatnonzero(forest["node"].to_numpy() == 0)
     nodes = {name: forest[name].to_numpy() for name in ("feature", "threshold", "left", "path_length")}
     # Children are numbered within their tree; in the joined arrays they move with its root.
     nodes["left"] = nodes["left"] + roots[forest["tree_id"].to_numpy()]

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions import fixed
+from logloom.operators import heavy_hitters
 
 
 def line_count(weight: str | None = None) -> Column:
@@ -29,3 +30,11 @@ def severity_levels(lines: DataFrame, weight: str | None = None) -> DataFrame:
 
 def top_templates(lines: DataFrame, k: int = fixed.TOP_TEMPLATES, weight: str | None = None) -> DataFrame:
     return count_by(lines, "EventTemplate", "Actions", weight).limit(k)
+
+
+def frequent_templates(lines: DataFrame, k: int = fixed.TOP_TEMPLATES, weight: str | None = None, counters: int = heavy_hitters.COUNTERS) -> DataFrame:
+    """:func:`top_templates` for text whose templates are mostly unique: the same table, without a shuffle of all templates.
+
+    The lines are read twice, with counters of bounded size and for an exact count of the few templates that can be among the first.
+    """
+    return heavy_hitters.top(lines, "EventTemplate", "Actions", k, weight, counters)

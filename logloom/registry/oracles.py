@@ -190,6 +190,33 @@ ORACLES: dict[str, str] = {
     "scan_text_dir": _with(METRIC_ROWS, METRIC_LINES, select="SELECT value FROM metric_lines"),
     "scan_limit": _with(SYSTEM_LINES, select="SELECT value FROM system_lines ORDER BY event_id LIMIT 2500"),
     "scan_parquet": COMPONENT_VOLUME,
+    "scan_first_base": SEVERITY_LEVELS,
+    "scan_guarded": SEVERITY_LEVELS,
+    "sink_replaced": COMPONENT_VOLUME,
+    "batch_from_mapping": COMPONENT_VOLUME,
+    "run_metrics": _with(
+        *HOURLY,
+        COMPONENTS,
+        LEVELS,
+        TEMPLATES,
+        select="""
+        SELECT Process, '1 Worker Node' AS "Worker Setup", n AS "Rows", TRUE AS Has_Bytes FROM (
+          SELECT 'Component Volume' AS Process, count(*) AS n FROM component_volume
+          UNION ALL SELECT 'Severity Levels', count(*) FROM severity_levels
+          UNION ALL SELECT 'Top Event Templates', count(*) FROM top_templates
+          UNION ALL SELECT 'Anomaly Features', count(*) FROM hours)""",
+    ),
+    "top_mostly_unique": _with(
+        *SYSTEM,
+        select="""
+        SELECT EventTemplate, Actions, Way FROM (
+          SELECT CASE WHEN length(Content) % 2 = 0 THEN Component WHEN length(Content) % 3 = 0 THEN 'at ' || Time ELSE Content END AS EventTemplate,
+                 count(*) AS Actions FROM parsed GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3), (VALUES ('counters'), ('all values')) w(Way)""",
+    ),
+    "hours_of_two_runs": _with(*HOURLY, select="SELECT * EXCLUDE (Unique_Templates), TRUE AS Within FROM hours"),
+    "forest_properties": """
+        SELECT tree_id::BIGINT AS tree_id, 1::BIGINT AS Leaves_Over_Splits, TRUE AS Splits_In_Range, TRUE AS Depth_Limited, TRUE AS Leaves_Fit_Sample
+        FROM range(8) r(tree_id)""",
     "scan_or_empty": SEVERITY_LEVELS,
     "sink_parquet_roundtrip": HOURLY_FEATURES,
     "sink_mirror": _with(*SYSTEM, select="SELECT EventTemplate, count(*) AS Actions FROM parsed GROUP BY 1"),

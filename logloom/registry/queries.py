@@ -4,6 +4,7 @@ from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from logloom.functions import fixed
 from logloom.operators import (
     anomaly,
     components,
+    guards,
     hourly,
     server_metrics,
     severity,
@@ -20,16 +22,18 @@ from logloom.operators import (
     templates,
     volume,
 )
-from logloom.operators.isolation_forest import ForestModel
+from logloom.operators.isolation_forest import ForestModel, average_path, fit_forest
 from logloom.plans import metrics_batch, report, system_batch
 from logloom.registry import event_source as source
-from logloom.sources import readers, sinks
+from logloom.sources import files, readers, sinks
 from logloom.sources.durable import durable, scratch_path
 from logloom.sources.options import BatchOptions
 
 Query = Callable[[SparkSession, str], DataFrame]
 SELECTED, BENCHMARK = ("CBS", "CSI", "SQM", fixed.UNLABELED), "CSI"
 ROW_CAP = 2500
+ODD_FILES = ("a b", "c#d", "e%20f", "g+h", "i[j]", "k{l}", "ö")
+SKETCH_ERROR = 0.07
 
 
 def stored_lines(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
@@ -55,9 +59,63 @@ def scan_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ordered-lines")
     ordered = source.events(spark, sf_dir).repartitionByRange(7, "event_id").sortWithinPartitions("event_id")
     sinks.write_lines(source.system_lines(ordered), path)
+    parts = sorted(files.plain_name(name) for name in spark.read.text(path).inputFiles())
+    # Names that a scan writes in another way than a file system does.
+    for number, (part, odd) in enumerate(zip(parts, ODD_FILES, strict=False)):
+        files.rename(spark, part, f"{path}/{number} {odd}.log")
     return readers.read_lines(spark, path, max_rows=ROW_CAP)
 
 
+def scan_first_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of the first of three folders that holds data: one is missing, one has a result without data."""
+    missing, empty, full = (scratch_path(spark, name) for name in ("missing", "empty", "full"))
+    sinks.export(spark, spark.createDataFrame([], schemas.SEVERITY_LEVELS).limit(0), fixed.RESULT_LEVELS, empty)
+    files.delete(spark, readers.result_path(empty, fixed.RESULT_LEVELS))
+    sinks.export(spark, severity_levels(spark, sf_dir), fixed.RESULT_LEVELS, full)
+    return readers.read_result(spark, readers.resolve_base(spark, [missing, empty, full]), fixed.RESULT_LEVELS, schemas.SEVERITY_LEVELS)
+
+
+def scan_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that passes its guard, and one that does not and counts as empty."""
+    levels = severity_levels(spark, sf_dir)
+    other = levels.withColumnRenamed("Total_Logs", "Logs")
+    return guards.or_empty(levels, schemas.SEVERITY_LEVELS).unionByName(guards.or_empty(other, schemas.SEVERITY_LEVELS))
+
+
+def sink_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result whose replacement fails while it is written: the old one is still there."""
+    base = scratch_path(spark, "results")
+    volumes = component_volume(spark, sf_dir)
+    sinks.export(spark, volumes, fixed.RESULT_COMPONENTS, base)
+    stop = F.raise_error(F.lit("stops here")).cast("bigint")
+    try:
+        sinks.export(spark, volumes.withColumn("Total_Logs", F.when(F.col("Component") == "", stop).otherwise(0)), fixed.RESULT_COMPONENTS, base)
+    except PySparkException as problem:
+        if "stops here" not in str(problem):
+            raise
+    return readers.read_result(spark, base, fixed.RESULT_COMPONENTS, schemas.COMPONENT_VOLUME)
+
+
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each result of the batch job, counted while it was written."""
+    options = BatchOptions("", stored_lines(spark, sf_dir, files=5), 0, scratch_path(spark, "results"))
+    path = scratch_path(spark, "metrics")
+    system_batch.run(spark, options, setup=fixed.WORKER_SETUPS[0], metrics_path=path)
+    metrics = spark.read.schema(schemas.RUN_METRICS).parquet(path)
+    return metrics.select("Process", "Worker Setup", "Rows", (F.col("Bytes") > 0).alias("Has_Bytes"))
+
+
+def batch_from_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job with its locations and row cap from environment-style settings; its copy of the largest result."""
+    settings = {
+        "HDFS_NAMENODE": "", "LOG_INPUT_PATH": stored_lines(spark, sf_dir, files=5), "MAX_INPUT_ROWS": "0",
+        "HDFS_OUTPUT_BASE": scratch_path(spark, "results"), "LOCAL_OUTPUT_BASE": scratch_path(spark, "mirror"),
+    }
+    options = BatchOptions.from_mapping(settings)
+    system_batch.run(spark, options)
+    return readers.read_result(spark, options.mirror_base, fixed.RESULT_COMPONENTS, schemas.COMPONENT_VOLUME)
+
+
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "results")
     sinks.export(spark, component_volume(spark, sf_dir), fixed.RESULT_COMPONENTS, base)
@@ -200,6 +258,27 @@ def top_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume.top_templates(source.parsed_system(spark, sf_dir))
 
 
+def top_mostly_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent of mostly unique templates: by counters that separate them from the rest, and by ones that are too few and fall back."""
+    parsed = source.parsed_system(spark, sf_dir)
+    unique = F.when(F.length("Content") % 3 == 0, F.concat(F.lit("at "), "Time")).otherwise(F.col("Content"))
+    stored = durable(parsed.select(F.when(F.length("Content") % 2 == 0, F.col("Component")).otherwise(unique).alias("EventTemplate")), "templates")
+    ways = {"counters": volume.frequent_templates(stored, 3, counters=512), "all values": volume.frequent_templates(stored, 3, counters=2)}
+    return reduce(DataFrame.unionByName, [table.withColumn("Way", F.lit(way)) for way, table in ways.items()])
+
+
+def hours_of_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours stored by two runs over different lines and added up, next to the exact hours; templates agree within the stated error."""
+    path, found = scratch_path(spark, "hour-sketches"), source.events(spark, sf_dir)
+    for half in range(2):
+        lines = source.system_lines(found.filter(F.col("event_id") % 2 == half))
+        hourly.hourly_sketches(system_log.parse_system_log(lines)).write.mode("append").parquet(path)
+    merged = hourly.merged_hours(spark.read.parquet(path))
+    exact = hourly_features(spark, sf_dir).select("Hour_Window", F.col("Unique_Templates").alias("Exact"))
+    near = F.abs(F.col("Unique_Templates") - F.col("Exact")) <= F.lit(SKETCH_ERROR) * F.col("Exact") + 1
+    return merged.join(exact, "Hour_Window").withColumn("Within", near).drop("Unique_Templates", "Exact")
+
+
 def hourly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly.hourly_features(source.parsed_system(spark, sf_dir))
 
@@ -364,6 +443,24 @@ def forest_by_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("Hour_Window", F.round("Raw_Score", 9).alias("Raw_Score"))
 
 
+def forest_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What defines an isolation tree, tree by tree, of a forest whose trees draw from disjoint parts of the events."""
+    rows = source.events(spark, sf_dir).select("event_id", F.col("user_id").cast("double").alias("u"), F.col("value").cast("double").alias("v")).dropna()
+    trees, sample = 8, 32
+    model = fit_forest(rows, ["u", "v"], ["event_id"], trees=trees, sample=sample, once=True)
+    nodes = durable(model.table(spark), "nodes")
+    low, high = (rows.agg(*[how(c).alias(f"{name}_{c}") for c in ("u", "v")]) for how, name in ((F.min, "low"), (F.max, "high")))
+    inner = F.col("left") != F.col("node")
+    bounds = nodes.crossJoin(F.broadcast(low)).crossJoin(F.broadcast(high))  # one row each
+    inside = F.when(F.col("feature") == 0, F.col("threshold").between(F.col("low_u"), F.col("high_u"))).otherwise(F.col("threshold").between(F.col("low_v"), F.col("high_v")))
+    return bounds.groupBy("tree_id").agg(
+        (F.sum((~inner).cast("int")) - F.sum(inner.cast("int"))).alias("Leaves_Over_Splits"),
+        F.coalesce(F.every(F.when(inner, inside)), F.lit(True)).alias("Splits_In_Range"),
+        F.every(F.when(~inner, F.col("path_length") <= model.depth_limit + average_path(np.array([sample]))[0])).alias("Depth_Limited"),
+        (F.sum((~inner).cast("int")) <= sample).alias("Leaves_Fit_Sample"),
+    )
+
+
 def anomaly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly.anomaly_scores(stored_hours(spark, sf_dir))
 
@@ -387,7 +484,8 @@ def anomaly_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        scan_text, scan_text_dir, scan_limit, scan_parquet, scan_or_empty,
+        scan_text, scan_text_dir, scan_limit, scan_parquet, scan_or_empty, scan_first_base, scan_guarded,
+        sink_replaced, run_metrics, batch_from_mapping, top_mostly_unique, hours_of_two_runs, forest_properties,
         sink_parquet_roundtrip, sink_mirror, sink_text_roundtrip, system_batch_results,
         metrics_batch_results, report_results, parse_odd_names, timings_appended,
         parse_system_log, event_template, assemble_timestamp, parse_server_metrics, classify_severity,

@@ -5,6 +5,7 @@ import subprocess
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -211,3 +212,35 @@ def test_draws_without_spare_equal_those_with(spark):
     table = spark.range(5_000).selectExpr("id", "id % 7 AS a")
     one, two = (forest.draw_samples(table, ["a"], ["id"], 5_000, 5, 32, 1, spare).collect() for spare in (True, False))
     assert sorted(one) == sorted(two)
+
+
+def test_keys_must_tell_rows_apart(spark):
+    table = spark.range(50).select((F.col("id") % 10).alias("k"), F.col("id").cast("double").alias("a"))
+    with pytest.raises(Exception, match="does not tell rows apart"):
+        forest.fit_forest(table, ["a"], ["k"], trees=3, sample=40)
+
+
+def test_least_draws_in_parts_equal_those_of_the_whole():
+    draw = np.random.default_rng(5)
+    rows = pa.table({"id": np.arange(3000)})
+    row, tree, value = np.repeat(np.arange(3000), 4), np.tile(np.arange(4), 3000), draw.integers(-(2**62), 2**62, 12_000)
+    kept = forest.LeastDraws(4, 16)
+    for start in range(0, 12_000, 400):
+        part = slice(start, start + 400)
+        kept.add(rows, row[part], tree[part], value[part])
+    trees, draws, table = kept.shrink()
+    for t in range(4):
+        expected = sorted(zip(value[tree == t], row[tree == t]))[:16]
+        assert list(zip(draws[trees == t], np.array(table["id"])[trees == t])) == expected
+
+
+def test_node_table(spark):
+    table = spark.range(300).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"))
+    model = forest.fit_forest(table, ["a", "b"], ["id"], trees=4, sample=32)
+    nodes = model.table(spark).toPandas()
+    assert len(nodes) == len(model.nodes["left"]) and set(nodes.tree_id) == {0, 1, 2, 3}
+    inner = nodes[nodes.left != nodes.node]
+    # Children of a node are in its tree, each node but the roots is a child once.
+    assert (nodes.tree_id[inner.left].to_numpy() == inner.tree_id.to_numpy()).all()
+    children = np.concatenate([inner.left, inner.left + 1])
+    assert sorted([*children, *model.nodes["roots"]]) == list(range(len(nodes)))
