@@ -98,6 +98,14 @@ def spelled_words(words: DataFrame, order: int = ORDER) -> DataFrame:
     return spelt.withColumn("piece", F.expr("substring(framed, at, k)")).drop("framed", "at")
 
 
+def spelled_as(words: DataFrame, length: int) -> DataFrame:
+    """The rows of ``words`` with ``piece``, once for each n-gram of one length."""
+    framed = F.concat(F.lit("^"), F.col("word"), F.lit("$")) if length > 1 else F.col("word")
+    spelt = words.withColumn("framed", framed).filter(F.length("framed") >= length)
+    spelt = spelt.withColumn("at", F.explode(F.expr(f"sequence(1, length(framed) - {length - 1})")))
+    return spelt.withColumn("piece", F.expr(f"substring(framed, at, {length})")).drop("framed", "at")
+
+
 def learned_grams(words: DataFrame, order: int = ORDER) -> DataFrame:
     return spelled_words(words, order).groupBy("lang", "k", F.col("piece").alias("item")).agg(F.sum("n").alias("n"))
 
@@ -183,13 +191,18 @@ def word_values(words: DataFrame, order: int = ORDER) -> tuple[list[str], DataFr
     vectors = durable(table.groupBy("k", "item").agg(*[log_frequency(lang).alias(s) for s, lang in zip(sums_of, langs)]), "vectors")
     counts = durable(words.groupBy("word").agg(F.sum("n").alias("n"), F.max(F.col("lang").isNotNull()).alias("seen")), "counts")
     seen = counts.filter("seen").join(vectors.filter("k = 0"), F.col("word") == F.col("item")).select("word", "n", *sums_of)
-    spelt = spelled_words(counts.filter("not seen").select("word", "n"), order).withColumnRenamed("k", "length")
-    met = spelt.join(vectors.filter("k > 0"), (F.col("length") == F.col("k")) & (F.col("piece") == F.col("item")))
-    means = met.groupBy("word", "k").agg(F.first("n").alias("n"), *[F.avg(s).alias(s) for s in sums_of])
-    unseen = means.groupBy("word").agg(F.first("n").alias("n"), F.max_by(F.struct(*sums_of), "k").alias("v")).select("word", "n", *[F.col(f"v.{s}") for s in sums_of])
+    # From long n-grams to short ones, each time only words of which no longer one is known.
+    left, unseen, stored = counts.filter("not seen").select("word", "n"), None, []
+    for length in range(order, 0, -1):
+        known = vectors.filter(F.col("k") == length).drop("k")
+        met = spelled_as(left, length).join(known, F.col("piece") == F.col("item"))
+        means = durable(met.groupBy("word").agg(F.first("n").alias("n"), *[F.avg(s).alias(s) for s in sums_of]), "means")
+        left = durable(left.join(means.select("word"), "word", "left_anti"), "left")
+        stored += [means, left]
+        unseen = means if unseen is None else unseen.unionByName(means)
     valued = seen.unionByName(unseen).select(F.lit("").alias("lang"), "word", "n", *[whole(F.col(s)).alias(s) for s in sums_of])
     valued = durable(valued, "values")
-    for read in (table, vectors, counts):
+    for read in (table, vectors, counts, *stored):
         discard(read)
     return langs, valued
 
