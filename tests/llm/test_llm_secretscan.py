@@ -90,3 +90,69 @@ def test_messy_rows(spark):
     found = secretscan.find_secrets(docs)
     assert found.count() == messy(spark).count()
     assert secretscan.find_secrets(messy(spark, [])).count() == 0
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    return secretscan.fit_twice(secretscan.labelled_samples(docs))
+
+
+def flagged(spark, ratios, values):
+    table = spark.createDataFrame([(v,) for v in values], "v string")
+    return {r.v for r in table.filter(secretscan.looks_random(table["v"], secretscan.constant(ratios))).collect()}
+
+
+# Ordinary strings of kinds that the samples by rule have, but of other words, and of kinds that they lack.
+ORDINARY = """
+backup-2024-01-01-full.tar.gz 0000000000000000000000000001 org.apache.spark.sql.functions /usr/local/lib/python3.13/site-packages camelCaseIdentifierName2
+2024-01-01T00:00:00Z spark-4.1.2-bin-hadoop3 libc-2.31.so x86_64-linux-gnu IndexOutOfBoundsException getElementsByTagName utf-8-sig sha256sum.txt
+JAVA_HOME=/opt/jdk-17 aspect-ratio=16-9 /home/maria/Documents/letters/2019/invoice-march.pdf 192.168.100.200 1999-12-31 12/31/1999 +44-20-7946-0958 3.14159265358979
+README_FIRST.txt node_modules/left-pad/index.js application/json text/html charset=utf-8 max_connections=100 kernel.shmmax=68719476736 com.example.shop.OrderService
+ThreadPoolExecutor AbstractSingletonProxyFactoryBean user.name=admin /var/log/nginx/access.log.1 SELECT_FOR_UPDATE --------------------- ========== ................
+Donaudampfschiffahrt antidisestablishmentarianism internationalisation worcestershire mississippi rollercoaster 20240101120000 2023.10.05 release-10.4.3-rc2 v1.2.3-alpha.4
+build-2087.log docker.io/library/postgres page-break-after margin-left line-height font-family=sans-serif github.com/owner/project/issues/1234 en_US.UTF-8
+""".split()
+
+
+def test_random_strings_are_found_and_ordinary_ones_are_not(spark, fitted):
+    draw = random.Random(99)
+    mixed, alnum = string.ascii_letters, string.ascii_letters + string.digits
+    for alphabet, lengths in ((mixed, (16, 24, 40)), (alnum, (12, 16, 24, 40)), (alnum + "+/", (16, 40)), ("0123456789abcdef", (16, 24))):
+        for n in lengths:
+            planted = {"".join(draw.choices(alphabet, k=n)) for _ in range(200)}
+            assert len(flagged(spark, fitted, planted)) >= 0.9 * len(planted), (alphabet, n)
+    assert not flagged(spark, fitted, ORDINARY)
+    # More of the kinds of the samples by rule, drawn anew.
+    more = [v for v, secret in secretscan.known_samples(1500, seed=1234) if not secret]
+    assert len(flagged(spark, fitted, more)) <= 0.02 * len(more)
+
+
+def test_markov_spans_equal_brute_force(spark, fitted):
+    import math
+
+    draw = random.Random(3)
+    texts = []
+    for _ in range(60):
+        words = draw.choices(ORDINARY, k=4) + ["".join(draw.choices(string.ascii_letters + string.digits, k=draw.randrange(6, 40))) for _ in range(3)] + ["é😀", "token=abcdefgh12345678"]
+        draw.shuffle(words)
+        texts.append(draw.choice([" ", "\n", ", "]).join(words))
+
+    def expected(text):
+        base, out = brute_base(text), []
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]{8,}", text):
+            score = sum(fitted[128 * ord(a) + ord(b)] for a, b in zip(m[0], m[0][1:]))
+            if score >= secretscan.BASE + secretscan.SLOPE * math.sqrt(len(m[0])) and not any(s < m.end() and m.start() < e for s, _, _, e in base):
+                out.append((m.start(), 3, "markov", m.end()))
+        return shown(sorted(base + out))
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = secretscan.scan(docs, fitted).collect()
+    assert len(found) == 60
+    for r in found:
+        assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.spans) == expected(texts[r.doc_id])
+
+
+def test_spaces_of_a_text_without_a_sample(spark):
+    ratios = secretscan.fit_twice(secretscan.labelled_samples(spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string")))
+    assert len(ratios) == 128 * 128 and flagged(spark, ratios, ["aB3xQ9zLk2Pw7TtR", "customer_backup_table"]) == {"aB3xQ9zLk2Pw7TtR"}
