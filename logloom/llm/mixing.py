@@ -21,13 +21,14 @@ from logloom.llm.text import raw_texts, slices
 from logloom.sources.durable import durable
 
 WEIGHTS, MAX_EPOCHS, SEED = (5.0, 2.0, 1.0), 3.0, 42
-#: Hashes have 62 bits, ranges the first 12 of them.
-HASH_BITS, RANGE_BITS = 62, 12
+#: Hashes are the first 60 bits of MD5, which any engine can repeat; ranges are the first 12 of them.
+HASH_BITS, RANGE_BITS = 60, 12
 
 
 def pick() -> F.Column:
     """The seeded place of a document among those of its source."""
-    return F.xxhash64(F.lit(SEED), "doc_id", "text").bitwiseAND(F.lit((1 << HASH_BITS) - 1).cast("bigint"))
+    named = F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.coalesce("text", F.lit("")))
+    return F.conv(F.substring(F.md5(named.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
 def sizes(docs: DataFrame) -> DataFrame:

@@ -181,10 +181,46 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_con
 FROM nodes n JOIN below USING (key) LEFT JOIN children USING (key) LEFT JOIN nodes p ON p.key = n.parent
 """
 
+# Weights, limit and word pattern of the contract, and the seed. "Full" sources are those with the lowest limit by weight.
+OP10 = r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS pick FROM documents
+),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, ([5.0, 2.0, 1.0]::DOUBLE[])[(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS weight,
+         3.0::DOUBLE * sum(size)::DOUBLE AS most FROM docs GROUP BY source
+),
+levels AS (
+  SELECT *, most / weight <= (sum(source_size) OVER ()::DOUBLE - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                            / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS filled
+  FROM sources WINDOW o AS (ORDER BY most / weight, encode(source) NULLS LAST)
+),
+targets AS (
+  SELECT source, source_size, CASE WHEN filled THEN most ELSE
+    (sum(source_size) OVER ()::DOUBLE - coalesce(sum(most) FILTER (filled) OVER (), 0)) / nullif(sum(weight) FILTER (NOT filled) OVER (), 0) * weight END AS target
+  FROM levels
+),
+plans AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM targets
+),
+ordered AS (
+  SELECT d.source, pick, sum(size) AS held, coalesce(sum(sum(size)) OVER (PARTITION BY d.source ORDER BY pick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+  FROM docs d GROUP BY d.source, pick
+),
+cuts AS (
+  SELECT o.source, max(pick) FILTER (below + held / 2 <= target - whole * source_size) AS last
+  FROM ordered o JOIN plans p ON o.source IS NOT DISTINCT FROM p.source WHERE target - whole * source_size > 0 GROUP BY o.source
+)
+SELECT doc_id, size::BIGINT AS size, source_size, target, (size * (whole + coalesce(pick <= last, false)::INT))::BIGINT AS taken
+FROM docs d JOIN plans p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN cuts c ON d.source IS NOT DISTINCT FROM c.source
+"""
+
 ORACLES = {
     "op1_line_dedup": OP1,
     "op4_embedding_near_dedup": OP4,
     "op5_substring_dedup": OP5,
+    "op10_mixing": OP10,
     "op11_sharding": OP11,
     "op12_phrase_mining": OP12,
     "op13_prefix_trie": OP13,
