@@ -108,3 +108,47 @@ def test_title_lead_and_smaller_sections_stay_with_the_body(spark):
     assert all(found["one", i] == f"Title\nLead.\n{long}{i}" and found["two", i] == f"T\nShort part.\n{long}{i}" for i in range(3))
     linked = "<div><div class=x><p>Some words of the text.</p></div><p><a href=1>Another page of this site</a></p></div>"
     assert webpages.main_text(linked, []) == "Some words of the text."
+
+
+ARTICLE = "<h1>Title</h1><p>The first paragraph of the article, which is long enough.</p><p>And the second one.</p>"
+WHOLE = "Title\nThe first paragraph of the article, which is long enough.\nAnd the second one."
+COMMENTS = "<div class=item><p>Ann: I do not agree.</p></div><div class=item><p>Bob: I do.</p></div>"
+
+
+@pytest.mark.parametrize(
+    "inside, text",
+    [
+        (f"{ARTICLE}<section class=discussion><h3>Discussion</h3>{COMMENTS}</section>", WHOLE),
+        (f"{ARTICLE}<section class=discussion><p>Ann: I do not agree.</p></section>", WHOLE),
+        (f"{ARTICLE}<section class=user-comments-list>{COMMENTS}</section>", WHOLE),
+        (f"{ARTICLE}<div class=recirc><a href=1>Another story</a> <a href=2>And one more</a></div>", WHOLE),
+        (f"{ARTICLE}<div class=recirc><ul><li><a href=1>Another story</a><li><a href=2>And one more</a></ul></div>", WHOLE),
+        (f"{ARTICLE}<div class=social-history><p>She grew up on a farm.</p></div>", f"{WHOLE}\nShe grew up on a farm."),
+        (f"{ARTICLE}<section id=notice-of-results><p>The results came late.</p></section>", f"{WHOLE}\nThe results came late."),
+        (f"{ARTICLE}<section class=discussion><h2>Discussion</h2><p>We have shown that.</p></section>", f"{WHOLE}\nDiscussion\nWe have shown that."),
+        ("<header><h1>Title</h1><p>By Ann</p><nav><a href=/>Home</a></nav></header>" + ARTICLE.removeprefix("<h1>Title</h1>"), WHOLE),
+        (f"{ARTICLE}<div class=box><p>See <a href=1>there</a> for what they said about it.</p></div>", f"{WHOLE}\nSee there for what they said about it."),
+        (f"{ARTICLE}<div class=social-icons>Like us</div><div class=newsletter-signup>Sign up</div><div class=comments-area><h3>Comments</h3>Mine</div>", WHOLE),
+    ],
+)
+def test_what_names_leave_open(spark, inside, text):
+    source = f"<body><header><h1>Site</h1></header><article>{inside}</article></body>"
+    assert webpages.main_text(source, []) == text
+    pages = [(i, "http://h/x", source.replace("second one", f"second one, {i},")) for i in range(2)]
+    found = {r.page_id: r.text for r in webpages.extract(spark.createDataFrame(pages, SCHEMA)).collect()}
+    assert found == {i: text.replace("second one", f"second one, {i},") for i in range(2)}
+
+
+def test_a_hosts_pages_decide_on_doubtful_elements(spark):
+    page = "<body><article>{}<div class=social-note><p>{}</p></div><div class=more><a href=1>{}</a>{}</div></article></body>"
+    pages = [(i, "http://same/x", page.format(ARTICLE, "Follow all of us there.", "One", " or a text")) for i in range(4)]
+    pages += [(10 + i, "http://other/x", page.format(ARTICLE, f"A note of its own, {i}.", "One", " or a text" * (i > 0))) for i in range(4)]
+    found = {r.page_id: r.text for r in webpages.extract(spark.createDataFrame(pages, SCHEMA)).collect()}
+    assert all(found[i] == f"{WHOLE}\nOne or a text" for i in range(4))
+    # The block is a list of links on one page, but not on its host.
+    assert all(found[10 + i] == f"{WHOLE}\nA note of its own, {i}.\nOne{' or a text' * (i > 0)}" for i in range(4))
+
+
+def test_equal_votes_go_to_the_first_path(spark):
+    counted = spark.createDataFrame([("h", f"/p{i}", 5) for i in range(9, 0, -1)] + [(None, "/x", 1)], "host string, path string, n bigint")
+    assert {r.vote_host: r.paths for r in webpages.winners(counted, share=0.1).collect()} == {"h": [f"/p{i}" for i in range(1, 6)], None: ["/x"]}
