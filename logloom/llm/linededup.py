@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm import bitfilter
+from logloom.llm.hotkeys import looked_up
 from logloom.llm.text import raw_texts, slices
 from logloom.sources.durable import durable
 
@@ -141,11 +142,11 @@ def generalised(crowded: DataFrame, lines: DataFrame, min_docs: int, similarity:
 
 
 def _later(rows: DataFrame, key: list[str], min_docs: int) -> DataFrame:
-    """Rows of recurring keys outside the key's first document."""
+    """Rows of recurring keys outside the key's first document; the rows of a very common key stay where they are."""
     docs_of = rows.select(*key, "doc_id").distinct()
-    recurring = docs_of.groupBy(*key).agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first"))
-    recurring = recurring.filter(F.col("docs") >= min_docs).drop("docs")
-    return rows.join(recurring, key).filter("doc_id > first")
+    recurring = docs_of.groupBy(F.struct(*key).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
+    recurring = durable(recurring.filter(F.col("n") >= min_docs), "recurring")
+    return looked_up(rows.withColumn("by", F.struct(*key)), "by", recurring.drop("n"), recurring.drop("first")).filter("doc_id > first")
 
 
 def surplus_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -157,7 +158,7 @@ def surplus_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS,
     templates = durable(generalised(crowded, long, min_docs, similarity), "templates")
     drop = _later(lines.select("doc_id", "line", "leaf"), ["leaf", "line"], min_docs).select("doc_id", "line")
     formed = long.select("doc_id", "leaf", "line").join(templates, ["leaf", "line"])
-    drop = drop.unionByName(_later(formed, ["template"], min_docs).select("doc_id", "line"))
+    drop = drop.unionByName(_later(durable(formed, "formed"), ["template"], min_docs).select("doc_id", "line"))
     return drop.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 

@@ -29,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.llm.hotkeys import HOT, looked_up
 from logloom.llm.numbering import numbered
 from logloom.sources.durable import durable
 
-BLOCK, HOT, CHUNK = 4, 1000, 4096
+BLOCK, CHUNK = 4, 4096
 GROUP, HEADS = 5, 9
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -100,22 +101,6 @@ def opened(turns: str = "turns", start: str = "q") -> Column:
           'depth', t.at, 'bytes', t.bytes))""")
 
 
-def looked_up(rows: DataFrame, by: str, table: DataFrame, counts: DataFrame, hot: int = HOT) -> DataFrame:
-    """``rows`` joined with ``table`` (unique ``key``) on the column ``by``, whatever number of rows shares a key.
-
-    ``counts`` has ``key, n``, the number of rows by key. Keys with over ``1 / hot`` of all rows, fewer than ``hot``, are joined by a
-    broadcast, the others by a shuffle.
-    """
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    many = counts.filter(F.col("n") * hot > total).select("key")
-    much = F.broadcast(many.join(table, "key").withColumnRenamed("key", "_key"))
-    few = table.join(F.broadcast(many), "key", "left_anti").withColumnRenamed("key", "_key")
-    marked = rows.join(F.broadcast(many.select(F.col("key").alias("_hot"))), F.col(by) == F.col("_hot"), "left")
-    one = marked.filter("_hot is not null").join(much, F.col(by) == F.col("_key"))
-    other = marked.filter("_hot is null").join(few, F.col(by) == F.col("_key"))
-    return one.unionByName(other).drop("_hot", "_key")
-
-
 def nodes_of(cut: DataFrame, hot: int = HOT) -> DataFrame:
     """``key, parent, depth, bytes, n, conv_id`` for every node but the root, of conversations cut by :func:`blocks`."""
     variants = cut.filter("block > 0").groupBy("q", "p").agg(F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("conv_id"), F.first("turns").alias("turns"))
