@@ -6,10 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions import fixed
-from logloom.operators.system_log import with_hour
-
-#: A sketch of distinct templates has 2 to the power of this registers: a relative standard error below 1.7 %.
-SKETCH_PRECISION = 12
+from logloom.operators.system_log import SKETCH_PRECISION, with_hour
 
 
 def hourly_features(
@@ -62,8 +59,10 @@ def hourly_sketches(
 
     ``Component_Lines`` counts the lines of ``''`` and of each listed component, in this order; ``Templates_Sketch`` is a mergeable
     sketch of ``2 ** precision`` registers, so an hour is one row of bounded size however many templates it has. Rows of several runs over different
-    lines are made one by :func:`merged_hours`. Only listed components may occur.
+    lines are made one by :func:`merged_hours`. Only listed components may occur. ``lines`` may be a bounded summary, whose sketches are united.
     """
+    known = "Templates_Sketch" in lines.columns
+    templates = F.hll_union_agg("Templates_Sketch", F.lit(False)) if known else F.hll_sketch_agg("EventTemplate", precision)
     hours = lines if "Hour_Window" in lines.columns else with_hour(lines)
     timed, listed = F.col("Hour_Window").isNotNull(), ("", *components)
     each = F.when(timed, F.lit(1) if weight is None else F.col(weight)).otherwise(0).cast("bigint")
@@ -74,7 +73,7 @@ def hourly_sketches(
             F.sum(each).alias("Total_Logs"),
             F.array(*held).alias("Component_Lines"),
             _listed_components(F.col("Component"), listed).alias("Listed"),  # refuses others
-            F.hll_sketch_agg("EventTemplate", precision).alias("Templates_Sketch"),
+            templates.alias("Templates_Sketch"),
         )
         .filter("Hour_Window IS NOT NULL AND Listed >= 0")
         .drop("Listed")

@@ -206,6 +206,17 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 'Top Event Templates', count(*) FROM top_templates
           UNION ALL SELECT 'Anomaly Features', count(*) FROM hours)""",
     ),
+    "bounded_batch_results": _with(
+        *HOURLY,
+        COMPONENTS,
+        LEVELS,
+        TEMPLATES,
+        select="""
+        SELECT '1_component_volume' AS Result, Component AS Key, Total_Logs AS Line_Count FROM component_volume
+        UNION ALL SELECT '2_severity_levels', Level, Total_Logs FROM severity_levels
+        UNION ALL SELECT '3_most_frequent_actions', EventTemplate, Actions FROM top_templates
+        UNION ALL SELECT '4_anomaly_features', Hour_Window::VARCHAR, Total_Logs FROM hours""",
+    ),
     "top_mostly_unique": _with(
         *SYSTEM,
         select="""

@@ -5,7 +5,7 @@ from functools import reduce
 
 import numpy as np
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom import schemas
@@ -159,21 +159,29 @@ def system_batch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         namenode="", input_path=stored_lines(spark, sf_dir, files=5), output_base=scratch_path(spark, "results")
     )
     system_batch.run(spark, options)
+    return batch_tables(spark, options.results, F.col("Unique_Templates"))
 
-    def result(name: str, schema, key: str, count: str) -> DataFrame:
-        table = readers.read_result(spark, options.results, name, schema)
-        return table.select(
-            F.lit(name).alias("Result"), F.col(key).cast("string").alias("Key"), F.col(count).alias("Line_Count")
-        )
+
+def batch_tables(spark: SparkSession, base: str, of_hours: Column) -> DataFrame:
+    def result(name: str, schema, key: str, count: Column) -> DataFrame:
+        table = readers.read_result(spark, base, name, schema)
+        return table.select(F.lit(name).alias("Result"), F.col(key).cast("string").alias("Key"), count.alias("Line_Count"))
 
     return (
-        result(fixed.RESULT_COMPONENTS, schemas.COMPONENT_VOLUME, "Component", "Total_Logs")
-        .unionByName(result(fixed.RESULT_LEVELS, schemas.SEVERITY_LEVELS, "Level", "Total_Logs"))
-        .unionByName(result(fixed.RESULT_TEMPLATES, schemas.TOP_TEMPLATES, "EventTemplate", "Actions"))
-        .unionByName(result(fixed.RESULT_HOURS, schemas.HOURLY_FEATURES, "Hour_Window", "Unique_Templates"))
+        result(fixed.RESULT_COMPONENTS, schemas.COMPONENT_VOLUME, "Component", F.col("Total_Logs"))
+        .unionByName(result(fixed.RESULT_LEVELS, schemas.SEVERITY_LEVELS, "Level", F.col("Total_Logs")))
+        .unionByName(result(fixed.RESULT_TEMPLATES, schemas.TOP_TEMPLATES, "EventTemplate", F.col("Actions")))
+        .unionByName(result(fixed.RESULT_HOURS, schemas.HOURLY_FEATURES, "Hour_Window", of_hours))
     )
 
 
+def bounded_batch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job with a summary that holds no template; of the hours the lines, which are exact, since the number of templates is not."""
+    base = scratch_path(spark, "results")
+    system_batch.run(spark, BatchOptions("", stored_lines(spark, sf_dir, files=5), 0, base), bounded=True)
+    return batch_tables(spark, base, F.col("Total_Logs"))
+
+
 def metrics_batch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The server-metric job over stored text; both stored tables in one."""
     path = scratch_path(spark, "metric-lines")
@@ -485,7 +493,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         scan_text, scan_text_dir, scan_limit, scan_parquet, scan_or_empty, scan_first_base, scan_guarded,
-        sink_replaced, run_metrics, batch_from_mapping, top_mostly_unique, hours_of_two_runs, forest_properties,
+        sink_replaced, run_metrics, batch_from_mapping, bounded_batch_results, top_mostly_unique, hours_of_two_runs, forest_properties,
         sink_parquet_roundtrip, sink_mirror, sink_text_roundtrip, system_batch_results,
         metrics_batch_results, report_results, parse_odd_names, timings_appended,
         parse_system_log, event_template, assemble_timestamp, parse_server_metrics, classify_severity,

@@ -2,7 +2,7 @@
 
 Locations come from the environment: ``HDFS_NAMENODE``, ``LOG_INPUT_PATH``, ``MAX_INPUT_ROWS``, ``HDFS_OUTPUT_BASE``,
 ``LOCAL_OUTPUT_BASE`` (second copy of the results), ``TIMINGS_PATH``, ``METRICS_PATH`` and ``WORKER_SETUP`` (records of stage
-times, and of times, rows and bytes). Every job
+times, and of times, rows and bytes), ``BOUNDED_SUMMARY`` (1 for text whose templates are mostly unique). Every job
 stores its tables under the output base; what it prints is a preview.
 """
 
@@ -20,7 +20,8 @@ from logloom.sources.options import BatchOptions
 def system(spark: SparkSession) -> None:
     options = BatchOptions.from_mapping(os.environ)
     timings, metrics = os.environ.get("TIMINGS_PATH"), os.environ.get("METRICS_PATH")
-    for stage, seconds in system_batch.run(spark, options, timings, os.environ.get("WORKER_SETUP"), metrics).items():
+    bounded = os.environ.get("BOUNDED_SUMMARY", "") not in ("", "0")
+    for stage, seconds in system_batch.run(spark, options, timings, os.environ.get("WORKER_SETUP"), metrics, bounded).items():
         print(f"{stage}: {seconds:.2f}s")
 
 

@@ -94,3 +94,14 @@ def test_sketches_of_a_summary_and_of_unlisted_components(spark):
     assert one.collect() == two.collect()
     with pytest.raises(Exception, match="components other than"):
         hourly.hourly_sketches(parsed.withColumn("Component", F.lit("XYZ"))).collect()
+
+
+def test_the_bounded_summary_does_not_grow_with_the_templates(spark):
+    parsed = event_source.parsed_system(spark, "/root/testdata/sf0.001").withColumn("EventTemplate", F.col("Content"))
+    whole, bounded = system_log.summarise(parsed).count(), system_log.bounded_summary(parsed)
+    assert bounded.count() == system_log.with_hour(parsed).select("Hour_Window", "Level", "Component").distinct().count() < whole
+    one, two = hourly.hourly_sketches(parsed), hourly.hourly_sketches(bounded, weight="Line_Count")
+    for merged, exact in zip(hourly.merged_hours(two).collect(), hourly.hourly_features(parsed).collect(), strict=True):
+        assert {**merged.asDict(), "Unique_Templates": 0} == {**exact.asDict(), "Unique_Templates": 0}
+        assert abs(merged.Unique_Templates - exact.Unique_Templates) <= 0.07 * exact.Unique_Templates + 1
+    assert one.drop("Templates_Sketch").exceptAll(two.drop("Templates_Sketch")).count() == 0
