@@ -5,6 +5,10 @@ unit directions, and a filter is one direction per block, so that ``codes ** blo
 with its highest score. It asks under every filter whose score is within ``reach`` of its own highest; these are decoded from the short lists of
 its best directions per block. Vectors meet on filters, and the cosine of every meeting is computed in double precision.
 
+The number of directions follows from the data (:func:`codes_for`): with c of them in each of two blocks a vector asks about ``2.4 c`` filters (measured at 64
+dimensions), which is what is moved, and meets ``2.2 / c`` of all classes of its label, which is what is computed. Both stay in balance if c grows with the square
+root of the number of classes of the largest label.
+
 ``reach`` is ``DEVIATIONS`` standard deviations of how far the score of one filter, relative to another, can drift between two vectors at the threshold. A pair
 is missed only if it drifts farther than that in both directions; recall against brute force is measured in the tests.
 
@@ -17,6 +21,7 @@ their own; so do vectors of different lengths. Null ids are no component's id un
 columns are not looked at. An empty table gives an empty result.
 """
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -30,6 +35,12 @@ from logloom.sources.durable import durable
 
 COSINE, BLOCKS, CODES, DEVIATIONS, SEED = 0.98, 2, 16, 4.5, 42
 TILE = 512
+LEAST_CODES, CLASSES_PER_CODE = 8, 256
+
+
+def codes_for(classes: int) -> int:
+    """Directions per block for the number of classes of the largest label: 8 up to 16,384, 16 at 65,536, 63 at a million, 1,977 at a billion."""
+    return max(LEAST_CODES, math.ceil(math.sqrt(classes / CLASSES_PER_CODE)))
 
 
 def directions(dim: int, blocks: int = BLOCKS, codes: int = CODES, seed: int = SEED) -> list[tuple[slice, np.ndarray]]:
@@ -180,11 +191,17 @@ def links(classes: DataFrame, cosine: float = COSINE, blocks: int = BLOCKS, code
     return pairs.mapInArrow(run, "cls bigint, other bigint, n bigint")
 
 
-def near_dedup(vectors: DataFrame, cosine: float = COSINE, blocks: int = BLOCKS, codes: int = CODES, deviations: float = DEVIATIONS) -> DataFrame:
-    """Contract of the operator: ``vec_id, n_links, component_id, kept`` for every row of ``vectors`` (``vec_id, embedding, label``)."""
+def near_dedup(vectors: DataFrame, cosine: float = COSINE, blocks: int = BLOCKS, codes: int | None = None, deviations: float = DEVIATIONS) -> DataFrame:
+    """Contract of the operator: ``vec_id, n_links, component_id, kept`` for every row of ``vectors`` (``vec_id, embedding, label``).
+
+    Without ``codes`` their number follows from the classes.
+    """
     cls = F.when(usable(), F.xxhash64("label", "embedding"))
     rows = vectors.select("vec_id", "label", "embedding").withColumn("cls", cls)
     classes = durable(classes_of(rows.filter("cls is not null")), "classes")
+    if codes is None:
+        largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0  # one number
+        codes = codes_for(largest)
     found = durable(links(classes, cosine, blocks, codes, deviations), "links")
     counts = found.filter("other is null").groupBy("cls").agg(F.sum("n").alias("links"))
     groups = components(found.filter("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "cls")

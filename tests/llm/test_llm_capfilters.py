@@ -92,3 +92,25 @@ def test_odd_rows(spark):
     vectors = spark.createDataFrame(table, SCHEMA)
     assert rows(capfilters.near_dedup(vectors.selectExpr("*", "'x' AS cls", "'x' AS n_links", "1 AS component"))) == brute(table)
     assert capfilters.near_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("codes", [8, 16, 40])
+def test_recall_does_not_depend_on_the_number_of_directions(spark, codes):
+    table = planted(seed=9)
+    expected = sum(e[1] for e in brute(table))
+    got = rows(capfilters.near_dedup(spark.createDataFrame(table, SCHEMA), codes=codes))
+    assert expected > 100 and 0.99 * expected <= sum(g[1] for g in got) <= expected
+
+
+def test_work_per_vector_grows_slower_than_the_table():
+    draw = np.random.default_rng(2)
+    units = capfilters.unit(draw.standard_normal((3000, 64)))
+    share = {}
+    for codes in (8, 16, 32):
+        home, who, name = capfilters.decode(units, capfilters.directions(64, 2, codes), capfilters.reach_of(64))
+        held = np.bincount(home, minlength=codes**2)
+        share[codes] = held[name].sum() / len(units) ** 2
+        assert len(who) / len(units) < 3 * codes
+    # Four times the classes, twice the directions: half the share of them is met.
+    assert share[32] < 0.6 * share[16] < 0.36 * share[8]
+    assert [capfilters.codes_for(n) for n in (0, 16_384, 65_536, 4 * 65_536)] == [8, 8, 16, 32]
