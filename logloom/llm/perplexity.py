@@ -17,7 +17,6 @@ null. Columns other than ``doc_id``, ``text`` and ``lang`` are not looked at. An
 """
 
 import math
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm import itemblocks
-from logloom.llm.itemblocks import BLOCK_ITEMS, Counted
+from logloom.llm.itemblocks import BLOCK_ITEMS
 from logloom.llm.words import partial_counts
 from logloom.llm.wordsums import SCALE, whole
 from logloom.sources.durable import discard, durable
@@ -137,7 +136,7 @@ def trusted(n_words: int, n_symbols: int, n_repeat_words: int) -> bool:
 def text_blocks(docs: DataFrame, size: int = BLOCK_ITEMS) -> DataFrame:
     """Texts as blocks of counted words (see :mod:`logloom.llm.itemblocks`); words of trusted texts weigh 1, others 0."""
     keyed = docs.select("doc_id", "text", "lang", F.xxhash64("text", F.lit(1)).alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"))
-    return itemblocks.cut(keyed, describe, FIGURES, None, size)
+    return itemblocks.cut(keyed, raw_words, measured, FIGURES, None, size)
 
 
 def learned_words(docs: DataFrame) -> DataFrame:
@@ -285,10 +284,16 @@ def _backed(gram: str, tables: list[dict[str, float]], own: dict[str, float], un
     return passed * unseen
 
 
-def statistics(text: str) -> tuple[list[bytes], int, int, int, int]:
-    """Words, code points in words, symbols, repeated lines, and words in windows of five that occur twice."""
+def raw_words(text: str) -> list[bytes]:
+    return text.encode().split()
+
+
+def measured(text: str, words: list[bytes], numbers: list[int]) -> tuple[tuple[int, ...], int]:
+    """The :data:`FIGURES` of a text of these words, which ``numbers`` tell apart, and whether models learn from it.
+
+    Code points in words, symbols, repeated lines, and words in windows of five that occur twice.
+    """
     data = text.encode()
-    words = data.split()
     word_chars = len(text) - len(data) + len(data.translate(None, BLANKS.encode()))
     symbols = len(data) - len(data.translate(None, SYMBOLS.encode()))
     seen: set[str] = set()
@@ -298,18 +303,16 @@ def statistics(text: str) -> tuple[list[bytes], int, int, int, int]:
             if line.strip(BLANKS):
                 repeated += line in seen
                 seen.add(line)
-    return words, word_chars, symbols, repeated, repeated_words(words)
+    again = repeated_words(words, numbers)
+    return (len(words), word_chars, symbols, repeated, again), int(trusted(len(words), symbols, again))
 
 
-def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
+def repeated_words(words: list[bytes], numbers: list[int], window: int = WINDOW) -> int:
     """Words inside a window of ``window`` words that is found at least twice, windows compared word by word."""
     n = len(words) - window + 1
     if n < 2:
         return 0
-    names = {word: i for i, word in enumerate(dict.fromkeys(words))}
-    if len(names) == len(words):
-        return 0
-    ids = np.fromiter(map(names.__getitem__, words), np.int64, len(words))
+    ids = np.array(numbers, np.int64)
     # Equal windows have equal sums, so without equal sums there are none; most texts end here.
     sums = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
@@ -318,9 +321,11 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     sums.sort()
     if not (sums[1:] == sums[:-1]).any():
         return 0
+    ids = np.unique(ids, return_inverse=True)[1]
+    kinds = int(ids.max()) + 1
     code = np.zeros(n, np.int64)
     for offset in range(window):  # ranks of ever longer runs, so that codes stay small and exact
-        code = np.unique(code * len(names) + ids[offset : offset + n], return_inverse=True)[1]
+        code = np.unique(code * kinds + ids[offset : offset + n], return_inverse=True)[1]
     twice = (np.bincount(code) > 1)[code]
     change = np.zeros(len(words) + 1, np.int64)
     np.add.at(change, np.flatnonzero(twice), 1)
@@ -420,10 +425,13 @@ def found_in(arrays: DataFrame, shards: int, sought: DataFrame) -> DataFrame:
     return asked.groupBy("shard_of").cogroup(arrays.groupBy("shard")).applyInArrow(search, schema)
 
 
-def spelled(word: str, order: int = ORDER) -> Counted:
+def spelled(word: str, order: int = ORDER) -> list[bytes]:
     """The longest n-gram that ends at each character of a word and at the blank after it."""
     framed = f" {word} "
-    return Counter([framed[max(0, end - order) : end].encode() for end in range(2, len(framed) + 1)]), (len(word),), 0
+    if framed.isascii():
+        cut = framed.encode()
+        return [cut[max(0, end - order) : end] for end in range(2, len(cut) + 1)]
+    return [framed[max(0, end - order) : end].encode() for end in range(2, len(framed) + 1)]
 
 
 def gram_values(grams: DataFrame, order: int = ORDER) -> DataFrame:
@@ -454,10 +462,10 @@ def gram_values(grams: DataFrame, order: int = ORDER) -> DataFrame:
 def word_values(words: DataFrame, order: int = ORDER) -> DataFrame:
     """``lang, word, n, s0``: the log probability of every word (see :func:`learned_words`) in whole units, from the model of the learned ones."""
 
-    def spell(word: str) -> Counted:
-        return spelled(word, order)
-
-    blocks = durable(itemblocks.cut(words.select("lang", "word", "n", "m", F.col("word").alias("text")), spell, "length bigint", "m"), "spelt")
+    blocks = itemblocks.cut(
+        words.select("lang", "word", "n", "m", F.col("word").alias("text")), lambda word: spelled(word, order), lambda word, *_: ((len(word),), 0), "length bigint", "m"
+    )
+    blocks = durable(blocks, "spelt")
     grams = durable(itemblocks.counts_of(blocks), "grams")
     found = durable(gram_values(grams, order), "valued")
     values = durable(itemblocks.summed(blocks, found).select("lang", "word", "n", "s0"), "values")
@@ -466,12 +474,6 @@ def word_values(words: DataFrame, order: int = ORDER) -> DataFrame:
     return values
 
 
-def describe(text: str) -> Counted:
-    """How often each word is in the text, its :func:`statistics`, and whether models learn from it."""
-    words, *figures = statistics(text)
-    return Counter(words), (len(words), *figures), int(trusted(len(words), figures[1], figures[3]))
-
-
 def score(docs: DataFrame, values: DataFrame, size: int = BLOCK_ITEMS) -> DataFrame:
     """One row per document: key, statistics and log perplexity per character (null without words)."""
     return scored(text_blocks(docs, size), values)
