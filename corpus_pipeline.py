@@ -1,4 +1,14 @@
-"""A training-data pipeline: five operators in a row, each on all that the one before it kept."""
+"""A training-data pipeline: five operators in a row, each on all that the one before it kept.
+
+Defined cases, for every stage: rows are told apart by id and text. Columns beyond ``doc_id, text, lang, source`` travel with their row, whatever
+their names. An empty table gives an empty table of the same columns (the last stage: of its own).
+
+- quality rules: a null or empty text has no words and goes; a null language is a language of its own; equal rows are judged alike, so all stay or go.
+- line dedup: a null text stays empty; a null id is no document that a line could recur in, so such a row keeps its lines.
+- near-dedup: the row with the smallest id of a group stays, ids before null, of equal rows one; rows without words are one group.
+- mixing: a null source is a source; a row without words is repeated like any other; rows equal in id and text are taken or left together.
+- encoding: a null text has no tokens.
+"""
 
 from collections.abc import Callable
 
@@ -7,7 +17,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm import linededup, mixing, perplexity, pieces, simhash
 from logloom.llm.text import only_one, without
-from logloom.sources.durable import scratch_path
+from logloom.sources.durable import scratch_path, shuffles_released
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -58,6 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if place < len(STAGES) - 1:
             path = scratch_path(spark, name.replace(" ", "-"))
-            docs.write.parquet(path)
+            with shuffles_released(spark):
+                docs.write.parquet(path)
             docs = spark.read.parquet(path)
     return docs
