@@ -3,13 +3,16 @@
 The relation of level k holds every occurrence of a phrase of k words as (piece, place, phrase), sorted by piece and place, and is stored. The
 next level comes from a merge-join of the relation with itself on the same piece and the next place: two phrases that overlap in all but one word make one
 of k + 1. Group counts over the whole corpus find the phrases that are frequent, and the relation is semi-joined with them before it is extended
-again. All contiguous parts of a frequent phrase are frequent, so nothing is lost.
+again: occurrences of phrases that are not frequent go. All contiguous parts of a frequent phrase are frequent, so nothing is lost.
 
 Layout. A row of the relation is a *block*: occurrences of about ``BLOCK_WORDS`` words of text, in order. A place is the number of the word in its
 block; a piece's end leaves one place free, so the next place always lies in the same piece. Phrases are numbered within the block and
 stored once per block. Group counts move one row per block and distinct phrase, so a word that is everywhere is one row per block and not one per
-occurrence; the semi-join sends back to each block which of its own phrases are frequent. Both are exact, whatever the number of phrases, and nothing
-is broadcast or collected.
+occurrence.
+
+The semi-join is done where the relation lies, by a bit filter of the frequent phrases of 16 MB (see :mod:`logloom.llm.bitfilter`). It misses none; the few
+others that it lets through are extended and fall to the next, exact count. With more than some 10^8 frequent phrases of a length it lets most through: then more
+is counted, and the result is the same.
 
 A candidate is scored at its worst cut, in exact decimals; it goes if a longer candidate around it is as frequent (``COVER`` percent). The longer
 candidates with the highest count have one word more, so only these are compared.
@@ -22,16 +25,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.llm import bitfilter
+from logloom.llm.itemblocks import Numbers, as_text, one
 from logloom.llm.text import slices
 from logloom.sources.durable import discard, durable
 
 MIN_COUNT, MIN_WORDS, MAX_WORDS, TOP, COVER = 100, 2, 5, 2000, 100
 BLOCK_WORDS = 1 << 17
 SALTS = 64
+SPARK_SEED = 42
 UNKNOWN = "und"
 # Where pieces end, and what separates words.
 PIECE_ENDS, SEPARATORS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -41,18 +48,6 @@ _ONE_WAY = bytes.maketrans(PIECE_ENDS + SEPARATORS, _BREAK * len(PIECE_ENDS) + b
 RELATION = "block bigint, steps array<int>, phrases array<int>, items array<struct<lang:string,phrase:string,n:bigint>>"
 
 
-class _Numbers(dict):
-    """Numbers words in the order they are first asked for."""
-
-    def __init__(self, names: list[bytes]):
-        self.names = names
-
-    def __missing__(self, name: bytes) -> int:
-        self[name] = number = len(self.names)
-        self.names.append(name)
-        return number
-
-
 def words_and_breaks(text: str) -> list[bytes]:
     """The words of a text with a break between pieces."""
     return [word for word in text.encode().lower().translate(_ONE_WAY).replace(_BREAK, b" \n ").split(b" ") if word]
@@ -60,11 +55,7 @@ def words_and_breaks(text: str) -> list[bytes]:
 
 def _row(block: int, places: np.ndarray, phrases: np.ndarray, langs: list[str], names: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
     """One block of the relation; places are stored as steps, which are small."""
-    struct = pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(names, pa.binary()).view(pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
-
-    def one(values: pa.Array) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
+    struct = pa.StructArray.from_arrays([pa.array(langs, pa.string()), as_text(names), pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
     steps = np.diff(places, prepend=np.int64(0)).astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [pa.array([block], pa.int64()), one(pa.array(steps)), one(pa.array(phrases.astype(np.int32))), one(struct)], names=["block", "steps", "phrases", "items"]
@@ -77,7 +68,7 @@ def occurrences(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         names: list[bytes] = []
-        by_lang: dict[str, _Numbers] = {}
+        by_lang: dict[str, Numbers] = {}
         langs: list[str] = []
         parts: list[np.ndarray] = []
         held = 0
@@ -96,7 +87,7 @@ def occurrences(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
                 lang = UNKNOWN if lang is None else lang
                 numbers = by_lang.get(lang)
                 if numbers is None:
-                    numbers = by_lang[lang] = _Numbers(names)
+                    numbers = by_lang[lang] = Numbers(names)
                 numbers[_BREAK] = -1
                 parts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
                 parts.append(np.full(1, -1, np.int32))
@@ -112,35 +103,38 @@ def occurrences(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return docs.select("text", "lang").mapInArrow(run, RELATION)
 
 
-def frequent(relation: DataFrame, least: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
-    """Phrases with their counts in the whole corpus, and by block the numbers of its frequent phrases (``block, kept``)."""
-    rows = relation.select("block", F.posexplode("items").alias("number", "item")).select("block", "number", "item.lang", "item.phrase", "item.n")
-    counts = durable(rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "counts")
-    replies = rows.join(counts.select("lang", "phrase"), ["lang", "phrase"], "left_semi").groupBy("block").agg(F.collect_list("number").alias("kept"))
-    return counts, replies
+def frequent(relation: DataFrame, least: int = MIN_COUNT) -> DataFrame:
+    """``lang, phrase, n``: the phrases of the relation that occur ``least`` times in the whole corpus."""
+    rows = relation.select(F.explode("items").alias("item")).select("item.lang", "item.phrase", "item.n")
+    return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+
+
+def phrase_hashes(langs: list[str], names: list[bytes]) -> np.ndarray:
+    """Spark's ``xxhash64(lang, phrase)``: the hash of the first is the seed of the second."""
+    seeds = {lang: xxhash.xxh64_intdigest(lang.encode(), SPARK_SEED) for lang in set(langs)}
+    return np.fromiter((xxhash.xxh64_intdigest(name, seeds[lang]) for lang, name in zip(langs, names)), np.uint64, len(names))
 
 
-def extended(relation: DataFrame, replies: DataFrame) -> DataFrame:
-    """The relation of phrases one word longer: the frequent ones merge-joined on the next place of the piece."""
+def extended(relation: DataFrame, counts: DataFrame) -> DataFrame:
+    """The relation of phrases one word longer: what is frequent, merge-joined on the next place of the piece."""
+    shared = bitfilter.build(counts.select(F.xxhash64("lang", "phrase").alias("h")), "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             steps, phrases = (batch[name].flatten().to_numpy() for name in ("steps", "phrases"))
             items = batch["items"].flatten()
             langs, names = items.field("lang").to_pylist(), items.field("phrase").cast(pa.binary()).to_pylist()
-            fine = np.zeros(len(names), bool)
-            fine[batch["kept"].flatten().to_numpy()] = True
-            here = fine[phrases]
+            here = bitfilter.holds(shared.value, phrase_hashes(langs, names))[phrases]
             places, phrases = np.cumsum(steps, dtype=np.int64)[here], phrases[here].astype(np.int64)
             left = np.flatnonzero(np.diff(places) == 1)
             if not len(left):
                 continue
-            pairs, number, counts = np.unique(phrases[left] * len(names) + phrases[left + 1], return_inverse=True, return_counts=True)
-            first, second = pairs // len(names), pairs % len(names)
-            longer = [names[a] + b" " + names[b].rpartition(b" ")[2] for a, b in zip(first.tolist(), second.tolist())]
-            yield _row(batch["block"][0].as_py(), places[left], number, [langs[a] for a in first.tolist()], longer, counts)
+            pairs, number, counted = np.unique(phrases[left] * len(names) + phrases[left + 1], return_inverse=True, return_counts=True)
+            first, second = (pairs // len(names)).tolist(), (pairs % len(names)).tolist()
+            longer = [names[a] + b" " + names[b].rpartition(b" ")[2] for a, b in zip(first, second)]
+            yield _row(batch["block"][0].as_py(), places[left], number, [langs[a] for a in first], longer, counted)
 
-    return relation.join(replies, "block").mapInArrow(run, RELATION)
+    return relation.mapInArrow(run, RELATION)
 
 
 def mine(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -149,11 +143,11 @@ def mine(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS, bloc
     sizes = durable(relation.select(F.explode("items").alias("item")).groupBy("item.lang").agg(F.sum("item.n").alias("n")), "sizes")
     found = None
     for words in range(1, longest + 1):
-        counts, replies = frequent(relation, least)
+        counts = durable(frequent(relation, least), "counts")
         level = counts.select("lang", "phrase", F.lit(words).alias("words"), "n")
         found = level if found is None else found.unionByName(level)
         if words < longest:
-            longer = durable(extended(relation, replies), "occurrences")
+            longer = durable(extended(relation, counts), "occurrences")
             discard(relation)
             relation = longer
     discard(relation)

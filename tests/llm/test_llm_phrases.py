@@ -84,3 +84,16 @@ def test_cover_is_a_share(spark):
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert rows(phrases.collocations(docs)) == by_hand([(r["text"], r["lang"]) for r in docs.collect()], 100)
+
+
+def test_hashes_are_those_of_spark_and_infrequent_phrases_go(spark):
+    from pyspark.sql import functions as F
+
+    pairs = [("en", "the quick"), ("und", "é"), ("", ""), ("de", "x" * 100)]
+    table = spark.createDataFrame(pairs, "lang string, phrase string").select(F.xxhash64("lang", "phrase").alias("h"))
+    found = phrases.phrase_hashes([lang for lang, _ in pairs], [phrase.encode() for _, phrase in pairs])
+    assert [r.h for r in table.collect()] == found.view("int64").tolist()
+    docs = messy(spark, [(i, f"a b c{i} d e", "en", "s", 1) for i in range(50)])
+    words = phrases.occurrences(docs)
+    longer = phrases.extended(words, phrases.frequent(words, 50))
+    assert sorted(r.phrase for r in longer.selectExpr("explode(items) AS x").selectExpr("x.phrase").distinct().collect()) == ["a b", "d e"]
