@@ -34,8 +34,8 @@ from logloom.llm.text import raw_texts, slices
 from logloom.sources.durable import discard, durable
 
 WINDOW, ANCHOR = 13, 7
-#: Repeated documents per shard, and followers of a shard handled at once, on average.
-SHARD_SOURCES, CHUNK_READERS = 64, 256
+#: Repeated documents per shard, and followers of a shard handled at once, on average; and the bytes of either, for longer texts.
+SHARD_SOURCES, CHUNK_READERS, GROUP_BYTES = 64, 256, 8 << 20
 HELD_WORDS = 150_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -188,11 +188,14 @@ def locate(texts: DataFrame, pairs: DataFrame, recurring: Broadcast) -> DataFram
 
     ``texts`` (``doc_id, h1, h2, text``) has every reader and source of ``pairs``.
     """
+    sizes = durable(texts.groupBy("doc_id").agg(F.sum(F.length(F.col("text").cast("binary"))).alias("bytes")), "sizes")
     sources = pairs.select(F.col("source").alias("doc_id")).distinct()
-    shards = max(1, -(-sources.count() // SHARD_SOURCES))
+    held = sources.join(sizes, "doc_id").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()  # two numbers
+    shards = max(1, -(-held["n"] // SHARD_SOURCES), -(-held["bytes"] // GROUP_BYTES))
     shard = lambda column: F.pmod(F.xxhash64(column), F.lit(shards))
     routes = pairs.select(F.col("reader").alias("doc_id"), shard("source").alias("shard")).distinct()
-    chunks = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / CHUNK_READERS).alias("chunks"))
+    crowd = F.greatest(F.count(F.lit(1)) / CHUNK_READERS, F.sum("bytes") / GROUP_BYTES)
+    chunks = routes.join(sizes, "doc_id").groupBy("shard").agg(F.ceil(crowd).alias("chunks"))
     chunks = durable(chunks, "chunks")
     routes = routes.join(chunks, "shard").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(7)), "chunks")).select("doc_id", "shard", "chunk")
     homes = sources.withColumn("shard", shard("doc_id")).join(chunks, "shard")
@@ -241,6 +244,8 @@ def removals(docs: DataFrame) -> DataFrame:
     part = pairs.select(F.explode(F.array("reader", "source")).alias("doc_id")).distinct().select(F.xxhash64("doc_id").alias("h"))
     concerned = bitfilter.members(texts.withColumn("h", F.xxhash64("doc_id")), bitfilter.build(part, "h"), "h").drop("h")
     concerned = durable(concerned, "concerned")
+    for read in (names, classes, firsts):
+        discard(read)
     masks = durable(locate(concerned, pairs, recurring), "masks")
     discard(concerned)
     marks = masks.groupBy("doc_id", "h1", "h2").agg(F.collect_list("mask").alias("masks")).withColumn("copy", F.lit(False))
