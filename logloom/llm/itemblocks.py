@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from logloom.llm.text import slices
 from logloom.sources.durable import durable
 
-BLOCK_ITEMS = 1 << 18
+BLOCK_ITEMS = 1 << 17
 
 
 class Numbers(dict):
@@ -91,15 +91,20 @@ def cut(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, now, parts = TaskContext.get().partitionId() << 32, Block(), []
+
+        def copied(batch: pa.RecordBatch, start: int, end: int) -> pa.RecordBatch:
+            """The carried columns of some rows; a slice would keep the texts of the whole batch in memory."""
+            return batch.select(carried).take(pa.array(np.arange(start, end)))
+
         for batch in slices(batches):
             start = 0
             weights = batch[weight].to_pylist() if weight else [None] * batch.num_rows
             for i, (text, lang, own) in enumerate(zip(batch["text"].to_pylist(), batch["lang"].to_pylist(), weights)):
                 if now.add(text or "", lang, own) >= size:
-                    yield now.finished(number, [*parts, batch.slice(start, i + 1 - start)])
+                    yield now.finished(number, [*parts, copied(batch, start, i + 1)])
                     number, now, parts, start = number + 1, Block(), [], i + 1
             if start < batch.num_rows:
-                parts.append(batch.slice(start))
+                parts.append(copied(batch, start, batch.num_rows))
         if now.told:
             yield now.finished(number, parts)
 
