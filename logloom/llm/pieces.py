@@ -27,7 +27,7 @@ from logloom.llm.text import sized_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHED_WORDS, BATCH_BYTES = 250_000, 8 << 20
+CACHED_WORDS, BATCH_BYTES = 150_000, 4 << 20
 UNIGRAM, BPE = 1, 2
 NORMAL, BYTE = 1, 6
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
