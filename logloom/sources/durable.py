@@ -42,17 +42,22 @@ def discard(table: DataFrame) -> None:
 
 #: Spark's setting to remove the shuffle files of a query when it ends. A stored table needs none of them any more.
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's limit of the bytes it sends to a Python worker at once. Its default of 64 MB, twice in memory for each task, is much beside rows that hold whole texts.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 @contextmanager
 def shuffles_released(spark: SparkSession) -> Iterator[None]:
-    """Queries that run inside the block leave no shuffle files on the executors' disks."""
-    before = spark.conf.get(RELEASE, "false")
+    """Queries that run inside the block leave no shuffle files on the executors' disks, and send little to a Python worker at once."""
+    before = {RELEASE: spark.conf.get(RELEASE, "false"), BATCH: spark.conf.get(BATCH)}
     spark.conf.set(RELEASE, "true")
+    if (limit := before[BATCH].removesuffix("b")).isdigit() and int(limit) > BATCH_BYTES:  # else somebody has chosen it
+        spark.conf.set(BATCH, f"{BATCH_BYTES}b")
     try:
         yield
     finally:
-        spark.conf.set(RELEASE, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def shared_folder(spark: SparkSession) -> str:
