@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.text import slices
+from logloom.llm.text import returning_memory, slices
 from logloom.sources.durable import durable
 
 BLOCK_ITEMS = 1 << 17
@@ -108,7 +108,7 @@ def cut(
         if now.told:
             yield now.finished(number, parts)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(returning_memory(run), schema)
 
 
 def items_of(blocks: DataFrame) -> DataFrame:
@@ -142,4 +142,4 @@ def summed(blocks: DataFrame, values: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*rows.flatten(), pa.array(sums, pa.int64())], names=[*[f.name for f in fields], "s0"])
 
     joined = blocks.select("block", "rows", "ends", "numbers", F.size("items").alias("n_items")).join(replies, "block", "left")
-    return joined.withColumn("replies", F.coalesce("replies", F.expr("array()").cast("array<struct<number:int,s0:bigint>>"))).mapInArrow(run, schema)
+    return joined.withColumn("replies", F.coalesce("replies", F.expr("array()").cast("array<struct<number:int,s0:bigint>>"))).mapInArrow(returning_memory(run), schema)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm import bitfilter
 from logloom.llm.itemblocks import Numbers, as_text, one
-from logloom.llm.text import slices
+from logloom.llm.text import returning_memory, slices
 from logloom.sources.durable import discard, durable
 
 MIN_COUNT, MIN_WORDS, MAX_WORDS, TOP, COVER = 100, 2, 5, 2000, 100
@@ -100,7 +100,7 @@ def occurrences(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         if held:
             yield made()
 
-    return docs.select("text", "lang").mapInArrow(run, RELATION)
+    return docs.select("text", "lang").mapInArrow(returning_memory(run), RELATION)
 
 
 def frequent(relation: DataFrame, least: int = MIN_COUNT) -> DataFrame:
@@ -134,7 +134,7 @@ def extended(relation: DataFrame, counts: DataFrame) -> DataFrame:
             longer = [names[a] + b" " + names[b].rpartition(b" ")[2] for a, b in zip(first, second)]
             yield _row(batch["block"][0].as_py(), places[left], number, [langs[a] for a in first], longer, counted)
 
-    return relation.mapInArrow(run, RELATION)
+    return relation.mapInArrow(returning_memory(run), RELATION)
 
 
 def mine(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from logloom.llm.text import sized_slices
+from logloom.llm.text import returning_memory, sized_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -289,4 +289,4 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
                 names=["doc_id", "n_tokens", "token_ids", "round_trip"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_tokens bigint, token_ids array<int>, round_trip boolean")
+    return docs.select("doc_id", "text").mapInArrow(returning_memory(run), "doc_id bigint, n_tokens bigint, token_ids array<int>, round_trip boolean")

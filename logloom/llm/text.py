@@ -1,6 +1,8 @@
 """Small helpers shared by the text operators."""
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,22 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
             yield batch.slice(start, rows)
 
 
+def returning_memory(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same task, which gives memory that it no longer uses back to the system when it ends.
+
+    Worker processes are kept for the next task. Without this they hold what the largest task needed beside the JVM's own work.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # GNU C library
+            trim(0)
+
+    return run
+
+
 def sized_slices(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of one row or of up to ``size`` bytes in a text column."""
     for batch in batches:
