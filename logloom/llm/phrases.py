@@ -36,7 +36,7 @@ from logloom.llm.text import returning_memory, slices
 from logloom.sources.durable import discard, durable
 
 MIN_COUNT, MIN_WORDS, MAX_WORDS, TOP, COVER = 100, 2, 5, 2000, 100
-BLOCK_WORDS = 1 << 17
+BLOCK_WORDS = 1 << 13
 SALTS = 64
 SPARK_SEED = 42
 UNKNOWN = "und"
