@@ -154,3 +154,33 @@ def test_no_counted_gram_is_dropped_from_the_scores(spark, most):
     by_word = {r.word: r.s0 for r in values.collect()}
     assert len(found) == len(lines) + 1
     assert found[9].log_perplexity == pytest.approx(-(by_word["naan"] + by_word["zzyx"] + by_word["?"]) / 1e9 / 12)
+
+
+@pytest.mark.parametrize("most, task", [(0, 1), (3, 4), (1 << 18, 1 << 18)])
+def test_only_items_that_are_not_held_leave_the_task(spark, monkeypatch, most, task):
+    from logloom.llm import itemsums
+
+    rests, store = [], itemsums.durable
+
+    def stored(table, name="table"):
+        found = store(table, name)
+        if "rest" in found.columns:
+            rests.extend(len(r.rest) for r in found.select("rest").collect())
+        return found
+
+    monkeypatch.setattr(itemsums, "durable", stored)
+    texts = [(1, "a b a c", "x"), (2, "a d", "y"), (3, None, "x"), (4, "d d b", None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string").repartition(2)
+    split, measure = (lambda text: text.encode().split()), (lambda text, items, numbers: ((len(items),), 2))
+    counts = itemsums.counted(docs, split, measure, None, task)
+    assert all(r.m == 2 * r.n for r in counts.collect())
+    by_item = {(r.lang, r.item): r.n for r in counts.collect()}
+    assert by_item == {("x", "a"): 2, ("x", "b"): 1, ("x", "c"): 1, ("y", "a"): 1, ("y", "d"): 1, (None, "d"): 2, (None, "b"): 1}
+    values = counts.filter("item != 'c'").selectExpr("lang", "item", "n", "ascii(item) * if(lang = 'x', 100, 1) AS s0")
+    found = {r.doc_id: (r.lang, r.n_items, r.s0) for r in itemsums.summed(docs, values, split, measure, "n_items bigint", most, task).collect()}
+    worth = lambda lang, words: sum(ord(w) * (100 if lang == "x" else 1) for w in words if w != "c") if lang else 0
+    assert {i: found[i][:2] for i in found} == {i: (lang, len((text or "").split())) for i, text, lang in texts}
+    assert all(found[i][2] == worth(lang, (text or "").split()) for i, text, lang in texts if lang)
+    assert found[4][2] == 2 * ord("d") + ord("b")
+    # Without a value a word stays unheld: only "c" leaves if all values are held.
+    assert sum(rests) == (1 if most > 3 else 7 if most == 0 else sum(rests)) and sum(rests) <= 7
