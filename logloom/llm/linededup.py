@@ -14,6 +14,9 @@ place and word, and counts are combined before each shuffle.
 Defined cases: a null text becomes an empty one with one empty line. Documents without id are returned unchanged and
 count for nothing. Rows with the same id are one document. Other columns are carried along. An empty table gives an
 empty result. Hashes of lines have 64 bits, plus 64 for the leaf.
+
+The first documents of the most frequent recurring lines, at most ``HELD_FIRSTS``, are broadcast as two sorted arrays of numbers, and such lines are dropped in the task
+that reads the text. Only documents that lose a line of the others are moved to be joined with their lists. Which lines are held changes the way, never the result.
 """
 
 from collections.abc import Iterator
@@ -22,11 +25,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm import bitfilter
-from logloom.llm.hotkeys import looked_up
 from logloom.llm.text import raw_texts, slices
 from logloom.sources.durable import durable
 
@@ -35,6 +37,8 @@ MIN_CONSTANT, SIMILARITY = 5, 0.8
 VARIABLE = b"<*>"
 #: Lines that a task remembers to have handed on.
 HELD_LINES = 200_000
+#: Recurring lines broadcast with their first documents, 16 bytes each.
+HELD_FIRSTS = 1 << 18
 _DIGITS = b"0123456789"
 
 
@@ -141,63 +145,102 @@ def generalised(crowded: DataFrame, lines: DataFrame, min_docs: int, similarity:
     return forms.filter(enough).select("leaf", "line", F.xxhash64("leaf", "form").alias("template"))
 
 
-def _later(rows: DataFrame, key: list[str], min_docs: int) -> DataFrame:
-    """Rows of recurring keys outside the key's first document; the rows of a very common key stay where they are."""
+def _recurring(rows: DataFrame, key: list[str], min_docs: int) -> DataFrame:
+    """The ``key`` of lines in at least ``min_docs`` documents, with the first of these and their number ``n``."""
     docs_of = rows.select(*key, "doc_id").distinct()
-    recurring = docs_of.groupBy(F.struct(*key).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
-    recurring = durable(recurring.filter(F.col("n") >= min_docs), "recurring")
-    return looked_up(rows.withColumn("by", F.struct(*key)), "by", recurring.drop("n"), recurring.drop("first")).filter("doc_id > first")
+    return docs_of.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).filter(F.col("n") >= min_docs)
 
 
-def surplus_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, lines``: sorted hashes of the lines to drop from a document."""
+def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, line`` of every eligible line, and ``line, first, n``: lines to drop from every document after the first, and how many documents share the template."""
     lines = durable(scan(docs, depth, min_words), "lines")
     long = lines.filter("wide")
     crowd = long.groupBy("leaf").count().filter(F.col("count") >= min_docs)
     crowded = crowded_lines(docs, bitfilter.build(crowd, "leaf"), depth, min_words)
     templates = durable(generalised(crowded, long, min_docs, similarity), "templates")
-    drop = _later(lines.select("doc_id", "line", "leaf"), ["leaf", "line"], min_docs).select("doc_id", "line")
-    formed = long.select("doc_id", "leaf", "line").join(templates, ["leaf", "line"])
-    drop = drop.unionByName(_later(durable(formed, "formed"), ["template"], min_docs).select("doc_id", "line"))
+    formed = durable(long.select("doc_id", "leaf", "line").join(templates, ["leaf", "line"]), "formed")
+    by_form = templates.join(_recurring(formed, ["template"], min_docs), "template").select("line", "first", "n")
+    found = _recurring(lines, ["leaf", "line"], min_docs).select("line", "first", "n").unionByName(by_form)
+    return lines.select("doc_id", "line"), durable(found.groupBy("line").agg(F.min("first").alias("first"), F.max("n").alias("n")), "firsts")
+
+
+def frequent(firsts: DataFrame, most: int) -> tuple[Broadcast, Column]:
+    """Hashes, ascending, and first documents of the most frequent lines, and which rows of ``firsts`` these are."""
+    # Half powers of two: some tens of rows.
+    bucket = F.floor(2 * F.log2("n"))
+    sizes = sorted(((r["bucket"], r["count"]) for r in firsts.groupBy(bucket.alias("bucket")).count().collect()), reverse=True)
+    least, taken = None, 0
+    for place, size in sizes:
+        if (taken := taken + size) > most:
+            break
+        least = place
+    held = F.lit(False) if least is None else bucket >= least
+    found = firsts.filter(held).select("line", "first").toArrow()
+    lines = found["line"].to_numpy().view(np.uint64)
+    order = np.argsort(lines)
+    return firsts.sparkSession.sparkContext.broadcast((lines[order], found["first"].to_numpy()[order])), held
+
+
+def surplus_lines(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``doc_id, lines``: hashes of the lines to drop from a document."""
+    drop = lines.join(firsts.select("line", "first"), "line").filter("doc_id > first")
     return drop.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
-def drop_lines(docs: DataFrame, surplus: DataFrame) -> DataFrame:
-    """``docs`` with cleaned ``text`` and the columns ``n_lines`` and ``n_removed``, as a struct beside the carried row."""
+def drop_lines(docs: DataFrame, surplus: DataFrame, shared: Broadcast, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with cleaned ``text`` and the columns ``n_lines`` and ``n_removed``, as a struct beside the carried row.
+
+    ``surplus`` has the lines of each document to drop beside those after their first document in ``shared``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, firsts = shared.value
         for batch in slices(batches):
-            texts, totals, removed = [], [], []
-            for text, drop in zip(raw_texts(batch["text"]), batch["lines"]):
+            ids, split, gone, codes, rows, places = batch["id"].to_pylist(), [], [], [], [], []
+            for row, (text, drop) in enumerate(zip(raw_texts(batch["text"]), batch["lines"])):
                 lines = text.split(b"\n")
-                kept = lines
-                if drop.is_valid:
-                    gone = set(drop.values.to_numpy().view(np.uint64).tolist())
-                    kept = [x for x in lines if not _dropped(x, gone)]
-                texts.append(b"\n".join(kept))
-                totals.append(len(lines))
-                removed.append(len(lines) - len(kept))
+                split.append(lines)
+                gone.append(set())
+                if ids[row] is None:
+                    continue
+                own = set(drop.values.to_numpy().view(np.uint64).tolist()) if drop.is_valid else ()
+                for place, line in enumerate(lines):
+                    words = line_words(line)
+                    if eligible(words, min_words):
+                        code = xxhash.xxh64_intdigest(b" ".join(words))
+                        if code in own:
+                            gone[row].add(place)
+                        codes.append(code)
+                        rows.append(row)
+                        places.append(place)
+            if codes and len(known):
+                sought = np.array(codes, np.uint64)
+                at = np.minimum(np.searchsorted(known, sought), len(known) - 1)
+                of = np.array([0 if i is None else i for i in ids], np.int64)[rows]
+                for i in np.flatnonzero((known[at] == sought) & (of > firsts[at])).tolist():
+                    gone[rows[i]].add(places[i])
+            texts = [b"\n".join([line for place, line in enumerate(lines) if place not in out]) if out else b"\n".join(lines) for lines, out in zip(split, gone)]
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(totals, pa.int64()), pa.array(removed, pa.int64())],
+                [batch["row"], pa.array(texts, pa.binary()).cast(pa.string()), pa.array([len(x) for x in split], pa.int64()), pa.array([len(x) for x in gone], pa.int64())],
                 names=["row", "text", "n_lines", "n_removed"],
             )
 
     carried = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*[docs[c] for c in carried]).alias("row"), docs["doc_id"].alias("id"), docs["text"].alias("text"))
     rows = rows.withColumn("h", F.coalesce(F.xxhash64("id"), F.lit(0).cast("bigint")))
-    # Only rows that may lose a line are moved to be joined; the others stay in the task that reads them.
+    # Only rows that may lose a line beside the shared ones are moved to be joined; the others stay in the task that reads them.
     touched = bitfilter.build(surplus.select(F.xxhash64("doc_id").alias("h")).distinct(), "h")
-    free = bitfilter.members(rows, touched, "h", wanted=False).select("row", "text", F.lit(None).cast("array<bigint>").alias("lines"))
-    held = bitfilter.members(rows, touched, "h").join(surplus.select(F.col("doc_id").alias("id"), "lines"), "id", "left").select("row", "text", "lines")
+    free = bitfilter.members(rows, touched, "h", wanted=False).select("row", "id", "text", F.lit(None).cast("array<bigint>").alias("lines"))
+    held = bitfilter.members(rows, touched, "h").join(surplus.select(F.col("doc_id").alias("id"), "lines"), "id", "left").select("row", "id", "text", "lines")
     joined = free.unionByName(held)
     row_type = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(run, f"row {row_type}, text string, n_lines bigint, n_removed bigint")
 
 
-def _dropped(line: bytes, gone: set[int]) -> bool:
-    return xxhash.xxh64_intdigest(b" ".join(line_words(line))) in gone
-
-
-def dedup_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, most: int = HELD_FIRSTS
+) -> DataFrame:
     """``row`` (the other columns of ``docs``), cleaned ``text``, ``n_lines``, ``n_removed``."""
-    return drop_lines(docs, durable(surplus_lines(docs, depth, min_docs, min_words, similarity), "surplus"))
+    lines, firsts = recurring_lines(docs, depth, min_docs, min_words, similarity)
+    shared, held = frequent(firsts, most)
+    return drop_lines(docs, durable(surplus_lines(lines, firsts.filter(~held)), "surplus"), shared, min_words)

@@ -95,3 +95,19 @@ def test_messy_rows(spark):
 @pytest.mark.parametrize("word, seen", [(b"a1", b"<*>"), (b"abc", b"abc"), (b"7", b"<*>")])
 def test_masking(word, seen):
     assert linededup.masked([word]) == [seen]
+
+
+@pytest.mark.parametrize("most", [0, 1, 1 << 18])
+def test_lines_are_dropped_the_same_way_wherever_their_first_documents_are(spark, most):
+    often, seldom = "this line is in every text", "that line is in three texts only"
+    texts = [(i, "\n".join([often, f"own words {i} of one", *[seldom] * (i < 3), often]), "x") for i in range(20)] + [(None, f"{often}\n{seldom}", "x")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, other string").repartition(3)
+    found = {r.row.doc_id: (r.text, r.n_lines, r.n_removed) for r in linededup.dedup_lines(docs, most=most).collect()}
+    for i, text, _ in texts:
+        lines = text.split("\n")
+        kept = lines if not i else [x for x in lines if x not in (often, seldom) and not x.startswith("own")]
+        assert found[i] == ("\n".join(kept), len(lines), len(lines) - len(kept)), i
+    lines, firsts = linededup.recurring_lines(docs)
+    _, held = linededup.frequent(firsts, most)
+    # Documents move only for lines that are not held.
+    assert (linededup.surplus_lines(lines, firsts.filter(~held)).count() == 0) == (most > 10)
