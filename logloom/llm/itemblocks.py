@@ -1,24 +1,6 @@
-"""Rows of text as blocks of counted items, and sums of item values over rows, whatever the number of distinct items.
+"""Items numbered in the order in which they are met, and blocks of them as columns."""
 
-One pass over the text gives blocks of about ``BLOCK_ITEMS`` items: the distinct items of the block with their counts, and the numbers of the
-items of each row. Counts over the corpus and the values that follow from them move one row per block and distinct item; the
-values sent back to a block are summed over its rows as arrays. The text is read and cut once, and nothing is broadcast.
-
-Values are whole numbers, so that sums do not depend on their order. How rows are cut into blocks changes the way, never the result.
-"""
-
-from collections.abc import Callable, Iterator
-
-import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from logloom.llm.text import returning_memory, slices
-from logloom.sources.durable import durable
-
-BLOCK_ITEMS = 1 << 18
 
 
 class Numbers(dict):
@@ -40,106 +22,3 @@ def one(values: pa.Array) -> pa.Array:
 
 def as_text(names: list[bytes]) -> pa.Array:
     return pa.array(names, pa.binary()).view(pa.string())
-
-
-def cut(
-    rows: DataFrame, split: Callable[[str], list[bytes]], measure: Callable[[str, list[bytes], list[int]], tuple[tuple, int]], figures: str,
-    weight: str | None = None, size: int = BLOCK_ITEMS,
-) -> DataFrame:
-    """Blocks of ``rows`` (``text``, ``lang`` and more).
-
-    ``split`` gives the items of a text in order. ``measure`` gets the text, its items and their numbers in the block, and gives the row's ``figures`` and what it weighs in
-    ``m``; with ``weight`` a column says that. A block has ``items`` (``lang, item, n, m``: count in the block, and count times weight) and
-    ``rows`` (all columns but the text, and the figures), with the ``numbers`` of the items of all rows in order and where each row ``ends``.
-    """
-    carried = [c for c in rows.columns if c != "text"]
-    made = [f.split()[0] for f in figures.split(", ")]
-    types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    row = ",".join([*[f"{c}:{types[c]}" for c in carried], *[f.replace(" ", ":") for f in figures.split(", ")]])
-    schema = f"block bigint, items array<struct<lang:string,item:string,n:bigint,m:bigint>>, rows array<struct<{row}>>, ends array<int>, numbers array<int>"
-
-    class Block:
-        def __init__(self):
-            self.names, self.langs, self.by_lang = [], [], {}
-            self.numbers, self.ends, self.weights, self.told = [], [], [], []
-
-        def add(self, text: str, lang: str | None, weight: int | None) -> int:
-            """Takes a row and returns how many items the block has now."""
-            numbers = self.by_lang.get(lang)
-            if numbers is None:
-                numbers = self.by_lang[lang] = Numbers(self.names)
-            items, before = split(text), len(self.numbers)
-            self.numbers.extend(map(numbers.__getitem__, items))
-            self.ends.append(len(self.numbers))
-            if len(self.langs) < len(self.names):
-                self.langs += [lang] * (len(self.names) - len(self.langs))
-            figure, own = measure(text, items, self.numbers[before:])
-            self.told.append(figure)
-            self.weights.append(own if weight is None else weight)
-            return len(self.numbers)
-
-        def finished(self, block: int, carried_rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-            numbers, ends = np.array(self.numbers, np.int32), np.array(self.ends, np.int64)
-            n, m = np.bincount(numbers, minlength=len(self.names)), np.zeros(len(self.names), np.int64)
-            np.add.at(m, numbers, np.repeat(np.array(self.weights, np.int64), np.diff(ends, prepend=0)))
-            items = pa.StructArray.from_arrays([pa.array(self.langs, pa.string()), as_text(self.names), pa.array(n), pa.array(m)], ["lang", "item", "n", "m"])
-            columns = [pa.concat_arrays([part[c] for part in carried_rows]) for c in carried] + [pa.array(column) for column in zip(*self.told)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), one(items), one(pa.StructArray.from_arrays(columns, [*carried, *made])), one(pa.array(ends.astype(np.int32))), one(pa.array(numbers))],
-                names=["block", "items", "rows", "ends", "numbers"],
-            )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, now, parts = TaskContext.get().partitionId() << 32, Block(), []
-
-        def copied(batch: pa.RecordBatch, start: int, end: int) -> pa.RecordBatch:
-            """The carried columns of some rows; a slice would keep the texts of the whole batch in memory."""
-            return batch.select(carried).take(pa.array(np.arange(start, end)))
-
-        for batch in slices(batches):
-            start = 0
-            weights = batch[weight].to_pylist() if weight else [None] * batch.num_rows
-            for i, (text, lang, own) in enumerate(zip(batch["text"].to_pylist(), batch["lang"].to_pylist(), weights)):
-                if now.add(text or "", lang, own) >= size:
-                    yield now.finished(number, [*parts, copied(batch, start, i + 1)])
-                    number, now, parts, start = number + 1, Block(), [], i + 1
-            if start < batch.num_rows:
-                parts.append(copied(batch, start, batch.num_rows))
-        if now.told:
-            yield now.finished(number, parts)
-
-    return rows.mapInArrow(returning_memory(run), schema)
-
-
-def items_of(blocks: DataFrame) -> DataFrame:
-    """``block, number, lang, item, n, m`` for every distinct item of every block."""
-    return blocks.select("block", F.posexplode("items").alias("number", "x")).select("block", "number", "x.lang", "x.item", "x.n", "x.m")
-
-
-def counts_of(blocks: DataFrame) -> DataFrame:
-    """``lang, item, n, m`` over all blocks."""
-    return items_of(blocks).groupBy("lang", "item").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
-
-
-def summed(blocks: DataFrame, values: DataFrame) -> DataFrame:
-    """The rows of the blocks with ``s0``, the sum of the values of their items; ``values`` has ``lang, item, s0``. An item without a value counts nothing."""
-    asked = items_of(blocks).select("block", "number", F.col("lang").alias("lang_of"), F.col("item").alias("item_of"))
-    met = asked.join(values, F.col("lang_of").eqNullSafe(F.col("lang")) & (F.col("item_of") == F.col("item")))
-    # Stored, so that the shuffles that made them are gone before the blocks move.
-    replies = durable(met.groupBy("block").agg(F.collect_list(F.struct("number", "s0")).alias("replies")), "replies")
-    fields = next(f.dataType.elementType for f in blocks.schema if f.name == "rows").fields
-    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in fields], "s0 bigint"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
-            ends, numbers = (batch[name].flatten().to_numpy() for name in ("ends", "numbers"))
-            values = np.zeros(batch["n_items"][0].as_py(), np.int64)
-            replies = batch["replies"].flatten()
-            values[replies.field("number").to_numpy()] = replies.field("s0").to_numpy()
-            running = np.concatenate([[0], np.cumsum(values[numbers])])
-            sums = np.diff(running[ends], prepend=0)
-            rows = batch["rows"].flatten()
-            yield pa.RecordBatch.from_arrays([*rows.flatten(), pa.array(sums, pa.int64())], names=[*[f.name for f in fields], "s0"])
-
-    joined = blocks.select("block", "rows", "ends", "numbers", F.size("items").alias("n_items")).join(replies, "block", "left")
-    return joined.withColumn("replies", F.coalesce("replies", F.expr("array()").cast("array<struct<number:int,s0:bigint>>"))).mapInArrow(returning_memory(run), schema)

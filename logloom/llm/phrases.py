@@ -2,7 +2,7 @@
 
 The relation of level k holds every occurrence of a phrase of k words as (piece, place, phrase), sorted by piece and place, and is stored. The
 next level comes from a merge-join of the relation with itself on the same piece and the next place: two phrases that overlap in all but one word make one
-of k + 1. Group counts over the whole corpus find the phrases that are frequent, and the relation is semi-joined with them before it is extended
+of k + 1. Words are counted first, and the relation of level 1 holds the frequent ones. Group counts over the whole corpus find the phrases that are frequent, and the relation is semi-joined with them before it is extended
 again: occurrences of phrases that are not frequent go. All contiguous parts of a frequent phrase are frequent, so nothing is lost.
 
 Layout. A row of the relation is a *block*: occurrences of about ``BLOCK_WORDS`` words of text, in order. A place is the number of the word in its
@@ -14,6 +14,10 @@ The semi-join is done where the relation lies, by a bit filter of the frequent p
 others that it lets through are extended and fall to the next, exact count. With more than some 10^8 frequent phrases of a length it lets most through: then more
 is counted, and the result is the same.
 
+Before a level is made, the hashes of its phrases are counted in buckets (Park, Chen and Yu): a phrase whose bucket has too few occurrences cannot be frequent and is
+neither spelled, stored nor moved. What moves is a sorted array of numbers for each task and part of the buckets. The number of buckets grows with the
+corpus, some tens for each word of it, so that hardly two phrases share one. The exact count follows.
+
 A candidate is scored at its worst cut, in exact decimals; it goes if a longer candidate around it is as frequent (``COVER`` percent). The longer
 candidates with the highest count have one word more, so only these are compared.
 
@@ -26,11 +30,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.llm import bitfilter
+from logloom.llm import bitfilter, itemsums
 from logloom.llm.itemblocks import Numbers, as_text, one
 from logloom.llm.text import returning_memory, slices
 from logloom.sources.durable import discard, durable
@@ -38,12 +42,15 @@ from logloom.sources.durable import discard, durable
 MIN_COUNT, MIN_WORDS, MAX_WORDS, TOP, COVER = 100, 2, 5, 2000, 100
 BLOCK_WORDS = 1 << 13
 SALTS = 64
+#: Buckets of a part, as a power of two; words of the corpus for each part; phrases that a task counts at once.
+PART_BITS, PART_WORDS, TASK_PHRASES = 24, 1 << 20, 1 << 21
 SPARK_SEED = 42
 UNKNOWN = "und"
 # Where pieces end, and what separates words.
 PIECE_ENDS, SEPARATORS = b".,;:!?\n\x0b\x0c\r", b" \t"
 
 _BREAK = b"\n"
+_BLANK = bytes.maketrans(PIECE_ENDS + SEPARATORS, b" " * len(PIECE_ENDS + SEPARATORS))
 _ONE_WAY = bytes.maketrans(PIECE_ENDS + SEPARATORS, _BREAK * len(PIECE_ENDS) + b" " * len(SEPARATORS))
 RELATION = "block bigint, steps array<int>, phrases array<int>, items array<struct<lang:string,phrase:string,n:bigint>>"
 
@@ -53,6 +60,10 @@ def words_and_breaks(text: str) -> list[bytes]:
     return [word for word in text.encode().lower().translate(_ONE_WAY).replace(_BREAK, b" \n ").split(b" ") if word]
 
 
+def words_only(text: str) -> list[bytes]:
+    return text.encode().lower().translate(_BLANK).split()
+
+
 def _row(block: int, places: np.ndarray, phrases: np.ndarray, langs: list[str], names: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
     """One block of the relation; places are stored as steps, which are small."""
     struct = pa.StructArray.from_arrays([pa.array(langs, pa.string()), as_text(names), pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
@@ -62,8 +73,8 @@ def _row(block: int, places: np.ndarray, phrases: np.ndarray, langs: list[str],
     )
 
 
-def occurrences(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The relation of single words of ``docs`` (``text``, ``lang``)."""
+def occurrences(docs: DataFrame, block_words: int = BLOCK_WORDS, shared: Broadcast | None = None) -> DataFrame:
+    """The relation of single words of ``docs`` (``text``, ``lang``), or of those in the filter ``shared``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -74,10 +85,15 @@ def occurrences(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         held = 0
 
         def made() -> pa.RecordBatch:
-            found = np.concatenate(parts)
+            found, told, of = np.concatenate(parts), names, langs
+            if shared is not None:
+                kept = bitfilter.holds(shared.value, phrase_hashes(langs, names))
+                # The last number, that of a break, is -1.
+                found = np.append(np.where(kept, np.cumsum(kept) - 1, -1), -1)[found]
+                told, of = [names[i] for i in np.flatnonzero(kept)], [langs[i] for i in np.flatnonzero(kept)]
             places = np.flatnonzero(found >= 0)
             phrases = found[places]
-            return _row(block, places, phrases, langs, names, np.bincount(phrases, minlength=len(names)))
+            return _row(block, places, phrases, of, told, np.bincount(phrases, minlength=len(told)))
 
         for batch in slices(batches):
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
@@ -115,20 +131,87 @@ def phrase_hashes(langs: list[str], names: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(name, seeds[lang]) for lang, name in zip(langs, names)), np.uint64, len(names))
 
 
-def extended(relation: DataFrame, counts: DataFrame) -> DataFrame:
-    """The relation of phrases one word longer: what is frequent, merge-joined on the next place of the piece."""
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hash of the phrase that two overlapping phrases make, from theirs."""
+    with np.errstate(over="ignore"):
+        mixed = (first ^ (first >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + second
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return mixed ^ (mixed >> np.uint64(32))
+
+
+def _frequent_places(batch: pa.RecordBatch, shared: Broadcast) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block: the places with a phrase that passes the filter, its number, and the hashes of all phrases by number."""
+    steps, phrases = (batch[name].flatten().to_numpy() for name in ("steps", "phrases"))
+    items = batch["items"].flatten()
+    hashes = phrase_hashes(items.field("lang").to_pylist(), items.field("phrase").cast(pa.binary()).to_pylist())
+    here = bitfilter.holds(shared.value, hashes)[phrases]
+    return np.cumsum(steps, dtype=np.int64)[here], phrases[here].astype(np.int64), hashes
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Ascending numbers of 32 bits as their steps, byte by byte: all lowest bytes, then the next. The higher ones are mostly zero, which shuffles compress."""
+    return np.diff(numbers.astype("<u4"), prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel(), dtype=np.int64)
+
+
+def promising(relation: DataFrame, shared: Broadcast, bits: int, least: int) -> Broadcast:
+    """A filter of the buckets, ``2 ** (bits + PART_BITS)`` of them, in which ``least`` occurrences of phrases one word longer fall."""
+
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in slices(batches, 1):
+            places, phrases, hashes = _frequent_places(batch, shared)
+            left = np.flatnonzero(np.diff(places) == 1)
+            held.append(pair_hashes(hashes[phrases[left]], hashes[phrases[left + 1]]) >> np.uint64(64 - bits - PART_BITS))
+            size += len(left)
+            if size >= TASK_PHRASES:
+                yield from handed(held)
+                held, size = [], 0
+        if size:
+            yield from handed(held)
+
+    def handed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found, times = np.unique(np.concatenate(held), return_counts=True)
+        parts = (found >> np.uint64(PART_BITS)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(parts, prepend=-1))
+        for some in range(0, len(starts), 64):
+            rows = [(parts[a], packed(found[a:b] & np.uint64((1 << PART_BITS) - 1)), times[a:b].astype("<u4").tobytes()) for a, b in zip(starts[some : some + 64], np.append(starts, len(found))[some + 1 :])]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["part", "buckets", "times"])
+
+    def merged(group: pa.Table) -> pa.Table:
+        numbers = np.concatenate([unpacked(x) for x in group["buckets"].to_pylist()])
+        times = np.concatenate([np.frombuffer(x, "<u4") for x in group["times"].to_pylist()]).astype(np.int64)
+        order = np.argsort(numbers)
+        starts = np.flatnonzero(np.diff(numbers[order], prepend=-1))
+        enough = np.add.reduceat(times[order], starts) >= least
+        return pa.table({"h": pa.array((group["part"][0].as_py() << PART_BITS) + numbers[order][starts[enough]])})
+
+    told = relation.mapInArrow(returning_memory(buckets), "part bigint, buckets binary, times binary")
+    return bitfilter.build(told.groupBy("part").applyInArrow(merged, "h bigint"), "h")
+
+
+def extended(relation: DataFrame, counts: DataFrame, least: int | None = None, bits: int = 6) -> DataFrame:
+    """The relation of phrases one word longer: what is frequent, merge-joined on the next place of the piece.
+
+    With ``least`` only phrases whose bucket has so many occurrences.
+    """
     shared = bitfilter.build(counts.select(F.xxhash64("lang", "phrase").alias("h")), "h")
+    hopeful = None if least is None else promising(relation, shared, bits, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            steps, phrases = (batch[name].flatten().to_numpy() for name in ("steps", "phrases"))
-            items = batch["items"].flatten()
-            langs, names = items.field("lang").to_pylist(), items.field("phrase").cast(pa.binary()).to_pylist()
-            here = bitfilter.holds(shared.value, phrase_hashes(langs, names))[phrases]
-            places, phrases = np.cumsum(steps, dtype=np.int64)[here], phrases[here].astype(np.int64)
+            places, phrases, hashes = _frequent_places(batch, shared)
             left = np.flatnonzero(np.diff(places) == 1)
+            if hopeful is not None:
+                own = pair_hashes(hashes[phrases[left]], hashes[phrases[left + 1]]) >> np.uint64(64 - bits - PART_BITS)
+                left = left[bitfilter.holds(hopeful.value, own)]
             if not len(left):
                 continue
+            items = batch["items"].flatten()
+            langs, names = items.field("lang").to_pylist(), items.field("phrase").cast(pa.binary()).to_pylist()
             pairs, number, counted = np.unique(phrases[left] * len(names) + phrases[left + 1], return_inverse=True, return_counts=True)
             first, second = (pairs // len(names)).tolist(), (pairs % len(names)).tolist()
             longer = [names[a] + b" " + names[b].rpartition(b" ")[2] for a, b in zip(first, second)]
@@ -139,17 +222,21 @@ def extended(relation: DataFrame, counts: DataFrame) -> DataFrame:
 
 def mine(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, words, n`` of every phrase of up to ``longest`` words that occurs ``least`` times, and ``lang, n``, the words of each language."""
-    relation = durable(occurrences(docs, block_words), "occurrences")
-    sizes = durable(relation.select(F.explode("items").alias("item")).groupBy("item.lang").agg(F.sum("item.n").alias("n")), "sizes")
-    found = None
-    for words in range(1, longest + 1):
+    known = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
+    words = durable(itemsums.counted(known, words_only).select("lang", F.col("item").alias("phrase"), "n"), "words")
+    sizes = durable(words.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    bits = min(max(6, (total // PART_WORDS).bit_length()), 20)
+    counts = durable(words.filter(F.col("n") >= least), "counts")
+    discard(words)
+    relation = durable(occurrences(known, block_words, bitfilter.build(counts.select(F.xxhash64("lang", "phrase").alias("h")), "h")), "occurrences")
+    found = counts.select("lang", "phrase", F.lit(1).alias("words"), "n")
+    for length in range(2, longest + 1):
+        longer = durable(extended(relation, counts, least, bits), "occurrences")
+        discard(relation)
+        relation = longer
         counts = durable(frequent(relation, least), "counts")
-        level = counts.select("lang", "phrase", F.lit(words).alias("words"), "n")
-        found = level if found is None else found.unionByName(level)
-        if words < longest:
-            longer = durable(extended(relation, counts), "occurrences")
-            discard(relation)
-            relation = longer
+        found = found.unionByName(counts.select("lang", "phrase", F.lit(length).alias("words"), "n"))
     discard(relation)
     return found, sizes
 

@@ -97,3 +97,14 @@ def test_hashes_are_those_of_spark_and_infrequent_phrases_go(spark):
     words = phrases.occurrences(docs)
     longer = phrases.extended(words, phrases.frequent(words, 50))
     assert sorted(r.phrase for r in longer.selectExpr("explode(items) AS x").selectExpr("x.phrase").distinct().collect()) == ["a b", "d e"]
+
+
+def test_phrases_of_thin_buckets_are_not_made(spark):
+    import numpy as np
+
+    docs = messy(spark, [(i, "a b" if i < 50 else "b a", "en", "s", 1) for i in range(60)]).repartition(3)
+    words = phrases.occurrences(docs, 20)
+    longer = phrases.extended(words, phrases.frequent(words, 50), 50)
+    assert {(r.phrase, r.n) for r in phrases.frequent(longer, 1).collect()} == {("a b", 50)}
+    numbers = np.array([0, 0, 5, 300, 1 << 23, (1 << 24) - 1], np.uint64)
+    assert phrases.unpacked(phrases.packed(numbers)).tolist() == numbers.tolist()
