@@ -55,15 +55,15 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def run_hashes(words: np.ndarray, length: int, family: int = 0) -> np.ndarray:
-    """Hash of each run of ``length`` words, from the hashes of its words in order."""
-    n = len(words) - length + 1
+def run_hashes(words: np.ndarray, length: int, family: int = 0, at: np.ndarray | None = None) -> np.ndarray:
+    """Hash of each run of ``length`` words, or of those that begin ``at`` some places, from the hashes of its words in order."""
+    n = len(words) - length + 1 if at is None else len(at)
     if n <= 0:
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
         total = np.zeros(n, np.uint64)
         for offset in range(length):
-            total = (total ^ (total >> np.uint64(32))) * _FACTORS[family] + words[offset : offset + n]
+            total = (total ^ (total >> np.uint64(32))) * _FACTORS[family] + (words[offset : offset + n] if at is None else words[at + offset])
         total = (total ^ (total >> np.uint64(31))) * _FACTORS[family + 1]
         return total ^ (total >> np.uint64(29))
 
@@ -82,46 +82,75 @@ def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return least, np.arange(n) + offset
 
 
+def window_anchors(words: np.ndarray) -> np.ndarray:
+    """The anchors alone; the words may be those of several documents in a row."""
+    runs = run_hashes(words, ANCHOR)
+    n = max(0, len(words) - WINDOW + 1)
+    least = runs[:n].copy()
+    for ahead in range(1, WINDOW - ANCHOR + 1):
+        np.minimum(least, runs[ahead : ahead + n], out=least)
+    return least
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, h1, h2, text``: hashes of the whole text."""
     return docs.select("doc_id", F.xxhash64("text", F.lit(1)).alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"), "text")
 
 
-def _per_document(rows: DataFrame, schema: str, make) -> DataFrame:
-    """``make(doc_id, text hashes)`` gives columns of equal length for each document with at least one window."""
+def _by_windows(rows: DataFrame, schema: str, make) -> DataFrame:
+    """``make(word hashes, starts, document)`` gives columns for the documents of a batch, all words in a row: where each window begins, and of which document it is.
+
+    Arrays over many documents at once, since a document alone is too short for them; the first column holds numbers of documents.
+    """
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches):
             hashes.trim()
-            found = []
+            ids, words, lengths = [], [], []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), raw_texts(batch["text"])):
-                words = text.split()
-                if len(words) >= WINDOW:
-                    columns = make(hashes.of(words))
-                    found.append((np.full(len(columns[0]), doc_id, np.int64), *columns))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=names)
+                own = text.split()
+                if len(own) >= WINDOW:
+                    ids.append(doc_id)
+                    words += own
+                    lengths.append(len(own))
+            if ids:
+                document = np.repeat(np.arange(len(ids)), lengths)
+                starts = np.flatnonzero(document[: len(words) - WINDOW + 1] == document[WINDOW - 1 :])
+                of, *columns = make(hashes.of(words), starts, document[starts])
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.int64)[of]), *[pa.array(c) for c in columns]], names=names)
 
     return rows.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def document_anchors(rows: DataFrame) -> DataFrame:
-    return _per_document(rows, "doc_id bigint, anchor bigint", lambda words: (np.unique(anchors(words)[0]).view(np.int64),))
+    """``doc_id, anchor``: windows side by side often have one anchor, which is told once."""
+
+    def make(words: np.ndarray, starts: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        least = window_anchors(words)[starts]
+        new = np.ones(len(least), bool)
+        new[1:] = (least[1:] != least[:-1]) | (document[1:] != document[:-1])
+        return document[new], least[new].view(np.int64)
+
+    return _by_windows(rows, "doc_id bigint, anchor bigint", make)
 
 
 def suspects(rows: DataFrame, recurring: Broadcast) -> DataFrame:
     """``doc_id, w1, w2``: each window once whose anchor may recur."""
 
-    def make(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        passed = bitfilter.holds(recurring.value, anchors(words)[0])
-        first = run_hashes(words, WINDOW, 1)[passed]
-        second = run_hashes(words, WINDOW, 2)[passed] >> np.uint64(32)
-        _, at = np.unique(first, return_index=True)
-        return first[at].view(np.int64), second[at].astype(np.int64).astype(np.int32)
-
-    return _per_document(rows, "doc_id bigint, w1 bigint, w2 int", make)
+    def make(words: np.ndarray, starts: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        passed = bitfilter.holds(recurring.value, window_anchors(words)[starts])
+        at, of = starts[passed], document[passed]
+        first = run_hashes(words, WINDOW, 1, at)
+        order = np.lexsort((first, of))
+        new = np.ones(len(order), bool)
+        new[1:] = (first[order][1:] != first[order][:-1]) | (of[order][1:] != of[order][:-1])
+        once = order[new]
+        second = run_hashes(words, WINDOW, 2, at[once]) >> np.uint64(32)
+        return of[once], first[once].view(np.int64), second.astype(np.int64).astype(np.int32)
+
+    return _by_windows(rows, "doc_id bigint, w1 bigint, w2 int", make)
 
 
 def repeats(found: DataFrame) -> DataFrame:

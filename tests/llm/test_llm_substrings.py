@@ -66,3 +66,25 @@ def test_messy_rows(spark):
     assert substrings.dedup_substrings(messy(spark, [])).count() == 0
     alone = messy(spark, [(1, "only one here", "en", "s", 1)])
     assert got(substrings.dedup_substrings(alone))[0][2] == 0
+
+
+def test_windows_of_many_documents_at_once(spark):
+    import numpy as np
+
+    from logloom.llm import bitfilter
+
+    texts = [(i, " ".join(f"w{(i * 7 + j * j) % 31}" for j in range(n)), "x") for i, n in enumerate([0, 5, 12, 13, 14, 40, 200, 13])]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string").coalesce(1)
+    hashes = substrings.WordHashes()
+    by_hand = {i: substrings.anchors(hashes.of(text.encode().split()))[0] for i, text, _ in texts}
+    found = substrings.document_anchors(docs).collect()
+    assert {i: {r.anchor for r in found if r.doc_id == i} for i in by_hand} == {i: set(a.view(np.int64).tolist()) for i, a in by_hand.items()}
+    some = bitfilter.build(spark.createDataFrame([(int(by_hand[6].view(np.int64)[50]),), (int(by_hand[3].view(np.int64)[0]),)], "h bigint"), "h")
+    expected = set()
+    for i, text, _ in texts:
+        words = hashes.of(text.encode().split())
+        passed = bitfilter.holds(some.value, by_hand[i])
+        first, second = substrings.run_hashes(words, 13, 1)[passed], substrings.run_hashes(words, 13, 2)[passed] >> np.uint64(32)
+        expected |= set(zip([i] * len(first), first.view(np.int64).tolist(), second.astype(np.int64).astype(np.int32).tolist()))
+    suspects = [tuple(r) for r in substrings.suspects(docs, some).collect()]
+    assert len(suspects) == len(set(suspects)) and set(suspects) == expected and expected
