@@ -1,6 +1,6 @@
-"""A filter of fixed size over 64-bit hashes: never misses a member, lets a few others through.
+"""A filter of bounded size over 64-bit hashes: never misses a member, lets a few others through.
 
-It is the only thing broadcast about a set that grows with the corpus. Its size does not: ``2 ** bits`` bits. On larger
+It is the only thing broadcast about a set that grows with the corpus. Its size does not beyond ``2 ** bits`` bits; small sets have smaller filters. On larger
 sets more strangers pass, which costs time in the exact step behind the filter and never changes its result.
 """
 
@@ -15,6 +15,14 @@ from pyspark.sql import functions as F
 from logloom.llm.text import slices
 
 BITS = 27
+#: Words of 64 bits for each that has a bit set, and at least, where the bound leaves room: one stranger in 4,096 passes.
+SPARSE, LEAST_WORDS = 64, 1 << 10
+
+
+def release(used: list[Broadcast]) -> None:
+    """Takes filters off the disks of driver and executors; what reads them is stored by then."""
+    while used:
+        used.pop().destroy()
 
 
 def build(members: DataFrame, column: str, bits: int = BITS) -> Broadcast:
@@ -23,8 +31,8 @@ def build(members: DataFrame, column: str, bits: int = BITS) -> Broadcast:
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(column).bitwiseAND(63).cast("int"))).alias("bits")
     )
     found = words.toArrow()
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    out = np.zeros(min(1 << (bits - 6), max(LEAST_WORDS, 1 << (SPARSE * found.num_rows).bit_length())), np.uint64)
+    np.bitwise_or.at(out, found["word"].to_numpy() & (len(out) - 1), found["bits"].to_numpy().view(np.uint64))
     return members.sparkSession.sparkContext.broadcast(out)
 
 

@@ -10,8 +10,8 @@ block; a piece's end leaves one place free, so the next place always lies in the
 stored once per block. Group counts move one row per block and distinct phrase, so a word that is everywhere is one row per block and not one per
 occurrence.
 
-The semi-join is done where the relation lies, by a bit filter of the frequent phrases of 16 MB (see :mod:`logloom.llm.bitfilter`). It misses none; the few
-others that it lets through are extended and fall to the next, exact count. With more than some 10^8 frequent phrases of a length it lets most through: then more
+The semi-join is done where the relation lies, by a bit filter of the frequent phrases of at most 16 MB (see :mod:`logloom.llm.bitfilter`), which goes when the next
+relation is stored. It misses none; the few others that it lets through are extended and fall to the next, exact count. With more than some 10^8 frequent phrases of a length it lets most through: then more
 is counted, and the result is the same.
 
 Before a level is made, the hashes of its phrases are counted in buckets (Park, Chen and Yu): a phrase whose bucket has too few occurrences cannot be frequent and is
@@ -193,13 +193,15 @@ def promising(relation: DataFrame, shared: Broadcast, bits: int, least: int) ->
     return bitfilter.build(told.groupBy("part").applyInArrow(merged, "h bigint"), "h")
 
 
-def extended(relation: DataFrame, counts: DataFrame, least: int | None = None, bits: int = 6) -> DataFrame:
+def extended(relation: DataFrame, counts: DataFrame, least: int | None = None, bits: int = 6, filters: list[Broadcast] | None = None) -> DataFrame:
     """The relation of phrases one word longer: what is frequent, merge-joined on the next place of the piece.
 
-    With ``least`` only phrases whose bucket has so many occurrences.
+    With ``least`` only phrases whose bucket has so many occurrences. ``filters`` gets the filters that the relation is made with.
     """
     shared = bitfilter.build(counts.select(F.xxhash64("lang", "phrase").alias("h")), "h")
     hopeful = None if least is None else promising(relation, shared, bits, least)
+    if filters is not None:
+        filters += [shared] if hopeful is None else [shared, hopeful]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
@@ -229,10 +231,13 @@ def mine(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS, bloc
     bits = min(max(6, (total // PART_WORDS).bit_length()), 20)
     counts = durable(words.filter(F.col("n") >= least), "counts")
     discard(words)
-    relation = durable(occurrences(known, block_words, bitfilter.build(counts.select(F.xxhash64("lang", "phrase").alias("h")), "h")), "occurrences")
+    filters = [bitfilter.build(counts.select(F.xxhash64("lang", "phrase").alias("h")), "h")]
+    relation = durable(occurrences(known, block_words, filters[0]), "occurrences")
+    bitfilter.release(filters)
     found = counts.select("lang", "phrase", F.lit(1).alias("words"), "n")
     for length in range(2, longest + 1):
-        longer = durable(extended(relation, counts, least, bits), "occurrences")
+        longer = durable(extended(relation, counts, least, bits, filters), "occurrences")
+        bitfilter.release(filters)
         discard(relation)
         relation = longer
         counts = durable(frequent(relation, least), "counts")

@@ -108,3 +108,20 @@ def test_phrases_of_thin_buckets_are_not_made(spark):
     assert {(r.phrase, r.n) for r in phrases.frequent(longer, 1).collect()} == {("a b", 50)}
     numbers = np.array([0, 0, 5, 300, 1 << 23, (1 << 24) - 1], np.uint64)
     assert phrases.unpacked(phrases.packed(numbers)).tolist() == numbers.tolist()
+
+
+def test_filters_are_as_small_as_their_sets_and_go_once_relations_are_stored(spark):
+    import os
+
+    import numpy as np
+
+    from logloom.llm import bitfilter
+
+    left = set(os.listdir(spark.sparkContext._temp_dir))
+    found, _ = phrases.mine(messy(spark, [(i, "a b c", "en", "s", 1) for i in range(60)]), 50, 3)
+    assert set(os.listdir(spark.sparkContext._temp_dir)) <= left
+    assert {(r.phrase, r.n) for r in found.filter("words > 1").collect()} == {("a b", 60), ("b c", 60), ("a b c", 60)}
+    hashes = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 3000)
+    small = bitfilter.build(spark.createDataFrame([(int(h),) for h in hashes], "h bigint"), "h").value
+    assert small.nbytes <= 1 << 22 and bitfilter.holds(small, hashes.view(np.uint64)).all()
+    assert bitfilter.holds(small, np.random.default_rng(2).integers(0, 1 << 63, 100_000).astype(np.uint64)).mean() < 1e-3
