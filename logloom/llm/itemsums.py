@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.itemblocks import Numbers, as_text
-from logloom.llm.text import returning_memory, slices
+from logloom.llm.text import returning_memory, sized_slices, slices
 from logloom.sources.durable import discard, durable
 
 #: Values broadcast, 16 bytes each.
@@ -27,7 +27,12 @@ TASK_ITEMS = 200_000
 SPARK_SEED = 42
 _NO_LANG = "\0"
 
+#: Characters of texts taken apart at once.
+AT_ONCE = 1 << 19
+
 Split = Callable[[str], list[bytes]]
+#: Gets texts, gives a hash of 64 bits for each of their items, how many items a text has, and what spells the items at given places.
+SplitAll = Callable[[list[str]], tuple[np.ndarray, np.ndarray, Callable[[np.ndarray], list[bytes]]]]
 Measure = Callable[[str, list[bytes], np.ndarray], tuple[tuple, int]]
 
 
@@ -97,6 +102,102 @@ def counted(rows: DataFrame, split: Split, measure: Measure | None = None, weigh
     return told.groupBy("lang", "item").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The same rows, about ``AT_ONCE`` bytes of text at once or one text."""
+    held, size = [], 0
+    for batch in batches:
+        for part in sized_slices([batch], "text", AT_ONCE):
+            held.append(part)
+            size += part["text"].nbytes
+            if size >= AT_ONCE:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _of_langs(langs: list[str | None]) -> dict[str | None, np.ndarray]:
+    """Places of each language."""
+    places: dict[str | None, list[int]] = {}
+    for place, lang in enumerate(langs):
+        places.setdefault(lang, []).append(place)
+    return {lang: np.array(own) for lang, own in places.items()}
+
+
+def counted_at_once(rows: DataFrame, split: SplitAll, weight: str) -> DataFrame:
+    """What :func:`counted` gives with a ``weight``, for short texts of many items: many texts are taken apart at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _gathered(batches):
+            texts, weights = table["text"].to_pylist(), table[weight].to_numpy()
+            for lang, places in _of_langs(table["lang"].to_pylist()).items():
+                keys, lengths, spelled = split([texts[i] or "" for i in places])
+                order = np.argsort(keys, kind="stable")
+                starts = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
+                if not len(starts):
+                    continue
+                n = np.diff(np.append(starts, len(order)))
+                m = np.add.reduceat(np.repeat(weights[places], lengths)[order], starts)
+                names = pa.array(spelled(order[starts]), pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), names, pa.array(n.astype(np.int64)), pa.array(m.astype(np.int64))], names=["lang", "item", "n", "m"])
+
+    told = rows.select("text", "lang", weight).mapInArrow(returning_memory(run), "lang string, item string, n bigint, m bigint")
+    return told.groupBy("lang", "item").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+
+
+def summed_at_once(rows: DataFrame, values: DataFrame, split: SplitAll, most: int = HELD_ITEMS) -> DataFrame:
+    """What :func:`summed` gives without figures, for short texts of many items: many texts are taken apart at once."""
+    shared, held = frequent(values, most)
+    carried = [c for c in rows.columns if c != "text"]
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = ", ".join(["row_id bigint", *[f"{c} {types[c]}" for c in carried], "s0 bigint", "rest array<struct<h:bigint,n:bigint>>"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row_id = TaskContext.get().partitionId() << 33
+        known, known_values = shared.value
+        for table in _gathered(batches):
+            texts, sums = table["text"].to_pylist(), np.zeros(table.num_rows, np.int64)
+            far_rows, far_hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for lang, places in _of_langs(table["lang"].to_pylist()).items():
+                keys, lengths, spelled = split([texts[i] or "" for i in places])
+                _, first, number = np.unique(keys, return_index=True, return_inverse=True)
+                seed = xxhash.xxh64_intdigest((_NO_LANG if lang is None else lang).encode(), SPARK_SEED)
+                hashes = np.fromiter((xxhash.xxh64_intdigest(name, seed) for name in spelled(first)), np.uint64, len(first)).view(np.int64)
+                at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+                there = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+                worth = np.where(there, known_values[at], 0) if len(known) else np.zeros(len(hashes), np.int64)
+                sums[places] = np.diff(np.concatenate([[0], np.cumsum(worth[number])])[np.cumsum(lengths)], prepend=0)
+                far = np.flatnonzero(~there[number])
+                far_rows.append(np.repeat(places, lengths)[far])
+                far_hashes.append(hashes[number[far]])
+            row, far = np.concatenate(far_rows), np.concatenate(far_hashes)
+            order = np.lexsort((far, row))
+            row, far = row[order], far[order]
+            starts = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (far[1:] != far[:-1]))[: len(row)])
+            times = np.diff(np.append(starts, len(row)))
+            rest_ends = np.searchsorted(row[starts], np.arange(table.num_rows + 1))
+            rest = pa.StructArray.from_arrays([pa.array(far[starts]), pa.array(times.astype(np.int64))], ["h", "n"])
+            ids = pa.array(np.arange(row_id, row_id + table.num_rows))
+            row_id += table.num_rows
+            own = table.combine_chunks()
+            yield from pa.table(
+                [ids, *[own[c] for c in carried], pa.array(sums), pa.ListArray.from_arrays(pa.array(rest_ends.astype(np.int32)), rest)], names=["row_id", *carried, "s0", "rest"]
+            ).to_batches()
+
+    return _with_rest(durable(rows.mapInArrow(returning_memory(run), schema), "sums"), values.filter(~held), carried)
+
+
+def _with_rest(stored: DataFrame, values: DataFrame, kept: list[str]) -> DataFrame:
+    """The columns ``kept`` of a stored table and ``s0`` with the values of its ``rest`` added. Stored; the other table goes."""
+    rest = stored.select("row_id", F.explode("rest").alias("x")).select("row_id", "x.h", F.col("x.n").alias("times"))
+    met = rest.join(values.select(item_hash("lang", "item").alias("h"), F.col("s0").alias("value")), "h")
+    more = met.groupBy("row_id").agg(F.sum(F.col("times") * F.col("value")).alias("more"))
+    found = stored.drop("rest").join(more, "row_id", "left").select(*kept, (F.col("s0") + F.coalesce("more", F.lit(0))).alias("s0"))
+    found = durable(found, "summed")
+    discard(stored)
+    return found
+
+
 def frequent(values: DataFrame, most: int) -> tuple[Broadcast, Column]:
     """Hashes, ascending, and values of the most frequent items, and which rows of ``values`` these are."""
     # Half powers of two: some tens of rows.
@@ -157,11 +258,4 @@ def summed(rows: DataFrame, values: DataFrame, split: Split, measure: Measure, f
             if len(hashes) > held_in_task:
                 items, hashes, worth, there = Items(), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
 
-    stored = durable(rows.mapInArrow(returning_memory(run), schema), "sums")
-    rest = stored.select("row_id", F.explode("rest").alias("x")).select("row_id", "x.h", F.col("x.n").alias("times"))
-    met = rest.join(values.filter(~held).select(item_hash("lang", "item").alias("h"), F.col("s0").alias("value")), "h")
-    more = met.groupBy("row_id").agg(F.sum(F.col("times") * F.col("value")).alias("more"))
-    found = stored.drop("rest").join(more, "row_id", "left").select(*carried, *made, (F.col("s0") + F.coalesce("more", F.lit(0))).alias("s0"))
-    found = durable(found, "summed")
-    discard(stored)
-    return found
+    return _with_rest(durable(rows.mapInArrow(returning_memory(run), schema), "sums"), values.filter(~held), [*carried, *made])

@@ -18,6 +18,7 @@ null. Columns other than ``doc_id``, ``text`` and ``lang`` are not looked at. An
 """
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -411,13 +412,23 @@ def found_in(arrays: DataFrame, shards: int, sought: DataFrame) -> DataFrame:
     return asked.groupBy("shard_of").cogroup(arrays.groupBy("shard")).applyInArrow(search, schema)
 
 
-def spelled(word: str, order: int = ORDER) -> list[bytes]:
-    """The longest n-gram that ends at each character of a word and at the blank after it."""
-    framed = f" {word} "
-    if framed.isascii():
-        cut = framed.encode()
-        return [cut[max(0, end - order) : end] for end in range(2, len(cut) + 1)]
-    return [framed[max(0, end - order) : end].encode() for end in range(2, len(framed) + 1)]
+def spelled_all(words: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray, Callable[[np.ndarray], list[bytes]]]:
+    """The longest n-gram that ends at each character of the words and at the blank after them: hashes of 64 bits, how many a word has, and what spells some of them."""
+    joined = "".join(f" {word} " for word in words)
+    codes, starts = _codes(words)
+    lengths = np.diff(np.append(starts, len(codes)))
+    position = np.arange(len(codes)) - np.repeat(starts, lengths)
+    hashes = _hashes(codes, order)
+    keys = hashes[order - 1]
+    for k in range(2, order):
+        keys = np.where(position == k - 1, hashes[k - 1], keys)
+    ends = np.flatnonzero(position > 0)
+
+    def names(places: np.ndarray) -> list[bytes]:
+        at = ends[places]
+        return [joined[start:end].encode() for start, end in zip((at - np.minimum(position[at], order - 1)).tolist(), (at + 1).tolist())]
+
+    return keys[ends], lengths - 1, names
 
 
 def gram_values(grams: DataFrame, order: int = ORDER) -> DataFrame:
@@ -448,11 +459,11 @@ def gram_values(grams: DataFrame, order: int = ORDER) -> DataFrame:
 def word_values(words: DataFrame, order: int = ORDER) -> DataFrame:
     """``lang, word, n, s0``: the log probability of every word (see :func:`learned_words`) in whole units, from the model of the learned ones."""
     spelt = words.select("lang", "word", F.col("n").alias("times"), "m", F.col("word").alias("text"))
-    split = lambda word: spelled(word, order)
-    grams = durable(itemsums.counted(spelt, split, None, "m"), "grams")
+    split = lambda words: spelled_all(words, order)
+    grams = durable(itemsums.counted_at_once(spelt, split, "m"), "grams")
     found = durable(gram_values(grams, order), "valued")
     discard(grams)
-    values = itemsums.summed(spelt.drop("m"), found, split, lambda word, *_: ((len(word),), 0), "length bigint")
+    values = itemsums.summed_at_once(spelt.drop("m"), found, split)
     discard(found)
     return values.select("lang", "word", F.col("times").alias("n"), "s0")
 

@@ -184,3 +184,30 @@ def test_only_items_that_are_not_held_leave_the_task(spark, monkeypatch, most, t
     assert found[4][2] == 2 * ord("d") + ord("b")
     # Without a value a word stays unheld: only "c" leaves if all values are held.
     assert sum(rests) == (1 if most > 3 else 7 if most == 0 else sum(rests)) and sum(rests) <= 7
+
+
+@pytest.mark.parametrize("most", [0, 4, 1 << 18])
+def test_grams_of_many_words_are_taken_at_once(spark, most):
+    import numpy as np
+
+    from logloom.llm import itemsums
+
+    words = ["a", "banana", "saßen", "😀é", "x" * 40, "ab", "banana"]
+    by_hand = [f" {w} "[max(0, end - 5) : end].encode() for w in words for end in range(2, len(w) + 3)]
+    keys, lengths, names = perplexity.spelled_all(words)
+    assert names(np.arange(len(keys))) == by_hand and lengths.tolist() == [len(w) + 1 for w in words]
+    assert len(set(keys.tolist())) == len(set(by_hand)) == len(set(zip(keys.tolist(), by_hand)))
+    table = spark.createDataFrame([(w, lang, i, i) for i, w in enumerate(words) for lang in ("x", None)] + [(None, "x", 90, 1)], "text string, lang string, id bigint, m bigint").repartition(3)
+    counts = itemsums.counted_at_once(table, perplexity.spelled_all, "m")
+    expected = Counter()
+    for i, word in enumerate(words):
+        for lang in ("x", None):
+            for gram in perplexity.spelled_all([word])[2](np.arange(len(word) + 1)):
+                expected[lang, gram.decode(), "n"] += 1
+                expected[lang, gram.decode(), "m"] += i
+    expected["x", "  ", "n"], expected["x", "  ", "m"] = 1, 1  # the empty text's closing blank
+    assert {(r.lang, r.item, c): r[c] for r in counts.collect() for c in "nm"} == dict(expected)
+    values = counts.selectExpr("lang", "item", "n", "length(item) * 10 + ascii(item) + if(lang is null, 0, 1000) AS s0")
+    worth = lambda lang, w: sum(10 * len(g.decode()) + g[0] + (1000 if lang else 0) for g in perplexity.spelled_all([w])[2](np.arange(len(w) + 1)))
+    found = itemsums.summed_at_once(table.drop("m"), values, perplexity.spelled_all, most)
+    assert {(r.lang, r.id): r.s0 for r in found.collect()} == {(lang, i): worth(lang, w) for i, w in enumerate(words) for lang in ("x", None)} | {("x", 90): worth("x", "")}
