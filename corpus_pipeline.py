@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm import linededup, mixing, perplexity, pieces, simhash
 from logloom.llm.text import only_one, without
-from logloom.sources.durable import scratch_path, shuffles_released
+from logloom.sources.durable import durable, scratch_path, shuffles_released
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,8 +30,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of recurring templates stay in one document each."""
-    return linededup.dedup_lines(docs).select("row.*", "text").select(*docs.columns)
+    """Lines of recurring templates stay in one document each. Stored here, where little is sent to a Python worker at once."""
+    return durable(linededup.dedup_lines(docs).select("row.*", "text").select(*docs.columns), "deduped")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, number of tokens, token ids, and whether decoding gives the text back."""
-    return pieces.encode(docs)
+    """``doc_id``, number of tokens, token ids, and whether decoding gives the text back. Stored here as well."""
+    return durable(pieces.encode(docs), "tokens")
 
 
 STAGES: list[tuple[str, Stage]] = [

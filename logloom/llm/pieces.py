@@ -27,7 +27,8 @@ from logloom.llm.text import returning_memory, sized_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHED_WORDS, BATCH_BYTES = 150_000, 4 << 20
+#: Words a task remembers, twice as many at most; neighbours of which it remembers whether they stay apart; bytes of text it takes at once.
+CACHED_WORDS, CACHED_PAIRS, BATCH_BYTES = 100_000, 200_000, 1 << 20
 UNIGRAM, BPE = 1, 2
 NORMAL, BYTE = 1, 6
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -272,7 +273,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
         for batch in sized_slices(batches, "text", BATCH_BYTES):
             texts = [text or "" for text in batch["text"].to_pylist()]
             words = [marked_words(text) for text in texts]
-            if len(apart) > 4 * CACHED_WORDS:
+            if len(apart) > CACHED_PAIRS:
                 apart.clear()
             for word, ids in encode_words(seen.unknown(set().union(*words)), pieces, root, apart):
                 seen.young[word] = np.array(ids, np.int32).tobytes()

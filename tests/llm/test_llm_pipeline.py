@@ -87,3 +87,12 @@ def test_messy_rows(spark, place):
 def test_equal_rows_leave_one(spark):
     docs = messy(spark, [(1, "the very same text of a few words", "en", "a", 3)] * 4 + [(None, "the very same text of a few words", "en", "a", 3)])
     assert rows(corpus_pipeline.near_dedup(spark, docs, SF)) == [(1, "the very same text of a few words", "en", "a", 3)]
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.line_dedup, corpus_pipeline.encode])
+def test_python_steps_are_over_when_the_caller_writes(spark, stage):
+    """The caller's settings may send much to a Python worker at once."""
+    docs = messy(spark)
+    found = stage(spark, docs, SF)
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString() and found.inputFiles()
+    assert found.count() == docs.count()
