@@ -45,8 +45,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, number of tokens, token ids, and whether decoding gives the text back. Stored here as well."""
-    return durable(pieces.encode(docs), "tokens")
+    """``doc_id``, number of tokens, token ids, and whether decoding gives the text back. Stored here as well; tasks remember and take less than
+    in a query of its own, since executors have run other stages before.
+    """
+    return durable(pieces.encode(docs, cached_words=pieces.CACHED_WORDS // 2, batch_bytes=1 << 20), "tokens")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -27,8 +27,7 @@ from logloom.llm.text import returning_memory, sized_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Words a task remembers, twice as many at most; neighbours of which it remembers whether they stay apart; bytes of text it takes at once.
-CACHED_WORDS, CACHED_PAIRS, BATCH_BYTES = 100_000, 200_000, 1 << 20
+CACHED_WORDS, BATCH_BYTES = 150_000, 4 << 20
 UNIGRAM, BPE = 1, 2
 NORMAL, BYTE = 1, 6
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -254,10 +253,11 @@ def decode(ids: list[int], table: list[bytes]) -> str:
     return b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ").removeprefix(" ")
 
 
-def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, cached_words: int = CACHED_WORDS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``doc_id, n_tokens, token_ids, round_trip`` for every row of ``docs``.
 
-    The vocabulary, half a megabyte, is read once by the driver and sent to the tasks.
+    The vocabulary, half a megabyte, is read once by the driver and sent to the tasks. A task remembers ``cached_words`` words, twice as many at most, and takes
+    ``batch_bytes`` of text at once: with less it takes less memory and more time.
     """
     with open(model, "rb") as file:
         pieces = Pieces.read(file.read())
@@ -266,14 +266,14 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(*shared.value)
-        seen = RecentWords(CACHED_WORDS)
+        seen = RecentWords(cached_words)
         apart: dict[tuple[str, str], bool] = {}
         inexact: set[str] = set()
         root, table = trie(pieces), byte_table(pieces)
-        for batch in sized_slices(batches, "text", BATCH_BYTES):
+        for batch in sized_slices(batches, "text", batch_bytes):
             texts = [text or "" for text in batch["text"].to_pylist()]
             words = [marked_words(text) for text in texts]
-            if len(apart) > CACHED_PAIRS:
+            if len(apart) > 4 * cached_words:
                 apart.clear()
             for word, ids in encode_words(seen.unknown(set().union(*words)), pieces, root, apart):
                 seen.young[word] = np.array(ids, np.int32).tobytes()
