@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.text import slices
+from logloom.sources.durable import shuffles_released
 
 BITS = 27
 #: Words of 64 bits for each that has a bit set, and at least, where the bound leaves room: one stranger in 4,096 passes.
@@ -26,11 +27,15 @@ def release(used: list[Broadcast]) -> None:
 
 
 def build(members: DataFrame, column: str, bits: int = BITS) -> Broadcast:
-    """The filter of the hashes in ``column``, broadcast once; Spark sets the bits, the driver gets at most ``2 ** (bits - 6)`` words of 64."""
-    words = members.groupBy(_word(F.col(column), bits).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(column).bitwiseAND(63).cast("int"))).alias("bits")
-    )
-    found = words.toArrow()
+    """The filter of the hashes in ``column``, broadcast once; Spark sets the bits, the driver gets at most ``2 ** (bits - 6)`` words of 64.
+
+    ``members`` is often still to be made from whole texts, so Python workers get little at once here as well.
+    """
+    with shuffles_released(members.sparkSession):
+        words = members.groupBy(_word(F.col(column), bits).alias("word")).agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(column).bitwiseAND(63).cast("int"))).alias("bits")
+        )
+        found = words.toArrow()
     out = np.zeros(min(1 << (bits - 6), max(LEAST_WORDS, 1 << (SPARSE * found.num_rows).bit_length())), np.uint64)
     np.bitwise_or.at(out, found["word"].to_numpy() & (len(out) - 1), found["bits"].to_numpy().view(np.uint64))
     return members.sparkSession.sparkContext.broadcast(out)

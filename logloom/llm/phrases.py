@@ -7,7 +7,8 @@ again: occurrences of phrases that are not frequent go. All contiguous parts of
 
 Layout. A row of the relation is a *block*: occurrences of about ``BLOCK_WORDS`` words of text, in order. A place is the number of the word in its
 block; a piece's end leaves one place free, so the next place always lies in the same piece. Phrases are numbered within the block and
-stored once per block. Group counts move one row per block and distinct phrase, so a word that is everywhere is one row per block and not one per
+stored once per block, with their hashes. Places, numbers and hashes are bytes to Spark, which moves them as a whole and not element by element; what
+needs only these does not read the phrases. Group counts move one row per block and distinct phrase, so a word that is everywhere is one row per block and not one per
 occurrence.
 
 The semi-join is done where the relation lies, by a bit filter of the frequent phrases of at most 16 MB (see :mod:`logloom.llm.bitfilter`), which goes when the next
@@ -52,7 +53,7 @@ PIECE_ENDS, SEPARATORS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _BREAK = b"\n"
 _BLANK = bytes.maketrans(PIECE_ENDS + SEPARATORS, b" " * len(PIECE_ENDS + SEPARATORS))
 _ONE_WAY = bytes.maketrans(PIECE_ENDS + SEPARATORS, _BREAK * len(PIECE_ENDS) + b" " * len(SEPARATORS))
-RELATION = "block bigint, steps array<int>, phrases array<int>, items array<struct<lang:string,phrase:string,n:bigint>>"
+RELATION = "block bigint, places binary, phrases binary, hashes binary, items array<struct<lang:string,phrase:string,n:bigint>>"
 
 
 def words_and_breaks(text: str) -> list[bytes]:
@@ -64,13 +65,11 @@ def words_only(text: str) -> list[bytes]:
     return text.encode().lower().translate(_BLANK).split()
 
 
-def _row(block: int, places: np.ndarray, phrases: np.ndarray, langs: list[str], names: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
+def _row(block: int, places: np.ndarray, phrases: np.ndarray, langs: list[str], names: list[bytes], counts: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
     """One block of the relation; places are stored as steps, which are small."""
     struct = pa.StructArray.from_arrays([pa.array(langs, pa.string()), as_text(names), pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
-    steps = np.diff(places, prepend=np.int64(0)).astype(np.int32)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int64()), one(pa.array(steps)), one(pa.array(phrases.astype(np.int32))), one(struct)], names=["block", "steps", "phrases", "items"]
-    )
+    numbers = [pa.array([data], pa.binary()) for data in (packed(places), planes(phrases), hashes.tobytes())]
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *numbers, one(struct)], names=["block", "places", "phrases", "hashes", "items"])
 
 
 def occurrences(docs: DataFrame, block_words: int = BLOCK_WORDS, shared: Broadcast | None = None) -> DataFrame:
@@ -85,15 +84,15 @@ def occurrences(docs: DataFrame, block_words: int = BLOCK_WORDS, shared: Broadca
         held = 0
 
         def made() -> pa.RecordBatch:
-            found, told, of = np.concatenate(parts), names, langs
+            found, told, of, hashes = np.concatenate(parts), names, langs, phrase_hashes(langs, names)
             if shared is not None:
-                kept = bitfilter.holds(shared.value, phrase_hashes(langs, names))
+                kept = bitfilter.holds(shared.value, hashes)
                 # The last number, that of a break, is -1.
                 found = np.append(np.where(kept, np.cumsum(kept) - 1, -1), -1)[found]
-                told, of = [names[i] for i in np.flatnonzero(kept)], [langs[i] for i in np.flatnonzero(kept)]
+                told, of, hashes = [names[i] for i in np.flatnonzero(kept)], [langs[i] for i in np.flatnonzero(kept)], hashes[kept]
             places = np.flatnonzero(found >= 0)
             phrases = found[places]
-            return _row(block, places, phrases, of, told, np.bincount(phrases, minlength=len(told)))
+            return _row(block, places, phrases, of, told, np.bincount(phrases, minlength=len(told)), hashes)
 
         for batch in slices(batches):
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
@@ -141,20 +140,28 @@ def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 def _frequent_places(batch: pa.RecordBatch, shared: Broadcast) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a block: the places with a phrase that passes the filter, its number, and the hashes of all phrases by number."""
-    steps, phrases = (batch[name].flatten().to_numpy() for name in ("steps", "phrases"))
-    items = batch["items"].flatten()
-    hashes = phrase_hashes(items.field("lang").to_pylist(), items.field("phrase").cast(pa.binary()).to_pylist())
+    places, phrases = unpacked(batch["places"][0].as_py()), from_planes(batch["phrases"][0].as_py())
+    hashes = np.frombuffer(batch["hashes"][0].as_py(), np.uint64)
     here = bitfilter.holds(shared.value, hashes)[phrases]
-    return np.cumsum(steps, dtype=np.int64)[here], phrases[here].astype(np.int64), hashes
+    return places[here], phrases[here].astype(np.int64), hashes
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits byte by byte: all lowest bytes, then the next. The higher ones are mostly zero, which files and shuffles compress."""
+    return np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Ascending numbers of 32 bits as their steps, byte by byte: all lowest bytes, then the next. The higher ones are mostly zero, which shuffles compress."""
-    return np.diff(numbers.astype("<u4"), prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Ascending numbers of 32 bits as their steps."""
+    return planes(np.diff(numbers.astype("<u4"), prepend=np.uint32(0)))
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel(), dtype=np.int64)
+    return np.cumsum(from_planes(data), dtype=np.int64)
 
 
 def promising(relation: DataFrame, shared: Broadcast, bits: int, least: int) -> Broadcast:
@@ -189,7 +196,7 @@ def promising(relation: DataFrame, shared: Broadcast, bits: int, least: int) ->
         enough = np.add.reduceat(times[order], starts) >= least
         return pa.table({"h": pa.array((group["part"][0].as_py() << PART_BITS) + numbers[order][starts[enough]])})
 
-    told = relation.mapInArrow(returning_memory(buckets), "part bigint, buckets binary, times binary")
+    told = relation.select("places", "phrases", "hashes").mapInArrow(returning_memory(buckets), "part bigint, buckets binary, times binary")
     return bitfilter.build(told.groupBy("part").applyInArrow(merged, "h bigint"), "h")
 
 
@@ -213,11 +220,12 @@ def extended(relation: DataFrame, counts: DataFrame, least: int | None = None, b
             if not len(left):
                 continue
             items = batch["items"].flatten()
-            langs, names = items.field("lang").to_pylist(), items.field("phrase").cast(pa.binary()).to_pylist()
+            names = items.field("phrase").cast(pa.binary()).to_pylist()
             pairs, number, counted = np.unique(phrases[left] * len(names) + phrases[left + 1], return_inverse=True, return_counts=True)
-            first, second = (pairs // len(names)).tolist(), (pairs % len(names)).tolist()
-            longer = [names[a] + b" " + names[b].rpartition(b" ")[2] for a, b in zip(first, second)]
-            yield _row(batch["block"][0].as_py(), places[left], number, [langs[a] for a in first], longer, counted)
+            first, second = np.divmod(pairs, len(names))
+            langs = items.field("lang").take(pa.array(first)).to_pylist()
+            longer = [names[a] + b" " + names[b].rpartition(b" ")[2] for a, b in zip(first.tolist(), second.tolist())]
+            yield _row(batch["block"][0].as_py(), places[left], number, langs, longer, counted, phrase_hashes(langs, longer))
 
     return relation.mapInArrow(returning_memory(run), RELATION)
 

@@ -125,3 +125,21 @@ def test_filters_are_as_small_as_their_sets_and_go_once_relations_are_stored(spa
     small = bitfilter.build(spark.createDataFrame([(int(h),) for h in hashes], "h bigint"), "h").value
     assert small.nbytes <= 1 << 22 and bitfilter.holds(small, hashes.view(np.uint64)).all()
     assert bitfilter.holds(small, np.random.default_rng(2).integers(0, 1 << 63, 100_000).astype(np.uint64)).mean() < 1e-3
+
+
+def test_filters_are_made_from_small_batches_and_blocks_tell_hashes_without_phrases(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    from logloom.llm import bitfilter
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([int(batch.nbytes > 16 << 20)], pa.int64())], names=["h"])
+
+    wide = spark.range(0, 300, 1, 1).selectExpr("repeat(cast(id % 10 AS string), 100000) AS text")
+    assert bitfilter.build(wide.mapInArrow(sizes, "h bigint"), "h").value[0] == 1  # bit 0: no batch was large
+    block = phrases.occurrences(messy(spark, [(1, "a b. a c", "en", "s", 1)]).coalesce(1)).first()
+    assert phrases.unpacked(block["places"]).tolist() == [0, 1, 3, 4] and phrases.from_planes(block["phrases"]).tolist() == [0, 1, 0, 2]
+    told = phrases.phrase_hashes([x["lang"] for x in block["items"]], [x["phrase"].encode() for x in block["items"]])
+    assert np.frombuffer(block["hashes"], np.uint64).tolist() == told.tolist()
