@@ -30,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm import bitfilter
-from logloom.llm.text import raw_texts, slices
+from logloom.llm.text import raw_texts, returning_memory, sized_slices
 from logloom.sources.durable import discard, durable
 
 WINDOW, ANCHOR = 13, 7
 #: Repeated documents per shard, and followers of a shard handled at once, on average; and the bytes of either, for longer texts.
 SHARD_SOURCES, CHUNK_READERS, GROUP_BYTES = 64, 256, 8 << 20
-HELD_WORDS = 150_000
+HELD_WORDS = 100_000
+#: Bytes of text taken apart at once.
+AT_ONCE = 1 << 19
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -97,17 +99,26 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text", F.lit(1)).alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"), "text")
 
 
-def _by_windows(rows: DataFrame, schema: str, make) -> DataFrame:
+def originals(batch: pa.RecordBatch, twice: Broadcast) -> pa.RecordBatch:
+    """Without rows that are ``screened`` and whose text may have copies; the first of those comes in a row that is not screened."""
+    doubtful = bitfilter.holds(twice.value, batch["h1"].to_numpy().view(np.uint64))
+    return batch.filter(pa.array(~(doubtful & batch["screened"].to_numpy(zero_copy_only=False))))
+
+
+def _by_windows(rows: DataFrame, schema: str, make, twice: Broadcast | None) -> DataFrame:
     """``make(word hashes, starts, document)`` gives columns for the documents of a batch, all words in a row: where each window begins, and of which document it is.
 
-    Arrays over many documents at once, since a document alone is too short for them; the first column holds numbers of documents.
+    Arrays over many documents at once, since a document alone is too short for them; the first column holds numbers of documents. With ``twice`` only :func:`originals`
+    count, in the worker that has the texts already: another one before it would hold them a second time.
     """
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in slices(batches):
+        for batch in sized_slices(batches, "text", AT_ONCE):
             hashes.trim()
+            if twice is not None:
+                batch = originals(batch, twice)
             ids, words, lengths = [], [], []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), raw_texts(batch["text"])):
                 own = text.split()
@@ -121,10 +132,10 @@ def _by_windows(rows: DataFrame, schema: str, make) -> DataFrame:
                 of, *columns = make(hashes.of(words), starts, document[starts])
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.int64)[of]), *[pa.array(c) for c in columns]], names=names)
 
-    return rows.select("doc_id", "text").mapInArrow(run, schema)
+    return rows.select("doc_id", "text", *["h1", "screened"] * (twice is not None)).mapInArrow(returning_memory(run), schema)
 
 
-def document_anchors(rows: DataFrame) -> DataFrame:
+def document_anchors(rows: DataFrame, twice: Broadcast | None = None) -> DataFrame:
     """``doc_id, anchor``: windows side by side often have one anchor, which is told once."""
 
     def make(words: np.ndarray, starts: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,10 +144,10 @@ def document_anchors(rows: DataFrame) -> DataFrame:
         new[1:] = (least[1:] != least[:-1]) | (document[1:] != document[:-1])
         return document[new], least[new].view(np.int64)
 
-    return _by_windows(rows, "doc_id bigint, anchor bigint", make)
+    return _by_windows(rows, "doc_id bigint, anchor bigint", make, twice)
 
 
-def suspects(rows: DataFrame, recurring: Broadcast) -> DataFrame:
+def suspects(rows: DataFrame, recurring: Broadcast, twice: Broadcast | None = None) -> DataFrame:
     """``doc_id, w1, w2``: each window once whose anchor may recur."""
 
     def make(words: np.ndarray, starts: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,7 +161,7 @@ def suspects(rows: DataFrame, recurring: Broadcast) -> DataFrame:
         second = run_hashes(words, WINDOW, 2, at[once]) >> np.uint64(32)
         return of[once], first[once].view(np.int64), second.astype(np.int64).astype(np.int32)
 
-    return _by_windows(rows, "doc_id bigint, w1 bigint, w2 int", make)
+    return _by_windows(rows, "doc_id bigint, w1 bigint, w2 int", make, twice)
 
 
 def repeats(found: DataFrame) -> DataFrame:
@@ -171,8 +182,8 @@ def spelling(number: int) -> str:
     return chr(ALPHABETS[0] + low) + chr(ALPHABETS[1] + middle) + chr(ALPHABETS[2] + high)
 
 
-def covered(readers: list[tuple[int, list[bytes]]], sources: list[tuple[int, list[bytes]]], useful) -> list[np.ndarray]:
-    """Per reader, which of its words are in a window of a source with a smaller id.
+def covered(readers: list[tuple[int, bytes]], sources: list[tuple[int, bytes]], useful) -> list[np.ndarray]:
+    """Per reader (id and text), which of its words are in a window of a source with a smaller id. Only one text at a time is taken apart.
 
     ``useful(words)`` gives the windows of a source that are worth looking for and where their anchors begin. The anchors, a
     fraction of all runs, are the phrases of the automaton; around each of their occurrences in a reader the windows are compared in full.
@@ -180,7 +191,8 @@ def covered(readers: list[tuple[int, list[bytes]]], sources: list[tuple[int, lis
     names: dict[bytes, str] = {}
     windows: dict[str, int] = {}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for doc_id, words in sorted(sources, key=lambda s: s[0], reverse=True):  # the smallest id stays as the value
+    for doc_id, text in sorted(sources, key=lambda s: s[0], reverse=True):  # the smallest id stays as the value
+        words = text.split()
         starts, places = useful(words)
         if not len(starts):
             continue
@@ -195,7 +207,8 @@ def covered(readers: list[tuple[int, list[bytes]]], sources: list[tuple[int, lis
     automaton.make_automaton()
     unknown = spelling(0)
     marks = []
-    for doc_id, words in readers:
+    for doc_id, text in readers:
+        words = text.split()
         change = np.zeros(len(words) + 1, np.int64)
         if len(automaton):
             spelled = "".join([names.get(word, unknown) for word in words])
@@ -242,9 +255,8 @@ def locate(texts: DataFrame, pairs: DataFrame, recurring: Broadcast) -> DataFram
             starts = np.flatnonzero(bitfilter.holds(recurring.value, least))
             return starts, places[starts]
 
-        words = [text.split() for text in raw_texts(left["text"].combine_chunks())]
-        from_words = [(i, text.split()) for i, text in zip(right["doc_id"].to_pylist(), raw_texts(right["text"].combine_chunks()))]
-        marks = covered(list(zip(left["doc_id"].to_pylist(), words)), from_words, useful)
+        readers, sources = (list(zip(part["doc_id"].to_pylist(), raw_texts(part["text"].combine_chunks()))) for part in (left, right))
+        marks = covered(readers, sources, useful)
         hit = pa.array([bool(mark.any()) for mark in marks], pa.bool_())
         bits = pa.array([np.packbits(mark).tobytes() for mark in marks], pa.binary())
         return left.select(["doc_id", "h1", "h2"]).append_column("mask", bits).filter(hit)
@@ -252,6 +264,17 @@ def locate(texts: DataFrame, pairs: DataFrame, recurring: Broadcast) -> DataFram
     return dealt.groupBy("shard", "chunk").applyInArrow(run, "doc_id bigint, h1 bigint, h2 bigint, mask binary")
 
 
+def parties(texts: DataFrame, twice: Broadcast, part: Broadcast) -> DataFrame:
+    """``doc_id, h1, h2, text`` of the :func:`originals` whose hash of the id may be in ``part``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sized_slices(batches, "text", AT_ONCE):
+            own = originals(batch, twice)
+            yield own.filter(pa.array(bitfilter.holds(part.value, own["h"].to_numpy().view(np.uint64)))).select(["doc_id", "h1", "h2", "text"])
+
+    return texts.withColumn("h", F.xxhash64("doc_id")).mapInArrow(run, texts.select("doc_id", "h1", "h2", "text").schema)
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """``doc_id, h1, h2, masks, copy``: what to remove from each row that loses anything."""
     rows = keyed(docs).filter("doc_id is not null")
@@ -263,16 +286,15 @@ def removals(docs: DataFrame) -> DataFrame:
     # Texts that may have copies are few; of those only the first stays.
     doubtful = bitfilter.members(rows, twice, "h1")
     firsts = durable(doubtful.join(copies, ["doc_id", "h1", "h2"], "left_anti"), "firsts")
-    texts = bitfilter.members(rows, twice, "h1", wanted=False).unionByName(firsts)
+    texts = rows.withColumn("screened", F.lit(True)).unionByName(firsts.withColumn("screened", F.lit(False)))
 
-    counted = document_anchors(texts).groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    counted = document_anchors(texts, twice).groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
     recurring = bitfilter.build(counted.filter("a < b"), "anchor")
-    found = durable(suspects(texts, recurring), "suspects")
+    found = durable(suspects(texts, recurring, twice), "suspects")
     pairs = durable(repeats(found), "pairs")
     discard(found)
     part = pairs.select(F.explode(F.array("reader", "source")).alias("doc_id")).distinct().select(F.xxhash64("doc_id").alias("h"))
-    concerned = bitfilter.members(texts.withColumn("h", F.xxhash64("doc_id")), bitfilter.build(part, "h"), "h").drop("h")
-    concerned = durable(concerned, "concerned")
+    concerned = durable(parties(texts, twice, bitfilter.build(part, "h")), "concerned")
     for read in (names, classes, firsts):
         discard(read)
     masks = durable(locate(concerned, pairs, recurring), "masks")
@@ -298,11 +320,18 @@ def apply(docs: DataFrame, removal: DataFrame) -> DataFrame:
     """
     rows = keyed(docs).withColumn("h", F.coalesce(F.xxhash64("doc_id"), F.lit(0).cast("bigint")))
     touched = bitfilter.build(removal.select(F.xxhash64("doc_id").alias("h")).distinct(), "h")
-    free = bitfilter.members(rows, touched, "h", wanted=False).select("doc_id", "text", F.lit(None).cast("array<binary>").alias("masks"), F.lit(False).alias("copy"))
-    held = bitfilter.members(rows, touched, "h").join(removal, ["doc_id", "h1", "h2"], "left").select("doc_id", "text", "masks", F.coalesce("copy", F.lit(False)).alias("copy"))
+    nothing = [F.lit(None).cast("array<binary>").alias("masks"), F.lit(False).alias("copy")]
+    free = rows.select("doc_id", "text", "h", *nothing, F.lit(True).alias("free"))
+    held = bitfilter.members(rows, touched, "h").join(removal, ["doc_id", "h1", "h2"], "left")
+    held = held.select("doc_id", "text", "h", "masks", F.coalesce("copy", F.lit(False)).alias("copy"), F.lit(False).alias("free"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in sized_slices(batches, "text", AT_ONCE):
+            # Rows that may lose something come a second time, joined.
+            joined = bitfilter.holds(touched.value, batch["h"].to_numpy().view(np.uint64)) & batch["free"].to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(~joined))
+            if not batch.num_rows:
+                continue
             out = []
             for text, masks, copy in zip(raw_texts(batch["text"]), batch["masks"].to_pylist(), batch["copy"].to_pylist()):
                 words = text.split()
@@ -318,7 +347,7 @@ def apply(docs: DataFrame, removal: DataFrame) -> DataFrame:
                 names=["doc_id", "text", "n_words", "n_removed", "kept_sha256"],
             )
 
-    return free.unionByName(held).mapInArrow(run, "doc_id bigint, text string, n_words bigint, n_removed bigint, kept_sha256 string")
+    return free.unionByName(held).mapInArrow(returning_memory(run), "doc_id bigint, text string, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:

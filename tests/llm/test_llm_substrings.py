@@ -88,3 +88,25 @@ def test_windows_of_many_documents_at_once(spark):
         expected |= set(zip([i] * len(first), first.view(np.int64).tolist(), second.astype(np.int64).astype(np.int32).tolist()))
     suspects = [tuple(r) for r in substrings.suspects(docs, some).collect()]
     assert len(suspects) == len(set(suspects)) and set(suspects) == expected and expected
+
+
+def test_filters_take_no_worker_beside_the_one_that_reads_the_texts(spark):
+    from pyspark.sql import functions as F
+
+    from logloom.llm import bitfilter
+
+    def workers(table):
+        return table._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+
+    words = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, words), (2, words), (3, words + " x")], "doc_id bigint, text string")
+    rows = substrings.keyed(docs)
+    twice = bitfilter.build(rows.filter("doc_id = 1"), "h1")
+    texts = rows.withColumn("screened", F.lit(True)).unionByName(rows.filter("doc_id = 1").withColumn("screened", F.lit(False)))
+    found = substrings.document_anchors(texts, twice)
+    assert workers(found) == 1 and {r.doc_id for r in found.collect()} == {1, 3}
+    part = bitfilter.build(rows.filter("doc_id < 3").select(F.xxhash64("doc_id").alias("h")), "h")
+    own = substrings.parties(texts, twice, part)
+    assert workers(own) == 1 and [r.doc_id for r in own.collect()] == [1]
+    kept = substrings.apply(docs, substrings.removals(docs))
+    assert workers(kept) == 2 and sorted((r.doc_id, r.n_removed) for r in kept.collect()) == [(1, 0), (2, 20), (3, 20)]
