@@ -37,11 +37,13 @@ from pyspark.sql import functions as F
 
 from logloom.llm import bitfilter, itemsums
 from logloom.llm.itemblocks import Numbers, as_text, one
-from logloom.llm.text import returning_memory, slices
+from logloom.llm.text import raw_texts, returning_memory, slices
 from logloom.sources.durable import discard, durable
 
 MIN_COUNT, MIN_WORDS, MAX_WORDS, TOP, COVER = 100, 2, 5, 2000, 100
 BLOCK_WORDS = 1 << 13
+#: Distinct words a task remembers.
+TASK_WORDS = 100_000
 SALTS = 64
 #: Buckets of a part, as a power of two; words of the corpus for each part; phrases that a task counts at once.
 PART_BITS, PART_WORDS, TASK_PHRASES = 24, 1 << 20, 1 << 21
@@ -50,15 +52,16 @@ UNKNOWN = "und"
 # Where pieces end, and what separates words.
 PIECE_ENDS, SEPARATORS = b".,;:!?\n\x0b\x0c\r", b" \t"
 
-_BREAK = b"\n"
+#: No byte of UTF-8.
+_BREAK = b"\xff"
 _BLANK = bytes.maketrans(PIECE_ENDS + SEPARATORS, b" " * len(PIECE_ENDS + SEPARATORS))
 _ONE_WAY = bytes.maketrans(PIECE_ENDS + SEPARATORS, _BREAK * len(PIECE_ENDS) + b" " * len(SEPARATORS))
 RELATION = "block bigint, places binary, phrases binary, hashes binary, items array<struct<lang:string,phrase:string,n:bigint>>"
 
 
-def words_and_breaks(text: str) -> list[bytes]:
+def words_and_breaks(text: bytes) -> list[bytes]:
     """The words of a text with a break between pieces."""
-    return [word for word in text.encode().lower().translate(_ONE_WAY).replace(_BREAK, b" \n ").split(b" ") if word]
+    return text.lower().translate(_ONE_WAY).replace(_BREAK, b" \xff ").split()
 
 
 def words_only(text: str) -> list[bytes]:
@@ -80,38 +83,44 @@ def occurrences(docs: DataFrame, block_words: int = BLOCK_WORDS, shared: Broadca
         names: list[bytes] = []
         by_lang: dict[str, Numbers] = {}
         langs: list[str] = []
+        hashes, kept = np.zeros(0, np.uint64), np.zeros(0, bool)
         parts: list[np.ndarray] = []
         held = 0
 
         def made() -> pa.RecordBatch:
-            found, told, of, hashes = np.concatenate(parts), names, langs, phrase_hashes(langs, names)
-            if shared is not None:
-                kept = bitfilter.holds(shared.value, hashes)
-                # The last number, that of a break, is -1.
-                found = np.append(np.where(kept, np.cumsum(kept) - 1, -1), -1)[found]
-                told, of, hashes = [names[i] for i in np.flatnonzero(kept)], [langs[i] for i in np.flatnonzero(kept)], hashes[kept]
-            places = np.flatnonzero(found >= 0)
-            phrases = found[places]
-            return _row(block, places, phrases, of, told, np.bincount(phrases, minlength=len(told)), hashes)
+            nonlocal hashes, kept
+            new = phrase_hashes(langs[len(hashes) :], names[len(hashes) :])
+            hashes = np.concatenate([hashes, new])
+            kept = np.concatenate([kept, np.ones(len(new), bool) if shared is None else bitfilter.holds(shared.value, new)])
+            found = np.concatenate(parts)
+            # The last number, that of a break, is -1.
+            places = np.flatnonzero(np.append(kept, False)[found])
+            counts = np.bincount(found[places], minlength=len(names))
+            own = np.flatnonzero(counts)
+            number = np.zeros(len(names), np.int32)
+            number[own] = np.arange(len(own))
+            return _row(block, places, number[found[places]], [langs[i] for i in own.tolist()], [names[i] for i in own.tolist()], counts[own], hashes[own])
 
         for batch in slices(batches):
-            for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
-                words = words_and_breaks(text) if text else []
+            for text, lang in zip(raw_texts(batch["text"]), batch["lang"].to_pylist()):
+                words = words_and_breaks(text)
                 if not words:
                     continue
                 lang = UNKNOWN if lang is None else lang
                 numbers = by_lang.get(lang)
                 if numbers is None:
                     numbers = by_lang[lang] = Numbers(names)
-                numbers[_BREAK] = -1
+                    numbers[_BREAK] = -1
                 parts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
                 parts.append(np.full(1, -1, np.int32))
                 langs += [lang] * (len(names) - len(langs))
                 held += len(words)
                 if held >= block_words:
                     yield made()
-                    block, held = block + 1, 0
-                    names, by_lang, langs, parts = [], {}, [], []
+                    block, held, parts = block + 1, 0, []
+                    if len(names) > TASK_WORDS:
+                        names, by_lang, langs = [], {}, []
+                        hashes, kept = np.zeros(0, np.uint64), np.zeros(0, bool)
         if held:
             yield made()
 
@@ -127,7 +136,7 @@ def frequent(relation: DataFrame, least: int = MIN_COUNT) -> DataFrame:
 def phrase_hashes(langs: list[str], names: list[bytes]) -> np.ndarray:
     """Spark's ``xxhash64(lang, phrase)``: the hash of the first is the seed of the second."""
     seeds = {lang: xxhash.xxh64_intdigest(lang.encode(), SPARK_SEED) for lang in set(langs)}
-    return np.fromiter((xxhash.xxh64_intdigest(name, seeds[lang]) for lang, name in zip(langs, names)), np.uint64, len(names))
+    return np.fromiter(map(xxhash.xxh64_intdigest, names, map(seeds.__getitem__, langs)), np.uint64, len(names))
 
 
 def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
