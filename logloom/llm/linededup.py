@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm import bitfilter
-from logloom.llm.text import raw_texts, slices
+from logloom.llm.text import raw_texts, returning_memory, slices
 from logloom.sources.durable import durable
 
 DEPTH, MIN_DOCS, MIN_WORDS = 3, 3, 3
@@ -87,7 +87,7 @@ def scan(docs: DataFrame, depth: int, min_words: int) -> DataFrame:
             )
 
     known = docs.select("doc_id", "text").filter("doc_id is not null")
-    return known.mapInArrow(run, "doc_id bigint, line bigint, leaf bigint, wide boolean")
+    return known.mapInArrow(returning_memory(run), "doc_id bigint, line bigint, leaf bigint, wide boolean")
 
 
 def _longs(values: list[int]) -> pa.Array:
@@ -123,7 +123,7 @@ def crowded_lines(docs: DataFrame, leaves: Broadcast, depth: int, min_words: int
             )
 
     known = docs.filter("doc_id is not null").select("text")
-    found = known.mapInArrow(run, "leaf bigint, line bigint, words array<bigint>")
+    found = known.mapInArrow(returning_memory(run), "leaf bigint, line bigint, words array<bigint>")
     return found.groupBy("leaf", "line").agg(F.first("words").alias("words"))
 
 
@@ -196,6 +196,11 @@ def drop_lines(docs: DataFrame, surplus: DataFrame, shared: Broadcast, min_words
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, firsts = shared.value
         for batch in slices(batches):
+            # Rows that may lose a line beside the shared ones come a second time, joined.
+            joined = bitfilter.holds(touched.value, batch["h"].to_numpy().view(np.uint64)) & batch["free"].to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(~joined))
+            if not batch.num_rows:
+                continue
             ids, split, gone, codes, rows, places = batch["id"].to_pylist(), [], [], [], [], []
             for row, (text, drop) in enumerate(zip(raw_texts(batch["text"]), batch["lines"])):
                 lines = text.split(b"\n")
@@ -230,11 +235,11 @@ def drop_lines(docs: DataFrame, surplus: DataFrame, shared: Broadcast, min_words
     rows = rows.withColumn("h", F.coalesce(F.xxhash64("id"), F.lit(0).cast("bigint")))
     # Only rows that may lose a line beside the shared ones are moved to be joined; the others stay in the task that reads them.
     touched = bitfilter.build(surplus.select(F.xxhash64("doc_id").alias("h")).distinct(), "h")
-    free = bitfilter.members(rows, touched, "h", wanted=False).select("row", "id", "text", F.lit(None).cast("array<bigint>").alias("lines"))
-    held = bitfilter.members(rows, touched, "h").join(surplus.select(F.col("doc_id").alias("id"), "lines"), "id", "left").select("row", "id", "text", "lines")
-    joined = free.unionByName(held)
-    row_type = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(run, f"row {row_type}, text string, n_lines bigint, n_removed bigint")
+    free = rows.select("row", "id", "text", "h", F.lit(None).cast("array<bigint>").alias("lines"), F.lit(True).alias("free"))
+    held = bitfilter.members(rows, touched, "h").join(surplus.select(F.col("doc_id").alias("id"), "lines"), "id", "left")
+    held = held.select("row", "id", "text", "h", "lines", F.lit(False).alias("free"))
+    row_type = rows.schema["row"].dataType.simpleString()
+    return free.unionByName(held).mapInArrow(returning_memory(run), f"row {row_type}, text string, n_lines bigint, n_removed bigint")
 
 
 def dedup_lines(

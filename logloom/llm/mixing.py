@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.llm.text import raw_texts, slices
+from logloom.llm.text import raw_texts, returning_memory, slices
 from logloom.sources.durable import durable
 
 WEIGHTS, MAX_EPOCHS, SEED = (5.0, 2.0, 1.0), 3.0, 42
@@ -39,7 +39,7 @@ def sizes(docs: DataFrame) -> DataFrame:
             counts = pa.array([len(text.split()) for text in raw_texts(batch["text"])], pa.int64())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["source"], batch["pick"], counts], names=["doc_id", "source", "pick", "size"])
 
-    return docs.select("doc_id", "source", "text", pick().alias("pick")).mapInArrow(run, "doc_id bigint, source string, pick bigint, size bigint")
+    return docs.select("doc_id", "source", "text", pick().alias("pick")).mapInArrow(returning_memory(run), "doc_id bigint, source string, pick bigint, size bigint")
 
 
 def targets(rows: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: float = MAX_EPOCHS) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm import itemsums
 from logloom.llm.itemsums import HELD_ITEMS, item_hash
+from logloom.llm.text import small_table
 from logloom.llm.words import partial_counts
 from logloom.llm.wordsums import SCALE, whole
 from logloom.sources.durable import discard, durable
@@ -340,9 +341,10 @@ def fit_table(grams: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFram
     for r in table.filter("c <= 4").groupBy("lang", "k", "c").count().collect():
         ranks.setdefault((r["lang"], r["k"]), {})[r["c"]] = r["count"]
     kinds = {(r["lang"], r["k"]): r["count"] for r in table.groupBy("lang", "k").count().collect()}
-    small = spark.createDataFrame(
+    small = small_table(
+        spark,
         [(lang, k, *discounts(ranks.get((lang, k), {})), 1.0 / (kinds[lang, 1] + 1)) for lang, k in kinds],
-        "lang_of string, k_of int, d1 double, d2 double, d3 double, uniform double",
+        {"lang_of": pa.string(), "k_of": pa.int32(), "d1": pa.float64(), "d2": pa.float64(), "d3": pa.float64(), "uniform": pa.float64()},
     )
     d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     # One row per language and order, built here: broadcast by its size.
@@ -509,7 +511,7 @@ def judge(scores: DataFrame, limits: dict[str | None, tuple[float, float]], slac
     """Scores with ``perplexity``, ``base_failed`` and ``kept``."""
     spark = scores.sparkSession
     # One row per language.
-    table = spark.createDataFrame([(lang, *b) for lang, b in limits.items()], "band_lang string, low double, high double")
+    table = small_table(spark, [(lang, *b) for lang, b in limits.items()], {"band_lang": pa.string(), "low": pa.float64(), "high": pa.float64()})
     wide = F.lit(slack) / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     inside = F.col("log_perplexity").between(F.col("low") - wide, F.col("high") + wide)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

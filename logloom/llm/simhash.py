@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.components import components
-from logloom.llm.text import raw_texts, slices
+from logloom.llm.text import raw_texts, returning_memory, slices, small_table
 from logloom.sources.durable import durable
 
 RADIUS, WORDS, SEED = 4, 4, 42
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, size: int = WORDS) -> DataFrame:
             )
 
     keyed = docs.select("doc_id", "text", F.xxhash64("text", F.lit(1)).alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"))
-    return keyed.mapInArrow(run, "doc_id bigint, h1 bigint, h2 bigint, fp bigint")
+    return keyed.mapInArrow(returning_memory(run), "doc_id bigint, h1 bigint, h2 bigint, fp bigint")
 
 
 def near_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
@@ -74,7 +74,7 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> D
     sizes = {row["ones"]: row["count"] for row in counted.groupBy("ones").count().collect()}  # 65 rows at most
     dealt = {ones: -(-n // tile) for ones, n in sizes.items()}
     spark = distinct.sparkSession
-    plan = spark.createDataFrame(sorted(dealt.items()), "ones int, parts int")
+    plan = small_table(spark, sorted(dealt.items()), {"ones": pa.int32(), "parts": pa.int32()})
     tiles = (
         counted.join(F.broadcast(plan), "ones")
         .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
@@ -83,9 +83,8 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> D
     )
     tiles = durable(tiles, "tiles")
     # Every tile travels to each tile that it must be compared with; a pair of tiles meets once.
-    reach = spark.createDataFrame(
-        [(p, q, parts) for p in dealt for q, parts in dealt.items() if 0 <= q - p <= radius] or [(0, 0, 0)], "ones int, with_ones int, with_parts int"
-    )
+    near = [(p, q, parts) for p in dealt for q, parts in dealt.items() if 0 <= q - p <= radius]
+    reach = small_table(spark, near, {"ones": pa.int32(), "with_ones": pa.int32(), "with_parts": pa.int32()})
     left = (
         tiles.join(F.broadcast(reach), "ones")
         .withColumn("with_part", F.explode(F.expr("sequence(if(ones = with_ones, part, 0), with_parts - 1)")))
@@ -102,7 +101,7 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> D
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(returning_memory(run), "a bigint, b bigint")
 
 
 def _unsigned(value: pa.ListScalar) -> np.ndarray:

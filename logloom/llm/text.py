@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but ASCII white space. ``bytes.split()`` cuts at exactly these characters.
@@ -39,6 +39,16 @@ def returning_memory(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
+def small_table(spark: SparkSession, rows: Iterable[tuple], columns: dict[str, pa.DataType]) -> DataFrame:
+    """A few rows that the driver has, as a table.
+
+    They go to Spark as Arrow data. Given as Python objects they would be read by Python workers of another kind than those of ``mapInArrow``, which
+    stay on every executor beside them.
+    """
+    schema = pa.schema(columns)
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(columns, row)) for row in rows], schema=schema))
+
+
 def sized_slices(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of one row or of up to ``size`` bytes in a text column."""
     for batch in batches:

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import clashing, messy, rows
 from test_llm_linededup import brute as brute_lines
@@ -10,7 +12,8 @@ from test_llm_simhash import brute_components, brute_fingerprint
 
 import __spark_entry__
 import corpus_pipeline
-from logloom.llm import mixing, perplexity
+from logloom.llm import linededup, mixing, perplexity, simhash
+from logloom.llm.text import small_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -96,3 +99,25 @@ def test_python_steps_are_over_when_the_caller_writes(spark, stage):
     found = stage(spark, docs, SF)
     assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString() and found.inputFiles()
     assert found.count() == docs.count()
+
+
+def test_lines_are_dropped_by_one_python_step(spark):
+    """Two in a row would take two workers for each task; they stay on the executors for the stages that follow."""
+    docs = messy(spark)
+    surplus = spark.createDataFrame([(1, [5])], "doc_id bigint, lines array<bigint>")
+    shared = spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    plan = linededup.drop_lines(docs, surplus, shared)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2  # of all rows, and below it of those that go to be joined
+    union = next(i for i, line in enumerate(plan.split("\n")) if "Union" in line)
+    assert "MapInArrow" not in plan.split("\n")[union + 1] + plan.split("\n")[union + 2]
+
+
+def test_small_tables_take_no_python_workers(spark):
+    """Tables made of Python objects are read by Python workers of their own, which stay on the executors."""
+    scores = perplexity.judge(perplexity.score(messy(spark), spark.createDataFrame([], "lang string, word string, n bigint, s0 bigint")), {None: (0.0, 9.0), "en": (1.0, 2.5)})
+    links = simhash.near_links(spark.range(100).withColumnRenamed("id", "fp"))
+    for found in (scores, links):
+        assert "ExistingRDD" not in found._jdf.queryExecution().executedPlan().toString()
+    table = small_table(spark, [(None, 1, 2.5), ("en", 3, -1.0)], {"lang": pa.string(), "n": pa.int32(), "x": pa.float64()})
+    assert [tuple(r) for r in table.collect()] == [(None, 1, 2.5), ("en", 3, -1.0)] and table.schema.simpleString() == "struct<lang:string,n:int,x:double>"
+    assert small_table(spark, [], {"n": pa.int32()}).collect() == []
