@@ -15,6 +15,8 @@ The semi-join is done where the relation lies, by a bit filter of the frequent p
 relation is stored. It misses none; the few others that it lets through are extended and fall to the next, exact count. With more than some 10^8 frequent phrases of a length it lets most through: then more
 is counted, and the result is the same.
 
+A row is large, so the relation is stored in small row groups and read a few rows at once: a task holds little of it, in Spark as in Python, however much there is.
+
 Before a level is made, the hashes of its phrases are counted in buckets (Park, Chen and Yu): a phrase whose bucket has too few occurrences cannot be frequent and is
 neither spelled, stored nor moved. What moves is a sorted array of numbers for each task and part of the buckets. The number of buckets grows with the
 corpus, some tens for each word of it, so that hardly two phrases share one. The exact count follows.
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from logloom.llm import bitfilter, itemsums
 from logloom.llm.itemblocks import Numbers, as_text, one
 from logloom.llm.text import raw_texts, returning_memory, slices
-from logloom.sources.durable import discard, durable
+from logloom.sources.durable import discard, durable, wide_rows_read
 
 MIN_COUNT, MIN_WORDS, MAX_WORDS, TOP, COVER = 100, 2, 5, 2000, 100
 BLOCK_WORDS = 1 << 13
@@ -46,7 +48,7 @@ BLOCK_WORDS = 1 << 13
 TASK_WORDS = 100_000
 SALTS = 64
 #: Buckets of a part, as a power of two; words of the corpus for each part; phrases that a task counts at once.
-PART_BITS, PART_WORDS, TASK_PHRASES = 24, 1 << 20, 1 << 21
+PART_BITS, PART_WORDS, TASK_PHRASES = 24, 1 << 20, 1 << 20
 SPARK_SEED = 42
 UNKNOWN = "und"
 # Where pieces end, and what separates words.
@@ -57,6 +59,8 @@ _BREAK = b"\xff"
 _BLANK = bytes.maketrans(PIECE_ENDS + SEPARATORS, b" " * len(PIECE_ENDS + SEPARATORS))
 _ONE_WAY = bytes.maketrans(PIECE_ENDS + SEPARATORS, _BREAK * len(PIECE_ENDS) + b" " * len(SEPARATORS))
 RELATION = "block bigint, places binary, phrases binary, hashes binary, items array<struct<lang:string,phrase:string,n:bigint>>"
+#: What makes its rows wide, as parquet names it.
+WIDE = ("places", "phrases", "hashes", "items.list.element.phrase")
 
 
 def words_and_breaks(text: bytes) -> list[bytes]:
@@ -190,11 +194,16 @@ def promising(relation: DataFrame, shared: Broadcast, bits: int, least: int) ->
             yield from handed(held)
 
     def handed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found, times = np.unique(np.concatenate(held), return_counts=True)
+        found = np.concatenate(held)
+        held.clear()
+        found.sort()  # in place: np.unique would hold two more copies
+        firsts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+        times = np.diff(firsts, append=len(found)).astype("<u4")
+        found = found[firsts]
         parts = (found >> np.uint64(PART_BITS)).astype(np.int64)
         starts = np.flatnonzero(np.diff(parts, prepend=-1))
         for some in range(0, len(starts), 64):
-            rows = [(parts[a], packed(found[a:b] & np.uint64((1 << PART_BITS) - 1)), times[a:b].astype("<u4").tobytes()) for a, b in zip(starts[some : some + 64], np.append(starts, len(found))[some + 1 :])]
+            rows = [(parts[a], packed(found[a:b] & np.uint64((1 << PART_BITS) - 1)), times[a:b].tobytes()) for a, b in zip(starts[some : some + 64], np.append(starts, len(found))[some + 1 :])]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["part", "buckets", "times"])
 
     def merged(group: pa.Table) -> pa.Table:
@@ -249,15 +258,16 @@ def mine(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS, bloc
     counts = durable(words.filter(F.col("n") >= least), "counts")
     discard(words)
     filters = [bitfilter.build(counts.select(F.xxhash64("lang", "phrase").alias("h")), "h")]
-    relation = durable(occurrences(known, block_words, filters[0]), "occurrences")
+    relation = durable(occurrences(known, block_words, filters[0]), "occurrences", WIDE)
     bitfilter.release(filters)
     found = counts.select("lang", "phrase", F.lit(1).alias("words"), "n")
     for length in range(2, longest + 1):
-        longer = durable(extended(relation, counts, least, bits, filters), "occurrences")
-        bitfilter.release(filters)
-        discard(relation)
-        relation = longer
-        counts = durable(frequent(relation, least), "counts")
+        with wide_rows_read(known.sparkSession):
+            longer = durable(extended(relation, counts, least, bits, filters), "occurrences", WIDE)
+            bitfilter.release(filters)
+            discard(relation)
+            relation = longer
+            counts = durable(frequent(relation, least), "counts")
         found = found.unionByName(counts.select("lang", "phrase", F.lit(length).alias("words"), "n"))
     discard(relation)
     return found, sizes

@@ -6,7 +6,7 @@ executor costs a re-read and never a recomputation from raw text.
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import cache
@@ -44,6 +44,10 @@ def discard(table: DataFrame) -> None:
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Spark's limit of the bytes it sends to a Python worker at once. Its default of 64 MB, twice in memory for each task, is much beside rows that hold whole texts.
 BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+#: Spark's number of rows that a task reads from a parquet file at once. Its default of 4,096 is a whole file where a row holds 100 KB and more.
+READ_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
+#: Of tables with such rows: rows read at once, bytes sent to a Python worker at once, bytes of a row group, rows after which its size is looked at.
+WIDE_ROWS, WIDE_BATCH_BYTES, WIDE_GROUP_BYTES, WIDE_CHECK_ROWS = 8, 2 << 20, 4 << 20, 8
 
 
 @contextmanager
@@ -60,6 +64,21 @@ def shuffles_released(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
+@contextmanager
+def wide_rows_read(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside the block take few rows of a stored table at once, as fits rows of 100 KB and more."""
+    before = {READ_ROWS: spark.conf.get(READ_ROWS), BATCH: spark.conf.get(BATCH)}
+    limits = {READ_ROWS: (WIDE_ROWS, ""), BATCH: (WIDE_BATCH_BYTES, "b")}
+    for name, (most, unit) in limits.items():
+        if (limit := before[name].removesuffix("b")).isdigit() and int(limit) > most:  # else somebody has chosen it
+            spark.conf.set(name, f"{most}{unit}")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -83,12 +102,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(table: DataFrame, name: str = "table") -> DataFrame:
-    """The same rows, computed once and read from a parquet table in the shared folder from then on."""
+def durable(table: DataFrame, name: str = "table", wide: Sequence[str] = ()) -> DataFrame:
+    """The same rows, computed once and read from a parquet table in the shared folder from then on.
+
+    A table whose rows are of 100 KB and more says which parquet columns make them ``wide``. It is stored in small row groups and pages, since a task that writes or
+    reads holds a whole one of each; these columns get no dictionary, which would be made anew for each row group.
+    """
     spark = table.sparkSession
     path = scratch_path(spark, name)
+    writer = table.write
+    if wide:
+        checks = {f"parquet.{of}.size.row.check.min": WIDE_CHECK_ROWS for of in ("block", "page")}
+        plain = {f"parquet.enable.dictionary#{column}": "false" for column in wide}
+        writer = writer.options(**{"parquet.block.size": WIDE_GROUP_BYTES, **checks, **plain})
     with shuffles_released(spark):
-        table.write.parquet(path)
+        writer.parquet(path)
     if (paths := _tables_of_job.get()) is not None:
         paths.append(path)
     return spark.read.schema(table.schema).parquet(path)

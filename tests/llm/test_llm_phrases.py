@@ -143,3 +143,41 @@ def test_filters_are_made_from_small_batches_and_blocks_tell_hashes_without_phra
     assert phrases.unpacked(block["places"]).tolist() == [0, 1, 3, 4] and phrases.from_planes(block["phrases"]).tolist() == [0, 1, 0, 2]
     told = phrases.phrase_hashes([x["lang"] for x in block["items"]], [x["phrase"].encode() for x in block["items"]])
     assert np.frombuffer(block["hashes"], np.uint64).tolist() == told.tolist()
+
+
+def test_relations_are_stored_in_small_groups_and_read_a_few_rows_at_once(spark, monkeypatch):
+    import os
+    from urllib.parse import urlparse
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from logloom.sources import durable as tables
+
+    def groups(table):
+        for file in table.inputFiles():
+            told = pq.ParquetFile(urlparse(file).path).metadata
+            yield from map(told.row_group, range(told.num_row_groups))
+
+    def noise(batches):
+        for batch in batches:
+            for i in batch["id"].to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([os.urandom(200_000)], pa.binary())], names=["id", "data"])
+
+    stored = tables.durable(spark.range(0, 120, 1, 1).mapInArrow(noise, "id bigint, data binary"), "noise", ["data"])
+    assert max(g.total_byte_size for g in groups(stored)) < 2 * tables.WIDE_GROUP_BYTES < 120 * 200_000
+    assert sorted(r.id for r in stored.filter("length(data) = 200000").collect()) == list(range(120))
+
+    before, seen = spark.conf.get(tables.READ_ROWS), []
+
+    def discard(table):
+        if "places" in table.columns:
+            encodings = {e for g in groups(table) for c in map(g.column, range(g.num_columns)) if c.path_in_schema in phrases.WIDE for e in c.encodings}
+            seen.append((spark.conf.get(tables.READ_ROWS), any("DICTIONARY" in e for e in encodings)))
+        tables.discard(table)
+
+    monkeypatch.setattr(phrases, "discard", discard)
+    found, _ = phrases.mine(messy(spark, [(i, "a b c", "en", "s", 1) for i in range(60)]), 50, 3)
+    assert seen == [(str(tables.WIDE_ROWS), False)] * 2 + [(before, False)]
+    assert {(r.phrase, r.n) for r in found.filter("words > 1").collect()} == {("a b", 60), ("b c", 60), ("a b c", 60)}
+    assert spark.conf.get(tables.READ_ROWS) == before
